@@ -24,7 +24,8 @@ def distinct_words(df: DataFrame, word: str = "word") -> DataFrame:
 
 def distinct_tags(df: DataFrame, tags: Column, out: str = "keyword") -> DataFrame:
     """Distinct trimmed, non-empty members of an array column."""
-    return df.select(F.trim(F.explode(tags)).alias(out)).where(F.col(out) != "").distinct()
+    trimmed = F.transform(tags, lambda t: F.trim(t))
+    return df.select(F.explode(trimmed).alias(out)).where(F.col(out) != "").distinct()
 
 
 def term_counts(df: DataFrame, keys: Sequence[str], term: str, out: str = "freq") -> DataFrame:
