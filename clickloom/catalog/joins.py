@@ -88,12 +88,12 @@ PAGE_KEY = "lower(split_part(url, '?', 1))"
 
 @query(
     "J11_enrich_by_url",
-    f"""WITH items AS (SELECT {PAGE_KEY} AS key, min('p' || page_id) AS product_id FROM pages WHERE page_id % 3 = 0 GROUP BY 1)
+    f"""WITH items AS (SELECT {PAGE_KEY} AS key, min('p' || page_id) AS product_id FROM pages WHERE contains(url, 'blog.') GROUP BY 1)
 SELECT p.page_id, COALESCE(i.product_id, '_') AS product_id FROM pages p LEFT JOIN items i ON i.key = lower(split_part(p.url, '?', 1))""",
 )
 def enrich_by_url(spark, sf):
     pages = table(spark, sf, "pages")
-    items = pages.where(F.col("page_id") % 3 == 0).select(
+    items = pages.where(F.col("url").contains("blog.")).select(
         F.col("url").alias("item_url"), F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("product_id")
     )
     rows = pages.select("page_id", "url")

@@ -80,9 +80,9 @@ def top_similar(
     other: str = "similarity_product_id",
     score: str = "text_similarity",
     wide: int = 3,
-    products: int = 20,
+    products: int | None = 20,
 ) -> DataFrame:
-    """The ``wide`` most similar products per product as columns sim1.., for the first ``products``.
+    """The ``wide`` most similar products per product as columns sim1.., for the first ``products`` (all if None).
 
     A score of exactly 1 marks a copy and is left out; products with too few partners are dropped.
     """
@@ -97,7 +97,8 @@ def top_similar(
     spread = ranked.groupBy(tenant, main).pivot("_sim", list(range(1, wide + 1))).agg(F.first(other))
     for i, name in enumerate(names, 1):
         spread = spread.withColumnRenamed(str(i), name)
-    return top_k(spread.dropna("any", subset=names), [tenant], [F.asc(main)], products)
+    complete = spread.dropna("any", subset=names)
+    return complete if products is None else top_k(complete, [tenant], [F.asc(main)], products)
 
 
 def cross_hot(
