@@ -189,6 +189,14 @@ def attach_first_product(matches: DataFrame, item_keywords: DataFrame) -> DataFr
     return matches.join(first.withColumnRenamed("keyword", "keyword_item"), ["web_id", "keyword_item"])
 
 
+def _group_upper(matrix: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Mean + population deviation of rows with equal (sorted) labels."""
+    _, starts, member, sizes = np.unique(labels, return_index=True, return_inverse=True, return_counts=True)
+    mean = np.add.reduceat(matrix, starts, axis=0) / sizes[:, None]
+    spread = np.add.reduceat((matrix - mean[member]) ** 2, starts, axis=0) / sizes[:, None]
+    return mean + np.sqrt(spread)
+
+
 def match_ads(articles: DataFrame, ads: DataFrame, block: int = BLOCK) -> DataFrame:
     """Best ad, and best keyword inside it, for every article.
 
@@ -213,21 +221,22 @@ def match_ads(articles: DataFrame, ads: DataFrame, block: int = BLOCK) -> DataFr
             sims = _matrix(rv, len(ad_ids)) @ _matrix(lv, len(owners)).T
             sims[~np.array(rk.as_py()), :] = -1.0
             sims[:, ~np.array(lk.as_py())] = -1.0
-            order = np.lexsort((words, ad_ids))
-            sims, ad_ids, words = sims[order], ad_ids[order], words[order]
-            ad_names, ad_starts = np.unique(ad_ids, return_index=True)
-            edges = np.append(ad_starts, len(ad_ids))
-            out = {"article_id": [], "ad_id": [], "keyword": [], "score": []}
-            for owner in np.unique(owners):
-                own = sims[:, owners == owner]
-                upper = own.mean(axis=1) + own.std(axis=1)
-                scores = np.array([u.mean() + u.std() for u in np.split(upper, edges[1:-1])])
-                ad = int(np.argmax(np.round(scores, 9)))
-                part = slice(edges[ad], edges[ad + 1])
-                out["article_id"].append(str(owner))
-                out["ad_id"].append(str(ad_names[ad]))
-                out["keyword"].append(str(words[part][int(np.argmax(np.round(upper[part], 9)))]))
-                out["score"].append(float(scores[ad]))
+            rows, cols = np.lexsort((words, ad_ids)), np.argsort(owners, kind="stable")
+            sims, ad_ids, words, owners = sims[rows][:, cols], ad_ids[rows], words[rows], owners[cols]
+            upper = _group_upper(sims.T, owners).T
+            scores = _group_upper(upper, ad_ids)
+            ad_names, starts = np.unique(ad_ids, return_index=True)
+            ends = np.append(starts[1:], len(ad_ids))
+            names = np.unique(owners)
+            picks = np.argmax(np.round(scores, 9), axis=0)
+            near = np.round(upper, 9)
+            best_words = [words[starts[a] + np.argmax(near[starts[a] : ends[a], o])] for o, a in enumerate(picks)]
+            out = {
+                "article_id": names.tolist(),
+                "ad_id": ad_names[picks].tolist(),
+                "keyword": [str(w) for w in best_words],
+                "score": scores[picks, np.arange(len(names))],
+            }
             yield pa.RecordBatch.from_pydict(out)
 
     schema = "article_id string, ad_id string, keyword string, score double"

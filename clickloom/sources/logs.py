@@ -33,10 +33,10 @@ def read_query(spark: SparkSession, url: str, query: str, split: str, low: int,
 def dump_log(df: DataFrame, root: str, ts: str = "ts") -> None:
     """Write a log as ``date=yyyy-MM-dd/hour=h`` partitions.
 
-    Rows of one hour are spread over several writers, so a busy hour is several files.
+    The rebalance hint gathers an hour's rows into few files and lets AQE split a busy hour.
     """
     stamped = df.withColumns({"date": F.date_format(ts, "yyyy-MM-dd"), "hour": F.hour(ts)})
-    stamped.repartition("date", "hour", F.pmod(F.xxhash64(ts), F.lit(4))).write.partitionBy("date", "hour").parquet(root)
+    stamped.hint("rebalance", "date", "hour").write.partitionBy("date", "hour").parquet(root)
 
 
 def read_hours(
