@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.edits import edit_distance
 from clickloom.functions.text import strip_symbols, without_term
-from clickloom.functions.vectors import unit
 from clickloom.operators.joins import salted_join
 from clickloom.operators.ranking import keep_first, top_k
 
@@ -58,24 +57,34 @@ def block_pairs(
     The join key is (key, left block, right block), so one tenant's pairs are spread over the whole
     cluster. Rows that share ``group`` stay in one block.
     """
-    if not keys:
-        one = F.lit(0).alias("_all")
-        pairs = block_pairs(left.select("*", one), right.select("*", one), ["_all"], block, group)
-        return pairs.drop("_all")
     keys = list(keys)
-
-    def counted(words: DataFrame, side: str) -> DataFrame:
-        return words.groupBy(*keys).agg(F.ceil(F.count("*") / block).alias(f"_{side}_blocks"))
-
-    plan = counted(left, "l").join(counted(right, "r"), keys)
-    # one plan row per key meets all rows of that key: salted, as one key may own most of them
-    l_packed = _pack(salted_join(left, plan, keys, spread=32), "l", keys, group)
-    r_packed = _pack(salted_join(right, plan, keys, spread=32), "r", keys, group)
-    return l_packed.join(r_packed, [*keys, "l_block", "r_block"]).drop("l_block", "r_block")
+    number = F.ceil(F.count("*") / block)
+    if keys:
+        plan = left.groupBy(*keys).agg(number.alias("_l_blocks")).join(
+            right.groupBy(*keys).agg(number.alias("_r_blocks")), keys
+        )
+        # one plan row per key meets all rows of that key: salted, as one key may own most of them
+        left, right = (salted_join(side, plan, keys, spread=32) for side in (left, right))
+    else:
+        counts = {"_l_blocks": left.agg(number).scalar(), "_r_blocks": right.agg(number).scalar()}
+        left, right = left.withColumns(counts), right.withColumns(counts)
+    return _pack(left, "l", keys, group).join(_pack(right, "r", keys, group), [*keys, "l_block", "r_block"]).drop(
+        "l_block", "r_block"
+    )
 
 
-def _matrix(cell: pa.ListScalar, rows: int) -> np.ndarray:
-    return np.asarray(cell.values, dtype="float64").reshape(rows, -1)
+def _cosines(left: pa.ListScalar, n_left: int, right: pa.ListScalar, n_right: int) -> np.ndarray:
+    """Cosine of every left with every right row; -1 where a vector has no length."""
+    sides = []
+    for cell, rows in ((left, n_left), (right, n_right)):
+        matrix = np.asarray(cell.values, dtype="float64").reshape(rows, -1)
+        length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+        sides.append((np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0), length[:, 0] == 0))
+    (a, a_empty), (b, b_empty) = sides
+    product = a @ b.T
+    product[a_empty, :] = -1.0
+    product[:, b_empty] = -1.0
+    return product
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iterator[list]:
@@ -85,9 +94,9 @@ def _block_rows(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iter
             yield [c[i] for c in columns]
 
 
-def _unit_words(words: DataFrame) -> DataFrame:
-    """Words with a usable vector, scaled to length one (an unknown word never passes a threshold)."""
-    return words.withColumn("vector", unit(F.col("vector"))).where(F.col("vector").isNotNull())
+def _known(words: DataFrame) -> DataFrame:
+    """Words with a vector (an unknown word never passes a threshold)."""
+    return words.where(F.col("vector").isNotNull())
 
 
 def keyword_similarity(
@@ -103,14 +112,14 @@ def keyword_similarity(
     (web_id, word, vector). Inside a block pair words are tried by their upper bound (at least the
     length difference must be edited); the search stops once no better one can follow.
     """
-    usable = _unit_words(words.select("web_id", "word", "vector"))
+    usable = _known(words.select("web_id", "word", "vector"))
     pairs = block_pairs(usable, usable, ["web_id"], block)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("web_id", "l_word", "l_vector", "r_word", "r_vector")
         for tenant, lw, lv, rw, rv in _block_rows(batches, names):
             left, right = lw.as_py(), rw.as_py()
-            cosines = _matrix(lv, len(left)) @ _matrix(rv, len(right)).T
+            cosines = _cosines(lv, len(left), rv, len(right))
             sizes = np.array([len(w) for w in right])
             out: list[tuple[str, str, float]] = []
             for word, row in zip(left, cosines):
@@ -153,14 +162,14 @@ def trend_catalogue_match(
     + w_dis / 2) / (w_sim + w_dis / 2); equal words are left out. Cosines come first, edit
     distances only for pairs over ``min_cosine``.
     """
-    items = _unit_words(keep_first(catalogue.select("web_id", "word", "vector"), ["web_id", "word"], [F.asc("vector")]))
-    hot = _unit_words(keep_first(trends.select("web_id", "word", "vector"), ["web_id", "word"], [F.asc("vector")]))
+    items = _known(keep_first(catalogue.select("web_id", "word", "vector"), ["web_id", "word"], [F.asc("vector")]))
+    hot = _known(keep_first(trends.select("web_id", "word", "vector"), ["web_id", "word"], [F.asc("vector")]))
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("web_id", "l_word", "l_vector", "r_word", "r_vector")
         for tenant, lw, lv, rw, rv in _block_rows(batches, names):
             left, right = lw.as_py(), rw.as_py()
-            cosines = _matrix(lv, len(left)) @ _matrix(rv, len(right)).T
+            cosines = _cosines(lv, len(left), rv, len(right))
             out = []
             for i, j in zip(*np.nonzero(cosines > min_cosine)):
                 if left[i] == right[j]:
@@ -206,21 +215,18 @@ def match_ads(articles: DataFrame, ads: DataFrame, block: int = BLOCK) -> DataFr
     """
 
     def ready_rows(rows: DataFrame, key: str) -> DataFrame:
-        ready = rows.select(F.col(key).alias("owner"), "word", unit(F.col("vector")).alias("vector"))
+        ready = rows.select(F.col(key).alias("owner"), "word", F.col("vector").cast("array<double>").alias("vector"))
         width = ready.agg(F.max(F.size("vector"))).scalar()
-        known = F.col("vector").isNotNull()
-        flat = F.coalesce("vector", F.array_repeat(F.lit(0.0), width))
-        return ready.withColumns({"known": known, "vector": flat})
+        # an unknown word travels as a vector without length, which scores -1
+        return ready.withColumn("vector", F.coalesce("vector", F.array_repeat(F.lit(0.0), width)))
 
     pairs = block_pairs(ready_rows(articles, "article_id"), ready_rows(ads, "ad_id"), (), block, group="owner")
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("l_owner", "l_known", "l_vector", "r_owner", "r_word", "r_known", "r_vector")
-        for lo, lk, lv, ro, rw, rk, rv in _block_rows(batches, names):
+        names = ("l_owner", "l_vector", "r_owner", "r_word", "r_vector")
+        for lo, lv, ro, rw, rv in _block_rows(batches, names):
             owners, ad_ids, words = np.array(lo.as_py()), np.array(ro.as_py()), np.array(rw.as_py())
-            sims = _matrix(rv, len(ad_ids)) @ _matrix(lv, len(owners)).T
-            sims[~np.array(rk.as_py()), :] = -1.0
-            sims[:, ~np.array(lk.as_py())] = -1.0
+            sims = _cosines(rv, len(ad_ids), lv, len(owners))
             rows, cols = np.lexsort((words, ad_ids)), np.argsort(owners, kind="stable")
             sims, ad_ids, words, owners = sims[rows][:, cols], ad_ids[rows], words[rows], owners[cols]
             upper = _group_upper(sims.T, owners).T
@@ -248,13 +254,13 @@ def match_ads(articles: DataFrame, ads: DataFrame, block: int = BLOCK) -> DataFr
 def nearest(queries: DataFrame, words: DataFrame, k: int = 10, block: int = BLOCK) -> DataFrame:
     """The ``k`` nearest other words by cosine for each query word; each side is (word, vector)."""
     pairs = block_pairs(
-        _unit_words(queries.select("word", "vector")), _unit_words(words.select("word", "vector")), (), block
+        _known(queries.select("word", "vector")), _known(words.select("word", "vector")), (), block
     )
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lw, lv, rw, rv in _block_rows(batches, ("l_word", "l_vector", "r_word", "r_vector")):
             left_words, right_words = np.array(lw.as_py()), np.array(rw.as_py())
-            cosines = _matrix(lv, len(left_words)) @ _matrix(rv, len(right_words)).T
+            cosines = _cosines(lv, len(left_words), rv, len(right_words))
             keep = min(k + 1, len(right_words))
             found = {"word": [], "other": [], "similarity": []}
             for word, row in zip(left_words, np.round(cosines, 9)):
@@ -290,13 +296,13 @@ def catalogue_text(title: Column, product_id: Column) -> Column:
 
 def close_pairs(words: DataFrame, min_cosine: float, block: int = BLOCK) -> DataFrame:
     """(web_id, word, other, similarity) for all pairs of a tenant at or above ``min_cosine``."""
-    usable = _unit_words(words.select("web_id", "word", "vector"))
+    usable = _known(words.select("web_id", "word", "vector"))
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("web_id", "l_word", "l_vector", "r_word", "r_vector")
         for tenant, lw, lv, rw, rv in _block_rows(batches, names):
             left, right = np.array(lw.as_py()), np.array(rw.as_py())
-            cosines = np.round(_matrix(lv, len(left)) @ _matrix(rv, len(right)).T, 9)
+            cosines = np.round(_cosines(lv, len(left), rv, len(right)), 9)
             i, j = np.nonzero(cosines >= min_cosine)
             apart = left[i] != right[j]
             i, j = i[apart], j[apart]
