@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clickloom.catalog.registry import query, with_
 from clickloom.catalog.tables import (
     AD_DAYS, DOCS, FACTS_BASE, KEY_SQL, ROWS_BASE, TAGS, ad_days, article_rows, docs, event_key, facts,
-    keyword_rows, table, tags,
+    keyword_rows, table, tags, texts,
 )
 from clickloom.functions import text as tx
 from clickloom.functions.dates import parse_date
@@ -366,7 +366,7 @@ TOKENS = r"""terms AS (SELECT doc_id AS id, term, count(*) AS freq FROM (
 
 
 def doc_terms(spark, sf):
-    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    rows = texts(spark, sf).select(F.col("doc_id").alias("id"), "text")
     return keywords.explode_tokens(rows, "id", tx.latin_tokens(F.col("text")))
 
 
@@ -453,7 +453,7 @@ def mean_plus_std(spark, sf):
   SELECT doc_id, list_filter(string_split(replace(text, '，', ','), ','), lambda x: x <> '') AS w FROM documents) WHERE len(w) > 0""",
 )
 def short_share(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", tx.short_share(tx.short_pieces(F.col("text"))).alias("share"))
+    rows = texts(spark, sf).select("doc_id", tx.short_share(tx.short_pieces(F.col("text"))).alias("share"))
     return rows.where(F.col("share").isNotNull()).withColumn("share", F.round("share", 6))
 
 

@@ -8,13 +8,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from clickloom.catalog.registry import query, with_
-from clickloom.catalog.tables import KEY_SQL, TAGS, event_key, table, tags
+from clickloom.catalog.tables import KEY_SQL, TAGS, event_key, table, tags, texts
 from clickloom.functions import arrays, dates, maths, text as tx, urls
 from clickloom.operators import keywords, stats
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents")
+    return texts(spark, sf)
 
 
 def hashed(c):

@@ -121,12 +121,12 @@ def nearest_words(spark, sf):
 @query(
     "J9_scored_pairs",
     f"""WITH {VECTORS} SELECT a.word, b.word AS other,
-  round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM vecs a JOIN vecs b ON a.web_id = b.web_id
+  round(list_cosine_similarity(a.v, b.v), 4) AS similarity FROM vecs a JOIN vecs b ON a.web_id = b.web_id
   AND a.word <> b.word WHERE round(list_cosine_similarity(a.v, b.v), 9) >= 0.3""",
 )
 def scored_pairs(spark, sf):
     return similarity.close_pairs(word_vectors(spark, sf), 0.3).select(
-        "word", "other", F.round("similarity", 6).alias("similarity")
+        "word", "other", F.round("similarity", 4).alias("similarity")
     )
 
 

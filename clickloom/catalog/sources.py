@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom.catalog.registry import query
 from clickloom.catalog.tables import KEY_SQL, table
+from clickloom.operators.sets import union_all
 from clickloom.session import scratch_path
 from clickloom.sources import increments, landed, logs, words
 
@@ -26,21 +27,21 @@ def _log(spark, sf):
 
 @query(
     "S2_read_hours",
-    "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-09 22:00:00' AND ts < TIMESTAMP '2024-01-11 03:00:00'",
+    """SELECT 'range' AS scope, event_id FROM events WHERE ts >= TIMESTAMP '2024-01-09 22:00:00' AND ts < TIMESTAMP '2024-01-11 03:00:00'
+UNION ALL SELECT 'day', event_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-12'
+UNION ALL SELECT 'hour', event_id FROM events WHERE date_trunc('hour', ts) = TIMESTAMP '2024-01-12 13:00:00'
+UNION ALL SELECT 'minute', event_id FROM events WHERE date_trunc('minute', ts) = TIMESTAMP '2024-01-12 12:59:00'""",
 )
 def read_hours(spark, sf):
-    rows = logs.read_hours(spark, _log(spark, sf), dt.datetime(2024, 1, 9, 22), dt.datetime(2024, 1, 11, 3))
-    return rows.select("event_id", "event_type")
-
-
-@query("S2_read_day", "SELECT event_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-12'")
-def read_day(spark, sf):
-    return logs.read_day(spark, _log(spark, sf), dt.date(2024, 1, 12)).select("event_id")
-
-
-@query("S2_latest_hour", "SELECT event_id FROM events WHERE date_trunc('hour', ts) = TIMESTAMP '2024-01-12 13:00:00'")
-def latest_hour(spark, sf):
-    return logs.read_latest_hour(spark, _log(spark, sf), dt.datetime(2024, 1, 12, 13, 44)).select("event_id")
+    """Hour range, day, latest hour and latest minute of one hourly log."""
+    root = _log(spark, sf)
+    scopes = {
+        "range": logs.read_hours(spark, root, dt.datetime(2024, 1, 9, 22), dt.datetime(2024, 1, 11, 3)),
+        "day": logs.read_day(spark, root, dt.date(2024, 1, 12)),
+        "hour": logs.read_latest_hour(spark, root, dt.datetime(2024, 1, 12, 13, 44)),
+        "minute": logs.read_latest_minute(spark, root, dt.datetime(2024, 1, 12, 13, 0)),
+    }
+    return union_all(*[rows.select(F.lit(name).alias("scope"), "event_id") for name, rows in scopes.items()])
 
 
 OBJECT = "event_id bigint, user_id bigint, event_type string, value double"
@@ -96,14 +97,15 @@ def filter_and_dump(spark, sf):
     return rows.select("event_id", F.date_format(F.col("date").cast("date"), "yyyy-MM-dd").alias("day"), F.col("hour").cast("int").alias("hour"))
 
 
-@query("S6_count_objects", "SELECT CAST(count(DISTINCT date_trunc('hour', ts)) AS BIGINT) AS hours FROM events")
+@query("S6_count_objects", "SELECT count(DISTINCT o_orderstatus) AS folders, 1 AS non_empty FROM orders")
 def count_objects(spark, sf):
-    """Non-empty files of an hourly log, at least one per hour that has events."""
-    root = _log(spark, sf)
+    """Files of a table written by order status: every one of its folders holds data."""
+    root = scratch_path(spark, "objects")
+    table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(root)
     objects = logs.count_objects(spark, root)
-    folders = spark.read.parquet(root).select("date", "hour").distinct().agg(F.count("*").alias("hours"))
-    enough = objects.select((F.col("objects") > 0).alias("_ok")).scalar()
-    return folders.where(enough)
+    folders = spark.read.parquet(root).agg(F.countDistinct("o_orderstatus").alias("folders"))
+    enough = objects.select((F.col("objects") > 0).cast("int").alias("n")).scalar()
+    return folders.select("folders", enough.alias("non_empty"))
 
 
 @query(

@@ -8,18 +8,28 @@ from pyspark.sql import functions as F
 
 from clickloom.catalog.registry import query, with_
 from clickloom.catalog.tables import BROWSE, FACTS_BASE, SESSIONS, TAGS, browse, facts, table, tags
-from clickloom.session import materialise, scratch_path
+from clickloom.functions.dates import epoch_seconds
+from clickloom.session import scratch_path
 from clickloom.sinks import merge
 from clickloom.streaming import sinks, state, windows
 
 
-def as_stream(df, parts=None):
-    """The rows of ``df`` as a file stream; with ``parts`` one file per batch in the order of that column."""
+def as_stream(df, files_per_batch=None):
+    """The rows of ``df`` as a file stream, in one batch or in several."""
+    path = scratch_path(df.sparkSession, "stream-input")
+    df.write.parquet(path)
+    reader = df.sparkSession.readStream.schema(df.schema)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
+
+
+def in_three_parts(df, order, batch, checkpoint):
+    """Let the rows arrive in three parts along ``order``, running the stream after each arrival."""
     spark = df.sparkSession
     path = scratch_path(spark, "stream-input")
-    (df if parts is None else df.repartitionByRange(3, parts).sortWithinPartitions(parts)).write.parquet(path)
-    reader = spark.readStream.schema(df.schema)
-    return (reader if parts is None else reader.option("maxFilesPerTrigger", 1)).parquet(path)
+    low, high = df.agg(F.percentile_approx(order, [1 / 3, 2 / 3])).first()[0]
+    for part in (order <= low, (order > low) & (order <= high), order > high):
+        df.where(part).write.mode("append").parquet(path)
+        sinks.run_available(spark.readStream.schema(df.schema).parquet(path), batch, checkpoint, "append")
 
 
 def event_stream(spark, sf):
@@ -57,8 +67,7 @@ def two_hour_buckets(spark, sf):
 def session_stream(spark, sf):
     """Exact session metrics over three micro-batches in time order."""
     batches = state.SessionBatches(scratch_path(spark, "session-stream"))
-    stream = as_stream(browse(spark, sf), "ts")
-    sinks.run_available(stream, batches, scratch_path(spark, "session-checkpoint"), "append")
+    in_three_parts(browse(spark, sf), epoch_seconds(F.col("ts")), batches, scratch_path(spark, "session-checkpoint"))
     return batches.result(spark)
 
 
@@ -106,7 +115,7 @@ def upsert_sink(spark, sf):
     events = table(spark, sf, "events").select("user_id", "event_id", "event_type")
     root = scratch_path(spark, "upserted")
     batch = sinks.upsert_sink(root, ["user_id"], newest=[F.desc("event_id")])
-    sinks.run_available(as_stream(events, "event_id"), batch, scratch_path(spark, "upsert-checkpoint"), "append")
+    in_three_parts(events, F.col("event_id"), batch, scratch_path(spark, "upsert-checkpoint"))
     return merge.read_merged(spark, root)
 
 
@@ -115,8 +124,8 @@ def upsert_sink(spark, sf):
     with_(TAGS, select="SELECT web_id, uuid, usertag AS keyword, count(*) AS freq FROM tags GROUP BY 1, 2, 3"),
 )
 def merge_state(spark, sf):
-    rows = tags(spark, sf).select("event_id", "web_id", "uuid", F.col("usertag").alias("keyword"))
-    return sinks.run_to_table(state.merge_state(as_stream(rows, "event_id")), ["web_id", "uuid", "keyword"])
+    rows = tags(spark, sf).select("web_id", "uuid", F.col("usertag").alias("keyword"))
+    return sinks.run_to_table(state.merge_state(as_stream(rows.repartition(3), 1)), ["web_id", "uuid", "keyword"])
 
 
 @query(
@@ -153,7 +162,7 @@ def hour_delta_stream(spark, sf):
     from clickloom.operators.trends import cumulative_by_hour
 
     snapshots = cumulative_by_hour(facts(spark, sf), ["web_id", "article_id", "date"])
-    stream = as_stream(materialise(snapshots, "snapshots"), "hour")
+    stream = as_stream(snapshots.repartition(2, "hour"), 1)
     return sinks.run_to_table(state.hour_deltas(stream), ["web_id", "article_id", "date", "hour"])
 
 

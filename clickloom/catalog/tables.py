@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.dates import date_int
 from clickloom.operators import rollups, sessions
+from clickloom.sources.logs import spread_small
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str = "documents") -> DataFrame:
+    """A text table whose rows are shared out to all cores."""
+    return spread_small(table(spark, sf, name))
+
+
 def event_key() -> F.Column:
     return F.get_json_object("props", "$.k").cast("long")
 

@@ -10,7 +10,7 @@ from clickloom.catalog.aggregates import TOKENS, doc_terms
 from clickloom.catalog.functions import PAGES_SQL, tenant_pages, url_rules
 from clickloom.catalog.joins import similar_items
 from clickloom.catalog.registry import query, with_
-from clickloom.catalog.tables import DOCS, docs, table
+from clickloom.catalog.tables import DOCS, docs, table, texts
 from clickloom.functions import text as tx
 from clickloom.functions import urls
 from clickloom.operators import joins, keywords, reports
@@ -26,7 +26,7 @@ TODAY = dt.date(2024, 1, 31)
 )
 def tokens(spark, sf):
     words = tx.latin_tokens(F.col("text"))
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf).select(
         "doc_id", F.size(words).cast("long").alias("tokens"), F.md5(F.array_join(words, " ")).alias("digest")
     )
 
@@ -39,7 +39,7 @@ def segment(spark, sf):
         .select(F.explode(tx.latin_tokens(F.col("text"))).alias("word"))
         .groupBy("word").agg(F.count("*").alias("freq"))
     )
-    lowered = table(spark, sf, "conversations").select(
+    lowered = texts(spark, sf, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), F.lower("text").alias("text")
     )
     return keywords.segment(lowered, "id", "text", dictionary, run=r"\p{L}+", max_word=10)
@@ -109,7 +109,7 @@ def article_keywords_v1(spark, sf):
 
 
 def by_language(spark, sf, *langs):
-    rows = table(spark, sf, "documents").where(F.col("lang").isin(*langs))
+    rows = texts(spark, sf).where(F.col("lang").isin(*langs))
     return rows.select(F.col("doc_id").alias("id"), "text")
 
 

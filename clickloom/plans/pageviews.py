@@ -12,6 +12,7 @@ from clickloom.functions.urls import browser_app, canonical_source, traffic_sour
 from clickloom.operators import rollups, trends
 from clickloom.operators.filters import valid_events
 from clickloom.operators.sessions import pageview_facts, session_metrics
+from clickloom.session import materialise
 
 
 def pageview_hours(
@@ -56,13 +57,13 @@ def hot_report(
     own: str = "own",
     n: int = rollups.HOT_ROWS,
 ) -> dict[str, DataFrame]:
-    """All report tables of one run from one article-row frame and its exploded form.
+    """All report tables of one run from one stored frame of article rows.
 
     ``articles`` is (web_id, article_id, texts.., keyword_list, is_cut); the ``last_*`` frames are
-    the previous snapshot (web_id, date, key, pageviews). Materialise the facts before writing all
-    tables, so that the shared part runs once.
+    the previous snapshot (web_id, date, key, pageviews). The hot article rows are written to the
+    shared scratch folder once and every table starts from them.
     """
-    rows = rollups.with_source(rollups.attach_articles(rollups.hot_pageviews(facts, n), articles))
+    rows = materialise(rollups.with_source(rollups.attach_articles(rollups.hot_pageviews(facts, n), articles)), "hot-rows")
     exploded = rollups.explode_keywords(rows)
     article_rows = rows.drop("keyword_list")
     keywords = rollups.keyword_rollup(exploded)

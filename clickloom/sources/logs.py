@@ -22,6 +22,16 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
+def spread_small(df: DataFrame, below: int = 1 << 30) -> DataFrame:
+    """Share a small scan out to all cores before CPU-heavy text work.
+
+    A small file often is a single split. Its size is read from the plan's statistics; anything
+    larger keeps its own splits and is not shuffled.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < below else df
+
+
 def read_query(spark: SparkSession, url: str, query: str, split: str, low: int, high: int, parts: int, **options: str) -> DataFrame:
     """Database query read in ``parts`` ranges of the numeric column ``split``."""
     reader = spark.read.format("jdbc").options(**options)

@@ -14,23 +14,13 @@ from clickloom.session import materialise
 from clickloom.sinks.merge import read_or_none, write_table
 
 
-def _running_counts(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    total = state.get[0] if state.exists else 0
-    for pdf in batches:
-        total += len(pdf)
-    state.update((total,))
-    yield pd.DataFrame({"web_id": [key[0]], "uuid": [key[1]], "keyword": [key[2]], "freq": [total]})
-
-
 def merge_state(stream: DataFrame) -> DataFrame:
-    """Running count per (web_id, uuid, keyword): a user's stored list, one small state per entry.
+    """Running count per (web_id, uuid, keyword): a user's stored list, merged with each batch.
 
-    State is keyed by list entry, so a user with very many tags is spread over the state store.
+    A native streaming aggregate, keyed by list entry, so a user with very many tags is spread over
+    the state store and batches are combined before the shuffle.
     """
-    return stream.select("web_id", "uuid", "keyword").groupBy("web_id", "uuid", "keyword").applyInPandasWithState(
-        _running_counts, "web_id string, uuid string, keyword string, freq long", "total long", "update",
-        GroupStateTimeout.NoTimeout,
-    )
+    return stream.groupBy("web_id", "uuid", "keyword").agg(F.count("*").alias("freq"))
 
 
 def _hour_steps(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
