@@ -14,6 +14,7 @@ from clickloom.catalog.tables import (
 from clickloom.functions import text as tx
 from clickloom.functions.dates import parse_date
 from clickloom.operators import joins, keywords, reports, rollups, sets, stats, usertags
+from clickloom.session import materialise
 
 TODAY = dt.date(2024, 1, 31)
 MEASURE_SQL = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in rollups.MEASURES)
@@ -367,7 +368,8 @@ TOKENS = r"""terms AS (SELECT doc_id AS id, term, count(*) AS freq FROM (
 
 def doc_terms(spark, sf):
     rows = texts(spark, sf).select(F.col("doc_id").alias("id"), "text")
-    return keywords.explode_tokens(rows, "id", tx.latin_tokens(F.col("text")))
+    # counted once: document frequencies, totals and ranks all start from the stored counts
+    return materialise(keywords.explode_tokens(rows, "id", tx.latin_tokens(F.col("text"))), "doc-terms")
 
 
 @query(

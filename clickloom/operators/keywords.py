@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,13 +53,10 @@ def tfidf_keywords(terms: DataFrame, idf: DataFrame, k: int, key: str = "id") ->
     AQE broadcasts the IDF table when it is small and splits the hot term when it is not.
     """
     median = idf.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY idf DESC)")).scalar()
-    totals = terms.groupBy(key).agg(F.sum("freq").alias("_total"))
-    scored = (
-        terms.join(idf, "term", "left")
-        .join(totals, key)
-        .withColumn("score", F.col("freq") / F.col("_total") * F.coalesce("idf", median))
-        .select(key, "term", "score")
-    )
+    # the document total and the ranking share one shuffle by document
+    share = F.col("freq") / F.sum("freq").over(Window.partitionBy(key))
+    joined = terms.join(idf, "term", "left")
+    scored = joined.select(key, "term", (share * F.coalesce("idf", median)).alias("score"))
     # scores are compared at nine digits so that equal terms tie and the term itself decides
     return top_k(scored, [key], [F.desc(F.round("score", 9)), F.asc("term")], k, rank="rank")
 
