@@ -430,8 +430,8 @@ def refresh_metrics(spark, sf):
 
 @query(
     "E15_load_trends",
-    """SELECT p_name AS keyword, CAST(p_size AS BIGINT) * 10000 AS traffic, '2024-01-02' AS date, min(p_type) AS related_queries FROM part GROUP BY 1, 2
-UNION ALL SELECT n_name, 1, '2024-01-01', 'old' FROM nation""",
+    """SELECT p_name AS keyword, CAST(p_size AS BIGINT) * 10000 AS traffic, CASE WHEN p_size > 25 THEN '2024-01-02' ELSE '2024-01-03' END AS date, min(p_type) AS related_queries FROM part GROUP BY 1, 2, 3
+UNION ALL SELECT n_name, 1, CASE WHEN n_regionkey > 2 THEN '2024-01-01' ELSE '2023-12-31' END, 'old' FROM nation""",
 )
 def load_trends(spark, sf):
     search = F.struct(
@@ -440,9 +440,9 @@ def load_trends(spark, sf):
         F.array(F.struct(F.col("p_type").alias("query"))).alias("relatedQueries"),
     )
     body = F.struct(F.struct(F.array(F.struct(F.array(search).alias("trendingSearches"))).alias("trendingSearchesDays")).alias("default"))
-    landed = table(spark, sf, "part").select(F.lit("2024-01-02").alias("date"), F.to_json(body).alias("value"))
+    landed = table(spark, sf, "part").select(F.when(F.col("p_size") > 25, "2024-01-02").otherwise("2024-01-03").alias("date"), F.to_json(body).alias("value"))
     stored = table(spark, sf, "nation").select(
-        F.col("n_name").alias("keyword"), F.lit(1).cast("long").alias("traffic"), F.lit("2024-01-01").alias("date"), F.lit("old").alias("related_queries")
+        F.col("n_name").alias("keyword"), F.lit(1).cast("long").alias("traffic"), F.when(F.col("n_regionkey") > 2, "2024-01-01").otherwise("2023-12-31").alias("date"), F.lit("old").alias("related_queries")
     )
     return reporting.load_trends(stored, landed)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.dates import date_int
 from clickloom.operators import rollups, sessions
+from clickloom.session import materialise
 from clickloom.sources.logs import spread_small
 
 
@@ -121,7 +122,8 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def article_rows(spark: SparkSession, sf: str) -> DataFrame:
-    hot = rollups.hot_pageviews(facts(spark, sf))
+    # the hourly fact is a stored table; the roll-ups start from it
+    hot = rollups.hot_pageviews(materialise(facts(spark, sf), "hourly-facts"))
     rows = rollups.attach_articles(hot, articles(spark, sf))
     return rollups.with_source(rows).withColumn("keyword_list", F.split("keywords", ","))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions import text as tx
+from clickloom.operators.joins import salted_join
 from clickloom.operators.ranking import top_k
 
 NOT_FOUND = "xxx找不到xxx"
@@ -25,7 +26,8 @@ def explode_tokens(df: DataFrame, key: str, tokens: Column, stopwords: DataFrame
     counts = words.groupBy(key, "term").agg(F.count("*").alias("freq"))
     if stopwords is None:
         return counts
-    return counts.join(stopwords.select(F.lower("word").alias("term")).distinct(), "term", "left_anti")
+    # a frequent word is a hot key here: salted
+    return salted_join(counts, stopwords.select(F.lower("word").alias("term")).distinct(), ["term"], "left_anti")
 
 
 def train_idf(terms: DataFrame, key: str = "id", denominator: str = "docs") -> DataFrame:
@@ -49,13 +51,13 @@ def train_idf(terms: DataFrame, key: str = "id", denominator: str = "docs") -> D
 def tfidf_keywords(terms: DataFrame, idf: DataFrame, k: int, key: str = "id") -> DataFrame:
     """Top ``k`` terms of each document by share of the document times IDF, with their rank.
 
-    Terms without an IDF get the upper median. A term in very many documents meets one IDF row;
-    AQE broadcasts the IDF table when it is small and splits the hot term when it is not.
+    Terms without an IDF get the upper median. A term of very many documents meets one IDF row, so
+    the join on terms is salted.
     """
     median = idf.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY idf DESC)")).scalar()
     # the document total and the ranking share one shuffle by document
     share = F.col("freq") / F.sum("freq").over(Window.partitionBy(key))
-    joined = terms.join(idf, "term", "left")
+    joined = salted_join(terms, idf, ["term"], "left")
     scored = joined.select(key, "term", (share * F.coalesce("idf", median)).alias("score"))
     # scores are compared at nine digits so that equal terms tie and the term itself decides
     return top_k(scored, [key], [F.desc(F.round("score", 9)), F.asc("term")], k, rank="rank")
@@ -74,10 +76,10 @@ def clean_tokens(
     """
     kept = tokens.where(~tx.is_noise(F.col(word), quantifiers)).withColumn("_low", F.lower(word))
     for words in stopwords:
-        kept = kept.join(words.select(F.lower("word").alias("_low")).distinct(), "_low", "left_anti")
+        kept = salted_join(kept, words.select(F.lower("word").alias("_low")).distinct(), ["_low"], "left_anti")
     if tenant_black is not None:
         black = tenant_black.select("web_id", F.lower("keyword").alias("_low")).distinct()
-        kept = kept.join(black, ["web_id", "_low"], "left_anti")
+        kept = salted_join(kept, black, ["web_id", "_low"], "left_anti")
     return kept.drop("_low")
 
 
@@ -86,9 +88,9 @@ def in_dictionary(tokens: DataFrame, dictionary: DataFrame, word: str = "term")
     common = dictionary.where(F.col("web_id") == "*").select(F.col("keyword").alias(word)).distinct()
     own = dictionary.where(F.col("web_id") != "*").select("web_id", F.col("keyword").alias(word)).distinct()
     if "web_id" not in tokens.columns:
-        return tokens.join(common, word, "left_semi")
-    marked = tokens.join(common.withColumn("_all", F.lit(True)), word, "left")
-    marked = marked.join(own.withColumn("_own", F.lit(True)), ["web_id", word], "left")
+        return salted_join(tokens, common, [word], "left_semi")
+    marked = salted_join(tokens, common.withColumn("_all", F.lit(True)), [word], "left")
+    marked = salted_join(marked, own.withColumn("_own", F.lit(True)), ["web_id", word], "left")
     return marked.where(F.col("_all") | F.col("_own")).drop("_all", "_own")
 
 
@@ -138,7 +140,7 @@ def ngram_terms(df: DataFrame, key: str, tokens: Column, stopwords: DataFrame |
     terms = words.select(key, F.posexplode("_w").alias("_pos", "_word"))
     if stopwords is not None:
         listed = stopwords.select(F.lower("word").alias("_word")).distinct()
-        terms = terms.join(listed, "_word", "left_anti")
+        terms = salted_join(terms, listed, ["_word"], "left_anti")
     singles = terms.select(key, F.col("_word").alias("term"), F.lit(1).alias("words"))
     if n < 2:
         phrases = singles

@@ -155,19 +155,22 @@ def trend_catalogue_match(
     min_score: float = TREND_SCORE,
     min_cosine: float = TREND_COSINE,
     block: int = BLOCK,
+    keys: Sequence[str] = ("web_id",),
 ) -> DataFrame:
     """Every catalogue keyword that is close to a trend keyword, with its scores.
 
-    Both sides are (web_id, word, vector). score = (w_sim * cosine - w_dis * edits / longer length
+    Both sides are (keys.., word, vector); ``keys`` may be empty for one common catalogue. score = (w_sim * cosine - w_dis * edits / longer length
     + w_dis / 2) / (w_sim + w_dis / 2); equal words are left out. Cosines come first, edit
     distances only for pairs over ``min_cosine``.
     """
-    items = _known(keep_first(catalogue.select("web_id", "word", "vector"), ["web_id", "word"], [F.asc("vector")]))
-    hot = _known(keep_first(trends.select("web_id", "word", "vector"), ["web_id", "word"], [F.asc("vector")]))
+    keys = list(keys)
+
+    def once(words: DataFrame) -> DataFrame:
+        return keep_first(_known(words.select(*keys, "word", "vector")), [*keys, "word"], [F.asc("vector")])
+
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("web_id", "l_word", "l_vector", "r_word", "r_vector")
-        for tenant, lw, lv, rw, rv in _block_rows(batches, names):
+        for *owner, lw, lv, rw, rv in _block_rows(batches, (*keys, "l_word", "l_vector", "r_word", "r_vector")):
             left, right = lw.as_py(), rw.as_py()
             cosines = _cosines(lv, len(left), rv, len(right))
             out = []
@@ -180,16 +183,13 @@ def trend_catalogue_match(
                 if score > min_score:
                     out.append((right[j], left[i], score, near, far))
             if out:
-                a, b, s, c, d = zip(*out)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "web_id": [tenant.as_py()] * len(out), "keyword_trend": list(a), "keyword_item": list(b),
-                        "score": list(s), "score_cosine": list(c), "score_edit": list(d),
-                    }
-                )
+                columns = {k: [v.as_py()] * len(out) for k, v in zip(keys, owner)}
+                columns |= dict(zip(("keyword_trend", "keyword_item", "score", "score_cosine", "score_edit"), map(list, zip(*out))))
+                yield pa.RecordBatch.from_pydict(columns)
 
-    schema = "web_id string, keyword_trend string, keyword_item string, score double, score_cosine double, score_edit double"
-    return block_pairs(items, hot, ["web_id"], block).mapInArrow(passing, schema)
+    schema = "".join(f"{k} string, " for k in keys)
+    schema += "keyword_trend string, keyword_item string, score double, score_cosine double, score_edit double"
+    return block_pairs(once(catalogue), once(trends), keys, block).mapInArrow(passing, schema)
 
 
 def attach_first_product(matches: DataFrame, item_keywords: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.joins import flag_blacklist, salted_join
 from clickloom.operators.ranking import keep_first, top_k
+from clickloom.session import materialise
 
 MANY_TAGS = 500
 TAG_KEYS = ("web_id", "usertag", "uuid", "article_id")
@@ -69,9 +70,13 @@ def above_threshold(counts: DataFrame, value: str = "token_count", many: int = M
 def usertag_report(
     tags: DataFrame, black: DataFrame, expired_date: dt.date | Column, many: int = MANY_TAGS, approximate: bool = False
 ) -> DataFrame:
-    """Counted, flagged and thresholded tags. ``black`` is (web_id, usertag)."""
+    """Counted, flagged and thresholded tags. ``black`` is (web_id, usertag).
+
+    The counts, one row per tag, are stored once: limits and report both start from them.
+    """
     when = expired_date if isinstance(expired_date, Column) else F.lit(expired_date)
-    flagged = flag_blacklist(tag_counts(tags, approximate), black, ["web_id", "usertag"])
+    counts = materialise(tag_counts(tags, approximate), "tag-counts")
+    flagged = flag_blacklist(counts, black, ["web_id", "usertag"])
     return above_threshold(flagged.withColumn("expired_date", when), many=many)
 
 
@@ -119,9 +124,9 @@ def retained_buckets(stats: DataFrame, limit: int, keys: Sequence[str] = ("web_i
 
 
 def retain_recent(tags: DataFrame, stats: DataFrame, limit: int) -> DataFrame:
-    """Tag rows that fall into retained buckets."""
+    """Tag rows that fall into retained buckets (a key is one user's few hours, so it is never hot)."""
     keys = ["web_id", "uuid", "date", "hour"]
-    return salted_join(tags, retained_buckets(stats, limit).select(*keys), keys, "left_semi")
+    return tags.join(retained_buckets(stats, limit).select(*keys), keys, "left_semi")
 
 
 def rank_user_tags(

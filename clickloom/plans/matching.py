@@ -27,12 +27,11 @@ def trend_products(
 
     ``item_keywords`` is (web_id, product_id, keyword).
     """
-    every = F.lit("*").alias("web_id")
     known = vectors.select("word", "vector")
-    hot = reports.top_trends(trends, day, n=n).select(every, F.col("keyword").alias("word")).join(known, "word")
-    words = item_keywords.select(every, F.col("keyword").alias("word")).distinct().join(known, "word")
+    hot = reports.top_trends(trends, day, n=n).select(F.col("keyword").alias("word")).join(known, "word")
+    words = item_keywords.select(F.col("keyword").alias("word")).distinct().join(known, "word")
     # words are compared once for all tenants; the first product is then looked up per tenant
-    matches = similarity.trend_catalogue_match(words, hot, **thresholds).drop("web_id")
+    matches = similarity.trend_catalogue_match(words, hot, keys=(), **thresholds)
     carriers = item_keywords.select("web_id", F.col("keyword").alias("keyword_item")).distinct()
     named = matches.join(carriers, "keyword_item")
     return similarity.attach_first_product(named, item_keywords).withColumn("date", F.lit(day))

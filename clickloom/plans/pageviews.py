@@ -44,6 +44,8 @@ def pageview_hours(
         canonical_source(F.col("_raw"), F.col("web_id"), F.col("domain"), F.col("subdomain"), own_aliases).alias("source_domain"),
         F.coalesce("record_user.t_p", F.lit(0)).cast("long").alias("time_on_page"),
     )
+    # stored once: the session step reads the views twice and should not repeat the URL work
+    views = materialise(views, "signed-views")
     clock = local_time(F.col("ts")) if local else F.col("ts")
     return pageview_facts(session_metrics(views), clock)
 

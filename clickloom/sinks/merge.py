@@ -93,26 +93,35 @@ def read_or_none(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def merge_into(
-    new: DataFrame, root: str, keys: Sequence[str], columns: Sequence[str] | None = None, buckets: int = BUCKETS
+    new: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    by: Sequence[str] = (),
+    buckets: int = BUCKETS,
 ) -> None:
-    """Upsert ``new`` (one row per key) into a bucketed parquet table.
+    """Upsert ``new`` (one row per key) into a parquet table of partitions ``by`` and hash buckets.
 
-    Only buckets that ``new`` touches are read and rewritten. The merged rows are first written to
-    the shared scratch folder, so the table is never read while it is replaced and a failed
-    replacement can be run again; the same input twice gives the same table.
+    ``by`` names key columns with few values per batch (the day of a report); only partitions that
+    ``new`` touches are read and rewritten, so a daily batch leaves older days alone. The merged
+    rows are first written to the shared scratch folder: the table is never read while it is
+    replaced, a failed replacement can be run again, and the same input twice gives the same table.
     """
+    if not set(by) <= set(keys):
+        raise ValueError("partition columns have to be part of the key")
     spark = new.sparkSession
+    layout = [*by, "bucket"]
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     fresh = materialise(new.withColumn("bucket", bucket), "merge-input")
     old = read_or_none(spark, root)
-    if old is None:
-        merged = fresh
-    else:
-        # at most `buckets` small integers
-        touched = [row.bucket for row in fresh.select("bucket").distinct().collect()]
+    merged = fresh
+    if old is not None:
         old = old.select(*[F.col(f.name).cast(f.dataType) for f in fresh.schema.fields])
-        merged = materialise(upsert(old.where(F.col("bucket").isin(touched)), fresh, [*keys, "bucket"], columns), "merged")
-    overwrite_partitions(merged, root, ["bucket"])
+        # partition values only: the few days of a batch, at most `buckets` integers
+        for name in layout:
+            old = old.where(F.col(name).isin([row[0] for row in fresh.select(name).distinct().collect()]))
+        merged = materialise(upsert(old, fresh, [*keys, "bucket"], columns), "merged")
+    overwrite_partitions(merged, root, layout)
 
 
 def read_merged(spark: SparkSession, root: str) -> DataFrame:

@@ -15,16 +15,21 @@ Batch = Callable[[DataFrame, int], None]
 
 
 def upsert_sink(
-    root: str, keys: Sequence[str], columns: Sequence[str] | None = None, newest: Sequence[Column] | None = None
+    root: str,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    newest: Sequence[Column] | None = None,
+    by: Sequence[str] = (),
 ) -> Batch:
     """``foreachBatch`` function that merges each batch by key; replaying a batch changes nothing.
 
-    ``newest`` orders rows of one key inside a batch, the row to keep first.
+    ``newest`` orders rows of one key inside a batch, the row to keep first. ``by`` are the table's
+    partition columns.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if newest is None else keep_first(batch, list(keys), list(newest))
-        merge_into(rows, root, keys, columns)
+        merge_into(rows, root, keys, columns, by)
 
     return write
 

@@ -40,6 +40,18 @@ def test_replayed_batch_leaves_the_table_alone(spark, tmp_path):
     assert (5, 50) in once and (99, 1) in once and len(once) == 21
 
 
+def test_merge_rewrites_only_touched_days(spark, tmp_path):
+    root = tmp_path / "table"
+    kind = "day int, k long, v long"
+    merge.merge_into(spark.createDataFrame([(1, i, 0) for i in range(30)], kind), str(root), ["day", "k"], by=["day"])
+    stamps = {p: p.stat().st_mtime_ns for p in root.glob("day=1/*/*.parquet")}
+    merge.merge_into(spark.createDataFrame([(2, 7, 1)], kind), str(root), ["day", "k"], by=["day"])
+    merge.merge_into(spark.createDataFrame([(2, 7, 2), (2, 8, 3)], kind), str(root), ["day", "k"], by=["day"])
+    assert {p: p.stat().st_mtime_ns for p in root.glob("day=1/*/*.parquet")} == stamps
+    rows = {(r.day, r.k): r.v for r in merge.read_merged(spark, str(root)).collect()}
+    assert len(rows) == 32 and rows[(2, 7)] == 2 and rows[(2, 8)] == 3
+
+
 def test_edit_distance_is_unrestricted():
     assert edit_distance("ca", "abc") == 2
     assert edit_distance("", "abc") == 3
