@@ -12,14 +12,14 @@ from clickloom.catalog.forecasting import revenue
 from clickloom.catalog.registry import query, with_
 from clickloom.catalog.tables import (
     AD_DAYS, ARTICLES, BROWSE, DOCS, FACTS, KEY_SQL, ROWS_BASE, SESSIONS, ad_days, article_rows, articles, browse,
-    docs, event_key, facts, keyword_rows, table, word_vectors,
+    docs, event_key, facts, table, word_vectors,
 )
 from clickloom.catalog.texts import metric_rows
 from clickloom.functions import text as tx
 from clickloom.functions.dates import epoch_seconds
 from clickloom.operators import keywords
 from clickloom.plans import matching, pageviews, reporting, usertags
-from clickloom.session import scratch_path
+from clickloom.session import materialise, scratch_path
 from clickloom.sinks import merge
 
 DAY = dt.date(2024, 1, 10)
@@ -92,10 +92,13 @@ UNION ALL SELECT 'keyword_article', count(*), 0, 0.0 FROM (SELECT DISTINCT web_i
 def hot_report(spark, sf):
     """Size and totals of every table of the report; the google share stands in for the last snapshot."""
     named = articles(spark, sf).withColumn("keyword_list", F.split("keywords", ",")).drop("keywords")
-    google = F.sum(F.when(F.col("source") == "google", F.col("pageviews"))).alias("pageviews")
-    last_k = keyword_rows(spark, sf).groupBy("web_id", "date", "keyword").agg(google).dropna()
-    last_a = article_rows(spark, sf).groupBy("web_id", "date", "article_id").agg(google).dropna()
-    tables = pageviews.hot_report(facts(spark, sf), named, last_k, last_a)
+    stored = materialise(facts(spark, sf), "hourly-facts")
+    google = stored.where(F.col("source_domain") == "google search").groupBy("web_id", "date", "article_id")
+    last = google.agg(F.sum("pageviews").alias("pageviews")).join(named, ["web_id", "article_id"])
+    last_a = last.select("web_id", "date", "article_id", "pageviews")
+    spread = last.withColumn("keyword", F.explode("keyword_list"))
+    last_k = spread.groupBy("web_id", "date", "keyword").agg(F.sum("pageviews").alias("pageviews"))
+    tables = pageviews.hot_report(stored, named, last_k, last_a)
     zero = F.lit(0).cast("long")
     sizes = [
         df.agg(

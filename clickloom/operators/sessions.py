@@ -11,6 +11,7 @@ from clickloom.functions.dates import date_int, epoch_seconds
 
 VISITOR = ("web_id", "uuid")
 GAP_SECONDS = 1800
+HOT_ROWS = 1_000_000
 
 
 def session_metrics(
@@ -22,6 +23,7 @@ def session_metrics(
     time_on_page: str = "time_on_page",
     gap: int = GAP_SECONDS,
     slice_by: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Landings, exits, bounces, time on page and sticky first source for every view.
 
@@ -30,40 +32,25 @@ def session_metrics(
     over a supplied time, and does not start a new landing. Later views take the first view's
     source unless that is ``'None'``.
 
-    A visitor is cut into time slices (hours by default), so a bot with a third of all rows is many
-    tasks. Neighbouring slices meet through one summary row per (visitor, slice).
+    Visitors with more than ``hot_rows`` views (bots) are cut into time slices, so that one of them
+    is many tasks; all others take one window. ``slice_by`` slices everyone instead.
     """
     keys = list(keys)
-    part = [*keys, "_slice"]
-    slice_by = F.date_trunc("HOUR", F.col(ts)) if slice_by is None else slice_by
-    order = F.struct(F.col(ts), F.col(tie))
-    sliced = views.withColumn("_sec", epoch_seconds(F.col(ts))).withColumn("_slice", slice_by)
-
-    heads = sliced.groupBy(*part).agg(
-        F.min("_sec").alias("_head"), F.min_by(source, order).alias("_source")
-    )
-    per_visitor = Window.partitionBy(*keys).orderBy("_slice")
-    whole = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    edges = heads.select(
-        *part,
-        F.lead("_head").over(per_visitor).alias("_next_head"),
-        F.lag("_head").over(per_visitor).isNull().alias("_first_slice"),
-        F.first("_source").over(whole).alias("_first_source"),
-    )
-
-    inside = Window.partitionBy(*part).orderBy(ts, tie)
-    seen = sliced.withColumns(
-        {"_lead": F.lead("_sec").over(inside), "_number": F.row_number().over(inside)}
-    ).join(edges, part)
-
-    step = F.coalesce("_lead", "_next_head") - F.col("_sec")
-    first = F.col("_first_slice") & (F.col("_number") == 1)
-    last = step.isNull()
+    timed = views.withColumn("_sec", epoch_seconds(F.col(ts)))
+    if slice_by is not None:
+        placed = _in_slices(timed, keys, ts, tie, source, slice_by)
+    else:
+        # at most rows / hot_rows entries, so the list is small enough to broadcast at any scale
+        hot = F.broadcast(views.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys))
+        placed = _in_one_window(timed.join(hot, keys, "left_anti"), keys, ts, tie, source).unionByName(
+            _in_slices(timed.join(hot, keys, "left_semi"), keys, ts, tie, source, F.date_trunc("MINUTE", F.col(ts)))
+        )
+
+    step = F.col("_next_sec") - F.col("_sec")
+    first, last = F.col("_first"), step.isNull()
     long_gap = F.coalesce(step > gap, F.lit(False))
     own_time = F.col(time_on_page).cast("long")
-    result = seen.withColumns(
+    result = placed.withColumns(
         {
             "landings": first.cast("long"),
             "exits": last.cast("long"),
@@ -74,8 +61,47 @@ def session_metrics(
             source: F.when(F.col("_first_source") == "None", F.col(source)).otherwise(F.col("_first_source")),
         }
     )
-    helpers = ("_sec", "_slice", "_lead", "_number", "_next_head", "_first_slice", "_first_source")
-    return result.drop(*helpers)
+    return result.drop("_sec", "_next_sec", "_first", "_first_source")
+
+
+def _in_one_window(timed: DataFrame, keys: list[str], ts: str, tie: str, source: str) -> DataFrame:
+    """Next second, first flag and first source of each view, one window per visitor."""
+    line = Window.partitionBy(*keys).orderBy(ts, tie)
+    return timed.withColumns(
+        {
+            "_next_sec": F.lead("_sec").over(line),
+            "_first": F.row_number().over(line) == 1,
+            "_first_source": F.first(source).over(line.rowsBetween(Window.unboundedPreceding, 0)),
+        }
+    )
+
+
+def _in_slices(timed: DataFrame, keys: list[str], ts: str, tie: str, source: str, slice_by: Column) -> DataFrame:
+    """The same three columns from windows inside (visitor, slice).
+
+    Neighbouring slices meet through one summary row per (visitor, slice).
+    """
+    part = [*keys, "_slice"]
+    sliced = timed.withColumn("_slice", slice_by)
+    heads = sliced.groupBy(*part).agg(
+        F.min("_sec").alias("_head"), F.min_by(source, F.struct(ts, tie)).alias("_source")
+    )
+    line = Window.partitionBy(*keys).orderBy("_slice")
+    edges = heads.select(
+        *part,
+        F.lead("_head").over(line).alias("_next_head"),
+        F.lag("_head").over(line).isNull().alias("_first_slice"),
+        F.first("_source").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias("_first_source"),
+    )
+    inside = Window.partitionBy(*part).orderBy(ts, tie)
+    numbered = sliced.withColumns({"_lead": F.lead("_sec").over(inside), "_number": F.row_number().over(inside)})
+    joined = numbered.join(edges, part).withColumns(
+        {
+            "_next_sec": F.coalesce("_lead", "_next_head"),
+            "_first": F.col("_first_slice") & (F.col("_number") == 1),
+        }
+    )
+    return joined.drop("_slice", "_lead", "_number", "_next_head", "_first_slice")
 
 
 def pageview_facts(
