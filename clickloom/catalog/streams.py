@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom.catalog.registry import query, with_
 from clickloom.catalog.tables import BROWSE, FACTS_BASE, SESSIONS, TAGS, browse, facts, table, tags
-from clickloom.functions.dates import epoch_seconds
+from clickloom.functions.dates import epoch_seconds, utc_clock, utc_instant
 from clickloom.session import scratch_path
 from clickloom.sinks import merge
 from clickloom.streaming import sinks, state, windows
@@ -33,12 +33,12 @@ def in_three_parts(df, order, batch, checkpoint):
 
 
 def event_stream(spark, sf):
-    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    events = table(spark, sf, "events").select("event_id", utc_instant(F.col("ts")).alias("ts"), "user_id", "event_type")
     return as_stream(events)
 
 
 def shown(df):
-    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm") for c in ("start", "end")})
+    return df.withColumns({c: F.date_format(utc_clock(F.col(c)), "yyyy-MM-dd HH:mm") for c in ("start", "end")})
 
 
 @query(
@@ -80,7 +80,7 @@ def session_stream(spark, sf):
 )
 def session_windows(spark, sf):
     """Appended once the watermark closes a session; one far later row closes the last ones."""
-    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    events = table(spark, sf, "events").select("event_id", utc_instant(F.col("ts")).alias("ts"), "user_id")
     flush = events.agg(
         F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("interval 400 days")).alias("ts"),
         F.lit(-1).cast("long").alias("user_id"),
@@ -93,7 +93,7 @@ def session_windows(spark, sf):
     flush.select(*events.columns).write.mode("append").parquet(path)
     sinks.append_to_files(windows.sessions(stream, ["user_id"]), root, spot)
     done = spark.read.parquet(root)
-    return done.select("user_id", F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "views")
+    return done.select("user_id", F.date_format(utc_clock(F.col("start")), "yyyy-MM-dd HH:mm").alias("start"), "views")
 
 
 @query(
@@ -169,7 +169,7 @@ def hour_delta_stream(spark, sf):
 @query("Z10_late_rows", "SELECT CAST(count(*) AS BIGINT) AS late FROM events WHERE event_type = 'error'")
 def late_rows(spark, sf):
     """Error events arrive again, two months late, after everything else has moved the watermark."""
-    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    events = table(spark, sf, "events").select("event_id", utc_instant(F.col("ts")).alias("ts"), "user_id", "event_type")
     path, spot = scratch_path(spark, "stream-input"), scratch_path(spark, "late-checkpoint")
     root = scratch_path(spark, "late-table")
     events.write.parquet(path)

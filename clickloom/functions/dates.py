@@ -82,6 +82,16 @@ def from_epoch_seconds(c: Column) -> Column:
     return F.timestamp_add("SECOND", c, F.expr(EPOCH))
 
 
+def utc_instant(ts: Column) -> Column:
+    """Wall-clock UTC time to an instant (what stream watermarks and windows need)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(EPOCH), ts))
+
+
+def utc_clock(instant: Column) -> Column:
+    """Instant to wall-clock UTC time, cut to the second."""
+    return from_epoch_seconds(F.unix_seconds(instant))
+
+
 def from_epoch_millis(c: Column) -> Column:
     """Epoch milliseconds to wall-clock time, cut to the second."""
     return from_epoch_seconds(F.floor(c / 1000).cast("long"))
