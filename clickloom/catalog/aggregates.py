@@ -498,3 +498,17 @@ def console_report(spark, sf):
     )
     report = reports.console_report(rows, CONSOLE_SETS)
     return report.withColumn("position", F.round("position", 6))
+
+
+@query(
+    "UD1_split_article_ids",
+    with_(
+        *FACTS_BASE,
+        select=f"""SELECT web_id, date, article_id, source_domain, {MEASURE_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY web_id, date
+  ORDER BY pageviews DESC, article_id || '&h=' || hour, source_domain) AS rk FROM facts) WHERE rk <= 5000 GROUP BY 1, 2, 3, 4""",
+    ),
+)
+def split_article_ids(spark, sf):
+    """Article ids that carry an ``&`` suffix per hour meet again after the cut."""
+    suffixed = F.concat(F.col("article_id"), F.lit("&h="), F.col("hour").cast("string"))
+    return rollups.hot_pageviews(facts(spark, sf).withColumn("article_id", suffixed), split_ids=True)

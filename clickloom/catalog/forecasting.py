@@ -105,26 +105,31 @@ def power_spectrum(spark, sf):
     return rows.select("title", "k", F.round("freq", 6).alias("freq"), F.round(F.sqrt("psd"), 2).alias("root_psd"))
 
 
-@query(
-    "X14_revenue_forecast",
-    with_(
+def outlook_sql(rows, items):
+    """Sixty-day forecast per tenant and title from the ``rows`` of the ads, with the ids of ``items``."""
+    return with_(
         AD_DAYS,
-        """daily AS (SELECT p.web_id || '|' || p.title AS title, date, sum(cents // 100) AS v FROM ad_days p
-  WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-03-01' GROUP BY 1, 2),
+        f"""daily AS (SELECT web_id || '|' || title AS title, date, sum(cents // 100) AS v FROM ad_days
+  WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-03-01' AND {rows} GROUP BY 1, 2),
 padded AS (SELECT t.title, c.t, CAST(COALESCE(d.v, 0) AS DOUBLE) AS v FROM (SELECT DISTINCT title FROM daily) t
   CROSS JOIN (SELECT CAST(unnest(range(1, 61)) AS INTEGER) AS t) c
   LEFT JOIN daily d ON d.title = t.title AND d.date = DATE '1998-01-01' + (c.t - 1))""",
         _dft(60), _restored(60, 54, 67),
         "sides AS (SELECT title, avg(CASE WHEN d <= 60 THEN y END) AS l7, avg(CASE WHEN d > 60 THEN y END) AS f7 FROM restored GROUP BY 1)",
-        "items AS (SELECT p_name AS title, min(CAST(p_partkey AS VARCHAR)) AS product_id FROM part WHERE p_size > 45 GROUP BY 1)",
+        f"items AS (SELECT p_name AS title, min(CAST(p_partkey AS VARCHAR)) AS product_id FROM part WHERE {items} GROUP BY 1)",
         select="""SELECT split_part(s.title, '|', 1) AS web_id, split_part(s.title, '|', 2) AS title, product_id, round(l7, 3) AS revenue_l7,
   round(f7, 3) AS revenue_f7, '1998-03-01' AS date FROM sides s JOIN items i ON i.title = split_part(s.title, '|', 2)""",
-    ),
-)
+    )
+
+
+@query("X14_revenue_forecast", outlook_sql("TRUE", "p_size > 45"))
 def revenue_forecast(spark, sf):
     items = table(spark, sf, "part").where(F.col("p_size") > 45)
     items = items.select(F.col("p_name").alias("title"), F.col("p_partkey").cast("string").alias("product_id"))
-    rows = forecast.revenue_forecast(revenue(spark, sf).drop("product_id"), items, START, dt.date(1998, 3, 1))
+    return outlook_columns(forecast.revenue_forecast(revenue(spark, sf).drop("product_id"), items, START, dt.date(1998, 3, 1)))
+
+
+def outlook_columns(rows):
     return rows.select(
         "web_id", "title", "product_id", F.round("revenue_l7", 3).alias("revenue_l7"), F.round("revenue_f7", 3).alias("revenue_f7"),
         F.date_format("date", "yyyy-MM-dd").alias("date"),

@@ -7,14 +7,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from clickloom.catalog import functions as fx
-from clickloom.catalog.aggregates import SOURCES_SQL, TREND_ROWS, doc_terms, dated, trend_rows
-from clickloom.catalog.forecasting import revenue
+from clickloom.catalog.aggregates import SOURCES_SQL, TOKENS, TREND_ROWS, doc_terms, dated, trend_rows
+from clickloom.catalog.forecasting import outlook_columns, outlook_sql
 from clickloom.catalog.registry import query, with_
 from clickloom.catalog.tables import (
     AD_DAYS, ARTICLES, BROWSE, DOCS, FACTS, KEY_SQL, ROWS_BASE, SESSIONS, ad_days, article_rows, articles, browse,
     docs, event_key, facts, table, word_vectors,
 )
-from clickloom.catalog.texts import metric_rows
+from clickloom.catalog.texts import IDF, SCORED, metric_rows
 from clickloom.functions import text as tx
 from clickloom.functions.dates import epoch_seconds
 from clickloom.operators import keywords
@@ -356,13 +356,11 @@ def daily_ads(spark, sf):
     return reporting.daily_ads(ad_days(spark, sf), items, dt.date(1998, 3, 5), "cents").select("web_id", "title", "product_id", "cents")
 
 
-@query("E12_revenue_outlook")
+@query("E12_revenue_outlook", outlook_sql("cents // 100 > 0 AND url <> '_'", "TRUE"))
 def revenue_outlook(spark, sf):
     items = table(spark, sf, "part").select(F.col("p_name").alias("title"), F.col("p_partkey").cast("string").alias("product_id"))
-    ads = revenue(spark, sf).withColumns(
-        {"url": F.col("title"), "transaction": F.lit(1).cast("long"), "click": F.lit(1).cast("long")}
-    )
-    return reporting.revenue_outlook(ads, items, dt.date(1998, 1, 1), dt.date(1998, 3, 1)).drop("date")
+    ads = ad_days(spark, sf).withColumn("revenue", F.floor(F.col("cents") / 100))
+    return outlook_columns(reporting.revenue_outlook(ads, items, dt.date(1998, 1, 1), dt.date(1998, 3, 1)))
 
 
 @query(
@@ -469,7 +467,18 @@ def corpus_idf(spark, sf):
     return idf.withColumn("idf", F.round("idf", 6) + 0.0)
 
 
-@query("E16_label_set")
+@query(
+    "E16_label_set",
+    with_(
+        TOKENS, IDF, SCORED,
+        """top AS (SELECT d.source AS web_id, r.id, r.term FROM ranked r JOIN documents d ON d.doc_id = r.id WHERE rk <= 10),
+firsts AS (SELECT web_id, term, min(id) AS id FROM top GROUP BY 1, 2),
+fresh AS (SELECT web_id, id, count(*) AS n FROM firsts GROUP BY 1, 2),
+every AS (SELECT t.web_id, t.id, COALESCE(n, 0) AS n FROM (SELECT DISTINCT web_id, id FROM top) t LEFT JOIN fresh f ON f.web_id = t.web_id AND f.id = t.id),
+run AS (SELECT *, sum(n) OVER (PARTITION BY web_id ORDER BY id) - n AS before FROM every)""",
+        select="SELECT DISTINCT t.web_id, t.term FROM top t JOIN run r ON r.web_id = t.web_id AND r.id = t.id WHERE before <= 200",
+    ),
+)
 def label_set(spark, sf):
     terms = doc_terms(spark, sf)
     ranked = keywords.tfidf_keywords(terms, keywords.train_idf(terms), 10)

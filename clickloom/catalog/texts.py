@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clickloom.catalog.aggregates import TOKENS, doc_terms
 from clickloom.catalog.functions import PAGES_SQL, tenant_pages, url_rules
 from clickloom.catalog.joins import similar_items
-from clickloom.catalog.registry import query, with_
+from clickloom.catalog.registry import ORACLES, query, with_
 from clickloom.catalog.tables import DOCS, docs, table, texts
 from clickloom.functions import text as tx
 from clickloom.functions import urls
@@ -288,3 +288,21 @@ SELECT keyword_ask, max(t) AS monthly_traffic FROM h WHERE d < DATE '2000-10-15'
 )
 def refresh_due(spark, sf):
     return reports.refresh_due(metric_rows(spark, sf), dt.date(2001, 1, 15), 50)
+
+
+def _language_sql():
+    parts = [ORACLES[n] for n in ("X3b_frequent_phrases", "X3b_frequent_words", "X3b_distinct_terms")]
+    return " UNION ALL ".join(f"SELECT id, term FROM ({sql})" for sql in parts)
+
+
+@query("UD3_language_extractors", _language_sql())
+def language_extractors(spark, sf):
+    """The extractor registry with the languages of the given documents."""
+    table_of = {
+        "en": keywords.frequent_phrases, "de": keywords.frequent_words, "es": keywords.frequent_words,
+        "fr": keywords.distinct_terms,
+    }
+    rows = texts(spark, sf).select(F.col("doc_id").alias("id"), "text", "lang")
+    return keywords.keywords_by_language(
+        rows, "id", tx.latin_tokens(F.col("text")), stop_rows(spark, sf), extractors=table_of
+    )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,8 @@ from clickloom.operators.ranking import top_k
 
 NOT_FOUND = "xxx找不到xxx"
 
+Extractor = Callable[[DataFrame, str, Column, DataFrame | None], DataFrame]
+
 
 def explode_tokens(df: DataFrame, key: str, tokens: Column, stopwords: DataFrame | None = None, min_chars: int = 2) -> DataFrame:
     """(key, term, freq): term counts per document after short words and stopwords.
@@ -170,6 +173,27 @@ def distinct_terms(df: DataFrame, key: str, tokens: Column, stopwords: DataFrame
     return counted.select(key, "term")
 
 
+# extractor per language code; a caller adds or replaces entries to plug in its own
+EXTRACTORS: dict[str, Extractor] = {
+    "en": frequent_phrases,
+    "id": frequent_words,
+    "vi": distinct_terms,
+    "th": distinct_terms,
+}
+
+
+def keywords_by_language(
+    df: DataFrame, key: str, tokens: Column, stopwords: DataFrame | None = None, lang: str = "lang",
+    extractors: Mapping[str, Extractor] = EXTRACTORS,
+) -> DataFrame:
+    """(key, term) of every document by the extractor of its language; other languages give no rows."""
+    parts = [
+        extract(df.where(F.col(lang) == code), key, tokens, stopwords).select(key, "term")
+        for code, extract in extractors.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def flexible_keywords(df: DataFrame, key: str, text: Column, extracted: DataFrame, limit: float = 0.8) -> DataFrame:
     """Short comma pieces as they are when most are short, else extracted keywords, else a placeholder."""
     pieces = tx.short_pieces(text)
