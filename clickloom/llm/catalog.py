@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe
+from clickloom.llm import ann, bpe, ngram_join, packing, secrets, tokens, url_filter, warc, winnow
 from clickloom.llm.common import keyed, read, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,108 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("data", 256).alias("decoded_sha256"),
     )
+
+
+@query("op7_sum_of_squares_packing")
+def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(read(spark, sf_dir, "documents"))
+
+
+def packed_documents(docs: DataFrame, capacity: int = 4096) -> DataFrame:
+    """Where every piece of every document goes: ids by the word vocabulary, then the end mark 1."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = keyed(docs, "doc_id").select("doc_id", tokens.token_ids(whole_text(), path).alias("ids"))
+    ids = F.concat("ids", F.lit((1).to_bytes(4, "little")))
+    pieces = packing.cut(docs, ids, capacity, "doc_id")
+    lengths = pieces.select("doc_id", "piece", "start", "length", F.crc32("piece_ids").alias("ids_crc32"))
+    return packing.pack(lengths, capacity)
+
+
+def count_of(kind: str) -> F.Column:
+    return F.size(F.filter("found", lambda s: s.kind == kind)).cast("long")
+
+
+def span_list(spans: F.Column) -> F.Column:
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))))
+
+
+@query("op9_secret_spans")
+def op9_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = keyed(read(spark, sf_dir, "documents"), "doc_id")
+    found = docs.select("doc_id", secrets.secret_spans(F.col("text")).alias("found"))
+    base = F.filter("found", lambda s: s.kind.isin(*secrets.BASE))
+    counts = [count_of(kind).alias(f"n_{kind}") for kind in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("found")).alias("spans"))
+
+
+URL_RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+)
+
+# no page of the given tables holds a canonical link or a refresh; tests/llm hold the aliases against brute force
+URL_SQL = """
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages WHERE page_id IS NOT NULL),
+h AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+rules(action, rule, rhost, rpath) AS (VALUES
+  ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'),
+  ('allow', 'www.example.com/en/', 'www.example.com', '/en/'), ('block', 'net/es/', 'net', '/es/'), ('block', 'net/fr/', 'net', '/fr/')),
+f AS (
+  SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(action, length(rule)) AS action
+  FROM h JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id)
+SELECT h.page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM h LEFT JOIN f USING (page_id)"""
+
+
+@query("op5_url_aliases", URL_SQL)
+def op5_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = keyed(read(spark, sf_dir, "pages"), "page_id").select("page_id", "url", "html")
+    return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages WHERE page_id IS NOT NULL),
+d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN first END AS refers_to FROM m"""
+
+
+@query("op8_warc_round_trip", WARC_SQL)
+def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(read(spark, sf_dir, "pages"))
+    records = warc.read_archives(archives, with_payload=False).where("record_type in ('response', 'revisit')")
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of(F.col("refers_to_id")).alias("refers_to"),
+    )
+
+
+@query("op10_winnowing")
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = winnow.edited_pairs(read(spark, sf_dir, "documents"))
+    rows = winnow.with_fingerprint(pairs, "edited", "edited_entries").select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "entries", "edited_entries",
+        *(winnow.hashes(F.col(c)).alias(f"_{c}") for c in ("entries", "edited_entries", "next_entries")),
+    )
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256",
+        winnow.readable(F.col("entries")).alias("fingerprint"),
+        winnow.readable(F.col("edited_entries")).alias("edited_fingerprint"),
+        winnow.likeness(F.col("_entries"), F.col("_edited_entries")).alias("near_edited"),
+        winnow.likeness(F.col("_entries"), F.col("_next_entries")).alias("near_next"),
+    )
+
+
+@query("op2_kmeans_tree_neighbours")
+def op2_kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("op6_shingle_jaccard_join")
+def op6_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(read(spark, sf_dir, "documents"))
