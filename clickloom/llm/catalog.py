@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, bpe, ngram_join, packing, secrets, tokens, url_filter, warc, winnow
+from clickloom.llm import ann, bpe, ngram_join, packing, quality, secrets, token_output, tokens, url_filter, warc, winnow
 from clickloom.llm.common import keyed, read, whole_text
+from clickloom.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,16 +46,36 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(read(spark, sf_dir, "documents"))
 
 
-def packed_documents(docs: DataFrame, capacity: int = 4096) -> DataFrame:
-    """Where every piece of every document goes: ids by the word vocabulary, then the end mark 1."""
+def end_marked_ids(docs: DataFrame) -> DataFrame:
+    """(doc_id, ids): ids of the word vocabulary, then the end mark 1."""
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = keyed(docs, "doc_id").select("doc_id", tokens.token_ids(whole_text(), path).alias("ids"))
-    ids = F.concat("ids", F.lit((1).to_bytes(4, "little")))
-    pieces = packing.cut(docs, ids, capacity, "doc_id")
+    return docs.select("doc_id", F.concat("ids", F.lit((1).to_bytes(4, "little"))).alias("ids"))
+
+
+def packed_documents(docs: DataFrame, capacity: int = 4096) -> DataFrame:
+    """Where every piece of every document goes."""
+    pieces = packing.cut(end_marked_ids(docs), F.col("ids"), capacity, "doc_id")
     lengths = pieces.select("doc_id", "piece", "start", "length", F.crc32("piece_ids").alias("ids_crc32"))
     return packing.pack(lengths, capacity)
 
 
+@query("op4_packed_token_rows")
+def op4_packed_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = materialise(token_output.pack_rows(end_marked_ids(read(spark, sf_dir, "documents"))), "token-rows")
+    return token_output.segments(rows).select(
+        "doc_id", "piece", "start", "length", F.crc32("segment_ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
+@query("op3_byte_convolution_quality")
+def op3_byte_convolution_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = keyed(read(spark, sf_dir, "documents"), "doc_id").select("doc_id", "text")
+    model = quality.trained(docs, read(spark, sf_dir, "labels"))
+    rated = docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), quality.score(F.col("text"), model).alias("score"))
+    return rated.withColumn("predicted", (F.col("score") >= quality.KEEP).cast("int"))
+
+
 def count_of(kind: str) -> F.Column:
     return F.size(F.filter("found", lambda s: s.kind == kind)).cast("long")
 
