@@ -193,7 +193,9 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
 def trained(docs: DataFrame, labels: DataFrame) -> Network | float:
     """The network, or a constant score if the labels are of one kind."""
     rows = training_rows(docs, labels)
-    share = float(rows["quality"].mean()) if len(rows) else 0.5
+    if rows.empty:
+        return 0.5
+    share = float(rows["quality"].mean())
     return fit(rows["text"].tolist(), rows["quality"].to_numpy()) if 0 < share < 1 else share
 
 
