@@ -76,9 +76,16 @@ def blacklist_flag(spark, sf):
     return joins.flag_blacklist(counts, _black(spark, sf), ["web_id", "usertag"]).select("web_id", "usertag", "enable")
 
 
-@query("A3_hot_pageviews", with_(*ROWS_BASE[:5], select="SELECT * FROM hot"))
+@query(
+    "A3_hot_pageviews",
+    with_(
+        *ROWS_BASE[:5],
+        select="""SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY web_id, date
+  ORDER BY pageviews DESC, article_id, source_domain) AS rk FROM days) WHERE rk <= 20""",
+    ),
+)
 def hot_pageviews(spark, sf):
-    return rollups.hot_pageviews(facts(spark, sf))
+    return rollups.hot_pageviews(facts(spark, sf), 20)
 
 
 @query("A4_pageview_facts", with_(*FACTS_BASE, select="SELECT * FROM facts"))
@@ -219,9 +226,9 @@ win AS (SELECT types, a.* FROM arows_d a JOIN wins ON d >= DATE '2024-01-31' - C
         *ROWS_BASE,
         """wins(types, days) AS (VALUES ('yesterday', 1), ('week', 7), ('month', 30)),
 pairs AS (SELECT DISTINCT web_id, keyword, article_id, strptime(CAST(date AS VARCHAR), '%Y%m%d')::DATE AS d FROM krows)""",
-        select="""SELECT types, web_id, keyword, CAST(0 AS BIGINT) AS part, count(*) AS article_count,
-  string_agg(article_id, ', ' ORDER BY article_id) AS article_ids FROM pairs
-  JOIN wins ON d >= DATE '2024-01-31' - CAST(days AS INTEGER) AND d <= DATE '2024-01-31' GROUP BY types, web_id, keyword""",
+        select="""SELECT types, web_id, keyword, article_id, count(*) AS days,
+  CAST(sum(count(*)) OVER (PARTITION BY types, web_id, keyword) AS BIGINT) AS article_count FROM pairs
+  JOIN wins ON d >= DATE '2024-01-31' - CAST(days AS INTEGER) AND d <= DATE '2024-01-31' GROUP BY types, web_id, keyword, article_id""",
     ),
 )
 def keyword_articles(spark, sf):
@@ -504,11 +511,10 @@ def console_report(spark, sf):
     "UD1_split_article_ids",
     with_(
         *FACTS_BASE,
-        select=f"""SELECT web_id, date, article_id, source_domain, {MEASURE_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY web_id, date
-  ORDER BY pageviews DESC, article_id || '&h=' || hour, source_domain) AS rk FROM facts) WHERE rk <= 5000 GROUP BY 1, 2, 3, 4""",
+        select=f"SELECT web_id, date, article_id, source_domain, {MEASURE_SQL} FROM facts GROUP BY 1, 2, 3, 4",
     ),
 )
 def split_article_ids(spark, sf):
-    """Article ids that carry an ``&`` suffix per hour meet again after the cut."""
+    """Article ids that carry an ``&`` suffix per hour meet again when they are cut."""
     suffixed = F.concat(F.col("article_id"), F.lit("&h="), F.col("hour").cast("string"))
-    return rollups.hot_pageviews(facts(spark, sf).withColumn("article_id", suffixed), split_ids=True)
+    return rollups.day_pageviews(facts(spark, sf).withColumn("article_id", suffixed), split_ids=True)

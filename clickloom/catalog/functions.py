@@ -296,6 +296,8 @@ def traffic_source(spark, sf):
     return visits(spark, sf).select("event_id", source.alias("source"))
 
 
+# example hosts that a publisher counts as its own
+OWN_HOSTS = {"app_hosts": ("app.shops.example",), "blog_networks": ("blogs",)}
 KNOWN_SQL = ", ".join(f"'{k}'" for k in urls.KNOWN_SOURCES)
 
 
@@ -306,8 +308,8 @@ KNOWN_SQL = ", ".join(f"'{k}'" for k in urls.KNOWN_SOURCES)
         """joined AS (SELECT s.*, 'shop' || (user_id % 9) AS web_id, CASE WHEN user_id % 9 < 7 THEN 'https://www.t.' || (user_id % 9) || '.co/x' END AS domain
   FROM sourced s)""",
         select=f"""SELECT event_id, CASE WHEN domain IS NULL THEN 'other'
-  WHEN regexp_matches(lower(domain), '\\W' || replace(lower(source), '.', '\\.')) OR contains('appservice.91app.com', lower(source)) THEN web_id
-  WHEN lower(source) IN ({KNOWN_SQL}) THEN lower(source) WHEN contains(lower(source), 'pixnet') THEN web_id ELSE 'other' END AS source FROM joined""",
+  WHEN regexp_matches(lower(domain), '\\W' || replace(lower(source), '.', '\\.')) OR contains('app.shops.example', lower(source)) THEN web_id
+  WHEN lower(source) IN ({KNOWN_SQL}) THEN lower(source) WHEN contains(lower(source), 'blogs') THEN web_id ELSE 'other' END AS source FROM joined""",
     ),
 )
 def canonical_source(spark, sf):
@@ -315,7 +317,7 @@ def canonical_source(spark, sf):
     shop = (F.col("user_id") % 9).cast("string")
     domain = F.when(F.col("user_id") % 9 < 7, F.concat(F.lit("https://www.t."), shop, F.lit(".co/x")))
     rows = visits(spark, sf).select("event_id", raw.alias("raw"), F.concat(F.lit("shop"), shop).alias("web_id"), domain.alias("domain"))
-    return rows.select("event_id", urls.canonical_source(F.col("raw"), F.col("web_id"), F.col("domain")).alias("source"))
+    return rows.select("event_id", urls.canonical_source(F.col("raw"), F.col("web_id"), F.col("domain"), **OWN_HOSTS).alias("source"))
 
 
 @query("F21_utm_source", with_(VISITS_SQL, select=f"SELECT event_id, COALESCE({_utm_sql('cur')}, '_') AS utm FROM visits"))

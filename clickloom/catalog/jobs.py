@@ -51,8 +51,8 @@ def tracker(spark, sf):
 E1_BROWSE = f"""browse AS (SELECT event_id, date_trunc('second', e.ts) AS ts, 'shop' || (s.user_id % 9) AS web_id, CAST(s.user_id AS VARCHAR) AS uuid,
   'shop' || (s.user_id % 9) || '_' || regexp_extract(cur, '/p/([0-9]{{1,2}})', 1) AS article_id,
   CASE WHEN s.user_id % 9 >= 7 THEN 'other'
-    WHEN regexp_matches(lower('https://www.t.' || (s.user_id % 9) || '.co/x'), '\\W' || replace(lower(source), '.', '\\.')) OR contains('appservice.91app.com', lower(source)) THEN 'shop' || (s.user_id % 9)
-    WHEN lower(source) IN ({fx.KNOWN_SQL}) THEN lower(source) WHEN contains(lower(source), 'pixnet') THEN 'shop' || (s.user_id % 9) ELSE 'other' END AS source_domain,
+    WHEN regexp_matches(lower('https://www.t.' || (s.user_id % 9) || '.co/x'), '\\W' || replace(lower(source), '.', '\\.')) OR contains('app.shops.example', lower(source)) THEN 'shop' || (s.user_id % 9)
+    WHEN lower(source) IN ({fx.KNOWN_SQL}) THEN lower(source) WHEN contains(lower(source), 'blogs') THEN 'shop' || (s.user_id % 9) ELSE 'other' END AS source_domain,
   CASE WHEN value >= 20 THEN CAST(floor(value) AS BIGINT) ELSE 0 END AS time_on_page
   FROM sourced s JOIN events e USING (event_id) WHERE e.event_type <> 'error')"""
 
@@ -68,7 +68,7 @@ def pageview_hours(spark, sf):
     rules = tenants.select("web_id", F.lit("/p/([0-9]{1,2})").alias("pattern"), F.lit(1).alias("group"))
     address = F.when(F.col("n") < 7, F.concat(F.lit("https://www.t."), F.col("n").cast("string"), F.lit(".co/x")))
     domains = tenants.select("web_id", address.alias("domain"), address.alias("subdomain"))
-    return pageviews.pageview_hours(tracker(spark, sf), tenants, rules, domains)
+    return pageviews.pageview_hours(tracker(spark, sf), tenants, rules, domains, **fx.OWN_HOSTS)
 
 
 # --- E2 --------------------------------------------------------------------------------------------
@@ -207,7 +207,7 @@ def member_tags(spark, sf):
         BROWSE, ARTICLES,
         """st AS (SELECT DISTINCT web_id, uuid, article_id, CAST(ts AS DATE) AS date, CAST(hour(ts) // 2 * 2 AS INTEGER) AS hour FROM browse),
 k AS (SELECT s.*, unnest(string_split(a.keywords, ',')) AS usertag FROM st s JOIN articles a USING (web_id, article_id)),
-tags AS (SELECT web_id, uuid, usertag, date, hour, min(article_id) AS article_id FROM k WHERE length(usertag) <= 64 GROUP BY 1, 2, 3, 4, 5),
+tags AS (SELECT web_id, uuid, usertag, date, hour, min(article_id) AS article_id FROM k GROUP BY 1, 2, 3, 4, 5),
 stats AS (SELECT web_id, uuid, date, hour, count(*) AS num_usertag FROM tags GROUP BY 1, 2, 3, 4),
 kept AS (SELECT * FROM (SELECT *, COALESCE(sum(num_usertag) OVER (PARTITION BY web_id, uuid ORDER BY date DESC, hour DESC
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM stats) WHERE before < 10)""",
@@ -243,7 +243,7 @@ def supplier_keywords(spark, sf):
 @query(
     "E8_related_keywords",
     """WITH f AS (SELECT l_returnflag AS web_id, 'word' || l_suppkey AS word, l_suppkey AS vec_id, sum(CAST(l_quantity AS BIGINT)) AS pv FROM lineitem GROUP BY 1, 2, 3),
-hot AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY web_id ORDER BY pv DESC, word) AS rk FROM f WHERE pv > 10) WHERE rk <= 60),
+hot AS (SELECT * FROM f WHERE pv > 10),
 w AS (SELECT web_id, word, CAST(embedding AS DOUBLE[]) AS v FROM hot JOIN embeddings USING (vec_id)),
 s AS (SELECT a.web_id, a.word AS keyword, b.word AS keyword_related,
   2 * list_cosine_similarity(a.v, b.v) - damerau_levenshtein(a.word, b.word) / CAST(length(a.word) AS DOUBLE) AS score FROM w a JOIN w b USING (web_id))
@@ -251,14 +251,14 @@ SELECT web_id, keyword, keyword_related, round(score, 6) AS score FROM (SELECT *
   ORDER BY round(score, 9) DESC, keyword_related) AS rk FROM s WHERE score > 0.09) WHERE rk <= 10""",
 )
 def related_keywords(spark, sf):
-    rows = matching.related_keywords(supplier_keywords(spark, sf), word_vectors(spark, sf), n=60)
+    rows = matching.related_keywords(supplier_keywords(spark, sf), word_vectors(spark, sf))
     return rows.withColumn("score", F.round("score", 6))
 
 
 @query(
     "E9_trend_products",
     f"""WITH {TREND_ROWS.replace("'kw'", "'word'")}, hot AS (SELECT keyword FROM (SELECT keyword, sum(traffic) AS t FROM trends
-  WHERE date BETWEEN DATE '2024-01-09' AND DATE '2024-01-10' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30)),
+  WHERE date BETWEEN DATE '2024-01-09' AND DATE '2024-01-10' GROUP BY 1)),
 vecs AS (SELECT 'word' || vec_id AS word, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 items AS (SELECT l_returnflag AS web_id, 'word' || l_suppkey AS word, min(l_partkey) AS product_id FROM lineitem GROUP BY 1, 2),
 p AS (SELECT h.keyword AS keyword_trend, i.word AS keyword_item, list_cosine_similarity(hv.v, iv.v) AS cs,
@@ -273,7 +273,7 @@ def trend_products(spark, sf):
         F.concat(F.lit("word"), F.col("l_suppkey").cast("string")).alias("keyword"),
     )
     trends = trend_rows(spark, sf).withColumn("keyword", F.concat(F.lit("word"), F.substring("keyword", 3, 9)))
-    rows = matching.trend_products(trends, items, word_vectors(spark, sf), DAY, n=30, min_cosine=0.25)
+    rows = matching.trend_products(trends, items, word_vectors(spark, sf), DAY, min_cosine=0.25)
     return rows.select(
         "web_id", "keyword_trend", "keyword_item", "product_id", F.round("score", 6).alias("score"), F.col("date").cast("string").alias("date")
     )

@@ -124,8 +124,7 @@ def enrich_by_title(spark, sf):
 ranked AS (SELECT *, row_number() OVER (PARTITION BY web_id, main ORDER BY score DESC, other) AS rk FROM sim WHERE score <> 1),
 wide AS (SELECT web_id, main AS main_product_id, max(CASE WHEN rk = 1 THEN other END) AS sim1, max(CASE WHEN rk = 2 THEN other END) AS sim2,
   max(CASE WHEN rk = 3 THEN other END) AS sim3 FROM ranked WHERE rk <= 3 GROUP BY 1, 2)
-SELECT web_id, main_product_id, sim1, sim2, sim3 FROM (SELECT *, row_number() OVER (PARTITION BY web_id ORDER BY main_product_id) AS n
-  FROM wide WHERE sim3 IS NOT NULL) WHERE n <= 20""",
+SELECT web_id, main_product_id, sim1, sim2, sim3 FROM wide WHERE sim3 IS NOT NULL""",
 )
 def top_similar(spark, sf):
     return joins.top_similar(similar_items(spark, sf))

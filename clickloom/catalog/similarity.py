@@ -9,7 +9,6 @@ from clickloom.catalog.tables import table, word_vectors
 from clickloom.functions.edits import damerau
 from clickloom.functions.vectors import cosine
 from clickloom.operators import ml, similarity
-from clickloom.operators.ranking import top_k
 
 VECTORS = """vecs AS (SELECT vec_id, 't' || label AS web_id, 'word' || vec_id AS word,
   CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
@@ -29,15 +28,13 @@ def keyword_similarity(spark, sf):
     return similarity.keyword_similarity(word_vectors(spark, sf)).withColumn("score", F.round("score", 6))
 
 
-TRENDS_SQL = """trends AS (SELECT web_id, 'word' || (vec_id * 10) AS word, v FROM vecs WHERE vec_id IN
-  (SELECT vec_id FROM (SELECT vec_id, row_number() OVER (PARTITION BY web_id ORDER BY vec_id) AS rk FROM vecs) WHERE rk <= 20))"""
+TRENDS_SQL = """trends AS (SELECT web_id, 'word' || (vec_id * 10) AS word, v FROM vecs)"""
 
 
 def trend_words(spark, sf):
-    """The first 20 vectors of each tenant under another spelling, as trend keywords."""
+    """All vectors under another spelling, as trend keywords."""
     words = word_vectors(spark, sf).withColumn("_id", F.substring("word", 5, 12).cast("long"))
-    first = top_k(words, ["web_id"], [F.asc("_id")], 20)
-    return first.select("web_id", F.concat(F.lit("word"), (F.col("_id") * 10).cast("string")).alias("word"), "vector")
+    return words.select("web_id", F.concat(F.lit("word"), (F.col("_id") * 10).cast("string")).alias("word"), "vector")
 
 
 @query(

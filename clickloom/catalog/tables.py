@@ -84,22 +84,20 @@ ARTICLES = """articles AS (
   SELECT 'w' || (p_partkey % 5) AS web_id, 'a' || p_partkey AS article_id, p_name AS title,
          replace(p_name, ' ', ',') AS keywords, CAST(p_size % 2 AS INTEGER) AS is_cut FROM part)"""
 
-HOT = """hot AS (
-  SELECT * EXCLUDE (rk) FROM (
-    SELECT *, row_number() OVER (PARTITION BY web_id, date ORDER BY pageviews DESC, article_id, source_domain) AS rk
-    FROM (SELECT web_id, date, article_id, source_domain, CAST(sum(pageviews) AS BIGINT) AS pageviews,
-                 CAST(sum(landings) AS BIGINT) AS landings, CAST(sum(exits) AS BIGINT) AS exits,
-                 CAST(sum(bounce) AS BIGINT) AS bounce, CAST(sum(time_on_page) AS BIGINT) AS time_on_page
-          FROM facts GROUP BY ALL)) WHERE rk <= 5000)"""
+DAYS = """days AS (
+  SELECT web_id, date, article_id, source_domain, CAST(sum(pageviews) AS BIGINT) AS pageviews,
+         CAST(sum(landings) AS BIGINT) AS landings, CAST(sum(exits) AS BIGINT) AS exits,
+         CAST(sum(bounce) AS BIGINT) AS bounce, CAST(sum(time_on_page) AS BIGINT) AS time_on_page
+  FROM facts GROUP BY ALL)"""
 
 ROWS = """arows AS (
   SELECT h.*, a.title, a.keywords, a.is_cut,
          CASE h.source_domain WHEN 'google search' THEN 'google' WHEN 'fb' THEN 'facebook'
               ELSE h.source_domain END AS source, h.source_domain = h.web_id AS internal
-  FROM hot h JOIN articles a USING (web_id, article_id)),
+  FROM days h JOIN articles a USING (web_id, article_id)),
 krows AS (SELECT r.*, unnest(string_split(r.keywords, ',')) AS keyword FROM arows r)"""
 
-ROWS_BASE = (BROWSE, SESSIONS, FACTS, ARTICLES, HOT, ROWS)
+ROWS_BASE = (BROWSE, SESSIONS, FACTS, ARTICLES, DAYS, ROWS)
 FACTS_BASE = (BROWSE, SESSIONS, FACTS)
 
 
@@ -123,8 +121,8 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 
 def article_rows(spark: SparkSession, sf: str) -> DataFrame:
     # the hourly fact is a stored table; the roll-ups start from it
-    hot = rollups.hot_pageviews(materialise(facts(spark, sf), "hourly-facts"))
-    rows = rollups.attach_articles(hot, articles(spark, sf))
+    days = rollups.day_pageviews(materialise(facts(spark, sf), "hourly-facts"))
+    rows = rollups.attach_articles(days, articles(spark, sf))
     return rollups.with_source(rows).withColumn("keyword_list", F.split("keywords", ","))
 
 

@@ -42,7 +42,7 @@ def segment(spark, sf):
     lowered = texts(spark, sf, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), F.lower("text").alias("text")
     )
-    return keywords.segment(lowered, "id", "text", dictionary, run=r"\p{L}+", max_word=10)
+    return keywords.segment(lowered, "id", "text", dictionary, run=r"\p{L}+")
 
 
 IDF = """idf AS (SELECT term, log10(CAST((SELECT count(DISTINCT id) FROM terms) AS DOUBLE) / count(*)) AS idf FROM terms GROUP BY term)"""
@@ -60,14 +60,14 @@ def tfidf_keywords(spark, sf):
     return keywords.tfidf_keywords(terms, keywords.train_idf(terms), 10).select("id", "term", "rank")
 
 
-def extracted_lists(spark, sf, k=20, keep=5):
+def extracted_lists(spark, sf, keep=5):
+    """Terms are cleaned first and ranked then; inverse frequencies and totals are those of all terms."""
     terms = doc_terms(spark, sf)
-    ranked = keywords.tfidf_keywords(terms, keywords.train_idf(terms), k)
-    cleaned = ranked.where(~tx.is_noise(F.col("term")))
-    return keywords.keyword_lists(cleaned, "id", keep)
+    ranked = keywords.tfidf_keywords(terms, keywords.train_idf(terms), keep, keep_term=~tx.is_noise(F.col("term")))
+    return keywords.keyword_lists(ranked, "id", keep)
 
 
-LISTS = r"""noise AS (SELECT * FROM ranked WHERE rk <= 20 AND NOT regexp_full_match(term, '[0-9]{2}|[0-9.]*|[a-z]{1,4}|[A-Z]{2}')
+LISTS = r"""noise AS (SELECT * FROM ranked WHERE NOT regexp_full_match(term, '[0-9]{2}|[0-9.]*|[a-z]{1,4}|[A-Z]{2}')
   AND NOT regexp_full_match(term, '[0-9.]*(萬|萬元|點|元|億|億元|百萬|千萬|分|分鐘|樓|成|吋|天|號|日|月|年|輛|種|次|人|%|g|cc|ml|克糖|倍|個|招|kg|jpg|JPG|折|度|公尺|大|例)')),
 lists AS (SELECT id, string_agg(term, ',' ORDER BY rk) AS kws FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rk) AS n FROM noise)
   WHERE n <= 5 GROUP BY id)"""

@@ -150,7 +150,7 @@ last AS (SELECT web_id, article_id, CAST(sum(pageviews) AS BIGINT) AS pageviews
     ),
 )
 def article_trend(spark, sf):
-    rows = rollups.attach_articles(rollups.hot_pageviews(facts(spark, sf)), _articles(spark, sf))
+    rows = rollups.attach_articles(rollups.day_pageviews(facts(spark, sf)), _articles(spark, sf))
     total = F.sum("pageviews").alias("pageviews")
     now = rows.groupBy("web_id", "article_id").agg(total)
     last = rows.where(F.col("date") <= 20240102).groupBy("web_id", "article_id").agg(total)

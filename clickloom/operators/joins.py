@@ -80,9 +80,9 @@ def top_similar(
     other: str = "similarity_product_id",
     score: str = "text_similarity",
     wide: int = 3,
-    products: int | None = 20,
+    products: int | None = None,
 ) -> DataFrame:
-    """The ``wide`` most similar products per product as columns sim1.., for the first ``products`` (all if None).
+    """The ``wide`` most similar products per product as columns sim1.., of all products or of the first ``products``.
 
     A score of exactly 1 marks a copy and is left out; products with too few partners are dropped.
     """

@@ -51,9 +51,13 @@ def train_idf(terms: DataFrame, key: str = "id", denominator: str = "docs") -> D
     return weighted.where(~F.col("term").contains(" ")).select("term", "idf")
 
 
-def tfidf_keywords(terms: DataFrame, idf: DataFrame, k: int, key: str = "id") -> DataFrame:
+def tfidf_keywords(
+    terms: DataFrame, idf: DataFrame, k: int, key: str = "id", keep_term: Column | None = None
+) -> DataFrame:
     """Top ``k`` terms of each document by share of the document times IDF, with their rank.
 
+    Only terms for which ``keep_term`` holds are ranked; the document's total counts all.
+
     Terms without an IDF get the upper median. A term of very many documents meets one IDF row, so
     the join on terms is salted.
     """
@@ -62,6 +66,8 @@ def tfidf_keywords(terms: DataFrame, idf: DataFrame, k: int, key: str = "id") ->
     share = F.col("freq") / F.sum("freq").over(Window.partitionBy(key))
     joined = salted_join(terms, idf, ["term"], "left")
     scored = joined.select(key, "term", (share * F.coalesce("idf", median)).alias("score"))
+    if keep_term is not None:
+        scored = scored.where(keep_term)
     # scores are compared at nine digits so that equal terms tie and the term itself decides
     return top_k(scored, [key], [F.desc(F.round("score", 9)), F.asc("term")], k, rank="rank")
 
@@ -173,12 +179,13 @@ def distinct_terms(df: DataFrame, key: str, tokens: Column, stopwords: DataFrame
     return counted.select(key, "term")
 
 
-# extractor per language code; a caller adds or replaces entries to plug in its own
+# extractor per language code; a caller adds or replaces entries to plug in its own, ``*`` is for all others
 EXTRACTORS: dict[str, Extractor] = {
     "en": frequent_phrases,
     "id": frequent_words,
     "vi": distinct_terms,
     "th": distinct_terms,
+    "*": frequent_words,
 }
 
 
@@ -186,9 +193,11 @@ def keywords_by_language(
     df: DataFrame, key: str, tokens: Column, stopwords: DataFrame | None = None, lang: str = "lang",
     extractors: Mapping[str, Extractor] = EXTRACTORS,
 ) -> DataFrame:
-    """(key, term) of every document by the extractor of its language; other languages give no rows."""
+    """(key, term) of every document by the extractor of its language, or by the one of ``*``."""
+    named = [code for code in extractors if code != "*"]
+    other = ~F.coalesce(F.col(lang).isin(*named), F.lit(False))
     parts = [
-        extract(df.where(F.col(lang) == code), key, tokens, stopwords).select(key, "term")
+        extract(df.where(other if code == "*" else F.col(lang) == code), key, tokens, stopwords).select(key, "term")
         for code, extract in extractors.items()
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -228,26 +237,26 @@ def _split_runs(run: pd.Series, start: pd.Series, size: pd.Series, log: pd.Serie
 
 
 def segment(
-    df: DataFrame, key: str, text: str, dictionary: DataFrame, run: str = tx.HAN, max_word: int = 8
+    df: DataFrame, key: str, text: str, dictionary: DataFrame, run: str = tx.HAN
 ) -> DataFrame:
     """Maximum-probability dictionary segmentation, one row (key, run_no, word_no, word) per word.
 
     ``dictionary`` is (word, freq). Distinct text runs are cut into candidate substrings on the JVM
-    and matched with the dictionary by an ordinary join, so the dictionary may have any size; only
+    of every length that the dictionary has and matched by an ordinary join, so it may have any size; only
     the best-path step over one run's candidates is [pandas].
     """
     runs = df.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(f"({run})"), 1)).alias("run_no", "_run"))
     distinct = runs.select("_run").distinct()
     length = F.char_length("_run")
     starts = distinct.withColumn("_start", F.explode(F.sequence(F.lit(1), length)))
-    longest = F.least(F.lit(max_word), length - F.col("_start") + 1)
-    pieces = starts.withColumn("_size", F.explode(F.sequence(F.lit(1), longest)))
+    totals = dictionary.agg(F.sum("freq"), F.collect_set(F.char_length("word"))).first()
+    total, sizes = totals[0], sorted({1, *totals[1]})  # as many as there are lengths of words
+    pieces = starts.withColumn("_size", F.explode(F.array(*map(F.lit, sizes)))).where(F.col("_size") <= length - F.col("_start") + 1)
     pieces = pieces.withColumn("word", F.substring(F.col("_run"), F.col("_start"), F.col("_size")))
-    total = dictionary.agg(F.sum("freq")).scalar()
     weighted = dictionary.where(F.col("freq") > 0).select("word", F.ln(F.col("freq") / total).alias("_log"))
     found = pieces.join(weighted, "word", "left").where(F.col("_log").isNotNull() | (F.col("_size") == 1))
     # an unknown single character weighs as much as one occurrence
-    weight = F.coalesce("_log", -F.ln(total)).alias("_log")
+    weight = F.coalesce("_log", -F.ln(F.lit(total))).alias("_log")
     candidates = F.sort_array(F.collect_list(F.struct("_start", "_size", weight)))
     grouped = found.groupBy("_run").agg(candidates.alias("_c"))
     words = _split_runs("_run", "_c._start", "_c._size", "_c._log")

@@ -25,28 +25,16 @@ def in_windows(
     return upto.withColumn(out, F.explode(F.array_compact(F.array(*hits))))
 
 
-def keyword_articles(
-    rows: DataFrame, today: dt.date, windows: Mapping[str, int] = REPORT_WINDOWS, part_size: int = 10_000
-) -> DataFrame:
-    """Article count and joined article ids per keyword and window.
+def keyword_articles(rows: DataFrame, today: dt.date, windows: Mapping[str, int] = REPORT_WINDOWS) -> DataFrame:
+    """Articles per keyword and window, one row each, with the keyword's number of rows beside it.
 
-    ``rows`` is (web_id, keyword, article_id, date). A keyword with more than ``part_size`` rows is
-    written as several parts (0, 1, ..) of about that size, so no list outgrows a task; the count is
-    always the whole keyword's. All other keywords are one part.
+    ``rows`` is (web_id, keyword, article_id, date); ``days`` counts an article's rows in the window. No list of
+    ids is built, so a keyword may have any number of articles.
     """
     keys = ["types", "web_id", "keyword"]
-    spread = in_windows(rows, "date", today, windows).select(*keys, "article_id")
-    sizes = spread.groupBy(*keys).agg(F.count("*").alias("_n"))
-    large = sizes.where(F.col("_n") > part_size)
-    parts = F.ceil(F.coalesce(F.col("_n"), F.lit(1)) / part_size)
-    slot = F.pmod(F.xxhash64("article_id"), parts)
-    lists = (
-        spread.join(large, keys, "left")
-        .withColumn("part", slot)
-        .groupBy(*keys, "part")
-        .agg(F.array_join(F.sort_array(F.collect_list("article_id")), ", ").alias("article_ids"))
-    )
-    return lists.join(sizes.withColumnRenamed("_n", "article_count"), keys)
+    counted = in_windows(rows, "date", today, windows).groupBy(*keys, "article_id").agg(F.count("*").alias("days"))
+    totals = counted.groupBy(*keys).agg(F.sum("days").alias("article_count"))
+    return counted.join(totals, keys)
 
 
 def article_rates(
@@ -191,10 +179,11 @@ def label_batch(
     return counted.where(before <= n_keywords).drop("_new")
 
 
-def top_trends(trends: DataFrame, end: dt.date, days: int = 2, n: int = 200) -> DataFrame:
+def top_trends(trends: DataFrame, end: dt.date, days: int = 2, n: int | None = 200) -> DataFrame:
+    """The ``n`` most searched keywords of the last ``days``, or all of them."""
     window = trends.where(F.col("date").between(F.lit(end - dt.timedelta(days=days - 1)), F.lit(end)))
     total = window.groupBy("keyword").agg(F.sum("traffic").alias("traffic_total"))
-    return top_n(total, [F.desc("traffic_total"), F.asc("keyword")], n)
+    return total if n is None else top_n(total, [F.desc("traffic_total"), F.asc("keyword")], n)
 
 
 def interest_means(series: DataFrame, keyword: str = "keyword", value: str = "value") -> DataFrame:

@@ -12,7 +12,6 @@ from clickloom.operators.joins import salted_join
 from clickloom.operators.ranking import top_k
 
 MEASURES = ("pageviews", "landings", "exits", "bounce", "time_on_page")
-HOT_ROWS = 5000
 
 # fixed values: external source buckets besides the publisher's own network and ``other``
 SOURCE_BUCKETS = (
@@ -25,24 +24,22 @@ def _sums() -> list[Column]:
     return [F.sum(m).alias(m) for m in MEASURES]
 
 
-def hot_pageviews(facts: DataFrame, n: int = HOT_ROWS, split_ids: bool = False) -> DataFrame:
-    """The ``n`` busiest (article, source) rows per tenant and day.
+def day_pageviews(facts: DataFrame, split_ids: bool = False) -> DataFrame:
+    """All (article, source) rows per tenant and day; ``split_ids`` cuts article ids at ``&`` first."""
+    rows = facts.withColumn("article_id", F.split("article_id", "&")[0]) if split_ids else facts
+    return rows.groupBy("web_id", "date", "article_id", "source_domain").agg(*_sums())
 
-    ``split_ids`` cuts article ids at ``&`` afterwards and sums again.
-    """
-    keys = ["web_id", "date", "article_id", "source_domain"]
-    sums = facts.groupBy(*keys).agg(*_sums())
+
+def hot_pageviews(facts: DataFrame, n: int) -> DataFrame:
+    """The ``n`` busiest (article, source) rows per tenant and day, for a report of the top; roll-ups take all rows."""
     order = [F.desc("pageviews"), F.asc("article_id"), F.asc("source_domain")]
-    hot = top_k(sums, ["web_id", "date"], order, n)
-    if split_ids:
-        hot = hot.withColumn("article_id", F.split("article_id", "&")[0]).groupBy(*keys).agg(*_sums())
-    return hot
+    return top_k(day_pageviews(facts), ["web_id", "date"], order, n)
 
 
-def attach_articles(hot: DataFrame, articles: DataFrame, spread: int | None = None) -> DataFrame:
-    """Hot rows with article columns. Rows are already one per (day, article, source)."""
+def attach_articles(rows: DataFrame, articles: DataFrame, spread: int | None = None) -> DataFrame:
+    """Day rows with article columns. Rows are already one per (day, article, source)."""
     on = ["web_id", "article_id"]
-    return salted_join(hot, articles, on, spread=spread) if spread else hot.join(articles, on)
+    return salted_join(rows, articles, on, spread=spread) if spread else rows.join(articles, on)
 
 
 def with_source(rows: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ from clickloom.functions.dates import date_int, epoch_seconds
 
 VISITOR = ("web_id", "uuid")
 GAP_SECONDS = 1800
-HOT_ROWS = 1_000_000
 
 
 def session_metrics(
@@ -23,7 +22,6 @@ def session_metrics(
     time_on_page: str = "time_on_page",
     gap: int = GAP_SECONDS,
     slice_by: Column | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Landings, exits, bounces, time on page and sticky first source for every view.
 
@@ -32,19 +30,12 @@ def session_metrics(
     over a supplied time, and does not start a new landing. Later views take the first view's
     source unless that is ``'None'``.
 
-    Visitors with more than ``hot_rows`` views (bots) are cut into time slices, so that one of them
-    is many tasks; all others take one window. ``slice_by`` slices everyone instead.
+    Every visitor is cut into time slices (hours, or ``slice_by``, which must rise with time), so that
+    a bot is many tasks; neighbouring slices meet through one summary row each.
     """
     keys = list(keys)
     timed = views.withColumn("_sec", epoch_seconds(F.col(ts)))
-    if slice_by is not None:
-        placed = _in_slices(timed, keys, ts, tie, source, slice_by)
-    else:
-        # at most rows / hot_rows entries, so the list is small enough to broadcast at any scale
-        hot = F.broadcast(views.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys))
-        placed = _in_one_window(timed.join(hot, keys, "left_anti"), keys, ts, tie, source).unionByName(
-            _in_slices(timed.join(hot, keys, "left_semi"), keys, ts, tie, source, F.date_trunc("MINUTE", F.col(ts)))
-        )
+    placed = _in_slices(timed, keys, ts, tie, source, F.date_trunc("HOUR", F.col(ts)) if slice_by is None else slice_by)
 
     step = F.col("_next_sec") - F.col("_sec")
     first, last = F.col("_first"), step.isNull()
@@ -64,23 +55,8 @@ def session_metrics(
     return result.drop("_sec", "_next_sec", "_first", "_first_source")
 
 
-def _in_one_window(timed: DataFrame, keys: list[str], ts: str, tie: str, source: str) -> DataFrame:
-    """Next second, first flag and first source of each view, one window per visitor."""
-    line = Window.partitionBy(*keys).orderBy(ts, tie)
-    return timed.withColumns(
-        {
-            "_next_sec": F.lead("_sec").over(line),
-            "_first": F.row_number().over(line) == 1,
-            "_first_source": F.first(source).over(line.rowsBetween(Window.unboundedPreceding, 0)),
-        }
-    )
-
-
 def _in_slices(timed: DataFrame, keys: list[str], ts: str, tie: str, source: str, slice_by: Column) -> DataFrame:
-    """The same three columns from windows inside (visitor, slice).
-
-    Neighbouring slices meet through one summary row per (visitor, slice).
-    """
+    """Next second, first flag and first source of each view, from windows inside (visitor, slice)."""
     part = [*keys, "_slice"]
     sliced = timed.withColumn("_slice", slice_by)
     heads = sliced.groupBy(*part).agg(
@@ -122,11 +98,25 @@ def true_sessions(
 ) -> DataFrame:
     """Sessions separated by at least ``gap`` seconds of silence, one row each.
 
-    ``session_window`` merges partial sessions before the shuffle, so hot visitors stay cheap.
+    Sessions are numbered inside hours of a visitor; each hour's summary row tells whether its first view goes
+    on with the session before and how many sessions came earlier. Hours of one session then meet in an
+    ordinary aggregate, so no task holds all views of a visitor.
     """
-    span = F.session_window(F.col(ts), f"{gap} seconds")
+    keys = list(keys)
+    part = [*keys, "_slice"]
+    sliced = views.select(*keys, F.col(ts).alias("_ts"), F.date_trunc("HOUR", F.col(ts)).alias("_slice"))
+    inside = Window.partitionBy(*part).orderBy("_ts")
+    pause = F.unix_micros(F.col("_ts").cast("timestamp")) - F.unix_micros(F.lag("_ts").over(inside).cast("timestamp"))
+    starts = F.when(pause >= gap * 1_000_000, 1).otherwise(0)
+    numbered = sliced.withColumn("_start", starts).withColumn("_number", F.sum("_start").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    pieces = numbered.groupBy(*part, "_number").agg(F.count("*").alias("views"), F.min("_ts").alias("first_view"), F.max("_ts").alias("last_view"))
+    # at most one piece an hour and session from here on
+    line = Window.partitionBy(*keys).orderBy("first_view", "_number")
+    silence = F.unix_micros(F.col("first_view").cast("timestamp")) - F.unix_micros(F.lag("last_view").over(line).cast("timestamp"))
+    opened = pieces.withColumn("_new", F.when(silence < gap * 1_000_000, 0).otherwise(1))
+    sessions = opened.withColumn("_session", F.sum("_new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
     return (
-        views.groupBy(*keys, span)
-        .agg(F.count("*").alias("views"), F.min(ts).alias("first_view"), F.max(ts).alias("last_view"))
-        .drop("session_window")
+        sessions.groupBy(*keys, "_session")
+        .agg(F.sum("views").alias("views"), F.min("first_view").alias("first_view"), F.max("last_view").alias("last_view"))
+        .drop("_session")
     )

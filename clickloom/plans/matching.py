@@ -13,15 +13,17 @@ from clickloom.operators.joins import keep_not_in
 from clickloom.operators.ranking import top_k
 
 
-def related_keywords(facts: DataFrame, vectors: DataFrame, above: int = 10, n: int = 1000) -> DataFrame:
-    """Related keywords among each tenant's hottest. ``facts`` is (web_id, keyword, pageviews)."""
-    hot = top_k(facts.where(F.col("pageviews") > above), ["web_id"], [F.desc("pageviews"), F.asc("keyword")], n)
+def related_keywords(facts: DataFrame, vectors: DataFrame, above: int = 10, n: int | None = None) -> DataFrame:
+    """Related keywords among each tenant's read ones, or its ``n`` hottest. ``facts`` is (web_id, keyword, pageviews)."""
+    hot = facts.where(F.col("pageviews") > above)
+    if n is not None:
+        hot = top_k(hot, ["web_id"], [F.desc("pageviews"), F.asc("keyword")], n)
     words = hot.select("web_id", F.col("keyword").alias("word")).distinct().join(vectors.select("word", "vector"), "word")
     return similarity.keyword_similarity(words)
 
 
 def trend_products(
-    trends: DataFrame, item_keywords: DataFrame, vectors: DataFrame, day: dt.date, n: int = 200, **thresholds: float
+    trends: DataFrame, item_keywords: DataFrame, vectors: DataFrame, day: dt.date, n: int | None = None, **thresholds: float
 ) -> DataFrame:
     """Products whose title keywords are close to trending searches, with date and thresholds.
 

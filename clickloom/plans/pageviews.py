@@ -23,11 +23,13 @@ def pageview_hours(
     source_rules: Sequence[tuple[str, str]] | None = None,
     own_aliases: dict[str, str] | None = None,
     local: bool = True,
+    app_hosts: Sequence[str] = (),
+    blog_networks: Sequence[str] = (),
 ) -> DataFrame:
     """Validate, sign, attribute, order and sum tracker events.
 
     ``tenants`` is (web_id), ``rules`` (web_id, pattern, group), ``domains`` (web_id, domain,
-    subdomain); the three are configuration tables.
+    subdomain); the three are configuration tables. ``app_hosts`` and ``blog_networks`` count as the tenant's own.
     """
     valid = valid_events(events, tenants)
     signed = url_signature(valid, rules, url="current_url").where(F.col("article_id") != "_")
@@ -41,7 +43,9 @@ def pageview_hours(
     views = named.withColumn("_raw", raw).select(
         "event_id", "web_id", "uuid", "article_id",
         stamp.alias("ts"),
-        canonical_source(F.col("_raw"), F.col("web_id"), F.col("domain"), F.col("subdomain"), own_aliases).alias("source_domain"),
+        canonical_source(
+            F.col("_raw"), F.col("web_id"), F.col("domain"), F.col("subdomain"), own_aliases, app_hosts, blog_networks
+        ).alias("source_domain"),
         F.coalesce("record_user.t_p", F.lit(0)).cast("long").alias("time_on_page"),
     )
     # stored once: the session step reads the views twice and should not repeat the URL work
@@ -57,15 +61,14 @@ def hot_report(
     last_articles: DataFrame,
     texts: Sequence[str] = ("title",),
     own: str = "own",
-    n: int = rollups.HOT_ROWS,
 ) -> dict[str, DataFrame]:
     """All report tables of one run from one stored frame of article rows.
 
     ``articles`` is (web_id, article_id, texts.., keyword_list, is_cut); the ``last_*`` frames are
-    the previous snapshot (web_id, date, key, pageviews). The hot article rows are written to the
+    the previous snapshot (web_id, date, key, pageviews). The article rows are written to the
     shared scratch folder once and every table starts from them.
     """
-    rows = materialise(rollups.with_source(rollups.attach_articles(rollups.hot_pageviews(facts, n), articles)), "hot-rows")
+    rows = materialise(rollups.with_source(rollups.attach_articles(rollups.day_pageviews(facts), articles)), "day-rows")
     exploded = rollups.explode_keywords(rows)
     article_rows = rows.drop("keyword_list")
     keywords = rollups.keyword_rollup(exploded)

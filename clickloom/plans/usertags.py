@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.dates import hour_bucket
 from clickloom.operators import usertags
-from clickloom.operators.filters import cap_length, cap_number, day_window, drop_sentinels, member_tag, platform_code
+from clickloom.operators.filters import cap_length, day_window, drop_sentinels, member_tag, platform_code
 from clickloom.operators.joins import salted_join
 from clickloom.operators.ranking import keep_first
 
@@ -55,20 +55,22 @@ def member_tags(
 
 
 def bucket_tags(
-    log: DataFrame, articles: DataFrame, limit: int = 50, hours: int = 2, ts: str = "ts", spread: int = 8
+    log: DataFrame, articles: DataFrame, limit: int = 50, hours: int = 2, ts: str = "ts", spread: int = 8,
+    longest: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Tags per user and two-hour bucket with retention: (kept tags, kept bucket counts).
 
-    One row per (user, tag, bucket), the one of the smallest article id.
+    One row per (user, tag, bucket), the one of the smallest article id. Tags of more than ``longest`` characters
+    are left out if it is given.
     """
     stamped = log.select(
         "web_id", "uuid", "article_id", F.to_date(ts).alias("date"), hour_bucket(F.col(ts), hours).alias("hour")
     ).distinct()
     rows = salted_join(stamped, articles, ["web_id", "article_id"], spread=spread)
     tagged = rows.withColumn("usertag", F.explode("keyword_list")).drop("keyword_list")
-    tagged = cap_length(tagged, "usertag", 64)
+    tagged = tagged if longest is None else cap_length(tagged, "usertag", longest)
     once = keep_first(tagged, ["web_id", "uuid", "usertag", "date", "hour"], [F.asc("article_id")])
-    stats = cap_number(usertags.bucket_stats(once), "num_usertag")
+    stats = usertags.bucket_stats(once)
     return usertags.retain_recent(once, stats, limit), usertags.retained_buckets(stats, limit)
 
 

@@ -48,9 +48,24 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one; it is deleted when the application ends."""
+    folder = os.path.join(shared_dir(spark), f"clickloom-{spark.sparkContext.applicationId}")
+    if folder not in _run_dirs:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _run_dirs.add(folder)
+    return folder
+
+
+_run_dirs: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A new, unused path in the application's folder."""
+    return os.path.join(run_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:

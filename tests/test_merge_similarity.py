@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.functions.edits import edit_distance
-from clickloom.operators import forecast, ml, reports, similarity, stats, trends
+from clickloom.operators import forecast, joins, ml, reports, rollups, similarity, stats, trends
 from clickloom.sinks import merge
 from clickloom.streaming.sinks import upsert_sink
 
@@ -172,14 +172,31 @@ def test_trend_forms_and_hour_rule(spark):
     assert got == {0: 4, 1: 5, 3: 12}
 
 
-def test_large_keyword_lists_come_in_parts(spark):
-    rows = [("w", "hot", f"a{i:04d}", dt.date(2024, 1, 30)) for i in range(500)] + [("w", "cold", "a1", dt.date(2024, 1, 1))]
-    df = spark.createDataFrame(rows, "web_id string, keyword string, article_id string, date date")
-    got = reports.keyword_articles(df, dt.date(2024, 1, 31), {"month": 30}, part_size=100).collect()
-    hot = [r for r in got if r.keyword == "hot"]
-    assert len(hot) == 5 and {r.article_count for r in hot} == {500}
-    assert sorted(a for r in hot for a in r.article_ids.split(", ")) == [f"a{i:04d}" for i in range(500)]
-    assert [r.article_ids for r in got if r.keyword == "cold"] == ["a1"]
+def test_keywords_of_very_many_articles(spark):
+    """Beyond ten thousand articles a keyword is listed like any other."""
+    hot = spark.range(12_000).select(F.lit("w").alias("web_id"), F.lit("hot").alias("keyword"), F.concat(F.lit("a"), "id").alias("article_id"), F.lit(dt.date(2024, 1, 30)).alias("date"))
+    cold = spark.createDataFrame([("w", "cold", "a1", dt.date(2024, 1, 1))], hot.schema)
+    got = reports.keyword_articles(hot.unionByName(cold).unionByName(cold), dt.date(2024, 1, 31), {"month": 30}).collect()
+    assert len(got) == 12_001 and {r.article_count for r in got if r.keyword == "hot"} == {12_000}
+    assert [(r.article_id, r.days, r.article_count) for r in got if r.keyword == "cold"] == [("a1", 2, 2)]
+
+
+def test_rollups_take_all_rows(spark):
+    """More than five thousand (article, source) rows of a tenant's day all count."""
+    facts = spark.range(6_000).select(
+        F.lit("w").alias("web_id"), F.lit(20240101).alias("date"), F.concat(F.lit("a"), "id").alias("article_id"), F.lit("fb").alias("source_domain"),
+        *[F.lit(1).cast("long").alias(m) for m in rollups.MEASURES],
+    )
+    articles = facts.select("web_id", "article_id", F.array(F.lit("k")).alias("keyword_list"), F.lit(0).alias("is_cut"))
+    rows = rollups.explode_keywords(rollups.with_source(rollups.attach_articles(rollups.day_pageviews(facts), articles)))
+    assert [r.pageviews for r in rollups.keyword_rollup(rows).collect()] == [6_000]
+    assert rollups.hot_pageviews(facts, 7).count() == 7
+
+
+def test_all_similar_products_by_default(spark):
+    pairs = [("w", m, o, 0.5 + o / 100) for m in range(30) for o in range(3)]
+    df = spark.createDataFrame(pairs, "web_id string, main_product_id long, similarity_product_id long, text_similarity double")
+    assert joins.top_similar(df).count() == 30 and joins.top_similar(df, products=5).count() == 5
 
 
 def test_clusters_are_reproducible(spark):

@@ -54,7 +54,7 @@ def test_session_metrics_match_rule_for_any_slicing(spark):
     want = expected(rows)
     assert collected(sessions.session_metrics(views)) == want
     assert collected(sessions.session_metrics(views, slice_by=F.date_trunc("MINUTE", "ts"))) == want
-    assert collected(sessions.session_metrics(views, hot_rows=6)) == want
+    assert collected(sessions.session_metrics(views, slice_by=F.lit(0))) == want
 
 
 def test_gap_edges(spark):

@@ -96,13 +96,13 @@ def test_own_networks_slot_into_the_rules(spark):
     "source,domain,want",
     [
         ("shop.com", "https://www.shop.com/", "w"), ("FB", "https://x.tw", "fb"), ("adnet-old", "https://x.tw", "adnet"),
-        ("x.y", "https://www.xzy.tw", "other"), ("pixnet.net", "https://x.tw", "w"), ("fb", None, "other"),
-        ("91app", "https://x.tw", "w"),
+        ("x.y", "https://www.xzy.tw", "other"), ("blogs.example", "https://x.tw", "w"), ("fb", None, "other"),
+        ("shops", "https://x.tw", "w"),
     ],
 )
 def test_canonical_source(spark, source, domain, want):
     df = spark.createDataFrame([(source, "w", domain)], "s string, w string, d string")
-    fold = urls.canonical_source(F.col("s"), F.col("w"), F.col("d"), own_aliases={"adnet-old": "adnet"})
+    fold = urls.canonical_source(F.col("s"), F.col("w"), F.col("d"), own_aliases={"adnet-old": "adnet"}, app_hosts=["app.shops.example"], blog_networks=["blogs"])
     assert df.select(fold).first()[0] == want
 
 
