@@ -19,7 +19,7 @@ from clickloom.llm.splitting import Splitter
 
 
 class WordTokenizer:
-    def __init__(self, path: str, limit: int = 120_000) -> None:
+    def __init__(self, path: str, limit: int = 300_000) -> None:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
@@ -40,26 +40,25 @@ class WordTokenizer:
             return self.library.normalizer.normalize_str(text)
         return text.lower()
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Adds what is missing; long pieces are returned instead."""
-        missing = {p for p in pieces if p not in self.pieces}
-        if len(self.pieces) + len(missing) > self.limit:  # frequent pieces come back from the old table
-            self.old, self.pieces = self.pieces, {}
-            missing = set(pieces)
-        new = []
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """Adds pieces to the table; long ones are returned instead."""
+        old, new = self.old, []
         for piece in missing:
-            ids = self.old.get(piece)
+            ids = old.get(piece)
             if ids is None:
                 new.append(piece)
             else:
                 self.pieces[piece] = ids
         found = self._encode(new)
-        self.pieces.update((p, ids) for p, ids in found.items() if len(p) <= 32)
-        return {p: ids for p, ids in found.items() if len(p) > 32}
+        self.pieces.update(found)
+        long = {p: ids for p, ids in found.items() if len(p) > 32}
+        for piece in long:
+            del self.pieces[piece]
+        return long
 
     def _encode(self, pieces: list[str]) -> dict[str, bytes]:
         """Pieces in one call, told apart by the tokens that end a word."""
-        ids = np.array(self.library.encode(" ".join(pieces), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.array(self.library.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(pieces):
             return {p: np.array(self.library.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes() for p in pieces}
@@ -67,16 +66,17 @@ class WordTokenizer:
         return {p: data[a:b] for p, a, b in zip(pieces, bounds, bounds[1:], strict=False)}
 
     def __call__(self, text: str | None) -> bytes:
-        pieces = self.split(self.normal(text or ""))
-        try:
-            return b"".join(map(self.pieces.__getitem__, pieces))
-        except KeyError:
-            out = []
-            for at in range(0, len(pieces), self.limit // 2):
-                some = pieces[at : at + self.limit // 2]
-                known = self.pieces | long if (long := self._learn(some)) else self.pieces
-                out.append(b"".join(map(known.__getitem__, some)))
-            return b"".join(out)
+        pieces, out = self.split(self.normal(text or "")), []
+        for at in range(0, len(pieces), self.limit // 2):
+            some = pieces[at : at + self.limit // 2]
+            missing = set(some).difference(self.pieces)
+            if missing and len(self.pieces) + len(missing) > self.limit:  # frequent pieces come back from the old table
+                self.old, self.pieces = self.pieces, {}
+                missing = set(some)
+            long = self._learn(missing) if missing else {}
+            known = self.pieces | long if long else self.pieces
+            out.append(b"".join(map(known.__getitem__, some)))
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)
