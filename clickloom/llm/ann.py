@@ -6,7 +6,8 @@ priority queue by the distance of their centres and so meets leaves from the mos
 many leaves it visits is calibrated: for at most ``PROBES`` vectors the exact neighbours are found by comparing
 them with every vector, and visits are widened until these leaves hold ``recall`` of them.
 
-Leaves are dealt out in parts of at most about ``PART`` rows and ``PART`` queries, so a leaf with a large share of all
+The first ``FIRST`` leaves of a query give a distance that its k-th neighbour does not exceed; the others report only
+what is no farther. Leaves are dealt out in parts of at most about ``PART`` rows and ``PART`` queries, so a leaf with a large share of all
 vectors is split. Of equal vectors only the smallest ids can be among the k nearest, so only k + 1 are indexed; that
 loses nothing, as ties go to the smaller id.
 
@@ -34,7 +35,8 @@ PROBES = 200
 BRANCH = 8
 LEAF_ROWS = 200
 PART = 4096
-RECALL = 0.98
+RECALL = 0.96
+FIRST = 4
 FOUND = "query_id bigint, vec_id bigint, score double"
 
 
@@ -127,6 +129,13 @@ def nearest(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tup
     return ids[at], far[at]
 
 
+def found_rows(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """(query_id, vec_id, score) of lists of neighbours by query."""
+    queries = np.repeat([i for i, _, _ in found], [len(ids) for _, ids, _ in found])
+    columns = [np.concatenate(part) for part in zip(*((ids, far) for _, ids, far in found), strict=True)]
+    return pd.DataFrame({"query_id": queries, "vec_id": columns[0], "score": columns[1]})
+
+
 @dataclass
 class Index:
     tree: Tree
@@ -170,11 +179,13 @@ def calibrated_visits(index: Index, probes: pd.DataFrame, k: int, recall: float)
 
     def exact(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if batch.empty:
+                continue
             rows, own, out = matrix(batch["vector"]), batch["vec_id"].to_numpy(), []
             for i, point in zip(ids, points, strict=True):
                 found, far = nearest(point, rows[own != i], own[own != i], k)
-                out.append(pd.DataFrame({"query_id": i, "vec_id": found, "score": far}))
-            yield pd.concat(out)
+                out.append((i, found, far))
+            yield found_rows(out)
 
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     true = index.rows.mapInPandas(exact, FOUND).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k)
@@ -186,8 +197,11 @@ def calibrated_visits(index: Index, probes: pd.DataFrame, k: int, recall: float)
     return int(np.quantile(places, recall, method="higher")) if places else 1
 
 
-def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the k nearest found for ``queries`` (query_id, vector)."""
+VISITS = "query_id bigint, vector array<double>, leaf bigint, visit int"
+
+
+def planned_visits(index: Index, queries: DataFrame, k: int) -> DataFrame:
+    """The leaves that every query visits, by number of the visit."""
     tree, sizes, wanted = index.tree, index.sizes, index.visits
 
     def plan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,13 +214,17 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
                         break
                     if sizes.get(leaf):
                         seen += sizes[leaf]
-                        rows.append((i, vector, leaf))
-            yield pd.DataFrame(rows, columns=["query_id", "vector", "leaf"])
+                        rows.append((i, vector, leaf, n))
+            yield pd.DataFrame(rows, columns=["query_id", "vector", "leaf", "visit"])
+
+    return queries.mapInPandas(plan, VISITS)
 
-    visits = materialise(queries.mapInPandas(plan, "query_id bigint, vector array<double>, leaf bigint"), "visits")
-    asked = {r["leaf"]: r["count"] for r in visits.groupBy("leaf").count().collect()}
+
+def compared(index: Index, visits: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): up to k rows of each visited leaf that are within the query's ``within``."""
+    asked = {r["leaf"]: r["count"] for r in visits.groupBy("leaf").count().collect()}  # at most one a sampled row
     counts = index.rows.sparkSession.createDataFrame(
-        [(leaf, shares(n, PART), shares(asked.get(leaf, 0), PART)) for leaf, n in sizes.items()] or [(0, 1, 1)],
+        [(leaf, shares(n, PART), shares(asked[leaf], PART)) for leaf, n in index.sizes.items() if leaf in asked] or [(-1, 1, 1)],
         "leaf bigint, row_parts int, query_parts int",
     )
 
@@ -219,17 +237,31 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
         if asking.empty or rows.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         points, ids, out = matrix(rows["vector"]), rows["vec_id"].to_numpy(), []
-        for i, vector in zip(asking["query_id"], asking["vector"], strict=True):
+        for i, vector, within in zip(asking["query_id"], asking["vector"], asking["within"], strict=True):
             others = ids != i
             found, far = nearest(np.asarray(vector, np.float64), points[others], ids[others], k)
-            out.append(pd.DataFrame({"query_id": i, "vec_id": found, "score": far}))
-        return pd.concat(out)
+            near = far <= within
+            out.append((i, found[near], far[near]))
+        return found_rows(out)
 
     keys = ["leaf", "row_parts", "query_parts"]
     met = parts(visits, "query_parts", "row_parts", "query_id").groupBy(*keys).cogroup(parts(index.rows, "row_parts", "query_parts", "vec_id").groupBy(*keys))
+    return met.applyInPandas(compare, FOUND)
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = met.applyInPandas(compare, FOUND).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the k nearest found for ``queries`` (query_id, vector)."""
+    visits = materialise(planned_visits(index, queries, k), "visits")
+    anything = F.lit(float("inf"))
+    early = materialise(ranked(compared(index, visits.where(F.col("visit") <= FIRST).withColumn("within", anything), k), k), "early")
+    limits = early.where(F.col("rank") == k).select("query_id", F.col("score").alias("within"))
+    later = visits.where(F.col("visit") > FIRST).join(limits, "query_id", "left").withColumn("within", F.coalesce("within", anything))
+    return ranked(early.drop("rank").unionByName(compared(index, materialise(later, "later"), k)), k)
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", recall: float = RECALL) -> DataFrame:
