@@ -5,8 +5,14 @@ similar enough must agree on part of a prefix: a set of size n has at most n - o
 the least overlap that the threshold allows. Rare tokens are indexed one by one. Frequent tokens are indexed in
 pairs: they are dealt into small hash classes, and two common tokens of a class make a common pair. A class with
 c prefix tokens can lose c - 1 of them before no pair is left, so the prefix is extended until the rare tokens and
-the c - 1 of all classes exceed n - o; then at least one index key is shared. The number of classes follows the size
-of the set in powers of two, and a set whose partners may lie in two such bands has the keys of both.
+the c - 1 of all classes exceed n - o by ``spare(n)``; then at least one key more than that is shared. The number of
+classes follows the size of the set in powers of two, and a set whose partners may lie in two such bands has the keys
+of both.
+
+The spare keys prune without loss. A key of more than ``CROWD`` documents is crowded. A document whose crowded keys are
+fewer than its spare ones (three quarters of them, as partners may be smaller) shares another key with each of its
+partners, so its crowded keys are left out: passages that many otherwise different documents share make no candidates.
+And a candidate must share as many keys as are guaranteed, less those that may have been left out.
 
 Token frequencies come from a count sketch over all documents; it only decides the order, never a result. A
 token counts as frequent at ``4 * tokens / CELLS`` or more, so there are at most ``CELLS / 4`` frequent cells.
@@ -32,7 +38,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import keyed
 from clickloom.llm.components import connected_components
-from clickloom.llm.shingles import mixed, set_key, shingle_set
+from clickloom.llm.shingles import mixed, set_key, shingle_sets
 from clickloom.session import materialise
 
 CELL_BITS = 21
@@ -40,6 +46,8 @@ CELLS = 1 << CELL_BITS
 SLICES = 64
 PROFILE = "doc_id bigint, n int, k1 bigint, k2 bigint, slice int, counts binary"
 FLUSH = 1 << 20
+SPARE = 15  # keys beyond the least prefix, per hundred tokens
+CROWD = 16
 
 
 def cell_of(hashes: np.ndarray) -> np.ndarray:
@@ -53,8 +61,7 @@ def profile(docs: DataFrame, width: int) -> DataFrame:
         counts, waiting, held = np.zeros(CELLS, np.uint32), [], 0
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                hashes = shingle_set(text, width)
+            for doc_id, hashes in zip(batch["doc_id"], shingle_sets(batch["text"], width), strict=True):
                 rows.append((doc_id, len(hashes), *set_key(hashes)))
                 waiting.append(cell_of(hashes))
                 held += len(hashes)
@@ -94,10 +101,14 @@ def bands(n: int, percent: int) -> range:
     return range(int(math.log2(low)), int(math.log2(high)) + 1)
 
 
+def spare(n: int) -> int:
+    return n * SPARE // 100
+
+
 def index_keys(hashes: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
     """Index keys of a set; sets of one or two tokens have none, as only equal ones are similar to them."""
     n = len(hashes)
-    need = n - -(-n * percent // 100) + 1
+    need = n - -(-n * percent // 100) + 1 + spare(n)
     if n < 3:
         return hashes[:0]
     own = level[cell_of(hashes)]
@@ -129,8 +140,7 @@ def keys_of(docs: DataFrame, level: np.ndarray, width: int, percent: int) -> Dat
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids, sizes, keys, held = [], [], [], 0
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                hashes = shingle_set(text, width)
+            for doc_id, hashes in zip(batch["doc_id"], shingle_sets(batch["text"], width), strict=True):
                 found = index_keys(hashes, level, percent)
                 if len(found):
                     ids.append(np.full(len(found), doc_id, np.int64))
@@ -146,11 +156,11 @@ def keys_of(docs: DataFrame, level: np.ndarray, width: int, percent: int) -> Dat
     return docs.mapInPandas(run, "key bigint, doc_id bigint, n int")
 
 
-BUCKETS = "key bigint, doc_id bigint, n int, centre bigint, centre_n int"
+KEY_ROWS = "key bigint, doc_id bigint, n int"
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
-    """Rows of keys that several documents have, each with the first document of its key."""
+    """The rows of keys that several documents have."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # rows come sorted; of a key cut by the end of a batch only the first row is kept in mind
@@ -161,20 +171,45 @@ def shared_keys(keys: DataFrame) -> DataFrame:
             k, d, s = (batch[c].to_numpy() for c in ("key", "doc_id", "n"))
             starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
             lengths = np.diff(np.r_[starts, len(k)])
-            centre, centre_n = np.repeat(d[starts], lengths), np.repeat(s[starts], lengths)
             keep = np.repeat(lengths > 1, lengths)
             if k[0] == key:  # goes on
-                first = slice(0, int(lengths[0]))
-                centre[first], centre_n[first], keep[first] = doc, n, True
+                keep[: int(lengths[0])] = True
                 if not told:
-                    yield pd.DataFrame({"key": [key], "doc_id": [doc], "n": [n], "centre": [doc], "centre_n": [n]})
+                    yield pd.DataFrame({"key": [key], "doc_id": [doc], "n": [n]})
                 told = True
             if len(starts) > 1 or k[0] != key:
                 last = int(starts[-1])
                 key, doc, n, told = int(k[last]), int(d[last]), int(s[last]), bool(lengths[-1] > 1)
-            yield pd.DataFrame({"key": k[keep], "doc_id": d[keep], "n": s[keep], "centre": centre[keep], "centre_n": centre_n[keep]})
+            yield pd.DataFrame({"key": k[keep], "doc_id": d[keep], "n": s[keep]})
+
+    return keys.repartition("key").sortWithinPartitions("key", "doc_id").mapInPandas(run, KEY_ROWS)
+
+
+def spare_of(n: Column) -> Column:
+    return F.floor(n * SPARE / 100).cast("int")
 
-    return keys.repartition("key").sortWithinPartitions("key", "doc_id").mapInPandas(run, BUCKETS)
+
+def without_crowds(shared: DataFrame) -> DataFrame:
+    """(key, doc_id, n, gone): rows that candidates are made of.
+
+    Crowded keys of documents that can spare them are left out; ``gone`` is how many keys a document may lack for
+    that, null if it lacks none because it cannot spare them.
+    """
+    crowds = materialise(shared.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("key"), "crowds")
+    crowded = shared.join(crowds, "key", "left_semi")
+    counts = crowded.groupBy("doc_id").agg(F.count("*").cast("int").alias("gone"), F.max("n").alias("n"))
+    can = F.col("gone") <= F.floor(spare_of(F.col("n")) * 0.75) - 1
+    counts = materialise(counts.select("doc_id", F.when(can, F.col("gone")).alias("gone")), "crowd-counts")
+    uncrowded = shared.join(crowds, "key", "left_anti").join(counts.withColumn("_in", F.lit(True)), "doc_id", "left")
+    uncrowded = uncrowded.select("key", "doc_id", "n", F.when(F.col("_in"), F.col("gone")).otherwise(F.lit(0)).alias("gone"))
+    stuck = crowded.join(counts.where("gone is null").select("doc_id"), "doc_id", "left_semi")
+    return uncrowded.unionByName(stuck.withColumn("gone", F.lit(None).cast("int")))
+
+
+def enough_keys(found: Column, n: tuple[Column, Column], gone: tuple[Column, Column]) -> Column:
+    """Whether two documents share as many keys as similar ones must."""
+    lacking = F.coalesce(F.least(*gone), F.lit(0))  # a shared key is left out only if one of the two can spare it
+    return found >= 1 + F.least(*map(spare_of, n)) - lacking
 
 
 def size_fits(left: Column, right: Column, percent: int) -> Column:
@@ -188,7 +223,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
 
     @F.pandas_udf("binary")
     def sets(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t, width).tobytes() for t in texts], dtype=object)
+        return pd.Series([hashes.tobytes() for hashes in shingle_sets(texts, width)], dtype=object)
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -229,22 +264,33 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 75) -> Dat
     distinct = docs.join(copies, "doc_id", "left_anti")
 
     shared = materialise(shared_keys(keys_of(distinct, level, width, percent)), "shared-keys")
-    star = shared.where((F.col("doc_id") != F.col("centre")) & size_fits(F.col("n"), F.col("centre_n"), percent))
-    links = materialise(verified(star.select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), distinct, width, percent), "links")
+    rows = materialise(without_crowds(shared), "key-rows")
+    col = F.col
+    # every key proposes its smallest document with each other one; pairs that share enough keys are verified
+    centres = rows.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "n", "gone")).alias("m")).where("c > 1")
+    star = rows.join(centres.select("key", "m"), "key").where("doc_id > m.doc_id")
+    star = star.groupBy(col("m.doc_id").alias("a"), col("doc_id").alias("b")).agg(
+        F.count("*").alias("found"), *(F.first(c).alias(x) for c, x in (("m.n", "na"), ("n", "nb"), ("m.gone", "ga"), ("gone", "gb")))
+    )
+    likely = lambda df: df.where(
+        size_fits(col("na"), col("nb"), percent) & enough_keys(col("found"), (col("na"), col("nb")), (col("ga"), col("gb")))
+    ).select("a", "b")
+    links = materialise(verified(likely(star), distinct, width, percent), "links")
     classes = connected_components(links, "a", "b").withColumnRenamed("node", "doc_id")
 
-    # buckets that still hold several components: pairs across them, once for all keys with the same documents
-    placed = shared.join(classes, "doc_id", "left").select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
-    mixed_keys = placed.groupBy("key").agg(
+    # keys that still hold several components: pairs across them, counted once for all keys with the same documents
+    placed = rows.join(classes, "doc_id", "left").select("key", "doc_id", "n", "gone", F.coalesce("component", "doc_id").alias("component"))
+    several = placed.groupBy("key").agg(
         F.count("*").alias("c"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    mixed_keys = mixed_keys.where("low < high").groupBy("c", "x").agg(F.min("key").alias("key"))
-    placed = materialise(placed.join(mixed_keys.select("key"), "key", "left_semi"), "mixed")
+    several = several.where("low < high").groupBy("c", "x").agg(F.min("key").alias("key"), F.count("*").alias("times"))
+    placed = materialise(placed.join(several.select("key", "times"), "key"), "mixed")
     parts = placed.select("key", "component").distinct()
-    across = parts.select("key", F.col("component").alias("ca")).join(parts.select("key", F.col("component").alias("cb")), "key").where("ca < cb")
-    side = lambda c: placed.select("key", F.col("component").alias(f"c{c}"), F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"))
-    pairs = across.join(side("a"), ["key", "ca"]).join(side("b"), ["key", "cb"]).where(size_fits(F.col("na"), F.col("nb"), percent))
-    more = verified(pairs.select("a", "b").distinct(), distinct, width, percent)
+    across = parts.select("key", col("component").alias("ca")).join(parts.select("key", col("component").alias("cb")), "key").where("ca < cb")
+    side = lambda x, *more: placed.select("key", col("component").alias(f"c{x}"), col("doc_id").alias(x), col("n").alias(f"n{x}"), col("gone").alias(f"g{x}"), *more)
+    pairs = across.join(side("a", "times"), ["key", "ca"]).join(side("b"), ["key", "cb"]).where(size_fits(col("na"), col("nb"), percent))
+    pairs = pairs.groupBy("a", "b").agg(F.sum("times").alias("found"), *(F.first(c).alias(c) for c in ("na", "nb", "ga", "gb")))
+    more = verified(likely(pairs), distinct, width, percent)
     final = connected_components(links.unionByName(more), "a", "b")
 
     found = member.join(final.withColumnRenamed("node", "first"), "first", "left")
