@@ -90,15 +90,8 @@ UNION ALL SELECT 'keyword_article', count(*), 0, 0.0 FROM (SELECT DISTINCT web_i
     ),
 )
 def hot_report(spark, sf):
-    """Size and totals of every table of the report; the google share stands in for the last snapshot."""
-    named = articles(spark, sf).withColumn("keyword_list", F.split("keywords", ",")).drop("keywords")
-    stored = materialise(facts(spark, sf), "hourly-facts")
-    google = stored.where(F.col("source_domain") == "google search").groupBy("web_id", "date", "article_id")
-    last = google.agg(F.sum("pageviews").alias("pageviews")).join(named, ["web_id", "article_id"])
-    last_a = last.select("web_id", "date", "article_id", "pageviews")
-    spread = last.withColumn("keyword", F.explode("keyword_list"))
-    last_k = spread.groupBy("web_id", "date", "keyword").agg(F.sum("pageviews").alias("pageviews"))
-    tables = pageviews.hot_report(stored, named, last_k, last_a)
+    """Size and totals of every table of the report; the tables themselves follow."""
+    tables = report_tables(spark, sf)
     zero = F.lit(0).cast("long")
     sizes = [
         df.agg(
@@ -115,6 +108,118 @@ def hot_report(spark, sf):
     return out
 
 
+def report_tables(spark, sf):
+    """The report's tables; the google share stands in for the last snapshot."""
+    named = articles(spark, sf).withColumn("keyword_list", F.split("keywords", ",")).drop("keywords")
+    stored = materialise(facts(spark, sf), "hourly-facts")
+    google = stored.where(F.col("source_domain") == "google search").groupBy("web_id", "date", "article_id")
+    last = google.agg(F.sum("pageviews").alias("pageviews")).join(named, ["web_id", "article_id"])
+    last_a = last.select("web_id", "date", "article_id", "pageviews")
+    spread = last.withColumn("keyword", F.explode("keyword_list"))
+    last_k = spread.groupBy("web_id", "date", "keyword").agg(F.sum("pageviews").alias("pageviews"))
+    return pageviews.hot_report(stored, named, last_k, last_a)
+
+
+LAST_SQL = """lk AS (SELECT web_id, date, keyword, CAST(sum(pageviews) AS BIGINT) AS lv FROM krows WHERE source = 'google' GROUP BY 1, 2, 3),
+la AS (SELECT web_id, date, article_id, CAST(sum(pageviews) AS BIGINT) AS lv FROM arows WHERE source = 'google' GROUP BY 1, 2, 3)"""
+
+
+def _measure_sql(prefix):
+    return ", ".join(f"CAST(sum({prefix}{m}) AS BIGINT) AS {m}" for m in ("pageviews", "landings", "exits", "bounce", "time_on_page"))
+
+
+BY_SIDE = """CAST(sum(CASE WHEN NOT internal THEN pageviews ELSE 0 END) AS BIGINT) AS external_source_count,
+  CAST(sum(CASE WHEN internal THEN pageviews ELSE 0 END) AS BIGINT) AS internal_source_count"""
+
+
+@query(
+    "E2_keyword_table",
+    with_(
+        *ROWS_BASE, LAST_SQL,
+        f"""k AS (SELECT web_id, date, keyword, {_measure_sql('')}, {BY_SIDE}, arg_min(is_cut, (-pageviews, article_id, source_domain)) AS is_cut
+  FROM krows GROUP BY 1, 2, 3)""",
+        select="""SELECT k.*, COALESCE(lv, 0) AS pageviews_last, round(COALESCE(CAST(pageviews - lv AS DOUBLE) / lv, 0.0), 6) AS trend
+  FROM k LEFT JOIN lk USING (web_id, date, keyword)""",
+    ),
+)
+def report_keywords(spark, sf):
+    return report_tables(spark, sf)["keyword"].withColumn("trend", F.round("trend", 6))
+
+
+@query(
+    "E2_article_table",
+    with_(
+        *ROWS_BASE, LAST_SQL,
+        f"a AS (SELECT web_id, date, article_id, {_measure_sql('')}, {BY_SIDE}, any_value(title) AS title FROM arows GROUP BY 1, 2, 3)",
+        select="""SELECT a.*, COALESCE(lv, 0) AS pageviews_last, round(COALESCE(CAST(pageviews - lv AS DOUBLE) / pageviews * 100, 0.0), 6) AS trend
+  FROM a LEFT JOIN la USING (web_id, date, article_id)""",
+    ),
+)
+def report_articles(spark, sf):
+    return report_tables(spark, sf)["article"].withColumn("trend", F.round("trend", 6))
+
+
+@query(
+    "E2_keyword_by_source",
+    with_(*ROWS_BASE, select=f"SELECT web_id, date, source, keyword, {_measure_sql('')} FROM krows WHERE source IN {SOURCES_SQL} GROUP BY 1, 2, 3, 4"),
+)
+def report_keyword_sources(spark, sf):
+    return report_tables(spark, sf)["keyword_by_source"]
+
+
+@query(
+    "E2_article_by_source",
+    with_(*ROWS_BASE, select=f"SELECT web_id, date, source, article_id, {_measure_sql('')} FROM arows WHERE source IN {SOURCES_SQL} GROUP BY 1, 2, 3, 4"),
+)
+def report_article_sources(spark, sf):
+    return report_tables(spark, sf)["article_by_source"]
+
+
+def _domains_sql(rows, key):
+    named = ("google", "facebook", "yahoo", "xuite", "youtube", "line", "feed_related", "dcard", "ptt", "edm", "own")
+    listed = ", ".join(f"'{n}'" for n in named)
+    sums = ", ".join(f"CAST(sum(CASE WHEN b = '{n}' THEN pageviews ELSE 0 END) AS BIGINT) AS {n}" for n in ("internal", *named, "other"))
+    return f"""SELECT web_id, date, {key}, {sums}, CAST(sum(pageviews) AS BIGINT) AS pageviews FROM (SELECT *,
+  CASE WHEN internal THEN 'internal' WHEN source IN ({listed}) THEN source ELSE 'other' END AS b FROM {rows}) GROUP BY 1, 2, 3"""
+
+
+@query("E2_keyword_domains", with_(*ROWS_BASE, select=_domains_sql("krows", "keyword")))
+def report_keyword_domains(spark, sf):
+    return report_tables(spark, sf)["keyword_source_domain"]
+
+
+@query("E2_article_domains", with_(*ROWS_BASE, select=_domains_sql("arows", "article_id")))
+def report_article_domains(spark, sf):
+    return report_tables(spark, sf)["article_source_domain"]
+
+
+@query("E2_keyword_bridge", with_(*ROWS_BASE, select="SELECT DISTINCT web_id, date, keyword, article_id, is_cut FROM krows"))
+def report_keyword_bridge(spark, sf):
+    return report_tables(spark, sf)["keyword_article"]
+
+
+@query(
+    "E2_keyword_hours",
+    with_(
+        *ROWS_BASE[:4],
+        """hours AS (SELECT f.web_id, date, hour, pageviews, unnest(string_split(a.keywords, ',')) AS keyword FROM facts f JOIN articles a USING (web_id, article_id)),
+cum AS (SELECT *, CAST(sum(n) OVER (PARTITION BY web_id, keyword, date ORDER BY hour) AS BIGINT) AS pageviews
+  FROM (SELECT web_id, keyword, date, hour, sum(pageviews) AS n FROM hours GROUP BY ALL)),
+j AS (SELECT c.*, p.pageviews AS before FROM cum c LEFT JOIN cum p ON p.web_id = c.web_id AND p.keyword = c.keyword
+  AND p.date = c.date AND p.hour = c.hour - 1)""",
+        select="""SELECT web_id, keyword, date, hour, pageviews, CASE WHEN hour = 0 THEN pageviews
+  WHEN COALESCE(before, 0) = 0 AND COALESCE(pageviews - before, 0) = 0 THEN pageviews ELSE COALESCE(pageviews - before, 0) END AS pageviews_hour,
+  CAST(isodow(strptime(CAST(date AS VARCHAR), '%Y%m%d')) AS INTEGER) AS weekday FROM j""",
+    ),
+)
+def keyword_hours(spark, sf):
+    """Hour deltas per keyword, from the hourly fact with each article's keywords."""
+    named = articles(spark, sf).select("web_id", "article_id", F.explode(F.split("keywords", ",")).alias("keyword"))
+    hours = facts(spark, sf).join(named, ["web_id", "article_id"])
+    rows = pageviews.hourly_increase(hours, "keyword")
+    return rows.select("web_id", "keyword", "date", "hour", "pageviews", "pageviews_hour", F.col("weekday").cast("int").alias("weekday"))
+
+
 @query(
     "E2_hourly_increase",
     with_(
@@ -342,6 +447,42 @@ def article_metrics(spark, sf):
     return totals.join(every, ["types", "web_id"]).select("types", "web_id", "pageviews", "rated", "share", "date")
 
 
+@query(
+    "E11_article_rates",
+    with_(
+        *ROWS_BASE,
+        """wins(types, days) AS (VALUES ('yesterday', 1), ('week', 7), ('month', 30)),
+win AS (SELECT types, a.* FROM (SELECT *, strptime(CAST(date AS VARCHAR), '%Y%m%d')::DATE AS d FROM arows) a
+  JOIN wins ON d >= DATE '2024-01-31' - CAST(days AS INTEGER) AND d <= DATE '2024-01-31')""",
+        f"""dom AS (SELECT *, 'all' AS domain FROM win UNION ALL SELECT *, source AS domain FROM win WHERE source IN {SOURCES_SQL}),
+sums AS (SELECT types, web_id, domain, article_id, max(title) AS title, sum(pageviews) AS pv, sum(landings) AS la, sum(bounce) AS bo FROM dom GROUP BY 1, 2, 3, 4)""",
+        select="""SELECT types, web_id, domain, article_id, title, round(CAST(pv AS DOUBLE) / sum(pv) OVER (PARTITION BY types, web_id, domain), 8) AS total_pageviews_rate,
+  round(CAST(la AS DOUBLE) / pv, 8) AS total_landings_rate, round(CAST(bo AS DOUBLE) / pv, 8) AS total_bounce_rate, 20240131 AS published_time, 20240131 AS date FROM sums""",
+    ),
+)
+def article_rate_table(spark, sf):
+    published = docs(spark, sf).select("web_id", "article_id", F.lit(20240101).alias("published_time"))
+    rates = reporting.article_metrics(dated(article_rows(spark, sf)), published, TODAY)[0]
+    return rates.withColumns({n: F.round(n, 8) for n in ("total_pageviews_rate", "total_landings_rate", "total_bounce_rate")})
+
+
+@query(
+    "E11_article_ids",
+    with_(
+        *ROWS_BASE,
+        """wins(types, days) AS (VALUES ('yesterday', 1), ('week', 7), ('month', 30)),
+b AS (SELECT DISTINCT web_id, keyword, article_id, strptime(CAST(date AS VARCHAR), '%Y%m%d')::DATE AS d FROM krows),
+c AS (SELECT types, web_id, keyword, article_id, count(*) AS days FROM b
+  JOIN wins ON d >= DATE '2024-01-31' - CAST(wins.days AS INTEGER) AND d <= DATE '2024-01-31' GROUP BY 1, 2, 3, 4),
+t AS (SELECT types, web_id, keyword, CAST(sum(days) AS BIGINT) AS article_count FROM c GROUP BY 1, 2, 3)""",
+        select="SELECT c.*, article_count, 20240131 AS date FROM c JOIN t USING (types, web_id, keyword)",
+    ),
+)
+def article_id_table(spark, sf):
+    bridge = report_tables(spark, sf)["keyword_article"].select("web_id", "keyword", "article_id", "date")
+    return reporting.article_ids(dated(bridge), TODAY)
+
+
 @query(
     "E12_daily_ads",
     with_(
@@ -390,6 +531,33 @@ def console_tables(spark, sf):
     return page.unionByName(device)
 
 
+@query(
+    "E13_console_products",
+    """WITH c AS (SELECT regexp_extract(url, 'example\\.([a-z]+)', 1) AS web_id, 'q' || (page_id % 50) AS query, page_id AS clicks,
+  regexp_extract(lower(url), '/[a-z]{2}/([0-9]+)', 1) AS product_id FROM pages),
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY web_id, product_id ORDER BY clicks DESC, query) AS rk FROM c
+  WHERE clicks > 1 AND product_id <> '') WHERE rk = 1),
+alike AS (SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(min(l_suppkey) AS VARCHAR) AS sim1, CAST(max(l_suppkey) AS VARCHAR) AS sim2 FROM lineitem GROUP BY 1)
+SELECT web_id, query, product_id, clicks, sim1, sim2, CAST(row_number() OVER (PARTITION BY web_id ORDER BY clicks DESC, product_id) AS INTEGER) AS rank
+FROM one JOIN alike USING (product_id)""",
+)
+def console_products(spark, sf):
+    """Pages as a console report of three publishers, suppliers of a part as its similar products."""
+    console = table(spark, sf, "pages").select(
+        F.regexp_extract("url", r"example\.([a-z]+)", 1).alias("web_id"), F.concat(F.lit("q"), (F.col("page_id") % 50).cast("string")).alias("query"),
+        F.col("url").alias("page"), F.col("page_id").alias("clicks"),
+    )
+    publishers = console.select("web_id").distinct()
+    rules = publishers.select("web_id", F.lit("/[a-z]{2}/([0-9]+)").alias("pattern"), F.lit(1).alias("group"))
+    suppliers = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").cast("string").alias("product_id")).agg(
+        F.min("l_suppkey").cast("string").alias("sim1"), F.max("l_suppkey").cast("string").alias("sim2")
+    )
+    web_ids = F.array(F.lit("com"), F.lit("net"), F.lit("org"))
+    similar = suppliers.select(F.explode(web_ids).alias("web_id"), "product_id", "sim1", "sim2")
+    rows = reporting.console_products(console, rules, similar, DAY)
+    return rows.select("web_id", "query", "product_id", "clicks", "sim1", "sim2", F.col("rank").cast("int").alias("rank"))
+
+
 @query(
     "E14_new_keywords",
     """SELECT keyword_ask FROM (SELECT DISTINCT p_name AS keyword_ask FROM part UNION SELECT 'kw ' || c_custkey FROM customer)

@@ -16,16 +16,19 @@ from clickloom.operators.ranking import top_k
 
 NOT_FOUND = "xxx找不到xxx"
 
-Extractor = Callable[[DataFrame, str, Column, DataFrame | None], DataFrame]
+Tokens = Column | DataFrame
+Extractor = Callable[[DataFrame, str, Tokens, DataFrame | None], DataFrame]
 
 
-def explode_tokens(df: DataFrame, key: str, tokens: Column, stopwords: DataFrame | None = None, min_chars: int = 2) -> DataFrame:
+def explode_tokens(df: DataFrame, key: str, tokens: Tokens, stopwords: DataFrame | None = None, min_chars: int = 2) -> DataFrame:
     """(key, term, freq): term counts per document after short words and stopwords.
 
+    ``tokens`` is an array column of ``df`` or a frame (key, term) with a row per word, as :func:`han_terms` gives.
     Counting starts inside the map task that holds the document, so only its distinct terms travel;
     stopwords are dropped from those.
     """
-    words = df.select(key, F.explode(tokens).alias("term")).where(F.char_length("term") >= min_chars)
+    listed = tokens.select(key, "term") if isinstance(tokens, DataFrame) else df.select(key, F.explode(tokens).alias("term"))
+    words = listed.where(F.char_length("term") >= min_chars)
     counts = words.groupBy(key, "term").agg(F.count("*").alias("freq"))
     if stopwords is None:
         return counts
@@ -167,18 +170,34 @@ def frequent_phrases(df: DataFrame, key: str, tokens: Column, stopwords: DataFra
     return top_k(counted, [key], [F.desc("score"), F.asc("term")], k, rank="rank").select(key, "term", "rank")
 
 
-def frequent_words(df: DataFrame, key: str, tokens: Column, stopwords: DataFrame | None = None, k: int = 10) -> DataFrame:
+def frequent_words(df: DataFrame, key: str, tokens: Tokens, stopwords: DataFrame | None = None, k: int = 10) -> DataFrame:
     """Indonesian variant: the most frequent words that are no stopwords."""
     counted = explode_tokens(df, key, tokens, stopwords)
     return top_k(counted, [key], [F.desc("freq"), F.asc("term")], k, rank="rank").select(key, "term", "rank")
 
 
-def distinct_terms(df: DataFrame, key: str, tokens: Column, stopwords: DataFrame | None = None) -> DataFrame:
+def distinct_terms(df: DataFrame, key: str, tokens: Tokens, stopwords: DataFrame | None = None) -> DataFrame:
     """Vietnamese and Thai variant: every distinct word that is no stopword, in word order."""
     counted = explode_tokens(df, key, tokens, stopwords, min_chars=1)
     return counted.select(key, "term")
 
 
+def han_terms(df: DataFrame, key: str, text: str, dictionary: DataFrame) -> DataFrame:
+    """(key, term): the words of texts in Han script, cut by a dictionary (word, freq)."""
+    return segment(df, key, text, dictionary).select(key, F.col("word").alias("term"))
+
+
+def han_extractor(dictionary: DataFrame, text: str = "text", k: int = 10) -> Extractor:
+    """Chinese variant for the registry: the most frequent dictionary words of two characters and more."""
+    known = dictionary.select(F.lit("*").alias("web_id"), F.col("word").alias("keyword"))
+
+    def extract(df: DataFrame, key: str, tokens: Tokens, stopwords: DataFrame | None = None) -> DataFrame:
+        counted = in_dictionary(explode_tokens(df, key, han_terms(df, key, text, dictionary), stopwords), known)
+        return top_k(counted, [key], [F.desc("freq"), F.asc("term")], k, rank="rank").select(key, "term", "rank")
+
+    return extract
+
+
 # extractor per language code; a caller adds or replaces entries to plug in its own, ``*`` is for all others
 EXTRACTORS: dict[str, Extractor] = {
     "en": frequent_phrases,
@@ -190,7 +209,7 @@ EXTRACTORS: dict[str, Extractor] = {
 
 
 def keywords_by_language(
-    df: DataFrame, key: str, tokens: Column, stopwords: DataFrame | None = None, lang: str = "lang",
+    df: DataFrame, key: str, tokens: Tokens, stopwords: DataFrame | None = None, lang: str = "lang",
     extractors: Mapping[str, Extractor] = EXTRACTORS,
 ) -> DataFrame:
     """(key, term) of every document by the extractor of its language, or by the one of ``*``."""

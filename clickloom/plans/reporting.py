@@ -83,10 +83,10 @@ def load_trends(stored: DataFrame, landed: DataFrame) -> DataFrame:
     return upsert(stored, flatten_trends(landed).select(*stored.columns), ["keyword", "traffic", "date"])
 
 
-def corpus_idf(editorial: DataFrame, texts: DataFrame, tokens: Column) -> DataFrame:
+def corpus_idf(editorial: DataFrame, texts: DataFrame, tokens: keywords.Tokens) -> DataFrame:
     """IDF over keyword sets: editorial lists and the token sets of articles without one.
 
-    Both frames carry ``id``; ``editorial`` has ``keywords``.
+    Both frames carry ``id``; ``editorial`` has ``keywords``. ``tokens`` is an array column or a frame (id, term).
     """
     listed = editorial.select("id", F.explode(F.array_distinct(F.transform(F.split("keywords", ","), lambda k: F.trim(k)))).alias("term"))
     cut = keywords.clean_tokens(keywords.explode_tokens(texts, "id", tokens), "term").select("id", "term")

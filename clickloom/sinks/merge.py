@@ -92,6 +92,18 @@ def read_or_none(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
+def table_buckets(spark: SparkSession, root: str, wanted: int = BUCKETS) -> int:
+    """Hash buckets of the table at ``root``; a table that has none yet gets ``wanted`` and keeps them.
+
+    The number lies beside the rows in a folder that readers of the table skip.
+    """
+    stored = read_or_none(spark, f"{root}/_properties")
+    if stored is not None:
+        return stored.first()["buckets"]
+    spark.createDataFrame([(wanted,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{root}/_properties")
+    return wanted
+
+
 def merge_into(
     new: DataFrame,
     root: str,
@@ -106,22 +118,23 @@ def merge_into(
     ``new`` touches are read and rewritten, so a daily batch leaves older days alone. The merged
     rows are first written to the shared scratch folder: the table is never read while it is
     replaced, a failed replacement can be run again, and the same input twice gives the same table.
+    ``buckets`` counts when the table is made; choose it so that a partition's bucket fits a task. Rows are
+    clustered by bucket before they are written, so each has few files.
     """
     if not set(by) <= set(keys):
         raise ValueError("partition columns have to be part of the key")
     spark = new.sparkSession
     layout = [*by, "bucket"]
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(table_buckets(spark, root, buckets))).cast("int")
     fresh = materialise(new.withColumn("bucket", bucket), "merge-input")
     old = read_or_none(spark, root)
     merged = fresh
     if old is not None:
         old = old.select(*[F.col(f.name).cast(f.dataType) for f in fresh.schema.fields])
-        # partition values only: the few days of a batch, at most `buckets` integers
-        for name in layout:
-            old = old.where(F.col(name).isin([row[0] for row in fresh.select(name).distinct().collect()]))
+        # a join on partition columns: Spark prunes the partitions that the batch does not name
+        old = old.join(fresh.select(*layout).distinct(), layout, "left_semi").select(*fresh.columns)
         merged = materialise(upsert(old, fresh, [*keys, "bucket"], columns), "merged")
-    overwrite_partitions(merged, root, layout)
+    overwrite_partitions(merged.repartition(*layout), root, layout)
 
 
 def read_merged(spark: SparkSession, root: str) -> DataFrame:

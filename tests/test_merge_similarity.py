@@ -172,6 +172,16 @@ def test_trend_forms_and_hour_rule(spark):
     assert got == {0: 4, 1: 5, 3: 12}
 
 
+def test_table_keeps_its_buckets(spark, tmp_path):
+    root, kind = str(tmp_path / "t"), "day int, k long, v string"
+    merge.merge_into(spark.createDataFrame([(1, i, "a") for i in range(40)], kind), root, ["day", "k"], by=["day"], buckets=3)
+    merge.merge_into(spark.createDataFrame([(1, 5, "b"), (2, 5, "c")], kind), root, ["day", "k"], by=["day"], buckets=7)
+    rows = {(r.day, r.k): r.v for r in merge.read_merged(spark, root).collect()}
+    assert len(rows) == 41 and rows[1, 5] == "b" and rows[2, 5] == "c"
+    assert {r.bucket for r in spark.read.parquet(root).select("bucket").distinct().collect()} <= {0, 1, 2}
+    assert merge.table_buckets(spark, root, 9) == 3
+
+
 def test_keywords_of_very_many_articles(spark):
     """Beyond ten thousand articles a keyword is listed like any other."""
     hot = spark.range(12_000).select(F.lit("w").alias("web_id"), F.lit("hot").alias("keyword"), F.concat(F.lit("a"), "id").alias("article_id"), F.lit(dt.date(2024, 1, 30)).alias("date"))

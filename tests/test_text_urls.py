@@ -139,6 +139,35 @@ def test_segmenter_finds_the_most_probable_split(spark):
     assert [r.word for r in rows] == want
 
 
+def test_dictionary_words_may_be_long(spark):
+    word = "中華民國行政院環境保護署"
+    dictionary = spark.createDataFrame([(word, 3), ("中華", 9)], "word string, freq long")
+    df = spark.createDataFrame([(1, f"到{word}去")], "id long, text string")
+    assert [r.word for r in keywords.segment(df, "id", "text", dictionary).orderBy("word_no").collect()] == ["到", word, "去"]
+
+
+def test_han_texts_reach_keywords(spark):
+    freq = {"今天": 50, "天氣": 40, "很好": 20, "電影": 30, "好看": 10, "的": 99}
+    dictionary = spark.createDataFrame(list(freq.items()), "word string, freq long")
+    texts = {1: "今天天氣很好, 天氣!", 2: "電影好看的電影", 3: "今天的電影", 4: "plain words only", 5: ""}
+    df = spark.createDataFrame([(i, t, "zh" if i < 4 else "xx") for i, t in texts.items()], "id long, text string, lang string")
+    terms = keywords.explode_tokens(df, "id", keywords.han_terms(df, "id", "text", dictionary))
+    assert {(r.id, r.term): r.freq for r in terms.collect()} == {
+        (1, "今天"): 1, (1, "天氣"): 2, (1, "很好"): 1, (2, "電影"): 2, (2, "好看"): 1, (3, "今天"): 1, (3, "電影"): 1,
+    }
+    best = keywords.tfidf_keywords(terms, keywords.train_idf(terms), 1)
+    assert {r.id: r.term for r in best.collect()} == {1: "天氣", 2: "好看", 3: "今天"}
+    lists = keywords.keyword_lists(keywords.tfidf_keywords(terms, keywords.train_idf(terms), 2), "id", 2)
+    named = df.withColumn("keywords", F.lit("_"))
+    assert {r.id: len(r.keyword_list) for r in keywords.article_keywords(named, lists).collect()} == {1: 2, 2: 2, 3: 2, 4: 0, 5: 0}
+    extractors = keywords.EXTRACTORS | {"zh": keywords.han_extractor(dictionary)}
+    found = keywords.keywords_by_language(df, "id", tx.latin_tokens(F.col("text")), extractors=extractors).collect()
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r.id, set()).add(r.term)
+    assert by_id == {1: {"今天", "天氣", "很好"}, 2: {"電影", "好看"}, 3: {"今天", "電影"}, 4: {"plain", "words", "only"}}
+
+
 def test_glued_json_survives_bad_text(spark):
     texts = [
         ('{"a":1}{"a":2}',), ('"landing""landing"{"a":3}"landing"{"a":4}"landing"',), ("garbage",), ("",), ('{"a":5}',),
