@@ -9,17 +9,17 @@ the c - 1 of all classes exceed n - o by ``spare(n)``; then at least one key mor
 classes follows the size of the set in powers of two, and a set whose partners may lie in two such bands has the keys
 of both.
 
-The spare keys prune without loss. A key of more than ``CROWD`` documents is crowded. A document whose crowded keys are
-fewer than its spare ones (three quarters of them, as partners may be smaller) shares another key with each of its
-partners, so its crowded keys are left out: passages that many otherwise different documents share make no candidates.
-And a candidate must share as many keys as are guaranteed, less those that may have been left out.
+A candidate must share as many keys as are guaranteed. A document with enough rare tokens has no key of a frequent
+one, so passages that many otherwise different documents share make no candidates.
 
 Token frequencies come from a count sketch over all documents; it only decides the order, never a result. A
-token counts as frequent at ``4 * tokens / CELLS`` or more, so there are at most ``CELLS / 4`` frequent cells.
+token counts as frequent at ``4 * tokens / CELLS`` or more (``RARE`` at least), so there are at most ``CELLS / 4``
+frequent cells, and as the sketch never counts too little, no rare token has more documents than that.
 
 Equal sets are one representative. Candidates are verified on the whole sets. First every bucket of a key proposes
 its smallest member with each other one; then buckets that still hold several components propose the pairs across
-components. Pairs within a component change nothing and are never made.
+components. Pairs within a component change nothing and are never made. The first step is taken ``TURNS`` times, with
+another document of the bucket, so that few components are left for the second.
 
 Edge cases: null and empty texts and texts without words have an empty set and are linked with nothing; shorter texts
 are one element; rows without an id are left out; rows that repeat an id are one document with the smallest text.
@@ -41,24 +41,31 @@ from clickloom.llm.components import connected_components
 from clickloom.llm.shingles import mixed, set_key, shingle_sets
 from clickloom.session import materialise
 
-CELL_BITS = 21
+CELL_BITS = 24
 CELLS = 1 << CELL_BITS
 SLICES = 64
 PROFILE = "doc_id bigint, n int, k1 bigint, k2 bigint, slice int, counts binary"
 FLUSH = 1 << 20
-SPARE = 15  # keys beyond the least prefix, per hundred tokens
-CROWD = 16
+SPARE = 5  # keys beyond the least prefix, per hundred tokens
+RARE = 16
+MOST = (1 << 16) - 1
+TURNS = 4
 
 
 def cell_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int32)
 
 
 def profile(docs: DataFrame, width: int) -> DataFrame:
     """Per document its set's size and key; per task also the counts of all cells, in slices."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, waiting, held = np.zeros(CELLS, np.uint32), [], 0
+        counts, waiting, held = np.zeros(CELLS, np.uint16), [], 0
+
+        def add() -> None:
+            cells, times = np.unique(np.concatenate(waiting), return_counts=True)
+            counts[cells] = np.minimum(counts[cells] + times, MOST)
+
         for batch in batches:
             rows = []
             for doc_id, hashes in zip(batch["doc_id"], shingle_sets(batch["text"], width), strict=True):
@@ -66,11 +73,12 @@ def profile(docs: DataFrame, width: int) -> DataFrame:
                 waiting.append(cell_of(hashes))
                 held += len(hashes)
                 if held > FLUSH:
-                    counts += np.bincount(np.concatenate(waiting), minlength=CELLS).astype(np.uint32)
-                    waiting, held = [], 0
+                    add()
+                    waiting.clear()
+                    held = 0
             yield pd.DataFrame(rows, columns=["doc_id", "n", "k1", "k2"]).assign(slice=None, counts=None)
         if held:
-            counts += np.bincount(np.concatenate(waiting), minlength=CELLS).astype(np.uint32)
+            add()
         parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SLICES)] if counts.any() else []
         none = [None] * len(parts)
         yield pd.DataFrame({"doc_id": none, "n": none, "k1": none, "k2": none, "slice": range(len(parts)), "counts": parts})
@@ -80,17 +88,17 @@ def profile(docs: DataFrame, width: int) -> DataFrame:
 
 def levels(counts: DataFrame, tokens: int) -> np.ndarray:
     """Frequency class of every cell: 0 for rare, then one more for every doubling."""
-    least = max(16.0, 4 * tokens / CELLS)
+    least = max(float(RARE), 4 * tokens / CELLS)
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(CELLS // SLICES, np.int64)
         for part in rows["counts"]:
-            total += np.frombuffer(zlib.decompress(part), np.uint32)
+            total += np.frombuffer(zlib.decompress(part), np.uint16)
         level = np.where(total < least, 0, 1 + np.log2(np.maximum(total, 1) / least)).clip(0, 30).astype(np.uint8)
         return pd.DataFrame({"slice": [key[0]], "level": [level.tobytes()]})
 
     found = np.zeros((SLICES, CELLS // SLICES), np.uint8)
-    for row in counts.groupBy("slice").applyInPandas(add, "slice int, level binary").collect():  # 2 MB in all
+    for row in counts.groupBy("slice").applyInPandas(add, "slice int, level binary").collect():  # a byte a cell
         found[row["slice"]] = np.frombuffer(row["level"], np.uint8)
     return found.reshape(-1)
 
@@ -189,27 +197,9 @@ def spare_of(n: Column) -> Column:
     return F.floor(n * SPARE / 100).cast("int")
 
 
-def without_crowds(shared: DataFrame) -> DataFrame:
-    """(key, doc_id, n, gone): rows that candidates are made of.
-
-    Crowded keys of documents that can spare them are left out; ``gone`` is how many keys a document may lack for
-    that, null if it lacks none because it cannot spare them.
-    """
-    crowds = materialise(shared.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("key"), "crowds")
-    crowded = shared.join(crowds, "key", "left_semi")
-    counts = crowded.groupBy("doc_id").agg(F.count("*").cast("int").alias("gone"), F.max("n").alias("n"))
-    can = F.col("gone") <= F.floor(spare_of(F.col("n")) * 0.75) - 1
-    counts = materialise(counts.select("doc_id", F.when(can, F.col("gone")).alias("gone")), "crowd-counts")
-    uncrowded = shared.join(crowds, "key", "left_anti").join(counts.withColumn("_in", F.lit(True)), "doc_id", "left")
-    uncrowded = uncrowded.select("key", "doc_id", "n", F.when(F.col("_in"), F.col("gone")).otherwise(F.lit(0)).alias("gone"))
-    stuck = crowded.join(counts.where("gone is null").select("doc_id"), "doc_id", "left_semi")
-    return uncrowded.unionByName(stuck.withColumn("gone", F.lit(None).cast("int")))
-
-
-def enough_keys(found: Column, n: tuple[Column, Column], gone: tuple[Column, Column]) -> Column:
+def enough_keys(found: Column, *n: Column) -> Column:
     """Whether two documents share as many keys as similar ones must."""
-    lacking = F.coalesce(F.least(*gone), F.lit(0))  # a shared key is left out only if one of the two can spare it
-    return found >= 1 + F.least(*map(spare_of, n)) - lacking
+    return found >= 1 + F.least(*map(spare_of, n))
 
 
 def size_fits(left: Column, right: Column, percent: int) -> Column:
@@ -239,6 +229,42 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return both.where(similar("hashes_a", "hashes_b")).select("a", "b")
 
 
+def likely(pairs: DataFrame) -> DataFrame:
+    return pairs.where(enough_keys(F.col("found"), F.col("na"), F.col("nb"))).select("a", "b")
+
+
+def star_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Of every key one document with each of another component; another one in each turn."""
+    order = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
+    centres = placed.groupBy("key").agg(F.min(F.struct(order.alias("o"), "doc_id", "n", "component")).alias("m"))
+    col = F.col
+    star = placed.join(centres, "key").where((col("component") != col("m.component")) & size_fits(col("n"), col("m.n"), percent))
+    ends = (F.least("m.doc_id", "doc_id").alias("a"), F.greatest("m.doc_id", "doc_id").alias("b"))
+    # only the smaller of the two sizes matters here
+    return likely(star.groupBy(*ends).agg(F.sum("times").alias("found"), F.first("m.n").alias("na"), F.first("n").alias("nb")))
+
+
+def several_components(placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of keys that still hold several components; keys with the same documents become one, ``times`` as many."""
+    now = placed.drop("component").join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    now = now.select("key", "doc_id", "n", "times", F.coalesce("component", "doc_id").alias("component"))
+    keys = now.groupBy("key").agg(
+        F.count("*").alias("c"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.first("times").alias("t"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
+    )
+    keys = keys.where("low < high").groupBy("c", "x").agg(F.min("key").alias("key"), F.sum("t").alias("times"))
+    return materialise(now.drop("times").join(keys.select("key", "times"), "key"), "mixed")
+
+
+def cross_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """The pairs of a key's documents that are in different components."""
+    parts = placed.select("key", "component").distinct()
+    across = parts.select("key", F.col("component").alias("ca")).join(parts.select("key", F.col("component").alias("cb")), "key").where("ca < cb")
+    side = lambda x, *more: placed.select("key", F.col("component").alias(f"c{x}"), F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), *more)
+    pairs = across.join(side("a", "times"), ["key", "ca"]).join(side("b"), ["key", "cb"]).where(size_fits(F.col("na"), F.col("nb"), percent))
+    return likely(pairs.groupBy("a", "b").agg(F.sum("times").alias("found"), F.first("na").alias("na"), F.first("nb").alias("nb")))
+
+
 def similar_documents(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id) of all documents (doc_id, text).
 
@@ -264,33 +290,13 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 75) -> Dat
     distinct = docs.join(copies, "doc_id", "left_anti")
 
     shared = materialise(shared_keys(keys_of(distinct, level, width, percent)), "shared-keys")
-    rows = materialise(without_crowds(shared), "key-rows")
-    col = F.col
-    # every key proposes its smallest document with each other one; pairs that share enough keys are verified
-    centres = rows.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "n", "gone")).alias("m")).where("c > 1")
-    star = rows.join(centres.select("key", "m"), "key").where("doc_id > m.doc_id")
-    star = star.groupBy(col("m.doc_id").alias("a"), col("doc_id").alias("b")).agg(
-        F.count("*").alias("found"), *(F.first(c).alias(x) for c, x in (("m.n", "na"), ("n", "nb"), ("m.gone", "ga"), ("gone", "gb")))
-    )
-    likely = lambda df: df.where(
-        size_fits(col("na"), col("nb"), percent) & enough_keys(col("found"), (col("na"), col("nb")), (col("ga"), col("gb")))
-    ).select("a", "b")
-    links = materialise(verified(likely(star), distinct, width, percent), "links")
-    classes = connected_components(links, "a", "b").withColumnRenamed("node", "doc_id")
-
-    # keys that still hold several components: pairs across them, counted once for all keys with the same documents
-    placed = rows.join(classes, "doc_id", "left").select("key", "doc_id", "n", "gone", F.coalesce("component", "doc_id").alias("component"))
-    several = placed.groupBy("key").agg(
-        F.count("*").alias("c"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    several = several.where("low < high").groupBy("c", "x").agg(F.min("key").alias("key"), F.count("*").alias("times"))
-    placed = materialise(placed.join(several.select("key", "times"), "key"), "mixed")
-    parts = placed.select("key", "component").distinct()
-    across = parts.select("key", col("component").alias("ca")).join(parts.select("key", col("component").alias("cb")), "key").where("ca < cb")
-    side = lambda x, *more: placed.select("key", col("component").alias(f"c{x}"), col("doc_id").alias(x), col("n").alias(f"n{x}"), col("gone").alias(f"g{x}"), *more)
-    pairs = across.join(side("a", "times"), ["key", "ca"]).join(side("b"), ["key", "cb"]).where(size_fits(col("na"), col("nb"), percent))
-    pairs = pairs.groupBy("a", "b").agg(F.sum("times").alias("found"), *(F.first(c).alias(c) for c in ("na", "nb", "ga", "gb")))
-    more = verified(likely(pairs), distinct, width, percent)
+    placed = shared.select("*", F.lit(1).cast("long").alias("times"), F.col("doc_id").alias("component"))
+    links = None
+    for turn in range(TURNS):
+        found = verified(star_pairs(placed, turn, percent), distinct, width, percent)
+        links = materialise(found if links is None else links.unionByName(found), "links")
+        placed = several_components(placed, connected_components(links, "a", "b"))
+    more = verified(cross_pairs(placed, percent), distinct, width, percent)
     final = connected_components(links.unionByName(more), "a", "b")
 
     found = member.join(final.withColumnRenamed("node", "first"), "first", "left")

