@@ -46,11 +46,14 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(read(spark, sf_dir, "documents"))
 
 
+END_MARK = (1).to_bytes(4, "little")
+
+
 def end_marked_ids(docs: DataFrame) -> DataFrame:
     """(doc_id, ids): ids of the word vocabulary, then the end mark 1."""
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = keyed(docs, "doc_id").select("doc_id", tokens.token_ids(whole_text(), path).alias("ids"))
-    return docs.select("doc_id", F.concat("ids", F.lit((1).to_bytes(4, "little"))).alias("ids"))
+    return docs.select("doc_id", F.concat("ids", F.lit(END_MARK)).alias("ids"))
 
 
 def packed_documents(docs: DataFrame, capacity: int = 4096) -> DataFrame:
@@ -62,7 +65,13 @@ def packed_documents(docs: DataFrame, capacity: int = 4096) -> DataFrame:
 
 @query("op4_packed_token_rows")
 def op4_packed_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = materialise(token_output.pack_rows(end_marked_ids(read(spark, sf_dir, "documents"))), "token-rows")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = keyed(read(spark, sf_dir, "documents"), "doc_id").select("doc_id", whole_text().alias("text"))
+
+    def encode(text: object) -> bytes:
+        return tokens.tokenizer(path)(text) + END_MARK
+
+    rows = materialise(token_output.pack_rows(docs, content="text", encode=encode), "token-rows")
     return token_output.segments(rows).select(
         "doc_id", "piece", "start", "length", F.crc32("segment_ids").alias("ids_crc32"), "sequence_id", "offset"
     )

@@ -13,7 +13,7 @@ piece; null ids count as none; rows that repeat are packed each for itself; no d
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUFFER = 1 << 22
+BUFFER = 1 << 21
 ROWS = (
     "sequence_id bigint, ids binary, n_ids int, cu_seqlens array<int>, doc_ids array<bigint>, "
     "starts array<bigint>, pieces array<int>"
@@ -81,8 +81,13 @@ def pieces_of(doc_id: int, ids: np.ndarray, capacity: int) -> Iterator[tuple[int
         yield doc_id, start, piece, ids[start : start + capacity]
 
 
-def pack_rows(docs: DataFrame, capacity: int = 4096, pad: int = 0) -> DataFrame:
-    """Sequences of ``docs`` (doc_id, ids as little-endian unsigned 32-bit integers)."""
+def pack_rows(
+    docs: DataFrame, capacity: int = 4096, pad: int = 0, content: str = "ids", encode: Callable[[object], bytes] | None = None
+) -> DataFrame:
+    """Sequences of ``docs`` (doc_id, ``content``): ids as little-endian unsigned 32-bit integers.
+
+    ``encode`` makes ids of the content, say of a text, in the task that packs them.
+    """
 
     def emit(held: list, first: int) -> pd.DataFrame:
         rows = []
@@ -98,7 +103,7 @@ def pack_rows(docs: DataFrame, capacity: int = 4096, pad: int = 0) -> DataFrame:
         context = TaskContext.get()
         made, held, size = (context.partitionId() if context else 0) << 40, [], 0
         for batch in batches:
-            for doc_id, data in zip(batch["doc_id"], batch["ids"], strict=True):
+            for doc_id, data in zip(batch["doc_id"], map(encode, batch[content]) if encode else batch[content], strict=True):
                 for piece in pieces_of(doc_id, np.frombuffer(data or b"", "<u4"), capacity):
                     held.append(piece)
                     size += len(piece[3])
@@ -109,7 +114,7 @@ def pack_rows(docs: DataFrame, capacity: int = 4096, pad: int = 0) -> DataFrame:
         if held:
             yield emit(held, made)
 
-    return docs.select("doc_id", "ids").mapInPandas(run, ROWS)
+    return docs.select("doc_id", content).mapInPandas(run, ROWS)
 
 
 def segments(sequences: DataFrame) -> DataFrame:
