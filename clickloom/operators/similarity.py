@@ -2,7 +2,8 @@
 
 Pairs are never rows. Each side is packed into blocks of a bounded number of words, blocks meet by
 an equi join on their numbers, and one [arrow] step multiplies two blocks as matrices and returns only results that
-pass. Thresholds and bounds inside it are exact: nothing is sampled or capped.
+pass. Every block meets every other one of its key, so the work grows with the product of both sides. Thresholds and
+bounds inside a block pair are exact: nothing is sampled or capped.
 """
 
 from __future__ import annotations
