@@ -125,8 +125,8 @@ def index_keys(hashes: np.ndarray, level: np.ndarray, percent: int) -> np.ndarra
     if rare >= need:
         return hashes[:need]
     out, frequent = [hashes[:rare]], hashes[rare:]
-    for band in bands(n, percent):
-        classes = np.uint64(max(1, (1 << band) // 8))
+    for count in sorted({max(1, (1 << band) // 8) for band in bands(n, percent)}):  # small bands share one: no key twice
+        classes = np.uint64(count)
         class_of = (frequent >> np.uint64(7)) % classes
         again = np.ones(len(frequent), bool)
         again[np.unique(class_of, return_index=True)[1]] = False

@@ -178,6 +178,31 @@ def test_frequent_tokens_lose_no_link(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_families_of_short_texts_keep_their_buckets(spark, monkeypatch):
+    """Texts of 12 words; a family's smallest id is unlike the rest, but in all of their buckets, as many rows each."""
+    level, rows = np.full(ngram_join.CELLS, 2, np.uint8), []
+    for f in range(6):
+        words = lambda n, m=9: [f"f{f}m{m}w{i}" for i in range(n)]  # noqa: B023, E731
+        base = words(12)
+        level[ngram_join.cell_of(shingle_set(" ".join(base[:8])))] = 1  # the four shingles that the smallest id shares come first
+        rows.append((100 * f, " ".join(base[:8] + words(4, 0))))
+        rows += [(100 * f + m, " ".join(base[:11] + words(1, m))) for m in (1, 2, 3)]  # 7 of 9 shingles in common
+    monkeypatch.setattr(ngram_join, "levels", lambda counts, tokens: level)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_documents(docs).collect()}
+    want = brute_components(rows)
+    assert got == want and len({c for _, c in want.values()}) == 12
+
+
+def test_index_keys_are_distinct():
+    rng = np.random.default_rng(6)
+    for frequent in (0.5, 1.0):
+        level = (rng.random(ngram_join.CELLS) < frequent).astype(np.uint8)
+        for n in range(1, 200):
+            keys = ngram_join.index_keys(np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)), level, 75)
+            assert len(np.unique(keys)) == len(keys), n
+
+
 def test_repeated_ids_and_no_rows(spark):
     rows = [(1, "a b c d e f g"), (1, "z y x w v u"), (2, "z y x w v u"), (3, "a b c d e f g")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
