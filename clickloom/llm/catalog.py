@@ -151,17 +151,17 @@ def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_winnowing")
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = winnow.edited_pairs(read(spark, sf_dir, "documents"))
-    rows = winnow.with_fingerprint(pairs, "edited", "edited_entries").select(
+    rows = winnow.with_char_fingerprint(pairs, "edited", "edited_entries").select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        "entries", "edited_entries",
-        *(winnow.hashes(F.col(c)).alias(f"_{c}") for c in ("entries", "edited_entries", "next_entries")),
+        "entries", "edited_entries", F.col("next_hashes").alias("_next"),
+        *(winnow.hashes(F.col(c)).cast("array<int>").alias(f"_{c}") for c in ("entries", "edited_entries")),
     )
     return rows.select(
         "doc_id", "n_chars", "edited_sha256",
         winnow.readable(F.col("entries")).alias("fingerprint"),
         winnow.readable(F.col("edited_entries")).alias("edited_fingerprint"),
         winnow.likeness(F.col("_entries"), F.col("_edited_entries")).alias("near_edited"),
-        winnow.likeness(F.col("_entries"), F.col("_next_entries")).alias("near_next"),
+        winnow.likeness(F.col("_entries"), F.col("_next")).alias("near_next"),
     )
 
 

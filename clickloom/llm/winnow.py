@@ -1,14 +1,17 @@
 """Document fingerprints by winnowing, with column expressions only.
 
-Hashes of all runs of ``GRAM`` words are made by doubling (a run of two from two words, a run of four from two
-runs of two). In every window of ``WINDOW`` consecutive runs the smallest hash is kept, the rightmost of equal
-ones; neighbouring windows mostly keep the same. Any passage of ``GRAM + WINDOW - 1`` words that two texts share
-leaves a common hash in both. Window minima are made by doubling as well, so the work per word does not depend
-on the length of a text or a window. A fingerprint entry is one long: 31 bits of the hash above the inverted place
-of the run, so that the smaller of two entries is the smaller hash or, among equal hashes, the one further right.
-
-Edge cases: null counts as empty; a text without words has an empty fingerprint; one with fewer than ``GRAM`` words
-is one run, one with fewer than ``WINDOW`` runs one window. Equal texts have equal fingerprints. Rows without an
+Hashes of all runs of ``CHARS`` characters (code points, white space as one blank each) are made; in every window of
+``SPAN`` consecutive runs the smallest hash is kept, the rightmost of equal ones; neighbouring windows mostly keep the
+same. Any passage of ``CHARS + SPAN - 1`` characters that two texts share leaves a common hash in both, whether or not
+there are words. Window minima are made by doubling (of two runs, of four, ..), so the work per character does not
+depend on the length of a text or a window. A fingerprint entry is one long: 31 bits of the hash above the inverted
+place of the run, so that the smaller of two entries is the smaller hash or, among equal hashes, the one further right.
+
+``with_fingerprint`` does the same with runs of ``GRAM`` words in windows of ``WINDOW``: coarser, an eighth as many
+entries or fewer, and of little use for texts under 20 words.
+
+Edge cases: null counts as empty; a text of white space only has an empty fingerprint; one shorter than a run is
+one run, one with fewer runs than a window one window. Equal texts have equal fingerprints. Rows without an
 id are left out. Several rows of one id are each compared with the same next document, the next larger id; of that
 id's rows the smallest text counts. The document after the last one is the first.
 """
@@ -23,6 +26,8 @@ from clickloom.session import materialise
 
 GRAM = 4
 WINDOW = 16
+CHARS = 8
+SPAN = 8
 SPACE = r"[\x20\x09-\x0D]+"
 PLACES = (1 << 32) - 1
 
@@ -43,13 +48,33 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         df = df.select(*keep, _pairs("_a", step, lambda a, b: F.xxhash64(a, b)).alias("_a"))
         step *= 2
     runs = F.slice("_a", F.lit(1), F.greatest(F.size("_a") - (GRAM - 1), F.lit(1)))
-    entry = lambda h, i: F.shiftleft(h.bitwiseAND(0x7FFFFFFF), 32) + (F.lit(PLACES) - i)
-    df = df.select(*keep, F.transform(runs, entry).alias("_a"))
+    return _window_minima(df.select(*keep, F.transform(runs, _entry).alias("_a")), keep, WINDOW, out)
+
+
+def with_char_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` plus ``out``, the array of fingerprint entries of the column ``text`` by place, from runs of characters."""
+    keep = [c for c in df.columns if c != out]
+    plain = F.trim(F.regexp_replace(F.col(text), SPACE, " "))
+    # four bytes a character, so that every run is cut out in the same time
+    df = df.select(*df.columns, F.encode(plain, "UTF-32").alias("_b"))
+    last = F.greatest((F.octet_length("_b") / 4).cast("int") - CHARS, F.lit(0))
+    cut = lambda b: F.transform(F.sequence(F.lit(0), last), lambda i: _entry(F.xxhash64(F.substring(b, 4 * i + 1, F.lit(4 * CHARS))), i))
+    # as a lambda's variable the bytes are held; read from the row they would be copied for every run
+    some = F.when(F.octet_length("_b") > 0, F.transform(F.array("_b"), cut)[0]).otherwise(F.array().cast("array<bigint>"))
+    return _window_minima(df.select(*keep, some.alias("_a")), keep, SPAN, out)
+
+
+def _entry(h: Column, i: Column) -> Column:
+    return F.shiftleft(h.bitwiseAND(0x7FFFFFFF), 32) + (F.lit(PLACES) - i)
+
+
+def _window_minima(df: DataFrame, keep: list[str], window: int, out: str) -> DataFrame:
+    """``keep`` and ``out``: the distinct minima of all windows of the entries ``_a``; ``window`` is a power of two."""
     step = 1
-    while step < WINDOW:
+    while step < window:
         df = df.select(*keep, _pairs("_a", step, lambda a, b: F.least(a, b)).alias("_a"))
         step *= 2
-    kept = F.array_distinct(F.slice("_a", F.lit(1), F.greatest(F.size("_a") - (WINDOW - 1), F.lit(1))))
+    kept = F.array_distinct(F.slice("_a", F.lit(1), F.greatest(F.size("_a") - (window - 1), F.lit(1))))
     return df.select(*keep, kept.alias(out))
 
 
@@ -85,22 +110,22 @@ def successors(keys: DataFrame, key: str) -> DataFrame:
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, entries, edited, next_entries): each text beside its edited form and the next document's entries."""
+    """(doc_id, text, entries, edited, next_hashes): each text beside its edited form and the next document's hashes."""
     docs = keyed(docs, "doc_id").select("doc_id", whole_text().alias("text"))
     tail = F.floor(F.length("text") / 4).cast("int")
     order = successors(docs.groupBy("doc_id").agg(F.max(tail).alias("need")), "doc_id")
     order = order.select(F.col("doc_id").alias("before"), "need", F.col("next_key").alias("doc_id"))
-    marked = with_fingerprint(docs, "text", "entries")
-    # both joins deal the same rows by doc_id, so the texts are shuffled once
+    # both joins deal the same rows by doc_id, so the texts are shuffled once; entries are made anew, as they are larger than texts
+    following = with_char_fingerprint(docs.join(order, "doc_id"), "text", "entries")
+    head = F.substring("text", F.lit(1), F.col("need")).alias("head")
     heads = (
-        marked.join(order, "doc_id")
-        .select(F.col("before").alias("doc_id"), F.struct(F.substring("text", F.lit(1), F.col("need")).alias("head"), "entries").alias("next"))
+        following.select(F.col("before").alias("doc_id"), F.struct(head, F.array_distinct(hashes(F.col("entries")).cast("array<int>")).alias("hashes")).alias("next"))
         .groupBy("doc_id")
         .agg(F.min("next").alias("next"))
     )
     kept = F.substring("text", F.lit(1), F.length("text") - tail)
-    return marked.join(heads, "doc_id").select(
+    return with_char_fingerprint(docs.join(heads, "doc_id"), "text", "entries").select(
         "doc_id", "text", "entries",
         F.concat(kept, F.substring("next.head", F.lit(1), tail)).alias("edited"),
-        F.col("next.entries").alias("next_entries"),
+        F.col("next.hashes").alias("next_hashes"),
     )

@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from clickloom.llm import ngram_join, quality, secrets, winnow
+from clickloom.llm.catalog import QUERIES
 from clickloom.llm.components import connected_components
 from clickloom.llm.shingles import shingle_set
 
@@ -98,6 +99,30 @@ def test_shared_passage_leaves_a_common_hash(spark):
     assert sets[0] & sets[1] & sets[2]
 
 
+def test_char_fingerprints_follow_the_definition(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abc é日🙂 \t\n") for _ in range(n)) for n in (1, 2, 7, 8, 9, 14, 15, 16, 17, 60, 700)] + ["", " \n", "aaaaaaaaaaaaaaaaaaaaaaaaaaaa", "é" * 40]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["fp"] for r in winnow.with_char_fingerprint(rows, "text", "fp").collect()}
+    for i, text in enumerate(texts):
+        plain = re.sub(r"[\x20\x09-\x0D]+", " ", text).strip(" ")
+        runs = [plain[j : j + winnow.CHARS] for j in range(max(1, len(plain) - winnow.CHARS + 1))] if plain else []
+        low = [xxhash.xxh64_intdigest(r.encode("utf-32-be"), 42) & 0x7FFFFFFF for r in runs]
+        windows = [low[j : j + winnow.SPAN] for j in range(max(1, len(low) - winnow.SPAN + 1))] if low else []
+        kept = sorted({j + max(k for k, h in enumerate(w) if h == min(w)) for j, w in enumerate(windows)})
+        assert [(e >> 32, winnow.PLACES - (e & winnow.PLACES)) for e in got[i]] == [(low[p], p) for p in kept], text
+
+
+def test_short_and_unspaced_texts_stay_near_their_edited_form(spark, tmp_path):
+    rng = random.Random(10)
+    word = lambda letters="abcdefghijklmnop": "".join(rng.choice(letters) for _ in range(rng.randint(4, 8)))
+    texts = [" ".join(word() for _ in range(n)) for n in range(5, 21) for _ in range(3)]
+    texts += ["".join(word(letters) for _ in range(n)) for n in (5, 8, 20, 60) for letters in ("abcdefghijklmnop", "日本語文章中国人大小上下左右")]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op10_winnowing"](spark, str(tmp_path)).collect()
+    assert len(found) == len(texts) and all(r["near_edited"] > r["near_next"] for r in found)
+
+
 def test_edited_texts(spark):
     texts = {3: "abcdefgh", 1: "0123456789abcdef", 7: None, 9: "é", 12: "xy z " * 50, 13: "w"}
     docs = spark.createDataFrame([*texts.items(), (None, "left out")], "doc_id long, text string").withColumn("next", F.lit(1)).repartition(5)
