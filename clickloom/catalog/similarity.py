@@ -170,7 +170,7 @@ def edit_distances(spark, sf):
 
 @query("X13_cluster_items")
 def cluster_items(spark, sf):
-    rows, _ = ml.cluster_items(table(spark, sf, "embeddings"), "embedding", dims=10, k_range=range(10, 13))
+    rows, _ = ml.cluster_items(table(spark, sf, "embeddings"), "embedding", dims=10)
     return rows.select("vec_id", F.col("cluster").cast("long").alias("cluster"))
 
 

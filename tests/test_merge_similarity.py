@@ -1,6 +1,7 @@
 """Upserts, block similarity and forecasts against brute force."""
 
 import datetime as dt
+import inspect
 import random
 
 import numpy as np
@@ -217,3 +218,20 @@ def test_clusters_are_reproducible(spark):
     assert set(bics) == {2, 3} and out.count() == 80
     groups = {(r.id % 2, r.cluster) for r in out.collect()}
     assert len(groups) >= 2
+
+
+def test_registered_clusters_try_every_count(spark, monkeypatch):
+    from clickloom.catalog import similarity as queries
+
+    real, seen = inspect.signature(ml.cluster_items), []
+    df = spark.createDataFrame([(1, 0)], "vec_id long, cluster int")
+
+    def record(*args, **named):
+        bound = real.bind(*args, **named)
+        bound.apply_defaults()
+        seen.extend(bound.arguments["k_range"])
+        return df, {}
+
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    monkeypatch.setattr(ml, "cluster_items", record)
+    assert queries.cluster_items(spark, "").count() == 1 and seen == list(range(10, 30))
