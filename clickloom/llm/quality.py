@@ -27,6 +27,7 @@ from clickloom.llm.common import keyed
 
 TRAIN_ROWS = 4000
 TRAIN_BYTES = 1 << 16
+UNKNOWN = 0.5  # score of every text if there is nothing to learn from
 KEEP = 0.7  # texts that score less are rejected
 DEPTH, WIDTH, STEP, FILTERS, HIDDEN, BLOCK = 4, 8, 4, 32, 16, 256
 WINDOWS = BLOCK // STEP
@@ -184,8 +185,10 @@ def held_out(key: Column) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
     """At most TRAIN_ROWS rows (text, quality) of labelled documents that are not held out."""
     known = keyed(labels, "doc_id").where(~held_out(F.col("doc_id")) & F.col("quality").isNotNull())
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * TRAIN_ROWS)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= TRAIN_BYTES)
+    # labels of documents that are not here don't count towards the sample
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).join(rows.select("doc_id"), "doc_id", "left_semi")
+    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * TRAIN_ROWS)
     rows = rows.join(known, "doc_id").select(F.xxhash64("doc_id", "text").alias("h"), "text", "quality")
     return rows.orderBy("h", "text").limit(TRAIN_ROWS).toPandas()
 
@@ -194,7 +197,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> Network | float:
     """The network, or a constant score if the labels are of one kind."""
     rows = training_rows(docs, labels)
     if rows.empty:
-        return 0.5
+        return UNKNOWN
     share = float(rows["quality"].mean())
     return fit(rows["text"].tolist(), rows["quality"].to_numpy()) if 0 < share < 1 else share
 

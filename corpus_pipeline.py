@@ -16,8 +16,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from the labels beside the documents."""
+    """Documents that the quality classifier accepts; it learns from the labels beside the documents.
+
+    Without a label of any of them all are kept.
+    """
     model = quality.trained(docs, read(spark, sf_dir, "labels"))
+    if model == quality.UNKNOWN:
+        return docs
     return docs.where(quality.score(F.col("text"), model) >= quality.KEEP)
 
 

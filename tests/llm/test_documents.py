@@ -8,6 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from clickloom.llm import ngram_join, quality, secrets, winnow
 from clickloom.llm.catalog import QUERIES
 from clickloom.llm.components import connected_components
@@ -264,6 +265,16 @@ def test_classifier_learns_and_scores_all(spark):
     assert quality.trained(docs, labels.where("quality = 1")) == 1.0
 
 
+def test_labels_of_absent_documents_take_no_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 5)
+    labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    last = labels.where(~quality.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id").desc()).limit(20)
+    docs = spark.createDataFrame([(r["doc_id"], "a text") for r in last.collect()], "doc_id long, text string")
+    assert len(quality.training_rows(docs, labels)) == 5
+    labels.where("doc_id < 0").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.keep_quality(spark, docs, str(tmp_path)).count() == 20
+
+
 def test_classifier_gradients():
     net, texts, target = quality.Network.fresh(3), ["the of and " * 60, "### $$", ""], np.array([1, 0, 1], np.float32)
 
