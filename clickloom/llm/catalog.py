@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, bpe, ngram_join, packing, quality, secrets, token_output, tokens, url_filter, warc, winnow
+from clickloom.llm import ann, bpe, middle, ngram_join, packing, quality, secrets, spelling, token_output, tokens, url_filter, warc, winnow
 from clickloom.llm.common import keyed, read, whole_text
 from clickloom.session import materialise
 
@@ -173,3 +173,40 @@ def op2_kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_shingle_jaccard_join")
 def op6_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(read(spark, sf_dir, "documents"))
+
+
+@query("op11_letter_count_variants")
+def op11_letter_count_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = keyed(read(spark, sf_dir, "documents"), "doc_id")
+    return spelling.variant_groups(spelling.corpus_words(docs, F.col("text"), F.col("doc_id")))
+
+
+MIDDLE_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS s FROM documents WHERE doc_id IS NOT NULL),
+u AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units,
+         list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(s, CAST(i AS INTEGER), 8) AS BIGINT)) AS h FROM d),
+c AS (
+  SELECT *, len(units) AS n, least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS a,
+         greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS b FROM u),
+p AS (
+  SELECT doc_id, text, n, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:n], '') AS suffix,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p"""
+
+
+@query("op12_fill_in_middle", MIDDLE_SQL)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = keyed(read(spark, sf_dir, "documents"), "doc_id")
+    cut = docs.select("doc_id", middle.fill_in_middle(F.col("text"), F.col("doc_id")).alias("cut")).select("doc_id", "cut.*")
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(middle.restore(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
