@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, bpe, middle, ngram_join, packing, quality, secrets, spelling, token_output, tokens, url_filter, warc, winnow
+from clickloom.llm import ann, bpe, language_model, middle, ngram_join, packing, quality, secrets, spelling, token_output, tokens, url_filter, warc, winnow
 from clickloom.llm.common import keyed, read, whole_text
 from clickloom.session import materialise
 
@@ -210,3 +210,9 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(middle.restore(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@query("op13_recurrent_scores")
+def op13_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = keyed(read(spark, sf_dir, "documents"), "doc_id")
+    return language_model.document_scores(docs, F.col("text"), F.col("doc_id"))
