@@ -19,6 +19,7 @@ from dataclasses import dataclass, fields
 import numpy as np
 
 UNITS, STEPS, LANES, RATE = 24, 32, 128, 0.06
+CALM = 1e-6
 TINY = np.float32(1e-37)
 PAD = np.float32(-1e9)  # bias of places in the last class that no symbol has
 
@@ -262,14 +263,14 @@ def train(w: Weights, documents: list[np.ndarray], end: int, lanes: int = LANES,
         return w
     batch = Batch.of(documents, lanes, seed=17)
     back = Weights(*(np.zeros_like(a) for a in w.arrays()))
-    power = [np.full(a.shape, 1e-6, np.float32) for a in w.arrays()]
+    power = [np.full(a.shape, CALM, np.float32) for a in w.arrays()]
     h = np.zeros((batch.symbol.shape[1], w.units), np.float32)
     depth = len(batch.symbol)
+    share = np.float32(1 / (steps * batch.symbol.shape[1]))  # where few lanes still run, they count for less
     for span, running in batch.windows(steps):
         now = np.float32(rate * (1 - span.start / depth))
         last, used, pull = gradients(w, batch, span, running, end, h, back)
         h[:running] = last
-        share = np.float32(1 / max(1, int((batch.owner[span, :running] >= 0).sum())))
         pull *= share
         power[0][used] += pull * pull
         w.inputs[used] += now * pull / np.sqrt(power[0][used])
