@@ -192,9 +192,10 @@ def coded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
                     len(words) + 1, len(at) + (vocab.end_log > 0), vocab.log_count[at].sum() + vocab.end_log,
                     vocab.in_group[at].sum() - vocab.group_log[groups].sum(), np.concatenate([symbols, end]).astype("<u2").tobytes(), others,
                 ))
-            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.string())]
-            found = [[[w.decode() for w in c] for c in col] if k == 5 else col for k, col in enumerate(zip(*rows, strict=True))] if rows else [[]] * 6
+            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary())]
+            found = zip(*rows, strict=True) if rows else [()] * len(types)
             arrays = [pa.array(list(col), t) for col, t in zip(found, types, strict=True)]
+            arrays[-1] = arrays[-1].cast(pa.list_(pa.string()))
             names = [f.name for f in kept]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + arrays, [*names, *(f.split()[0] for f in CODED.split(", "))])
 

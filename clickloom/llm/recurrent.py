@@ -18,8 +18,9 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 
-UNITS, STEPS, LANES, RATE = 24, 32, 128, 0.06
-CALM = 1e-6
+UNITS, STEPS, LANES, RATE = 24, 32, 192, 0.06
+CALM = 1e-6  # what squared gradients begin at
+SAFE = 75.0  # e to this power, a few hundred times, is a float
 TINY = np.float32(1e-37)
 PAD = np.float32(-1e9)  # bias of places in the last class that no symbol has
 
@@ -150,7 +151,7 @@ def run_window(w: Weights, batch: Batch, span: slice, lanes: int, end: int, carr
     before[0] = batch.symbol[span.start - 1, :lanes] if span.start else end
     before[first] = end
     keep = (~first).astype(np.float32)[:, :, None]
-    moves = w.inputs[before]
+    moves = w.inputs.take(before, 0)
     gate, candidate, found, out = (np.empty((steps, lanes, units), np.float32) for _ in range(4))
     h = carried[:lanes]
     for t in range(steps):
@@ -169,13 +170,19 @@ def run_window(w: Weights, batch: Batch, span: slice, lanes: int, end: int, carr
     return Window(before, found, gate, candidate, out, keep)
 
 
-def softmax_parts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials of each row below its largest value, in place, and their sums."""
-    x -= x.max(1, keepdims=True)
+def softmax_parts(x: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of each row and their sums, in place; of what is below the row's largest value if the bound could overflow."""
+    if bound > SAFE:
+        x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
     return x, x @ np.ones(x.shape[1], np.float32)
 
 
+def largest(factors: np.ndarray, bias: np.ndarray) -> float:
+    """No value of states between -1 and 1 is further from zero, but for places without a symbol."""
+    return float((np.abs(factors).sum(-2) + np.where(bias > PAD, np.abs(bias), 0)).max())
+
+
 def pulls(parts: np.ndarray, sums: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Gradients of the log probabilities at the given places with respect to the values, in place."""
     parts *= (-1 / sums)[:, None]
@@ -193,13 +200,13 @@ def predict(w: Weights, states: np.ndarray, symbols: np.ndarray, back: Weights |
     rows = np.arange(len(states))
     values = states @ w.classes
     values += w.class_bias
-    parts, sums = softmax_parts(values)
+    parts, sums = softmax_parts(values, largest(w.classes, w.class_bias))
     p = parts[rows, kinds] / sums
     inside = np.empty((len(states), w.places), np.float32)
     for k, span in blocks:
         np.matmul(states[span], w.words[k], out=inside[span])
         inside[span] += w.word_bias[k]
-    inside, inner = softmax_parts(inside)
+    inside, inner = softmax_parts(inside, largest(w.words, w.word_bias))
     q = inside[rows, places] / inner
     logp = np.empty(len(states), np.float32)
     logp[order] = np.log(np.maximum(p, TINY)) + np.log(np.maximum(q, TINY))
@@ -281,7 +288,7 @@ def train(w: Weights, documents: list[np.ndarray], end: int, lanes: int = LANES,
     return w
 
 
-def log_likelihoods(w: Weights, documents: list[np.ndarray], end: int, lanes: int = 4 * LANES, steps: int = STEPS) -> np.ndarray:
+def log_likelihoods(w: Weights, documents: list[np.ndarray], end: int, lanes: int = 512, steps: int = STEPS) -> np.ndarray:
     """Natural log probability of each whole document."""
     total = np.zeros(len(documents))
     if not documents:
