@@ -1,14 +1,15 @@
 """Keyword, catalogue and ad similarity.
 
-Pairs are never rows. Each side is packed into blocks of a bounded number of words, blocks meet by
-an equi join on their numbers, and one [arrow] step multiplies two blocks as matrices and returns only results that
-pass. Every block meets every other one of its key, so the work grows with the product of both sides. Thresholds and
-bounds inside a block pair are exact: nothing is sampled or capped.
+Pairs are never rows. Each side is packed into blocks of a bounded number of words, and one [arrow] step multiplies
+two blocks as matrices and returns only results that pass. Blocks are balls of near vectors (``balls``): with a
+threshold, or a floor from the block's own cell for the best k, pairs of blocks that can't pass never meet. Ads are
+scored over all words of an article, so there every block meets every other one. Thresholds and bounds are exact:
+nothing is sampled or capped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +20,11 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.edits import edit_distance
 from clickloom.functions.text import strip_symbols, without_term
+from clickloom.operators.balls import BLOCK, BallIndex
 from clickloom.operators.joins import salted_join
 from clickloom.operators.ranking import keep_first, top_k
+from clickloom.session import materialise
 
-BLOCK = 256
 # fixed values: weights and thresholds of the two scores
 RELATED_WEIGHT = 2.0
 RELATED_SCORE = 0.09
@@ -114,40 +116,61 @@ def keyword_similarity(
     length difference must be edited); the search stops once no better one can follow.
     """
     usable = _known(words.select("web_id", "word", "vector"))
-    pairs = block_pairs(usable, usable, ["web_id"], block)
+    index = BallIndex.of(usable, usable, ["web_id"], block)
+    schema = "web_id string, keyword string, keyword_related string, score double"
+    if index is None:
+        return words.sparkSession.createDataFrame([], schema)
+
+    def scores(lw: list[str], lv: pa.ListScalar, rw: list[str], rv: pa.ListScalar) -> Iterator[tuple[str, list[tuple[str, float]]]]:
+        """Per left word the right ones that may be among its best."""
+        cosines = _cosines(lv, len(lw), rv, len(rw))
+        sizes = np.array([len(w) for w in rw])
+        for word, row in zip(lw, cosines):
+            bound = weight * row - np.abs(sizes - len(word)) / len(word)
+            found: list[tuple[str, float]] = []
+            for j in np.argsort(-bound, kind="stable"):
+                floor = sorted((s for _, s in found), reverse=True)[k - 1] if len(found) >= k else min_score
+                if bound[j] < floor or bound[j] <= min_score:
+                    break
+                score = float(weight * row[j] - edit_distance(word, rw[j]) / len(word))
+                if score > min_score:
+                    found.append((rw[j], score))
+            yield word, found
+
+    names = ("web_id", "l_word", "l_vector", "r_word", "r_vector")
+
+    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tenant, lw, lv, rw, rv, cell, part in _block_rows(batches, (*names, "l_cell", "l_part")):
+            kth = [sorted((s for _, s in found), reverse=True)[k - 1 : k] for _, found in scores(lw.as_py(), lv, rw.as_py(), rv)]
+            least = min((s[0] if s else min_score) for s in kth)
+            yield pa.RecordBatch.from_pydict({"web_id": [tenant.as_py()], "l_cell": [cell.as_py()], "l_part": [part.as_py()], "least": [least / weight]})
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("web_id", "l_word", "l_vector", "r_word", "r_vector")
         for tenant, lw, lv, rw, rv in _block_rows(batches, names):
-            left, right = lw.as_py(), rw.as_py()
-            cosines = _cosines(lv, len(left), rv, len(right))
-            sizes = np.array([len(w) for w in right])
-            out: list[tuple[str, str, float]] = []
-            for word, row in zip(left, cosines):
-                bound = weight * row - np.abs(sizes - len(word)) / len(word)
-                found: list[float] = []
-                rows: list[tuple[str, str, float]] = []
-                for j in np.argsort(-bound, kind="stable"):
-                    floor = sorted(found, reverse=True)[k - 1] if len(found) >= k else min_score
-                    if bound[j] < floor or bound[j] <= min_score:
-                        break
-                    score = float(weight * row[j] - edit_distance(word, right[j]) / len(word))
-                    if score > min_score:
-                        found.append(score)
-                        rows.append((word, right[j], score))
-                out += rows
+            out = [(word, other, score) for word, found in scores(lw.as_py(), lv, rw.as_py(), rv) for other, score in found]
             if out:
                 a, b, s = zip(*out)
                 yield pa.RecordBatch.from_pydict(
                     {"web_id": [tenant.as_py()] * len(out), "keyword": list(a), "keyword_related": list(b), "score": list(s)}
                 )
 
-    schema = "web_id string, keyword string, keyword_related string, score double"
-    passed = pairs.mapInArrow(best, schema)
+    passed = index.meet(_reaching(index, floors, min_score / weight)).mapInArrow(best, schema)
     order = [F.desc(F.round("score", 9)), F.asc("keyword_related")]
     return top_k(passed, ["web_id", "keyword"], order, k)
 
 
+def _reaching(index: BallIndex, floors: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], otherwise: float) -> DataFrame:
+    """Pairs of blocks that can add to the best of a left block, by a floor that its own cell gives.
+
+    No edit or rounding makes a result better than its cosine by more than the margin of the bound.
+    """
+    fields = "".join(f"{k} string, " for k in index.owner) + "l_cell long, l_part long, least double"
+    found = index.meet(index.home_pairs()).mapInArrow(floors, fields)
+    blocks = [*index.owner, "l_cell", "l_part"]
+    every = index.left.select(*blocks).join(found, blocks, "left")
+    return index.near_pairs(materialise(every.withColumn("least", F.coalesce("least", F.lit(otherwise)) - 1e-8), "floors"))
+
+
 def trend_catalogue_match(
     catalogue: DataFrame,
     trends: DataFrame,
@@ -169,7 +192,6 @@ def trend_catalogue_match(
     def once(words: DataFrame) -> DataFrame:
         return keep_first(_known(words.select(*keys, "word", "vector")), [*keys, "word"], [F.asc("vector")])
 
-
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for *owner, lw, lv, rw, rv in _block_rows(batches, (*keys, "l_word", "l_vector", "r_word", "r_vector")):
             left, right = lw.as_py(), rw.as_py()
@@ -190,7 +212,10 @@ def trend_catalogue_match(
 
     schema = "".join(f"{k} string, " for k in keys)
     schema += "keyword_trend string, keyword_item string, score double, score_cosine double, score_edit double"
-    return block_pairs(once(catalogue), once(trends), keys, block).mapInArrow(passing, schema)
+    index = BallIndex.of(once(catalogue), once(trends), keys, block)
+    if index is None:
+        return catalogue.sparkSession.createDataFrame([], schema)
+    return index.meet(index.near_pairs(min_cosine)).mapInArrow(passing, schema)
 
 
 def attach_first_product(matches: DataFrame, item_keywords: DataFrame) -> DataFrame:
@@ -254,9 +279,19 @@ def match_ads(articles: DataFrame, ads: DataFrame, block: int = BLOCK) -> DataFr
 
 def nearest(queries: DataFrame, words: DataFrame, k: int = 10, block: int = BLOCK) -> DataFrame:
     """The ``k`` nearest other words by cosine for each query word; each side is (word, vector)."""
-    pairs = block_pairs(
-        _known(queries.select("word", "vector")), _known(words.select("word", "vector")), (), block
-    )
+    sought = _known(words.select("word", "vector"))
+    index = BallIndex.of(sought if queries is words else _known(queries.select("word", "vector")), sought, (), block)
+    schema = "word string, other string, similarity double"
+    if index is None:
+        return queries.sparkSession.createDataFrame([], schema)
+
+    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lw, lv, rw, rv, cell, part in _block_rows(batches, ("l_word", "l_vector", "r_word", "r_vector", "l_cell", "l_part")):
+            left_words, right_words = np.array(lw.as_py()), np.array(rw.as_py())
+            cosines = _cosines(lv, len(left_words), rv, len(right_words))
+            cosines[left_words[:, None] == right_words[None, :]] = -1.0
+            least = float(np.partition(cosines, -k, axis=1)[:, -k].min()) if len(right_words) >= k else -1.0
+            yield pa.RecordBatch.from_pydict({"l_cell": [cell.as_py()], "l_part": [part.as_py()], "least": [least]})
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lw, lv, rw, rv in _block_rows(batches, ("l_word", "l_vector", "r_word", "r_vector")):
@@ -270,9 +305,10 @@ def nearest(queries: DataFrame, words: DataFrame, k: int = 10, block: int = BLOC
                     found["word"].append(str(word))
                     found["other"].append(str(right_words[j]))
                     found["similarity"].append(float(row[j]))
-            yield pa.RecordBatch.from_pydict(found)
+            if found["word"]:
+                yield pa.RecordBatch.from_pydict(found)
 
-    passed = pairs.mapInArrow(best, "word string, other string, similarity double")
+    passed = index.meet(_reaching(index, floors, -1.0)).mapInArrow(best, schema)
     return top_k(passed, ["word"], [F.desc("similarity"), F.asc("other")], k)
 
 
@@ -307,6 +343,8 @@ def close_pairs(words: DataFrame, min_cosine: float, block: int = BLOCK) -> Data
             i, j = np.nonzero(cosines >= min_cosine)
             apart = left[i] != right[j]
             i, j = i[apart], j[apart]
+            if not len(i):
+                continue
             yield pa.RecordBatch.from_pydict(
                 {
                     "web_id": [tenant.as_py()] * len(i), "word": left[i].tolist(), "other": right[j].tolist(),
@@ -315,4 +353,7 @@ def close_pairs(words: DataFrame, min_cosine: float, block: int = BLOCK) -> Data
             )
 
     schema = "web_id string, word string, other string, similarity double"
-    return block_pairs(usable, usable, ["web_id"], block).mapInArrow(passing, schema)
+    index = BallIndex.of(usable, usable, ["web_id"], block)
+    if index is None:
+        return words.sparkSession.createDataFrame([], schema)
+    return index.meet(index.near_pairs(min_cosine - 1e-8)).mapInArrow(passing, schema)
