@@ -31,6 +31,7 @@ RELATED_SCORE = 0.09
 RELATED_K = 10
 TREND_SCORE = 0.1
 TREND_COSINE = 0.66
+ROUNDING = 1e-8  # cosines are compared after rounding to nine places
 
 
 def _pack(words: DataFrame, side: str, keys: Sequence[str], group: str | None) -> DataFrame:
@@ -117,58 +118,82 @@ def keyword_similarity(
     """
     usable = _known(words.select("web_id", "word", "vector"))
     index = BallIndex.of(usable, usable, ["web_id"], block)
-    schema = "web_id string, keyword string, keyword_related string, score double"
     if index is None:
-        return words.sparkSession.createDataFrame([], schema)
+        return words.sparkSession.createDataFrame([], "web_id string, keyword string, keyword_related string, score double")
 
-    def scores(lw: list[str], lv: pa.ListScalar, rw: list[str], rv: pa.ListScalar) -> Iterator[tuple[str, list[tuple[str, float]]]]:
-        """Per left word the right ones that may be among its best."""
-        cosines = _cosines(lv, len(lw), rv, len(rw))
-        sizes = np.array([len(w) for w in rw])
-        for word, row in zip(lw, cosines):
+    def compare(left: list[str], right: list[str], cosines: np.ndarray, floors: np.ndarray) -> list[tuple[int, int, float]]:
+        sizes = np.array([len(w) for w in right])
+        out: list[tuple[int, int, float]] = []
+        for i, (word, row) in enumerate(zip(left, cosines)):
             bound = weight * row - np.abs(sizes - len(word)) / len(word)
-            found: list[tuple[str, float]] = []
-            for j in np.argsort(-bound, kind="stable"):
-                floor = sorted((s for _, s in found), reverse=True)[k - 1] if len(found) >= k else min_score
+            found: list[float] = []
+            for j in np.argsort(-bound, kind="stable").tolist():
+                floor = max(floors[i], sorted(found, reverse=True)[k - 1]) if len(found) >= k else floors[i]
                 if bound[j] < floor or bound[j] <= min_score:
                     break
-                score = float(weight * row[j] - edit_distance(word, rw[j]) / len(word))
+                score = float(weight * row[j] - edit_distance(word, right[j]) / len(word))
                 if score > min_score:
-                    found.append((rw[j], score))
-            yield word, found
-
-    names = ("web_id", "l_word", "l_vector", "r_word", "r_vector")
+                    found.append(score)
+                    out.append((i, j, score))
+        return out
 
-    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tenant, lw, lv, rw, rv, cell, part in _block_rows(batches, (*names, "l_cell", "l_part")):
-            kth = [sorted((s for _, s in found), reverse=True)[k - 1 : k] for _, found in scores(lw.as_py(), lv, rw.as_py(), rv)]
-            least = min((s[0] if s else min_score) for s in kth)
-            yield pa.RecordBatch.from_pydict({"web_id": [tenant.as_py()], "l_cell": [cell.as_py()], "l_part": [part.as_py()], "least": [least / weight]})
+    # no edit makes a score better than its cosine
+    passed = _best(index, compare, k, min_score, weight)
+    renamed = passed.select("web_id", F.col("word").alias("keyword"), F.col("other").alias("keyword_related"), "score")
+    return top_k(renamed, ["web_id", "keyword"], [F.desc(F.round("score", 9)), F.asc("keyword_related")], k)
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tenant, lw, lv, rw, rv in _block_rows(batches, names):
-            out = [(word, other, score) for word, found in scores(lw.as_py(), lv, rw.as_py(), rv) for other, score in found]
-            if out:
-                a, b, s = zip(*out)
-                yield pa.RecordBatch.from_pydict(
-                    {"web_id": [tenant.as_py()] * len(out), "keyword": list(a), "keyword_related": list(b), "score": list(s)}
-                )
 
-    passed = index.meet(_reaching(index, floors, min_score / weight)).mapInArrow(best, schema)
-    order = [F.desc(F.round("score", 9)), F.asc("keyword_related")]
-    return top_k(passed, ["web_id", "keyword"], order, k)
+Compare = Callable[[list[str], list[str], np.ndarray, np.ndarray], list[tuple[int, int, float]]]
 
 
-def _reaching(index: BallIndex, floors: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], otherwise: float) -> DataFrame:
-    """Pairs of blocks that can add to the best of a left block, by a floor that its own cell gives.
+def _best(index: BallIndex, compare: Compare, k: int, lowest: float, scale: float = 1.0) -> DataFrame:
+    """(owner.., word, other, score) with at least the ``k`` best of every left word.
 
-    No edit or rounding makes a result better than its cosine by more than the margin of the bound.
+    ``compare`` takes two blocks' words, their cosines and a floor per left word, and returns (left, right, score)
+    over the floors; no score is over ``scale`` times its cosine. Each block meets one of its own cell first. Its
+    words' k-th best scores are the floors that then decide which other blocks it meets and what these return.
     """
-    fields = "".join(f"{k} string, " for k in index.owner) + "l_cell long, l_part long, least double"
-    found = index.meet(index.home_pairs()).mapInArrow(floors, fields)
-    blocks = [*index.owner, "l_cell", "l_part"]
-    every = index.left.select(*blocks).join(found, blocks, "left")
-    return index.near_pairs(materialise(every.withColumn("least", F.coalesce("least", F.lit(otherwise)) - 1e-8), "floors"))
+    owner, at = index.owner, ["l_cell", "l_part"]
+    names = [*owner, *at, "l_word", "l_vector", "r_word", "r_vector"]
+    keys = "".join(f"{c} string, " for c in owner)
+    hits = "word string, other string, score double"
+
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for *own, cell, part, lw, lv, rw, rv in _block_rows(batches, names):
+            left, right = lw.as_py(), rw.as_py()
+            found = compare(left, right, _cosines(lv, len(left), rv, len(right)), np.full(len(left), lowest))
+            scores: list[list[float]] = [[] for _ in left]
+            for i, _, score in found:
+                scores[i].append(score)
+            floors = [sorted(s, reverse=True)[k - 1] if len(s) >= k else lowest for s in scores]
+            rows = [{"word": left[i], "other": right[j], "score": score} for i, j, score in found]
+            row = {c: v.as_py() for c, v in zip([*owner, *at], [*own, cell, part])} | {"floors": floors, "rows": rows}
+            yield pa.RecordBatch.from_pylist([row], _home_schema(owner))
+
+    def away(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for *own, _, _, lw, lv, rw, rv, floors in _block_rows(batches, [*names, "floors"]):
+            left, right = lw.as_py(), rw.as_py()
+            least = np.array(floors.as_py() or [lowest] * len(left), float)
+            found = compare(left, right, _cosines(lv, len(left), rv, len(right)), least)
+            if found:
+                i, j, score = zip(*found)
+                columns = {c: [v.as_py()] * len(found) for c, v in zip(owner, own)}
+                yield pa.RecordBatch.from_pydict(columns | {"word": [left[x] for x in i], "other": [right[x] for x in j], "score": list(score)})
+
+    pairs = index.home_pairs()
+    first = index.meet(pairs).mapInArrow(home, f"{keys}l_cell long, l_part long, floors array<double>, rows array<struct<word: string, other: string, score: double>>")
+    first = materialise(first, "home")
+    blocks = index.left.select(*owner, *at).join(first.select(*owner, *at, "floors"), [*owner, *at], "left")
+    least = blocks.select(*owner, *at, (F.coalesce(F.array_min("floors"), F.lit(float(lowest))) / scale - ROUNDING).alias("least"))
+    others = index.near_pairs(least).join(pairs, [*index.keys, *at, "r_cell", "r_part"], "left_anti")
+    met = index.meet(others).join(blocks, [*owner, *at])
+    return first.select(*owner, F.inline("rows")).unionByName(met.mapInArrow(away, keys + hits))
+
+
+def _home_schema(owner: Sequence[str]) -> pa.Schema:
+    row = pa.struct([("word", pa.string()), ("other", pa.string()), ("score", pa.float64())])
+    at = [("l_cell", pa.int64()), ("l_part", pa.int64())]
+    return pa.schema([*((c, pa.string()) for c in owner), *at, ("floors", pa.list_(pa.float64())), ("rows", pa.list_(row))])
 
 
 def trend_catalogue_match(
@@ -281,34 +306,18 @@ def nearest(queries: DataFrame, words: DataFrame, k: int = 10, block: int = BLOC
     """The ``k`` nearest other words by cosine for each query word; each side is (word, vector)."""
     sought = _known(words.select("word", "vector"))
     index = BallIndex.of(sought if queries is words else _known(queries.select("word", "vector")), sought, (), block)
-    schema = "word string, other string, similarity double"
     if index is None:
-        return queries.sparkSession.createDataFrame([], schema)
+        return queries.sparkSession.createDataFrame([], "word string, other string, similarity double")
 
-    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lw, lv, rw, rv, cell, part in _block_rows(batches, ("l_word", "l_vector", "r_word", "r_vector", "l_cell", "l_part")):
-            left_words, right_words = np.array(lw.as_py()), np.array(rw.as_py())
-            cosines = _cosines(lv, len(left_words), rv, len(right_words))
-            cosines[left_words[:, None] == right_words[None, :]] = -1.0
-            least = float(np.partition(cosines, -k, axis=1)[:, -k].min()) if len(right_words) >= k else -1.0
-            yield pa.RecordBatch.from_pydict({"l_cell": [cell.as_py()], "l_part": [part.as_py()], "least": [least]})
+    def compare(left: list[str], right: list[str], cosines: np.ndarray, floors: np.ndarray) -> list[tuple[int, int, float]]:
+        rows = np.round(cosines, 9)
+        rows[np.array(left)[:, None] == np.array(right)[None, :]] = -np.inf
+        if len(right) > k:
+            floors = np.maximum(floors, np.partition(rows, -k, axis=1)[:, -k])
+        i, j = np.nonzero(rows >= np.maximum(floors, -1.0)[:, None])
+        return list(zip(i.tolist(), j.tolist(), rows[i, j].tolist()))
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lw, lv, rw, rv in _block_rows(batches, ("l_word", "l_vector", "r_word", "r_vector")):
-            left_words, right_words = np.array(lw.as_py()), np.array(rw.as_py())
-            cosines = _cosines(lv, len(left_words), rv, len(right_words))
-            keep = min(k + 1, len(right_words))
-            found = {"word": [], "other": [], "similarity": []}
-            for word, row in zip(left_words, np.round(cosines, 9)):
-                edge = np.partition(row, -keep)[-keep]
-                for j in np.nonzero((row >= edge) & (right_words != word))[0]:
-                    found["word"].append(str(word))
-                    found["other"].append(str(right_words[j]))
-                    found["similarity"].append(float(row[j]))
-            if found["word"]:
-                yield pa.RecordBatch.from_pydict(found)
-
-    passed = index.meet(_reaching(index, floors, -1.0)).mapInArrow(best, schema)
+    passed = _best(index, compare, k, -1.0).withColumnRenamed("score", "similarity")
     return top_k(passed, ["word"], [F.desc("similarity"), F.asc("other")], k)
 
 
@@ -356,4 +365,4 @@ def close_pairs(words: DataFrame, min_cosine: float, block: int = BLOCK) -> Data
     index = BallIndex.of(usable, usable, ["web_id"], block)
     if index is None:
         return words.sparkSession.createDataFrame([], schema)
-    return index.meet(index.near_pairs(min_cosine - 1e-8)).mapInArrow(passing, schema)
+    return index.meet(index.near_pairs(min_cosine - ROUNDING)).mapInArrow(passing, schema)
