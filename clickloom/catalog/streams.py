@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.catalog.registry import query, with_
@@ -65,10 +67,19 @@ def two_hour_buckets(spark, sf):
     with_(BROWSE, SESSIONS, select="SELECT web_id, uuid, event_id, source_domain, time_on_page, landings, exits, bounce FROM sess"),
 )
 def session_stream(spark, sf):
-    """Exact session metrics over three micro-batches in time order."""
-    batches = state.SessionBatches(scratch_path(spark, "session-stream"))
-    in_three_parts(browse(spark, sf), epoch_seconds(F.col("ts")), batches, scratch_path(spark, "session-checkpoint"))
-    return batches.result(spark)
+    """Exact session metrics over three arrivals in time order; one far later view ends the last visits."""
+    root, spot, path = (scratch_path(spark, f"session-{name}") for name in ("stream", "checkpoint", "input"))
+    views = browse(spark, sf)
+    seconds = epoch_seconds(F.col("ts"))
+    low, high = views.agg(F.percentile_approx(seconds, [1 / 3, 2 / 3])).first()[0]
+    parts = [views.where(p) for p in (seconds <= low, (seconds > low) & (seconds <= high), seconds > high)]
+    end = views.agg((F.max("ts") + F.expr("interval 400 days")).alias("end"))
+    flush = views.limit(1).withColumn("uuid", F.lit("end")).join(end).withColumn("ts", F.col("end")).drop("end")
+    for part in (*parts, flush):
+        part.write.mode("append").parquet(path)
+        stream = state.session_views(spark.readStream.schema(views.schema).parquet(path), utc_instant(F.col("ts")))
+        sinks.append_to_files(stream, root, spot)
+    return spark.read.parquet(root)
 
 
 @query(
@@ -98,12 +109,17 @@ def session_windows(spark, sf):
 
 @query(
     "Z4_rolling_windows",
-    """WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day FROM events)
-SELECT event_type, strftime(day - CAST(back AS INTEGER), '%Y-%m-%d %H:%M') AS start, strftime(day - CAST(back AS INTEGER) + 7, '%Y-%m-%d %H:%M') AS "end", count(*) AS views
-FROM d, (SELECT unnest(range(7)) AS back) GROUP BY 1, 2, 3""",
+    """WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day FROM events), spans(days) AS (VALUES (1), (7), (30)),
+b AS (SELECT days, unnest(range(days)) AS back FROM spans)
+SELECT days, event_type, strftime(day - CAST(back AS INTEGER), '%Y-%m-%d %H:%M') AS start,
+  strftime(day - CAST(back AS INTEGER) + CAST(days AS INTEGER), '%Y-%m-%d %H:%M') AS "end", count(*) AS views
+FROM d, b GROUP BY 1, 2, 3, 4""",
 )
 def rolling_windows(spark, sf):
-    return shown(sinks.run_to_table(windows.rolling(event_stream(spark, sf), ["event_type"]), ["event_type", "start"]))
+    """Days, weeks and months that begin every day."""
+    stream = event_stream(spark, sf)
+    spans = (sinks.run_to_table(windows.rolling(stream, ["event_type"], days=d), ["event_type", "start"]).withColumn("days", F.lit(d)) for d in (1, 7, 30))
+    return shown(functools.reduce(DataFrame.unionByName, spans))
 
 
 @query(
@@ -124,8 +140,11 @@ def upsert_sink(spark, sf):
     with_(TAGS, select="SELECT web_id, uuid, usertag AS keyword, count(*) AS freq FROM tags GROUP BY 1, 2, 3"),
 )
 def merge_state(spark, sf):
-    rows = tags(spark, sf).select("web_id", "uuid", F.col("usertag").alias("keyword"))
-    return sinks.run_to_table(state.merge_state(as_stream(rows.repartition(3), 1)), ["web_id", "uuid", "keyword"])
+    rows = tags(spark, sf).select("web_id", "uuid", F.col("usertag").alias("keyword"), "date", "hour")
+    given = state.at_hour(F.col("date"), F.col("hour"))
+    # the parts are no days: rows may be as late as the table is long
+    counts = state.merge_state(as_stream(rows.repartition(3), 1), given, late="60 days")
+    return sinks.run_to_table(counts, ["web_id", "uuid", "keyword"])
 
 
 @query(
@@ -163,7 +182,7 @@ def hour_delta_stream(spark, sf):
 
     snapshots = cumulative_by_hour(facts(spark, sf), ["web_id", "article_id", "date"])
     stream = as_stream(snapshots.repartition(2, "hour"), 1)
-    return sinks.run_to_table(state.hour_deltas(stream), ["web_id", "article_id", "date", "hour"])
+    return sinks.run_to_table(state.hour_deltas(stream, late="60 days"), ["web_id", "article_id", "date", "hour"])
 
 
 @query("Z10_late_rows", "SELECT CAST(count(*) AS BIGINT) AS late FROM events WHERE event_type = 'error'")
@@ -179,5 +198,6 @@ def late_rows(spark, sf):
     sinks.run_available(counted, batch, spot)
     old = events.where(F.col("event_type") == "error").withColumn("ts", F.col("ts") - F.expr("interval 60 days"))
     old.write.mode("append").parquet(path)
-    late = windows.late_rows(sinks.run_available(counted, batch, spot))
+    with windows.LateRows(spark) as reports:
+        late = reports.total(sinks.run_available(counted, batch, spot))
     return events.groupBy().agg(F.lit(late).cast("long").alias("late"))

@@ -1,118 +1,248 @@
-"""Custom per-key state: running tag lists, hour deltas, and exact session metrics across batches."""
+"""Keyed state with an end: exact session metrics, running tag lists and hour deltas over streams.
+
+Each is a ``transformWithState`` processor on Spark's own state store, so checkpoints, restarts and replayed batches are
+Spark's. Event-time timers end the state: what the watermark has left behind for long enough is emitted where it is
+still owed and then removed, so state follows the active keys and not the history. Rows behind the watermark are dropped
+and counted by Spark (``windows.LateRows``).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from clickloom.operators.sessions import session_metrics
-from clickloom.session import materialise
-from clickloom.sinks.merge import read_or_none, write_table
+from clickloom.functions.dates import epoch_seconds
+from clickloom.operators.sessions import GAP_SECONDS
 
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DAY_MS = 86_400_000
+
+
+def with_state_store(spark: SparkSession) -> None:
+    """Processors need the RocksDB store; another one that the session names is left as it is."""
+    if spark.conf.get(STORE).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STORE, ROCKSDB)
+
+
+class _Timed(StatefulProcessor):
+    """A timer that fires when nothing is due changes nothing, so old timers are left to run out."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+
+    def wake_at(self, ms: int | None) -> None:
+        if ms is not None:
+            self.handle.registerTimer(ms)
+
+    def close(self) -> None:
+        pass
+
+
+VIEW = "us long, event_id long, sec long, source string, spent long"
+SESSION = "event_id long, source_domain string, time_on_page long, landings long, exits long, bounce long"
 
-def merge_state(stream: DataFrame) -> DataFrame:
-    """Running count per (web_id, uuid, keyword): a user's stored list, merged with each batch.
 
-    A native streaming aggregate, keyed by list entry, so a user with very many tags is spread over
-    the state store and batches are combined before the shuffle.
+class SessionViews(_Timed):
+    """Views wait until the watermark has passed them, then get their place in the visitor's time order.
+
+    The last placed view stays open until its successor comes or the visitor has been silent for ``silence`` seconds
+    of event time; then it is an exit and the visitor's state goes.
     """
-    return stream.groupBy("web_id", "uuid", "keyword").agg(F.count("*").alias("freq"))
-
-
-def _hour_steps(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    # at most 24 hours of one day per key
-    seen = dict(zip(*state.get)) if state.exists else {}
-    fresh: set[int] = set()
-    for pdf in batches:
-        for hour, value in zip(pdf["hour"], pdf["pageviews"]):
-            seen[int(hour)] = max(int(value), seen.get(int(hour), 0))
-            fresh.add(int(hour))
-    state.update((list(seen), list(seen.values())))
-    touched = sorted(h for h in seen if h in fresh or h - 1 in fresh)
-    rows = []
-    for hour in touched:
-        value, before = seen[hour], seen.get(hour - 1)
-        known = 0 if before is None else value - before
-        lift = (before or 0) == 0 and known == 0 and value != 0
-        rows.append((*key, hour, value, value if hour == 0 or lift else known))
-    yield pd.DataFrame(rows, columns=["web_id", "article_id", "date", "hour", "pageviews", "pageviews_hour"])
-
-
-def hour_deltas(stream: DataFrame) -> DataFrame:
-    """Hour deltas of cumulative snapshots that arrive in any number of batches.
 
-    Input (web_id, article_id, date, hour, pageviews); a later snapshot of the next hour is emitted
-    again when its predecessor changes, for an upsert sink on (web_id, article_id, date, hour).
+    def __init__(self, keys: list[str], gap: int, silence: int) -> None:
+        self.keys, self.gap, self.silence = keys, gap, silence
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.waiting = handle.getListState("waiting", VIEW)
+        self.open = handle.getValueState("open", f"{VIEW}, landing long, first_source string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for views in rows:
+            columns = [views[c] for c in ("at_us", "event_id", "at_sec", "own_source", "own_time")]
+            self.waiting.appendList([tuple(None if pd.isna(v) else v for v in row) for row in zip(*columns)])
+        yield self._placed(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._placed(key, timerValues.getCurrentWatermarkInMs())
+
+    def _placed(self, key: tuple, watermark: int) -> pd.DataFrame:
+        ready, later = [], []
+        for view in self.waiting.get() if self.waiting.exists() else ():
+            (ready if view[0] <= watermark * 1000 else later).append(tuple(view))
+        ready.sort(key=lambda v: v[:2])
+        last = tuple(self.open.get()) if self.open.exists() else None
+        out = []
+        for view in ready:
+            first_source = view[3] if last is None else last[6]
+            if last is not None:
+                out.append(self._row(last, view[2]))
+            last = (*view, int(last is None), first_source)
+        if ready:
+            if later:
+                self.waiting.put(later)
+            else:
+                self.waiting.clear()
+        due = None if last is None else -(-last[0] // 1000) + self.silence * 1000
+        if last is not None and not later and due <= watermark:
+            out.append(self._row(last, None))
+            self.open.clear()
+            last = due = None
+        elif ready:
+            self.open.update(last)
+        wakes = [due] if due is not None else []
+        if later:
+            wakes.append(-(-max(v[0] for v in later) // 1000))
+        self.wake_at(max(min(wakes), watermark + 1) if wakes else None)
+        names = [f.split()[0] for f in SESSION.split(", ")]
+        frame = pd.DataFrame([(*key, *row) for row in out], columns=[*self.keys, *names])
+        return frame.astype({"time_on_page": "Int64"})
+
+    def _row(self, view: tuple, next_sec: int | None) -> tuple:
+        _, event, sec, source, spent, landing, first = view
+        step = None if next_sec is None else next_sec - sec
+        long_gap = step is not None and step > self.gap
+        kept = 0 if long_gap else spent if step is None or spent is None or spent != 0 else step
+        source = source if first == "None" else first
+        return event, source, kept, landing, int(step is None), int(long_gap or (step is None and landing == 1))
+
+
+def session_views(
+    stream: DataFrame,
+    instant: Column,
+    ts: str = "ts",
+    late: str = "10 minutes",
+    silence: int = 30 * 86_400,
+    gap: int = GAP_SECONDS,
+    source: str = "source_domain",
+    time_on_page: str = "time_on_page",
+) -> DataFrame:
+    """Session metrics per view (web_id, uuid, event_id, ..) of a stream, each view once and for good.
+
+    Landings, exits, bounces, time on page and sticky source are those of ``session_metrics``. ``instant`` is the
+    view's time as a timestamp; views may be out of order by up to ``late``. A visitor who comes back after ``silence``
+    seconds is a new one.
     """
-    kinds = "web_id string, article_id string, date int, hour int, pageviews long, pageviews_hour long"
-    return stream.groupBy("web_id", "article_id", "date").applyInPandasWithState(
-        _hour_steps, kinds, "hours array<int>, pageviews array<long>", "update", GroupStateTimeout.NoTimeout
+    with_state_store(stream.sparkSession)
+    keys = ["web_id", "uuid"]
+    rows = stream.select(
+        *keys, "event_id", instant.alias("at_time"), F.unix_micros(instant).alias("at_us"), epoch_seconds(F.col(ts)).cast("long").alias("at_sec"),
+        F.col(source).alias("own_source"), F.col(time_on_page).cast("long").alias("own_time"),
+    ).withWatermark("at_time", late)
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        SessionViews(keys, gap, silence), f"web_id string, uuid string, {SESSION}", "Append", "EventTime"
     )
 
 
-class SessionBatches:
-    """Exact session metrics over micro-batches, as a ``foreachBatch`` function.
+def at_hour(date: Column, hour: Column) -> Column:
+    """The instant of an hour of a day that is a number such as 20240131, in UTC."""
+    return F.timestamp_seconds(F.unix_date(F.to_date(date.cast("string"), "yyyyMMdd")) * 86_400 + hour * 3600)
+
+
+class TagCounts(_Timed):
+    """Count and last day of each of a user's tags; a tag that has not been seen for ``days`` goes."""
+
+    def __init__(self, days: int) -> None:
+        self.days = days
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.tags = handle.getMapState("tags", "keyword string", "freq long, last long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        found: dict[str, list[int]] = {}
+        for tags in rows:
+            for keyword, ms in zip(tags["keyword"], tags["at_ms"]):
+                seen = found.setdefault(keyword, [0, 0])
+                seen[0] += 1
+                seen[1] = max(seen[1], int(ms))
+        self._drop(timerValues.getCurrentWatermarkInMs())
+        for keyword, seen in found.items():
+            if self.tags.containsKey((keyword,)):
+                freq, last = self.tags.getValue((keyword,))
+                seen[0], seen[1] = seen[0] + freq, max(seen[1], last)
+            self.tags.updateValue((keyword,), tuple(seen))
+        self._next()
+        yield pd.DataFrame([(*key, k, freq) for k, (freq, _) in found.items()], columns=["web_id", "uuid", "keyword", "freq"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._drop(timerValues.getCurrentWatermarkInMs())
+        self._next()
+        yield pd.DataFrame(columns=["web_id", "uuid", "keyword", "freq"]).astype({"freq": "int64"})
 
-    Each batch runs the batch operator (which slices busy visitors by time) on its views plus the
-    one view per visitor that is still open. A visitor's last view stays open until its successor
-    or :meth:`result` comes. Open views and closed rows are stored per batch id, so a replayed batch
-    starts from the same open views and overwrites its own output. Views of one visitor have to
-    arrive in time order from batch to batch.
+    def _ends(self) -> dict[str, int]:
+        return {k[0]: v[1] + self.days * DAY_MS for k, v in self.tags.iterator()} if self.tags.exists() else {}
+
+    def _drop(self, watermark: int) -> None:
+        for keyword, end in self._ends().items():
+            if end <= watermark:
+                self.tags.removeKey((keyword,))
+
+    def _next(self) -> None:
+        self.wake_at(min(self._ends().values(), default=None))
+
+
+def merge_state(stream: DataFrame, instant: Column, days: int = 91, late: str = "1 day") -> DataFrame:
+    """Running count per (web_id, uuid, keyword): a user's stored list, merged with each batch.
+
+    ``instant`` is when a tag was given; tags not given again for ``days`` leave the list and start anew.
     """
+    with_state_store(stream.sparkSession)
+    rows = stream.withColumn("at_time", instant).withColumn("at_ms", F.unix_millis("at_time")).withWatermark("at_time", late)
+    return rows.groupBy("web_id", "uuid").transformWithStateInPandas(
+        TagCounts(days), "web_id string, uuid string, keyword string, freq long", "Update", "EventTime"
+    )
+
+
+DELTA = ("web_id", "article_id", "date", "hour", "pageviews", "pageviews_hour")
+
 
-    keys = ("web_id", "uuid")
-    metrics = ("event_id", "source_domain", "time_on_page", "landings", "exits", "bounce")
-
-    def __init__(self, root: str):
-        self.root = root
-        self.last_batch = -1
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        before = None
-        if batch_id > 0:
-            before = read_or_none(batch.sparkSession, f"{self.root}/open/batch={batch_id - 1}")
-        raw = batch.columns
-        views = batch if before is None else batch.unionByName(before.select(*raw))
-        saved = views.withColumn("_raw", F.struct(*raw))
-        rows = self._continue(session_metrics(saved), before)
-        rows = materialise(rows, "session-batch")
-        still_open = rows.where(F.col("exits") == 1).select("_raw.*", F.col("landings").alias("_landing"), "_first_source")
-        write_table(rows.where(F.col("exits") == 0).select(*self.keys, *self.metrics), f"{self.root}/closed/batch={batch_id}")
-        write_table(still_open, f"{self.root}/open/batch={batch_id}")
-        self.last_batch = batch_id
-
-    def _continue(self, rows: DataFrame, before: DataFrame | None) -> DataFrame:
-        """Take landing flag and first source of visitors who were already here from their open view."""
-        own_source = F.col("_raw.source_domain")
-        heads = rows.where(F.col("landings") == 1).select(*self.keys, own_source.alias("_head_source"))
-        joined = rows.join(heads, list(self.keys))
-        if before is None:
-            return joined.withColumnRenamed("_head_source", "_first_source")
-        known = before.select(
-            *self.keys, F.col("event_id").alias("_open_id"), "_landing", F.col("_first_source").alias("_known_source")
-        )
-        here = F.col("_open_id").isNotNull()
-        carried = F.when(F.col("event_id") == F.col("_open_id"), F.col("_landing")).otherwise(F.lit(0).cast("long"))
-        first = F.coalesce("_known_source", "_head_source")
-        return joined.join(known, list(self.keys), "left").withColumns(
-            {
-                "landings": F.when(here, carried).otherwise(F.col("landings")),
-                "source_domain": F.when(first == "None", own_source).otherwise(first),
-                "_first_source": first,
-            }
-        )
-
-    def result(self, spark: SparkSession) -> DataFrame:
-        """All closed rows plus the open views as exits."""
-        closed = spark.read.parquet(f"{self.root}/closed").drop("batch")
-        last = spark.read.parquet(f"{self.root}/open/batch={self.last_batch}")
-        source = F.when(F.col("_first_source") == "None", F.col("source_domain")).otherwise(F.col("_first_source"))
-        exits = last.select(
-            *self.keys, "event_id", source.alias("source_domain"), "time_on_page", F.col("_landing").alias("landings"),
-            F.lit(1).cast("long").alias("exits"), F.col("_landing").alias("bounce"),
-        )
-        return closed.unionByName(exits)
+class HourDeltas(_Timed):
+    """The largest snapshot of every hour of one article and day, until the day is over."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.hours = handle.getMapState("hours", "hour int", "pageviews long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        fresh: dict[int, int] = {}
+        end = 0
+        for snapshots in rows:
+            end = max(end, int(snapshots["day_end"].max()))
+            for hour, value in zip(snapshots["hour"], snapshots["pageviews"]):
+                fresh[int(hour)] = max(int(value), fresh.get(int(hour), 0))
+        seen = {k[0]: v[0] for k, v in self.hours.iterator()} if self.hours.exists() else {}
+        for hour, value in fresh.items():
+            seen[hour] = max(value, seen.get(hour, 0))
+            self.hours.updateValue((hour,), (seen[hour],))
+        self.wake_at(max(end, timerValues.getCurrentWatermarkInMs() + 1))
+        out = []
+        for hour in sorted(h for h in seen if h in fresh or h - 1 in fresh):
+            value, before = seen[hour], seen.get(hour - 1)
+            known = 0 if before is None else value - before
+            lift = (before or 0) == 0 and known == 0 and value != 0
+            out.append((*key, hour, value, value if hour == 0 or lift else known))
+        yield pd.DataFrame(out, columns=list(DELTA))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.hours.clear()
+        yield pd.DataFrame(columns=list(DELTA)).astype(dict.fromkeys(DELTA[2:], "int64"))
+
+
+def hour_deltas(stream: DataFrame, late: str = "1 day") -> DataFrame:
+    """Hour deltas of cumulative snapshots that arrive in any number of batches.
+
+    Input (web_id, article_id, date, hour, pageviews); a later snapshot of the next hour is emitted
+    again when its predecessor changes, for an upsert sink on (web_id, article_id, date, hour). A day's snapshots
+    are forgotten once the watermark, ``late`` behind the newest hour, has passed its end.
+    """
+    with_state_store(stream.sparkSession)
+    day_end = (F.unix_date(F.to_date(F.col("date").cast("string"), "yyyyMMdd")).cast("long") + 1) * DAY_MS
+    rows = stream.withColumns({"at_time": at_hour(F.col("date"), F.col("hour")), "day_end": day_end}).withWatermark("at_time", late)
+    kinds = "web_id string, article_id string, date int, hour int, pageviews long, pageviews_hour long"
+    return rows.groupBy("web_id", "article_id", "date").transformWithStateInPandas(HourDeltas(), kinds, "Update", "EventTime")

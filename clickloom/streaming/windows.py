@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Event
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 LATE = "10 minutes"
 
@@ -43,10 +45,42 @@ def dedupe(stream: DataFrame, keys: Sequence[str], ts: str = "ts", late: str = "
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def late_rows(query) -> int:
-    """Rows dropped for lateness so far, as the query's own progress reports them."""
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Rows dropped for lateness by every query of a session, from each of its progress reports.
+
+    A query itself keeps its last reports only. Reports come some time after their batch: :meth:`total` waits for those
+    of a query that has ended.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.dropped: dict[str, int] = {}
+        self.ended: dict[str, Event] = {}
+
+    def __enter__(self) -> LateRows:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.setdefault(str(event.runId), Event())
+
+    def onQueryProgress(self, event) -> None:
+        rows = sum(int(op.numRowsDroppedByWatermark) for op in event.progress.stateOperators)
+        run = str(event.progress.runId)
+        self.dropped[run] = self.dropped.get(run, 0) + rows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.runId), Event()).set()
+
+    def total(self, query: StreamingQuery, seconds: float = 60) -> int:
+        """Rows that this run of a query has dropped; the run has ended."""
+        run = str(query.runId)
+        if not self.ended.setdefault(run, Event()).wait(seconds):
+            raise TimeoutError(f"no report of the end of run {run}")
+        return self.dropped.get(run, 0)

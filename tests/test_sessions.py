@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import ranking, sessions, usertags
 from clickloom.sinks.merge import write_table
-from clickloom.streaming.sinks import run_available
-from clickloom.streaming.state import SessionBatches
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "event_id long, ts timestamp_ntz, web_id string, uuid string, source_domain string, time_on_page long"
@@ -69,29 +67,6 @@ def test_gap_edges(spark):
     assert got[2] == ("fb", 0, 0, 1, 0)
 
 
-def test_session_batches_equal_batch_and_replay_is_harmless(spark, tmp_path):
-    rows = sorted(make_views(8, 25, 9), key=lambda r: (r[1], r[0]))
-    want = expected(rows)
-    batches = SessionBatches(str(tmp_path / "state"))
-    third = len(rows) // 3
-    parts = [rows[:third], rows[third : 2 * third], rows[2 * third :]]
-    for number, part in enumerate(parts):
-        batches(spark.createDataFrame(part, SCHEMA), number)
-    batches(spark.createDataFrame(parts[2], SCHEMA), 2)
-    assert collected(batches.result(spark)) == want
-
-
-def test_session_stream_restarts_from_checkpoint(spark, tmp_path):
-    rows = sorted(make_views(5, 10, 9), key=lambda r: (r[1], r[0]))
-    batches = SessionBatches(str(tmp_path / "state"))
-    source, spot = str(tmp_path / "in"), str(tmp_path / "checkpoint")
-    for part in (rows[: len(rows) // 2], rows[len(rows) // 2 :]):
-        spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(SCHEMA).parquet(source)
-        run_available(stream, batches, spot, "append")
-    assert collected(batches.result(spark)) == expected(rows)
-
-
 def test_retention_keeps_crossing_bucket(spark):
     stats = [
         ("w", "at", 20240102, 2, 3), ("w", "at", 20240101, 0, 7),  # total = limit: all stay
