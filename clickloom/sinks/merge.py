@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clickloom.session import materialise
 
 BUCKETS = 16
+PRUNED = 1000  # values of a partition column that a scan is told
 
 
 def replace_into(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -104,6 +105,26 @@ def table_buckets(spark: SparkSession, root: str, wanted: int = BUCKETS) -> int:
     return wanted
 
 
+def touched_rows(table: DataFrame, fresh: DataFrame, layout: Sequence[str], bound: int = PRUNED) -> DataFrame:
+    """The table's rows in partitions that ``fresh`` names.
+
+    The join decides. Up to ``bound`` values of a partition column are also written into the scan as literals, so that
+    other partitions are not even listed; beyond it a range of values is.
+    """
+    named = fresh.select(*layout).distinct()
+    for column in layout:
+        values = [r[0] for r in fresh.select(column).distinct().limit(bound + 1).collect()]
+        known = [v for v in values if v is not None]
+        if len(values) > bound:
+            low, high = fresh.agg(F.min(column), F.max(column)).first()
+            inside = F.col(column).between(low, high)
+        else:
+            inside = F.col(column).isin(known) if known else F.lit(False)
+        table = table.where(inside if len(known) == len(values) <= bound else inside | F.col(column).isNull())
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"n.{c}")) for c in layout]
+    return table.alias("t").join(named.alias("n"), same, "left_semi")
+
+
 def merge_into(
     new: DataFrame,
     root: str,
@@ -131,8 +152,7 @@ def merge_into(
     merged = fresh
     if old is not None:
         old = old.select(*[F.col(f.name).cast(f.dataType) for f in fresh.schema.fields])
-        # a join on partition columns: Spark prunes the partitions that the batch does not name
-        old = old.join(fresh.select(*layout).distinct(), layout, "left_semi").select(*fresh.columns)
+        old = touched_rows(old, fresh, layout).select(*fresh.columns)
         merged = materialise(upsert(old, fresh, [*keys, "bucket"], columns), "merged")
     overwrite_partitions(merged.repartition(*layout), root, layout)
 

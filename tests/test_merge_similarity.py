@@ -3,6 +3,7 @@
 import datetime as dt
 import inspect
 import random
+import re
 
 import numpy as np
 import pytest
@@ -53,6 +54,23 @@ def test_merge_rewrites_only_touched_days(spark, tmp_path):
     assert len(rows) == 32 and rows[(2, 7)] == 2 and rows[(2, 8)] == 3
 
 
+@pytest.mark.parametrize("bound", [1000, 1])
+def test_merge_reads_touched_partitions_only(spark, tmp_path, bound):
+    root, kind = str(tmp_path / "table"), "day int, k long, v long"
+    rows = spark.range(40 * 20).select(F.floor(F.col("id") / 20).cast("int").alias("day"), (F.col("id") % 20).alias("k"), F.lit(0).cast("long").alias("v"))
+    merge.merge_into(rows, root, ["day", "k"], by=["day"], buckets=4)
+    table = spark.read.parquet(root)
+    fresh = spark.createDataFrame([(day, 1, 5, b) for day in (7, 9) for b in range(4)], f"{kind}, bucket int")
+    found = merge.touched_rows(table, fresh, ["day", "bucket"], bound)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    wanted = "day#\\d+ IN \\(7,9\\)" if bound > 1 else "day#\\d+ >= 7.*day#\\d+ <= 9"
+    assert re.search(rf"PartitionFilters: \[.*{wanted}", plan), plan
+    assert sorted((r.day, r.k) for r in found.collect()) == [(day, k) for day in (7, 9) for k in range(20)]
+    merge.merge_into(spark.createDataFrame([(7, 1, 5), (9, 2, 5), (41, 1, 1)], kind), root, ["day", "k"], by=["day"], buckets=4)
+    after = {(r.day, r.k): r.v for r in merge.read_merged(spark, root).collect()}
+    assert after[41, 1] == 1 and sum(v == 5 for v in after.values()) == 2
+
+
 def test_edit_distance_is_unrestricted():
     assert edit_distance("ca", "abc") == 2
     assert edit_distance("", "abc") == 3
