@@ -1,12 +1,14 @@
 """Token ids of whole texts by a word-level BPE vocabulary of the ``tokenizers`` library.
 
 The library's own steps, with a table of pieces met before in front of its merges: normalise, split, look up.
-Strings of special tokens are ordinary text. Null texts count as empty and have no ids.
+Strings of added tokens become their ids, as in the library's plain call: they are split off before anything else, so
+what only normalising turns into one is ordinary text. Null texts count as empty and have no ids.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -21,13 +23,15 @@ from clickloom.llm.splitting import Splitter
 class WordTokenizer:
     def __init__(self, path: str, limit: int = 300_000) -> None:
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = True  # for what is between added tokens
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         steps, suffix = spec["pre_tokenizer"]["pretokenizers"], spec["model"]["end_of_word_suffix"]
         self.split = Splitter(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
         self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
         self.ends_word[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
+        self.added = {token["content"]: int(token["id"]).to_bytes(4, "little") for token in spec["added_tokens"]}
+        self.mark = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.limit = limit
         self.pieces: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -66,7 +70,15 @@ class WordTokenizer:
         return {p: data[a:b] for p, a, b in zip(pieces, bounds, bounds[1:], strict=False)}
 
     def __call__(self, text: str | None) -> bytes:
-        pieces, out = self.split(self.normal(text or "")), []
+        out, at = [], 0
+        for found in self.mark.finditer(text or ""):
+            out += [self.between(text[at : found.start()]), self.added[found[0]]]
+            at = found.end()
+        return b"".join([*out, self.between((text or "")[at:])])
+
+    def between(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        pieces, out = self.split(self.normal(text)), []
         for at in range(0, len(pieces), self.limit // 2):
             some = pieces[at : at + self.limit // 2]
             missing = set(some).difference(self.pieces)

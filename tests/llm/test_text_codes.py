@@ -1,6 +1,7 @@
 """Byte-level BPE, word tokens and packing against the libraries and brute force."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clickloom.llm import bpe, packing, token_output, tokens
-from clickloom.llm.catalog import packed_documents
+from clickloom.llm.catalog import QUERIES, packed_documents
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -65,11 +66,25 @@ def test_columns_take_null_and_empty(spark):
 
 def test_word_tokens_agree_with_library():
     own, library = tokens.WordTokenizer(WORDS, limit=50), Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
-    for text in AWKWARD + some_texts(1500):
+    marks = ["a <|endoftext|> b", "<|endoftext|><|startoftext|>", "x<|ENDOFTEXT|>y <|endof", "\n<|startoftext|>\u00c9t\u00e9 <|endoftext|>", "<|<|endoftext|>|>"]
+    for text in AWKWARD + some_texts(1500) + marks:
         assert np.frombuffer(own(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_packing_query_has_the_ids_of_the_library(spark, tmp_path):
+    library = Tokenizer.from_file(WORDS)
+    texts = [*AWKWARD, "a <|endoftext|> b", "word " * 9000, "", None, "short"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in QUERIES["op7_sum_of_squares_packing"](spark, str(tmp_path)).collect()}
+    want = {}
+    for doc, text in enumerate(texts):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        for piece, at in enumerate(range(0, len(ids), 4096)):
+            some = ids[at : at + 4096]
+            want[doc, piece] = (at, len(some), zlib.crc32(np.array(some, "<u4").tobytes()))
+    assert got == want
+
+
 def check_packing(rows, capacity):
     """Pieces cover each document once; sequences are gapless and not too long."""
     by_doc, by_sequence = {}, {}
