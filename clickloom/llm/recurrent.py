@@ -20,6 +20,7 @@ import numpy as np
 
 UNITS, STEPS, LANES, RATE = 24, 32, 192, 0.06
 CALM = 1e-6  # what squared gradients begin at
+SMALL = 1 << 17  # multiplications
 SAFE = 75.0  # e to this power, a few hundred times, is a float
 TINY = np.float32(1e-37)
 PAD = np.float32(-1e9)  # bias of places in the last class that no symbol has
@@ -170,12 +171,34 @@ def run_window(w: Weights, batch: Batch, span: slice, lanes: int, end: int, carr
     return Window(before, found, gate, candidate, out, keep)
 
 
+def product(a: np.ndarray, b: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """``a @ b`` in slices too small for BLAS to share out among threads, whose waiting costs more than they save."""
+    rows = max(1, SMALL // b.size)
+    whole = len(a) - len(a) % rows
+    out = np.empty((len(a), b.shape[1]), a.dtype) if out is None else out
+    if whole:
+        np.matmul(a[:whole].reshape(-1, rows, a.shape[1]), b, out=out[:whole].reshape(-1, rows, b.shape[1]))
+    if whole < len(a):
+        np.matmul(a[whole:], b, out=out[whole:])
+    return out
+
+
+def crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` in such slices."""
+    rows = max(1, SMALL // (a.shape[1] * b.shape[1]))
+    whole = len(a) - len(a) % rows
+    total = a[whole:].T @ b[whole:]
+    if whole:
+        total += np.matmul(a[:whole].reshape(-1, rows, a.shape[1]).transpose(0, 2, 1), b[:whole].reshape(-1, rows, b.shape[1])).sum(0)
+    return total
+
+
 def softmax_parts(x: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
     """Exponentials of each row and their sums, in place; of what is below the row's largest value if the bound could overflow."""
     if bound > SAFE:
         x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    return x, x @ np.ones(x.shape[1], np.float32)
+    return x, x.sum(1)
 
 
 def largest(factors: np.ndarray, bias: np.ndarray) -> float:
@@ -198,13 +221,13 @@ def predict(w: Weights, states: np.ndarray, symbols: np.ndarray, back: Weights |
     ends = np.cumsum(np.bincount(kinds, minlength=len(w.words))).tolist()
     blocks = [(k, slice(at, to)) for k, (at, to) in enumerate(zip([0, *ends], ends, strict=False)) if to > at]
     rows = np.arange(len(states))
-    values = states @ w.classes
+    values = product(states, w.classes)
     values += w.class_bias
     parts, sums = softmax_parts(values, largest(w.classes, w.class_bias))
     p = parts[rows, kinds] / sums
     inside = np.empty((len(states), w.places), np.float32)
     for k, span in blocks:
-        np.matmul(states[span], w.words[k], out=inside[span])
+        product(states[span], w.words[k], inside[span])
         inside[span] += w.word_bias[k]
     inside, inner = softmax_parts(inside, largest(w.words, w.word_bias))
     q = inside[rows, places] / inner
@@ -213,14 +236,14 @@ def predict(w: Weights, states: np.ndarray, symbols: np.ndarray, back: Weights |
     if back is None:
         return logp, None
     d = pulls(parts, sums, (rows, kinds))
-    back.classes[:] = states.T @ d
+    back.classes[:] = crossed(states, d)
     back.class_bias[:] = d.sum(0)
-    pull = d @ w.classes.T
+    pull = product(d, w.classes.T)
     d = pulls(inside, inner, (rows, places))
     for k, span in blocks:
-        back.words[k] = states[span].T @ d[span]
+        back.words[k] = crossed(states[span], d[span])
         back.word_bias[k] = d[span].sum(0)
-        pull[span] += d[span] @ w.words[k].T
+        pull[span] += product(d[span], w.words[k].T)
     found = np.empty_like(pull)
     found[order] = pull
     return logp, found
@@ -258,7 +281,7 @@ def gradients(w: Weights, batch: Batch, span: slice, lanes: int, end: int, carri
         dh += da @ turned
         dh *= win.keep[t]
     rows = moves.reshape(-1, 2 * units)
-    back.turn[:] = win.state.reshape(-1, units).T @ rows
+    back.turn[:] = crossed(win.state.reshape(-1, units), rows)
     return win.out[-1], *rows_summed(win.before.ravel(), rows)
 
 
@@ -288,7 +311,7 @@ def train(w: Weights, documents: list[np.ndarray], end: int, lanes: int = LANES,
     return w
 
 
-def log_likelihoods(w: Weights, documents: list[np.ndarray], end: int, lanes: int = 512, steps: int = STEPS) -> np.ndarray:
+def log_likelihoods(w: Weights, documents: list[np.ndarray], end: int, lanes: int = LANES, steps: int = STEPS) -> np.ndarray:
     """Natural log probability of each whole document."""
     total = np.zeros(len(documents))
     if not documents:
