@@ -31,18 +31,68 @@ def tokens(spark, sf):
     )
 
 
-@query("X1_segment")
+def benchmark_words(spark, sf, text=F.col("text")):
+    """Benchmark words as a dictionary with their counts."""
+    words = table(spark, sf, "benchmark").select(F.explode(tx.latin_tokens(text)).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("freq"))
+
+
+def turns(spark, sf, text=F.lower("text")):
+    return texts(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), text.alias("text"))
+
+
+RUNS = r"""dict AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS word FROM benchmark),
+turns AS (SELECT concat_ws('-', conv_id, turn) AS id, regexp_extract_all(lower(text), '\p{L}+') AS runs FROM conversations),
+placed AS (SELECT id, unnest(runs) AS run, unnest(range(len(runs))) AS run_no FROM turns)"""
+
+
+@query(
+    "X1_segment",
+    with_(RUNS, select="SELECT id, CAST(run_no AS INTEGER) AS run_no, run, TRUE AS all_known FROM placed"),
+)
 def segment(spark, sf):
-    """Dictionary segmentation of whole texts; letters stand in for Han, benchmark words for the dictionary."""
-    dictionary = (
-        table(spark, sf, "benchmark")
-        .select(F.explode(tx.latin_tokens(F.col("text"))).alias("word"))
-        .groupBy("word").agg(F.count("*").alias("freq"))
-    )
-    lowered = texts(spark, sf, "conversations").select(
-        F.concat_ws("-", "conv_id", "turn").alias("id"), F.lower("text").alias("text")
+    """Dictionary segmentation of whole texts, its words put together again; letters stand in for Han."""
+    dictionary = benchmark_words(spark, sf)
+    words = keywords.segment(turns(spark, sf), "id", "text", dictionary, run=r"\p{L}+")
+    listed = dictionary.select("word", F.lit(True).alias("listed"))
+    known = F.coalesce("listed", F.char_length("word") == 1)
+    ordered = F.sort_array(F.collect_list(F.struct("word_no", "word")))
+    runs = joins.salted_join(words, listed, ["word"], "left").withColumn("known", known).groupBy("id", "run_no").agg(
+        F.array_join(F.transform(ordered, lambda w: w.word), "").alias("run"), F.bool_and("known").alias("all_known")
     )
-    return keywords.segment(lowered, "id", "text", dictionary, run=r"\p{L}+")
+    return runs.select("id", "run_no", "run", "all_known")
+
+
+@query(
+    "X1_segment_whole_words",
+    with_(
+        RUNS,
+        select="""SELECT p.id, CAST(p.run_no AS INTEGER) AS run_no, p.run AS word FROM placed p JOIN dict d ON d.word = p.run""",
+    ),
+)
+def segment_whole_words(spark, sf):
+    """Runs that the best split leaves whole. A word of the dictionary always is: it has more weight than any split of
+    itself, as every part has at most all of the weight."""
+    dictionary = benchmark_words(spark, sf).withColumn("freq", F.lit(1))
+    words = keywords.segment(turns(spark, sf), "id", "text", dictionary, run=r"\p{L}+")
+    whole = words.groupBy("id", "run_no").agg(F.count("*").alias("n"), F.min("word").alias("word")).where("n = 1")
+    return joins.salted_join(whole.drop("n"), dictionary.select("word"), ["word"], "left_semi").select("id", "run_no", "word")
+
+
+LETTERS, HAN_LETTERS = "abcdefghijklmnopqrstuvwxyz", "".join(chr(0x4E00 + 97 * i) for i in range(26))
+
+
+@query("X2_han_keywords")
+def han_keywords(spark, sf):
+    """Conversations and a dictionary written in 26 Han characters: cut by the dictionary, then ranked by TF-IDF."""
+
+    def in_han(text):
+        return F.translate(F.lower(text), LETTERS, HAN_LETTERS)
+
+    words = benchmark_words(spark, sf).where(F.col("word").rlike("^[a-z]+$")).select(in_han("word").alias("word"), "freq")
+    rows = turns(spark, sf, in_han("text"))
+    terms = keywords.explode_tokens(rows, "id", keywords.han_terms(rows, "id", "text", words))
+    return keywords.tfidf_keywords(terms, keywords.train_idf(terms), 10, keep_term=~tx.is_noise(F.col("term"))).select("id", "term", "rank")
 
 
 IDF = """idf AS (SELECT term, log10(CAST((SELECT count(DISTINCT id) FROM terms) AS DOUBLE) / count(*)) AS idf FROM terms GROUP BY term)"""

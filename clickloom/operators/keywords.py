@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from pyspark.sql import types as T
 from clickloom.functions import text as tx
 from clickloom.operators.joins import salted_join
 from clickloom.operators.ranking import top_k
+from clickloom.session import materialise
 
 NOT_FOUND = "xxx找不到xxx"
 
@@ -234,11 +238,11 @@ def flexible_keywords(df: DataFrame, key: str, text: Column, extracted: DataFram
     return placed.drop("_pieces")
 
 
-def _split_run(run: str, starts: list[int], sizes: list[int], logs: list[float]) -> list[str]:
-    """Most probable split of one run; every single character is among the candidates."""
-    options: list[list[tuple[int, float]]] = [[] for _ in run]
-    for start, size, log in zip(starts, sizes, logs):
-        options[start - 1].append((size, log))
+TRIE_WORDS = 1 << 19  # a dictionary of so many words (about 100 MB in a worker) is walked as a trie
+
+
+def _best_split(run: str, options: list[list[tuple[int, float]]]) -> list[str]:
+    """Most probable split of one run; ``options`` has (size, log) of the words that start at each character."""
     best = [0.0] * (len(run) + 1)
     step = [1] * len(run)
     for i in range(len(run) - 1, -1, -1):
@@ -250,34 +254,95 @@ def _split_run(run: str, starts: list[int], sizes: list[int], logs: list[float])
     return words
 
 
+class DictionaryTrie:
+    """Words with their log shares; a run is walked once, whatever the lengths of the words.
+
+    The trie is built once per worker process and dictionary. An unknown single character weighs ``unknown``.
+    """
+
+    built: dict[str, ahocorasick.Automaton] = {}
+
+    def __init__(self, logs: dict[str, float], unknown: float) -> None:
+        self.logs, self.unknown = logs, unknown
+        self.name = hashlib.md5(repr(sorted(logs.items())).encode()).hexdigest()
+
+    def automaton(self) -> ahocorasick.Automaton:
+        found = self.built.get(self.name)
+        if found is None:
+            found = ahocorasick.Automaton()
+            for word, log in self.logs.items():
+                found.add_word(word, (len(word), log))
+            if self.logs:
+                found.make_automaton()
+            self.built.clear()
+            self.built[self.name] = found
+        return found
+
+    def split(self, run: str) -> list[str]:
+        options: list[list[tuple[int, float]]] = [[] for _ in run]
+        for last, (size, log) in self.automaton().iter(run) if self.logs else ():
+            options[last + 1 - size].append((size, log))
+        for i, character in enumerate(run):
+            if character not in self.logs:
+                options[i].append((1, self.unknown))
+        return _best_split(run, options)
+
+
+def _by_trie(df: DataFrame, key: str, runs: Column, trie: DictionaryTrie) -> DataFrame:
+    """Every text's runs are split where they are: nothing is shuffled."""
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+    def split(cells: pd.Series) -> pd.Series:
+        return pd.Series([[trie.split(run) for run in found] for found in cells], dtype=object)
+
+    split_runs = df.select(key, F.posexplode(split(F.coalesce(runs, F.array().cast("array<string>")))).alias("run_no", "_words"))
+    return split_runs.select(key, "run_no", F.posexplode("_words").alias("word_no", "word"))
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _split_runs(run: pd.Series, start: pd.Series, size: pd.Series, log: pd.Series) -> pd.Series:
-    return pd.Series([_split_run(*row) for row in zip(run, start, size, log)])
+def _split_candidates(run: pd.Series, start: pd.Series, size: pd.Series, log: pd.Series) -> pd.Series:
+    def split(run: str, starts: list[int], sizes: list[int], logs: list[float]) -> list[str]:
+        options: list[list[tuple[int, float]]] = [[] for _ in run]
+        for at, length, value in zip(starts, sizes, logs):
+            options[at - 1].append((length, value))
+        return _best_split(run, options)
 
+    return pd.Series([split(*row) for row in zip(run, start, size, log)], dtype=object)
 
-def segment(
-    df: DataFrame, key: str, text: str, dictionary: DataFrame, run: str = tx.HAN
-) -> DataFrame:
-    """Maximum-probability dictionary segmentation, one row (key, run_no, word_no, word) per word.
 
-    ``dictionary`` is (word, freq). Distinct text runs are cut into candidate substrings on the JVM
-    of every length that the dictionary has and matched by an ordinary join, so it may have any size; only
-    the best-path step over one run's candidates is [pandas].
+def _by_join(df: DataFrame, key: str, runs: Column, weighted: DataFrame, unknown: float) -> DataFrame:
+    """For dictionaries of any size: substrings of distinct runs meet the dictionary in a join.
+
+    Substrings carry the number of their run, and frequent ones are salted.
     """
-    runs = df.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(f"({run})"), 1)).alias("run_no", "_run"))
-    distinct = runs.select("_run").distinct()
+    placed = df.select(key, F.posexplode(runs).alias("run_no", "_run"))
+    distinct = materialise(placed.select("_run").distinct().withColumn("_id", F.monotonically_increasing_id()), "runs")
+    sizes = sorted({1, *(r[0] for r in weighted.select(F.char_length("word")).distinct().collect())})  # lengths, not words
     length = F.char_length("_run")
     starts = distinct.withColumn("_start", F.explode(F.sequence(F.lit(1), length)))
-    totals = dictionary.agg(F.sum("freq"), F.collect_set(F.char_length("word"))).first()
-    total, sizes = totals[0], sorted({1, *totals[1]})  # as many as there are lengths of words
     pieces = starts.withColumn("_size", F.explode(F.array(*map(F.lit, sizes)))).where(F.col("_size") <= length - F.col("_start") + 1)
-    pieces = pieces.withColumn("word", F.substring(F.col("_run"), F.col("_start"), F.col("_size")))
-    weighted = dictionary.where(F.col("freq") > 0).select("word", F.ln(F.col("freq") / total).alias("_log"))
-    found = pieces.join(weighted, "word", "left").where(F.col("_log").isNotNull() | (F.col("_size") == 1))
-    # an unknown single character weighs as much as one occurrence
-    weight = F.coalesce("_log", -F.ln(F.lit(total))).alias("_log")
-    candidates = F.sort_array(F.collect_list(F.struct("_start", "_size", weight)))
-    grouped = found.groupBy("_run").agg(candidates.alias("_c"))
-    words = _split_runs("_run", "_c._start", "_c._size", "_c._log")
-    split = grouped.select("_run", words.alias("_words"))
-    return runs.join(split, "_run").select(key, "run_no", F.posexplode("_words").alias("word_no", "word"))
+    pieces = pieces.select("_id", "_start", "_size", F.substring(F.col("_run"), F.col("_start"), F.col("_size")).alias("word"))
+    found = salted_join(pieces, weighted, ["word"], "left").where(F.col("_log").isNotNull() | (F.col("_size") == 1))
+    candidates = F.sort_array(F.collect_list(F.struct("_start", "_size", F.coalesce("_log", F.lit(unknown)).alias("_log"))))
+    grouped = distinct.join(found.groupBy("_id").agg(candidates.alias("_c")), "_id")
+    split = grouped.select("_run", _split_candidates("_run", "_c._start", "_c._size", "_c._log").alias("_words"))
+    return placed.join(split, "_run").select(key, "run_no", F.posexplode("_words").alias("word_no", "word"))
+
+
+def segment(
+    df: DataFrame, key: str, text: str, dictionary: DataFrame, run: str = tx.HAN, trie_words: int = TRIE_WORDS
+) -> DataFrame:
+    """Maximum-probability dictionary segmentation, one row (key, run_no, word_no, word) per word.
+
+    ``dictionary`` is (word, freq); words may have any length, and of several equally probable splits the one with
+    the longer word first counts. Up to ``trie_words`` words travel to the tasks as a trie; a larger dictionary is
+    joined, with the same result. Null and empty texts have no rows.
+    """
+    runs = F.regexp_extract_all(text, F.lit(f"({run})"), 1)
+    total = dictionary.agg(F.sum("freq")).first()[0] or 1
+    known = dictionary.where(F.col("freq") > 0).groupBy("word").agg(F.max("freq").alias("freq"))
+    weighted = known.select("word", F.ln(F.col("freq") / total).alias("_log")).where("word <> ''")
+    some = weighted.limit(trie_words + 1).collect()
+    if len(some) > trie_words:
+        return _by_join(df, key, runs, weighted, -math.log(total))
+    return _by_trie(df, key, runs, DictionaryTrie({r["word"]: r["_log"] for r in some}, -math.log(total)))

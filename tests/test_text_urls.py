@@ -1,6 +1,8 @@
 """Cleaners, signatures and traffic sources, edge cases included."""
 
 import hashlib
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +141,33 @@ def test_segmenter_finds_the_most_probable_split(spark):
     assert [r.word for r in rows] == want
 
 
+@pytest.mark.parametrize("trie_words", [1 << 19, 3])
+def test_trie_and_join_split_alike(spark, trie_words):
+    rng = random.Random(6)
+    letters = "甲乙丙丁戊"
+    freq = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 7))): rng.randint(1, 60) for _ in range(60)}
+    del freq[next(w for w in freq if len(w) == 1)]
+    texts = ["".join(rng.choice(letters + " ,a") for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    texts += [texts[3], None, "", "no han", "甲" * 4000]
+    dictionary = spark.createDataFrame([*freq.items(), ("丁丁", 0), ("", 4)], "word string, freq long")
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = {}
+    for r in keywords.segment(df, "id", "text", dictionary, trie_words=trie_words).orderBy("id", "run_no", "word_no").collect():
+        found.setdefault((r.id, r.run_no), []).append(r.word)
+    sized = freq | {"": 4}
+    for i, text in enumerate(texts[:-1]):
+        runs = re.findall("[一-鿿]+", text or "")
+        assert [found[i, n] for n in range(len(runs))] == [brute_segment(sized, run) for run in runs]
+    assert "".join(found[len(texts) - 1, 0]) == texts[-1]
+    assert len(found) == sum(len(re.findall("[一-鿿]+", t or "")) for t in texts)
+
+
+def test_empty_dictionary_leaves_characters(spark):
+    df = spark.createDataFrame([(1, "今天 好")], "id long, text string")
+    none = spark.createDataFrame([], "word string, freq long")
+    assert sorted(r.word for r in keywords.segment(df, "id", "text", none).collect()) == ["今", "天", "好"]
+
+
 def test_dictionary_words_may_be_long(spark):
     word = "中華民國行政院環境保護署"
     dictionary = spark.createDataFrame([(word, 3), ("中華", 9)], "word string, freq long")
