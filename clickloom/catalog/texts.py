@@ -31,14 +31,14 @@ def tokens(spark, sf):
     )
 
 
-def benchmark_words(spark, sf, text=F.col("text")):
+def benchmark_words(spark, sf):
     """Benchmark words as a dictionary with their counts."""
-    words = table(spark, sf, "benchmark").select(F.explode(tx.latin_tokens(text)).alias("word"))
+    words = table(spark, sf, "benchmark").select(F.explode(tx.latin_tokens(F.col("text"))).alias("word"))
     return words.groupBy("word").agg(F.count("*").alias("freq"))
 
 
-def turns(spark, sf, text=F.lower("text")):
-    return texts(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), text.alias("text"))
+def turns(spark, sf):
+    return texts(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), F.lower("text").alias("text"))
 
 
 RUNS = r"""dict AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS word FROM benchmark),
@@ -87,10 +87,10 @@ def han_keywords(spark, sf):
     """Conversations and a dictionary written in 26 Han characters: cut by the dictionary, then ranked by TF-IDF."""
 
     def in_han(text):
-        return F.translate(F.lower(text), LETTERS, HAN_LETTERS)
+        return F.translate(text, LETTERS, HAN_LETTERS)
 
-    words = benchmark_words(spark, sf).where(F.col("word").rlike("^[a-z]+$")).select(in_han("word").alias("word"), "freq")
-    rows = turns(spark, sf, in_han("text"))
+    words = benchmark_words(spark, sf).where(F.col("word").rlike("^[a-z]+$")).withColumn("word", in_han("word"))
+    rows = turns(spark, sf).withColumn("text", in_han("text"))
     terms = keywords.explode_tokens(rows, "id", keywords.han_terms(rows, "id", "text", words))
     return keywords.tfidf_keywords(terms, keywords.train_idf(terms), 10, keep_term=~tx.is_noise(F.col("term"))).select("id", "term", "rank")
 
