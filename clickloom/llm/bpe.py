@@ -6,7 +6,8 @@ only the prefixes that a longer token may still reach back to. Such a set of liv
 a byte moves every live prefix along the token trie, adds the prefix that ends at this byte and drops those
 that no token continues. Tokens on which all live prefixes agree are emitted, so output lags behind the input
 by less than the longest token. States and transitions are made when first met and kept in a table of bounded
-size; a full table is emptied, which changes no result.
+size; a full table is emptied, which changes no result. How the trie nodes of a state move depends on the nodes
+alone, which few sets of prefixes differ in, so that part is kept once for all states of equal nodes.
 
 Edge cases: null text counts as empty and gives no ids; malformed byte sequences decode to the bytes they are.
 """
@@ -14,6 +15,8 @@ Edge cases: null text counts as empty and gives no ids; malformed byte sequences
 from __future__ import annotations
 
 import base64
+import gc
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -35,7 +38,7 @@ class PairRule:
         self.ranks = ranks
         self.spelling = {rank: piece for piece, rank in ranks.items()}
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._allowed: dict[tuple[int, int], bool] = {}
+        self.allowed: dict[int, bool] = {}  # by left << 32 | right
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; (token, token) for one byte, None if merging never makes it."""
@@ -59,12 +62,13 @@ class PairRule:
         return None if left is None or right is None else (left, right)
 
     def may_follow(self, left: int, right: int) -> bool:
-        key = (left, right)
-        if key not in self._allowed:
-            if len(self._allowed) > 2_000_000:
-                self._allowed.clear()
-            self._allowed[key] = self._stays_apart(left, right)
-        return self._allowed[key]
+        key = left << 32 | right
+        follows = self.allowed.get(key)
+        if follows is None:
+            if len(self.allowed) >= 1_000_000:
+                self.allowed.clear()
+            follows = self.allowed[key] = self._stays_apart(left, right)
+        return follows
 
     def _stays_apart(self, left: int, right: int) -> bool:
         """No merge across the border comes before the merges that make the two tokens themselves.
@@ -86,6 +90,42 @@ class PairRule:
                 before, right = right + 1, self.halves(right)[0]
 
 
+class _Path:
+    """Tokens not emitted yet that spell a live prefix, and the last token of it, emitted or not."""
+
+    __slots__ = ("pending", "last")
+
+    def __init__(self, pending: tuple[int, ...], last: int) -> None:
+        self.pending, self.last = pending, last
+
+
+class _Reach(dict):
+    """Trie nodes that live prefixes have reached, oldest prefix first; items are the moves of the nodes, by byte."""
+
+    __slots__ = ("nodes", "machine")
+
+    def __init__(self, nodes: tuple[int, ...], machine: MergeTransducer) -> None:
+        super().__init__()
+        self.nodes, self.machine = nodes, machine
+
+    def __missing__(self, byte: int) -> tuple[_Reach, tuple[int, ...], tuple[tuple[int, int], ...], tuple[int, int]]:
+        self[byte] = self.machine.reach(self, byte)
+        return self[byte]
+
+
+class _State(dict):
+    """Live prefixes: their nodes and their paths; items are the moves made so far, by byte."""
+
+    __slots__ = ("nodes", "paths", "machine")
+
+    def __init__(self, nodes: _Reach, paths: tuple[_Path, ...], machine: MergeTransducer) -> None:
+        super().__init__()
+        self.nodes, self.paths, self.machine = nodes, paths, machine
+
+    def __missing__(self, byte: int) -> tuple[_State, tuple[int, ...]]:
+        return self.machine.step(self, byte)
+
+
 class MergeTransducer:
     """Bytes in, token ids out, one table look-up per byte."""
 
@@ -104,74 +144,86 @@ class MergeTransducer:
                     self.token_at.append(START)
                 node = nxt
             self.token_at[node] = rank
+        self.states: dict[tuple, _State] = {}
+        self.reached: dict[tuple[int, ...], _Reach] = {}
+        self.paths: dict[tuple[int, ...] | int, _Path] = {}  # equal paths of several states are one object
         self._forget()
 
+    def _path(self, pending: tuple[int, ...], last: int) -> _Path:
+        key = pending or last  # pending tokens end with the last one
+        path = self.paths.get(key)
+        if path is None:
+            path = self.paths[key] = _Path(pending, last)
+        return path
+
     def _forget(self) -> None:
-        # a live prefix: (tokens not emitted yet, its last token, trie node reached since)
-        first = (((), START, ROOT),)
-        self.states = [first]
-        self.number = {first: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state * 256 + byte
-        self.prefixes: dict[tuple, tuple] = {}  # equal prefixes of several states are one object
-
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        live, ended = [], None
-        for pending, last, node in self.states[state]:
-            reached = self.children[node].get(byte)
-            if reached is None:
-                continue
-            token = self.token_at[reached]
-            if (
-                ended is None
-                and token != START
-                and self.rule.halves(token) is not None
-                and (last == START or self.rule.may_follow(last, token))
-            ):
-                ended = (pending + (token,), token, ROOT)
-            if self.children[reached]:
-                live.append((pending, last, reached))
-        if ended is None:
+        """Empty the tables. A run goes on from the state it holds; what it meets then is made anew."""
+        for table in (self.states, self.reached):
+            for known in table.values():
+                known.clear()
+            table.clear()
+        self.paths.clear()
+        nodes = self.reached[(ROOT,)] = _Reach((ROOT,), self)
+        self.first = _State(nodes, (self._path((), START),), self)
+        self.states[nodes.nodes, *self.first.paths] = self.first
+
+    def reach(self, before: _Reach, byte: int) -> tuple[_Reach, tuple[int, ...], tuple[tuple[int, int], ...], tuple[int, int]]:
+        """Nodes after ``byte``, which prefixes stay live, and (prefix, token) of the tokens that end here, the shortest apart."""
+        found = [(i, self.children[node][byte]) for i, node in enumerate(before.nodes) if byte in self.children[node]]
+        ends = [(i, self.token_at[node]) for i, node in found]
+        ends = [(i, token) for i, token in ends if token != START and self.rule.halves(token) is not None]
+        if not ends:
             raise ValueError("the vocabulary lacks a token for a byte")
-        live.append(ended)
-        agreed = 0
-        shortest = min(len(p) for p, _, _ in live)
-        while agreed < shortest and len({p[agreed] for p, _, _ in live}) == 1:
-            agreed += 1
-        out = live[0][0][:agreed]
-        if agreed:
-            live = [(p[agreed:], last, node) for p, last, node in live]
-        known = self.prefixes.setdefault
-        key = tuple([known(p, p) for p in live])
-        target = self.number.get(key)
+        stay = [(i, node) for i, node in found if self.children[node]]
+        nodes = (*(node for _, node in stay), ROOT)
+        after = self.reached.get(nodes)
+        if after is None:
+            after = self.reached[nodes] = _Reach(nodes, self)
+        return after, tuple(i for i, _ in stay), tuple(ends[:-1]), ends[-1]
+
+    def step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
+        if len(self.states) >= self.max_states:
+            self._forget()
+        nodes, stay, maybe, (i, token) = state.nodes[byte]
+        # exactly one token ends a prefix, so if no other may follow its path, it is the shortest
+        for j, other in maybe:
+            last = state.paths[j].last
+            if last == START or self.rule.may_follow(last, other):
+                i, token = j, other
+                break
+        live = [state.paths[j] for j in stay]
+        live.append(self._path((*state.paths[i].pending, token), token))
+        out = live[0].pending
+        for path in live:
+            while out != path.pending[: len(out)]:
+                out = out[:-1]
+        if out:
+            agreed = len(out)
+            live = [self._path(path.pending[agreed:], path.last) for path in live]
+        key = (nodes.nodes, *live)
+        target = self.states.get(key)
         if target is None:
-            target = self.number[key] = len(self.states)
-            self.states.append(key)
-        self.moves[state << 8 | byte] = target, out
-        return target, out
+            target = self.states[key] = _State(nodes, key[1:], self)
+        move = state[byte] = target, out
+        return move
 
     def run(self, data: bytes) -> list[int]:
         """Ids of one piece of text that merges may not leave."""
-        moves, states, step, ids, state = self.moves, self.states, self._step, [], 0
+        ids: list[int] = []
+        state = self.first
         for byte in data:
-            hit = moves.get(state << 8 | byte)
-            if hit is None:
-                if len(states) >= self.max_states:  # the table is full: start another with this state
-                    key = states[state]
-                    self._forget()
-                    moves, states = self.moves, self.states
-                    state = self.number.setdefault(key, len(states))
-                    if state == len(states):
-                        states.append(key)
-                hit = step(state, byte)
-            state, out = hit
+            state, out = state[byte]
             if out:
                 ids += out
-        for pending, _, node in self.states[state]:
-            if node == ROOT:
-                ids += pending
+        ids += state.paths[-1].pending  # the last prefix is the one that ends here
         return ids
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Pieces(dict):
     """Ids of pieces met lately, as little-endian 32-bit integers. A full table becomes the old one, which is
     looked up once more before a piece is encoded anew, so frequent pieces stay."""
@@ -187,7 +239,7 @@ class _Pieces(dict):
         if ids is None:
             data = piece.encode("utf-8", "surrogatepass")
             whole = self.ranks.get(data)
-            ids = np.array(self.machine.run(data) if whole is None else [whole], dtype="<u4").tobytes()
+            ids = packed(self.machine.run(data) if whole is None else [whole])
             if len(piece) > 32:
                 return ids
         if len(self) >= self.limit:
@@ -279,7 +331,12 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
     @F.pandas_udf("binary")
     def ids(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(map(encoder(path, pattern), texts)), dtype=object)
+        # no garbage is cyclic here (a full table is taken apart), and the collector would walk the table all the time
+        gc.disable()
+        try:
+            return pd.Series(list(map(encoder(path, pattern), texts)), dtype=object)
+        finally:
+            gc.enable()
 
     return ids(text)
 
