@@ -151,7 +151,7 @@ def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_winnowing")
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = winnow.edited_pairs(read(spark, sf_dir, "documents"))
-    rows = winnow.with_char_fingerprint(pairs, "edited", "edited_entries").select(
+    rows = pairs.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         "entries", "edited_entries", F.col("next_hashes").alias("_next"),
         *(winnow.hashes(F.col(c)).cast("array<int>").alias(f"_{c}") for c in ("entries", "edited_entries")),

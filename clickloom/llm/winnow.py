@@ -28,6 +28,7 @@ GRAM = 4
 WINDOW = 16
 CHARS = 8
 SPAN = 8
+BLOCK = 64
 SPACE = r"[\x20\x09-\x0D]+"
 PLACES = (1 << 32) - 1
 
@@ -53,17 +54,43 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
 
 def with_char_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` plus ``out``, the array of fingerprint entries of the column ``text`` by place, from runs of characters."""
-    keep = [c for c in df.columns if c != out]
     plain = F.trim(F.regexp_replace(F.col(text), SPACE, " "))
+    return _with_run_minima(df.select(*df.columns, plain.alias("_plain"), F.lit(0).alias("_from")), [c for c in df.columns if c != out], out)
+
+
+def _with_run_minima(df: DataFrame, keep: list[str], out: str) -> DataFrame:
+    """``keep`` and ``out``: entries of ``_plain``, a text with single blanks whose first character has the place ``_from``."""
     # four bytes a character, so that every run is cut out in the same time
-    df = df.select(*df.columns, F.encode(plain, "UTF-32").alias("_b"))
+    df = df.select(*keep, "_from", F.encode("_plain", "UTF-32").alias("_b"))
     last = F.greatest((F.octet_length("_b") / 4).cast("int") - CHARS, F.lit(0))
-    cut = lambda b: F.transform(F.sequence(F.lit(0), last), lambda i: _entry(F.xxhash64(F.substring(b, 4 * i + 1, F.lit(4 * CHARS))), i))
+    cut = lambda b: F.transform(F.sequence(F.lit(0), last), lambda i: _entry(F.xxhash64(F.substring(b, 4 * i + 1, F.lit(4 * CHARS))), i + F.col("_from")))
     # as a lambda's variable the bytes are held; read from the row they would be copied for every run
     some = F.when(F.octet_length("_b") > 0, F.transform(F.array("_b"), cut)[0]).otherwise(F.array().cast("array<bigint>"))
     return _window_minima(df.select(*keep, some.alias("_a")), keep, SPAN, out)
 
 
+def with_edited_fingerprint(df: DataFrame, entries: str, kept: str, head: str, out: str) -> DataFrame:
+    """``df`` plus ``out``, the entries of the text ``kept`` followed by ``head``; ``entries`` are those of a text that begins with ``kept``.
+
+    Windows inside ``kept`` have the same minima in both texts, and minima move rightwards from window to window. So
+    only the runs from the last such window on are hashed; its minimum is where the two lists of entries meet.
+    """
+    keep = [c for c in df.columns if c != out]
+    plain = F.trim(F.regexp_replace(F.col(kept), SPACE, " "))
+    df = df.select(*df.columns, plain.alias("_plain"))
+    df = df.select(*df.columns, F.greatest(F.length("_plain") - (CHARS + SPAN - 1), F.lit(0)).alias("_from"))
+    blank = F.when(F.col(kept).rlike(r"[\x20\x09-\x0D]$"), F.lit(" ")).otherwise(F.lit(""))
+    rest = F.concat(F.substring("_plain", F.col("_from") + 1, F.length("_plain")), blank, F.regexp_replace(F.col(head), SPACE, " "))
+    rest = F.rtrim(F.regexp_replace(rest, " +", " "))
+    # in the middle of a text a blank in front counts
+    rest = F.when(F.col("_from") > 0, rest).otherwise(F.ltrim(rest))
+    df = df.select(*df.columns[:-2], "_from", rest.alias("_plain"))
+    df = _with_run_minima(df, [*keep, "_from"], "_rest")
+    before = F.slice(entries, F.lit(1), F.greatest(F.array_position(entries, F.col("_rest")[0]).cast("int") - 1, F.lit(0)))
+    joined = F.when(F.col("_from") > 0, F.concat(before, "_rest")).otherwise(F.col("_rest"))
+    return df.select(*keep, joined.alias(out))
+
+
 def _entry(h: Column, i: Column) -> Column:
     return F.shiftleft(h.bitwiseAND(0x7FFFFFFF), 32) + (F.lit(PLACES) - i)
 
@@ -110,22 +137,35 @@ def successors(keys: DataFrame, key: str) -> DataFrame:
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, entries, edited, next_hashes): each text beside its edited form and the next document's hashes."""
+    """(doc_id, text, entries, edited, edited_entries, next_hashes): each text beside its edited form and the next document's hashes.
+
+    Texts are dealt once, by blocks of ``BLOCK`` neighbouring ids. The first document behind a block comes to it as a
+    guest, so every document finds the next one among its block's rows, and its entries are made there once.
+    """
     docs = keyed(docs, "doc_id").select("doc_id", whole_text().alias("text"))
+    block = lambda key: F.floor(F.col(key) / BLOCK)
+    order = successors(docs.select("doc_id").distinct(), "doc_id")
+    behind = (block("doc_id") != block("next_key")) | (F.col("next_key") <= F.col("doc_id"))
+    # stored, so that Spark knows the size
+    guests = materialise(order.where(behind).select(block("doc_id").alias("block"), F.col("next_key").alias("doc_id")), "guests")
+    own = docs.select(block("doc_id").alias("block"), F.lit(False).alias("guest"), "doc_id", "text")
+    rows = own.unionByName(docs.join(guests, "doc_id").select("block", F.lit(True).alias("guest"), "doc_id", "text"))
+    line = ("guest", "doc_id", "text")
+    rows = with_char_fingerprint(rows.repartition("block").sortWithinPartitions("block", *line), "text", "entries")
+    by_line = Window.partitionBy("block").orderBy(*line)
+    # the first row of an id stands for the id
+    name = F.struct("guest", "doc_id")
+    rows = rows.withColumn("_again", F.coalesce(F.lag(name).over(by_line) == name, F.lit(False)))
+    hashed = F.array_distinct(hashes(F.col("entries")).cast("array<int>"))
+    rows = rows.withColumn("_shown", F.when(~F.col("_again"), F.struct("text", hashed.alias("hashes"))))
+    rows = rows.withColumn("next", F.expr(f"lead(_shown) IGNORE NULLS OVER (PARTITION BY block ORDER BY {', '.join(line)})")).where(~F.col("guest"))
     tail = F.floor(F.length("text") / 4).cast("int")
-    order = successors(docs.groupBy("doc_id").agg(F.max(tail).alias("need")), "doc_id")
-    order = order.select(F.col("doc_id").alias("before"), "need", F.col("next_key").alias("doc_id"))
-    # both joins deal the same rows by doc_id, so the texts are shuffled once; entries are made anew, as they are larger than texts
-    following = with_char_fingerprint(docs.join(order, "doc_id"), "text", "entries")
-    head = F.substring("text", F.lit(1), F.col("need")).alias("head")
-    heads = (
-        following.select(F.col("before").alias("doc_id"), F.struct(head, F.array_distinct(hashes(F.col("entries")).cast("array<int>")).alias("hashes")).alias("next"))
-        .groupBy("doc_id")
-        .agg(F.min("next").alias("next"))
-    )
-    kept = F.substring("text", F.lit(1), F.length("text") - tail)
-    return with_char_fingerprint(docs.join(heads, "doc_id"), "text", "entries").select(
+    parts = rows.select(
         "doc_id", "text", "entries",
-        F.concat(kept, F.substring("next.head", F.lit(1), tail)).alias("edited"),
+        F.substring("text", F.lit(1), F.length("text") - tail).alias("kept"),
+        F.substring("next.text", F.lit(1), tail).alias("head"),
         F.col("next.hashes").alias("next_hashes"),
     )
+    return with_edited_fingerprint(parts, "entries", "kept", "head", "edited_entries").select(
+        "doc_id", "text", "entries", F.concat("kept", "head").alias("edited"), "edited_entries", "next_hashes"
+    )

@@ -137,6 +137,25 @@ def test_edited_texts(spark):
     assert [r["edited"] for r in winnow.edited_pairs(docs.where("doc_id = 1")).collect()] == ["0123456789ab0123"]
 
 
+def test_edited_entries_are_those_of_the_edited_text(spark):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("ab \t\n 🙂é") for _ in range(rng.randint(0, 130))) for _ in range(300)] + ["lead  ", "   x" * 9]
+    # neighbours, gaps wider than a block, negative ids and several rows of one id
+    ids = [i * rng.choice([1, 1, 90]) for i in range(300)] + [-7, 10**12]
+    docs = spark.createDataFrame([*zip(ids, texts, strict=True), (5, "zz top"), (5, None)], "doc_id long, text string").repartition(4)
+    made = winnow.with_char_fingerprint(winnow.edited_pairs(docs), "edited", "wanted").collect()
+    assert len(made) == len(texts) + 2
+    assert all(r["edited_entries"] == r["wanted"] for r in made)
+    smallest = {}
+    for i, text in [*zip(ids, texts, strict=True), (5, "zz top"), (5, "")]:
+        smallest[i] = min(smallest.get(i, (text, text))[0], text), text
+    order = sorted(smallest)
+    following = dict(zip(order, [*order[1:], order[0]], strict=True))
+    for r in made:
+        n = len(r["text"]) // 4
+        assert r["edited"] == r["text"][: len(r["text"]) - n] + smallest[following[r["doc_id"]]][0][:n]
+
+
 def brute_components(rows, percent=75):
     """Smallest id that links reach, by comparing every pair."""
     sets = {}
