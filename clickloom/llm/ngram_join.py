@@ -18,8 +18,10 @@ frequent cells, and as the sketch never counts too little, no rare token has mor
 
 Equal sets are one representative. Candidates are verified on the whole sets. First every bucket of a key proposes
 its smallest member with each other one; then buckets that still hold several components propose the pairs across
-components. Pairs within a component change nothing and are never made. The first step is taken ``TURNS`` times, with
-another document of the bucket, so that few components are left for the second.
+components. Pairs within a component change nothing and are never made. The first step is repeated with another
+document of the bucket while it still settles a tenth of the rows, so that few components are left for the second.
+
+Rows of documents that hold fewer keys than a similar pair must share go, before the first step and after each.
 
 Edge cases: null and empty texts and texts without words have an empty set and are linked with nothing; shorter texts
 are one element; rows without an id are left out; rows that repeat an id are one document with the smallest text.
@@ -30,10 +32,11 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import keyed
@@ -49,7 +52,8 @@ FLUSH = 1 << 20
 SPARE = 5  # keys beyond the least prefix, per hundred tokens
 RARE = 16
 MOST = (1 << 16) - 1
-TURNS = 4
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 16 << 20  # of texts and sets handed to Python at once
 
 
 def cell_of(hashes: np.ndarray) -> np.ndarray:
@@ -202,6 +206,13 @@ def enough_keys(found: Column, *n: Column) -> Column:
     return found >= 1 + F.least(*map(spare_of, n))
 
 
+def with_enough_keys(placed: DataFrame, percent: int) -> DataFrame:
+    """The rows of documents that hold as many keys as the smallest set that can be similar must share."""
+    least = 1 + spare_of(F.ceil(F.col("n") * percent / 100))
+    held = placed.groupBy("doc_id").agg(F.sum("times").alias("held"), F.first("n").alias("n")).where(F.col("held") >= least)
+    return placed.join(held.select("doc_id"), "doc_id", "left_semi")
+
+
 def size_fits(left: Column, right: Column, percent: int) -> Column:
     return F.least(left, right) * 100 >= F.greatest(left, right) * percent
 
@@ -244,32 +255,58 @@ def star_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
     return likely(star.groupBy(*ends).agg(F.sum("times").alias("found"), F.first("m.n").alias("na"), F.first("n").alias("nb")))
 
 
-def several_components(placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of keys that still hold several components; keys with the same documents become one, ``times`` as many."""
+def mixed_keys(rows: DataFrame) -> DataFrame:
+    """Rows of keys that hold several components; keys with the same documents become one, ``times`` as many."""
+    keys = rows.groupBy("key").agg(
+        F.count("*").alias("c"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.hash("doc_id")).alias("s"),
+        F.first("times").alias("t"), F.min("component").alias("low"), F.max("component").alias("high"),
+    )
+    keys = keys.where("low < high").groupBy("c", "x", "s").agg(F.min("key").alias("key"), F.sum("t").alias("times"))
+    return rows.drop("times").join(keys.select("key", "times"), "key")
+
+
+def several_components(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Rows that can still give a link between two components."""
     now = placed.drop("component").join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     now = now.select("key", "doc_id", "n", "times", F.coalesce("component", "doc_id").alias("component"))
-    keys = now.groupBy("key").agg(
-        F.count("*").alias("c"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.first("times").alias("t"),
-        F.min("component").alias("low"), F.max("component").alias("high"),
-    )
-    keys = keys.where("low < high").groupBy("c", "x").agg(F.min("key").alias("key"), F.sum("t").alias("times"))
-    return materialise(now.drop("times").join(keys.select("key", "times"), "key"), "mixed")
+    mixed = materialise(mixed_keys(now), "mixed")
+    full = materialise(with_enough_keys(mixed, percent), "full")
+    return materialise(mixed_keys(full), "mixed")
 
 
 def cross_pairs(placed: DataFrame, percent: int) -> DataFrame:
-    """The pairs of a key's documents that are in different components."""
-    parts = placed.select("key", "component").distinct()
-    across = parts.select("key", F.col("component").alias("ca")).join(parts.select("key", F.col("component").alias("cb")), "key").where("ca < cb")
+    """The pairs of a key's documents that are in different components, of components whose sizes can fit."""
+    sizes = (F.min("n").alias("low"), F.max("n").alias("high"))
+    parts = placed.groupBy("key", "component").agg(*sizes)
+    part = lambda x: parts.select("key", F.col("component").alias(f"c{x}"), F.col("low").alias(f"low{x}"), F.col("high").alias(f"high{x}"))
+    fits = f"ca < cb and higha * 100L >= lowb * {percent} and highb * 100L >= lowa * {percent}"
+    across = part("a").join(part("b"), "key").where(fits).select("key", "ca", "cb")
     side = lambda x, *more: placed.select("key", F.col("component").alias(f"c{x}"), F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), *more)
     pairs = across.join(side("a", "times"), ["key", "ca"]).join(side("b"), ["key", "cb"]).where(size_fits(F.col("na"), F.col("nb"), percent))
     return likely(pairs.groupBy("a", "b").agg(F.sum("times").alias("found"), F.first("na").alias("na"), F.first("nb").alias("nb")))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bounds the bytes of texts and sets that Spark hands to Python at once."""
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def similar_documents(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id) of all documents (doc_id, text).
 
     The component is the smallest doc_id that links of at least ``percent`` similarity reach.
     """
+    with small_batches(docs.sparkSession):
+        return _components(docs, width, percent)
+
+
+def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     docs = keyed(docs, "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     profiled = materialise(profile(docs, width), "profile")
     sizes = profiled.where("doc_id is not null").groupBy("doc_id").agg(F.max_by(F.struct("n", "k1", "k2"), "n").alias("p"), F.count("*").alias("copies"))
@@ -290,14 +327,17 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 75) -> Dat
     distinct = docs.join(copies, "doc_id", "left_anti")
 
     shared = materialise(shared_keys(keys_of(distinct, level, width, percent)), "shared-keys")
-    placed = shared.select("*", F.lit(1).cast("long").alias("times"), F.col("doc_id").alias("component"))
-    links = None
-    for turn in range(TURNS):
+    first = shared.select("*", F.lit(1).cast("long").alias("times"), F.col("doc_id").alias("component"))
+    placed = materialise(with_enough_keys(first, percent), "placed")
+    links, turn, rows, before = None, 0, 0, None
+    while before is None or rows * 10 < before * 9:
+        before = placed.count() if before is None else rows
         found = verified(star_pairs(placed, turn, percent), distinct, width, percent)
         links = materialise(found if links is None else links.unionByName(found), "links")
-        placed = several_components(placed, connected_components(links, "a", "b"))
+        placed = several_components(placed, connected_components(links, "a", "b"), percent)
+        rows, turn = placed.count(), turn + 1
     more = verified(cross_pairs(placed, percent), distinct, width, percent)
-    final = connected_components(links.unionByName(more), "a", "b")
+    final = materialise(connected_components(links.unionByName(more), "a", "b"), "components")
 
     found = member.join(final.withColumnRenamed("node", "first"), "first", "left")
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "first").alias("component_id"))
