@@ -141,7 +141,7 @@ SELECT page_id, payload_bytes, payload_digest,
 @query("op8_warc_round_trip", WARC_SQL)
 def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(read(spark, sf_dir, "pages"))
-    records = warc.read_archives(archives, with_payload=False).where("record_type in ('response', 'revisit')")
+    records = warc.verified(warc.read_archives(archives, with_payload=False)).where("record_type in ('response', 'revisit')")
     return records.select(
         warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         warc.page_of(F.col("refers_to_id")).alias("refers_to"),

@@ -4,15 +4,18 @@ Every record is a gzip member of its own. Of pages with equal payloads of at lea
 with the largest id is a ``response`` record, the others are ``revisit`` records that name it and hold no payload.
 A task writes its rows to new files below the shared folder and lists them; the list is stored as a table, so the
 files of a lost or repeated task are never read. The reader takes a file in blocks, decompresses member by
-member, frames records by Content-Length and checks the block and payload digests.
+member in bounded pieces, frames records by Content-Length as they come and checks the block and payload digests,
+written in hexadecimal or base32 digits. A digest that is absent or of an unknown algorithm is not checked.
 
 Edge cases: null html is an empty payload; a null url gives a record without target; line breaks in a url are
 percent-encoded; rows without a page id are left out; rows that repeat are records each. A damaged archive
-raises; a record whose digest does not match is returned with ``intact`` false.
+raises; a record whose digest does not match is returned with ``intact`` false, and ``verified`` raises on it.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import re
 import uuid
@@ -30,6 +33,8 @@ from clickloom.session import materialise, scratch_path
 
 SAME_BYTES = 1000
 BLOCK = 1 << 18
+HEAD = 1 << 20  # bytes of a record's header lines
+END = b"\r\n\r\n"
 VERSION = b"WARC/1.1"
 LISTED = "path string, records bigint, bytes bigint"
 RECORDS = (
@@ -54,19 +59,64 @@ class Record:
         packer = zlib.compressobj(level, zlib.DEFLATED, 31)
         return packer.compress(VERSION + b"\r\n" + lines.encode() + b"\r\n" + self.block + b"\r\n\r\n") + packer.flush()
 
+    def digest_of(self, name: str) -> Digest | None:
+        return Digest.read(self.headers[name]) if name in self.headers else None
+
+
+@dataclass(frozen=True)
+class Digest:
+    algorithm: str
+    hexadecimal: str
+
     @classmethod
-    def unpack(cls, data: bytes) -> Record:
-        if not data.startswith(b"WARC/"):
-            raise ValueError("a member does not begin with a record")
-        end = data.index(b"\r\n\r\n")
-        headers = dict(line.split(": ", 1) for line in data[:end].decode().split("\r\n")[1:])
-        start, size = end + 4, int(headers["Content-Length"])
-        if data[start + size :] != b"\r\n\r\n":
+    def read(cls, text: str) -> Digest | None:
+        """A labelled digest; null if its algorithm is unknown."""
+        algorithm, _, value = text.partition(":")
+        algorithm = algorithm.strip().lower()
+        if algorithm not in hashlib.algorithms_guaranteed or algorithm.startswith("shake"):
+            return None
+        value = value.strip()
+        if len(value) != 2 * hashlib.new(algorithm, usedforsecurity=False).digest_size:
+            try:
+                value = base64.b32decode(value.rstrip("=") + "=" * (-len(value.rstrip("=")) % 8), casefold=True).hex()
+            except binascii.Error:
+                pass  # stays as it is and fits nothing
+        return cls(algorithm, value.lower())
+
+    def fits(self, data: bytes) -> bool:
+        return hashlib.new(self.algorithm, data, usedforsecurity=False).hexdigest() == self.hexadecimal
+
+
+@dataclass
+class Frame:
+    """One record from pieces of its member; it never holds more than Content-Length allows."""
+
+    held: bytearray = field(default_factory=bytearray)
+    headers: dict[str, str] | None = None
+    start: int = 0
+    size: int = 0
+
+    def add(self, piece: bytes) -> None:
+        seen = max(0, len(self.held) - len(END) + 1)
+        self.held += piece
+        if self.headers is None:
+            end = self.held.find(END, seen)
+            if end < 0:
+                if len(self.held) > HEAD:
+                    raise ValueError("a record's header lines do not end")
+                return
+            if not self.held.startswith(b"WARC/"):
+                raise ValueError("a member does not begin with a record")
+            lines = (line.partition(":") for line in self.held[:end].decode().split("\r\n")[1:])
+            self.headers = {name.strip(): value.strip() for name, _, value in lines}
+            self.start, self.size = end + len(END), int(self.headers["Content-Length"])
+        if len(self.held) > self.start + self.size + len(END):
             raise ValueError("Content-Length does not match the record")
-        return cls(headers, data[start : start + size])
 
-    def digest_of(self, name: str) -> str | None:
-        return self.headers[name].removeprefix("sha1:") if name in self.headers else None
+    def record(self) -> Record:
+        if self.headers is None or self.held[self.start + self.size :] != END:
+            raise ValueError("Content-Length does not match the record")
+        return Record(self.headers, bytes(self.held[self.start : self.start + self.size]))
 
 
 def page_record(page_id: int, url: str | None, payload: bytes, refers_to: int | None, date: str) -> Record:
@@ -131,37 +181,41 @@ class SequentialReader:
     """Records of one archive, from blocks of its bytes."""
 
     blocks: Iterable[bytes]
-    held: list[bytes] = field(default_factory=list)
 
     def __iter__(self) -> Iterator[Record]:
-        member = zlib.decompressobj(31)
-        fresh = True
+        member, frame, fresh = zlib.decompressobj(31), Frame(), True
         for block in self.blocks:
-            while block:
-                self.held.append(member.decompress(block))
-                fresh, block = False, member.unused_data
+            more = bool(block)
+            while more:
+                piece = member.decompress(block, BLOCK)
+                frame.add(piece)
+                fresh = member.eof
                 if member.eof:
-                    yield Record.unpack(b"".join(self.held))
-                    self.held.clear()
-                    member, fresh = zlib.decompressobj(31), True
+                    yield frame.record()
+                    block = member.unused_data
+                    member, frame = zlib.decompressobj(31), Frame()
+                    more = bool(block)
+                else:
+                    block = member.unconsumed_tail
+                    more = bool(block) or len(piece) == BLOCK
         if not fresh:
             raise ValueError("the archive ends within a record")
 
 
 def record_row(record: Record, with_payload: bool) -> tuple:
     headers, kind = record.headers, record.headers["WARC-Type"]
-    http, _, payload = record.block.partition(b"\r\n\r\n")
-    digest = record.digest_of("WARC-Payload-Digest")
-    size = re.search(rb"(?im)^Content-Length: *(\d+)\r?$", http)
+    http, _, payload = record.block.partition(END)
+    whole, digest = record.digest_of("WARC-Block-Digest"), record.digest_of("WARC-Payload-Digest")
+    size = re.search(rb"(?im)^Content-Length:[ \t]*(\d+)\r?$", http)
     size = int(size[1]) if size else None
-    intact = _sha1(record.block) == record.digest_of("WARC-Block-Digest")
+    intact = whole is None or whole.fits(record.block)
+    sha1 = digest.hexadecimal if digest and digest.algorithm == "sha1" else None
     if kind == "response":
-        found = _sha1(payload)
-        intact &= digest in (None, found) and size in (None, len(payload))
-        digest, size = found, len(payload)
+        intact &= (digest is None or digest.fits(payload)) and size in (None, len(payload))
+        sha1, size = _sha1(payload), len(payload)
     return (
         headers["WARC-Record-ID"], kind, headers.get("WARC-Target-URI"), headers.get("WARC-Date"),
-        payload if with_payload and kind == "response" else None, size, digest, headers.get("WARC-Refers-To"), intact,
+        payload if with_payload and kind == "response" else None, size, sha1, headers.get("WARC-Refers-To"), intact,
     )
 
 
@@ -199,3 +253,9 @@ def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
 def page_of(record_id: F.Column) -> F.Column:
     """The page id in a record id."""
     return F.regexp_extract(record_id, r"^<urn:page:(-?\d+)>$", 1).cast("long")
+
+
+def verified(records: DataFrame) -> DataFrame:
+    """The same records; a record that is not intact ends the query with an error that names it."""
+    broken = F.raise_error(F.concat(F.lit("a digest or length does not match in record "), F.col("record_id")))
+    return records.where(F.when(F.col("intact"), F.lit(True)).otherwise(broken.cast("boolean")))

@@ -1,5 +1,6 @@
 """WARC archives, url aliases and nearest neighbours against brute force; the queries over awkward tables."""
 
+import base64
 import hashlib
 import random
 import zlib
@@ -49,6 +50,27 @@ def test_reader_takes_any_blocks_and_refuses_damage():
     lines = "".join(f"{k}: {v}\r\n" for k, v in changed.headers.items()).encode()
     (broken,) = warc.SequentialReader([zlib.compress(b"WARC/1.1\r\n" + lines + b"\r\n" + changed.block + b"\r\n\r\n", wbits=31)])
     assert warc.record_row(broken, True)[-1] is False
+    with pytest.raises(ValueError, match="Content-Length"):  # before the whole member is inflated
+        list(warc.SequentialReader([zlib.compress(b"WARC/1.1\r\nContent-Length: 3\r\n\r\n" + b"x" * 10_000_000, wbits=31)]))
+
+
+def test_reader_takes_foreign_spellings():
+    payload = b"<p>" + b"y" * 3_000_000
+    block = b"HTTP/1.1 200 OK\r\nContent-Length:3000003\r\n\r\n" + payload
+    base32 = lambda data: base64.b32encode(hashlib.sha1(data).digest()).decode()
+    for digest, intact in [(f"sha1:{base32(payload)}", True), (f"sha1:{base32(b'')}", False), ("sha1:?", False), (f"sha256:{hashlib.sha256(payload).hexdigest().upper()}", True), ("odd:1", True)]:
+        head = f"WARC/1.0\r\nWARC-Type:response\r\nWARC-Record-ID:<a:b>\r\nWARC-Block-Digest:  sha1:{base32(block).lower()}\r\nWARC-Payload-Digest:{digest}\r\nContent-Length:{len(block)}\r\n\r\n"
+        data = zlib.compress(head.encode() + block + b"\r\n\r\n", wbits=31)
+        (record,) = warc.SequentialReader(data[i : i + 999] for i in range(0, len(data), 999))
+        row = warc.record_row(record, False)
+        assert (row[1], row[5], row[6], row[-1]) == ("response", len(payload), hashlib.sha1(payload).hexdigest(), intact)
+
+
+def test_damaged_records_end_the_query(spark):
+    records = spark.createDataFrame([("<urn:page:1>", True), ("<urn:page:2>", False)], "record_id string, intact boolean")
+    assert warc.verified(records.where("intact")).count() == 1
+    with pytest.raises(Exception, match="<urn:page:2>"):
+        warc.verified(records).collect()
 
 
 def brute_verdicts(pages, rules):
