@@ -2,7 +2,7 @@
 
 A url's own longest rule decides. A url without a rule shares the fate of its aliases: pages joined by
 ``<link rel="canonical">`` and ``<meta http-equiv="refresh">`` form classes (connected components over urls
-without scheme and fragment). A class with a blocked url is blocked, unless a rule explicitly allows one of its
+without scheme and fragment, an empty path as ``/``, dot segments resolved). A class with a blocked url is blocked, unless a rule explicitly allows one of its
 urls: an explicit allow takes precedence over the block. Everything else is allowed. Targets count whether or not
 they are pages of the table.
 
@@ -26,10 +26,13 @@ Rule = tuple[str, str]  # ("allow" or "block", "host/path")
 
 LINK_TAG = r"(?i)<link\b[^>]*>"
 META_TAG = r"(?i)<meta\b[^>]*>"
-IS_CANONICAL = r"""(?i)\brel\s*=\s*["']?\s*canonical\b"""
+IS_CANONICAL = r"""(?i)(?<![\w-])rel\s*=\s*("([^"]*\s)?canonical(\s[^"]*)?"|'([^']*\s)?canonical(\s[^']*)?'|canonical(?=[\s/>]))"""
 IS_REFRESH = r"""(?i)\bhttp-equiv\s*=\s*["']?\s*refresh\b"""
-HREF = r"""(?i)\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
+HREF = r"""(?i)(?<![\w-])href\s*=\s*["']?\s*([^"'\s>]+)"""
 REFRESH_URL = r"""(?i)\burl\s*=\s*["']?\s*([^"'\s>]+)"""
+AMPERSAND = r"(?i)&(amp|#38|#x26);"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+DOTS = r"/\.\.?(/|$)"
 
 
 def lower_ascii(text: Column) -> Column:
@@ -50,20 +53,35 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def without_dots(path: Column) -> Column:
+    """The path with ``.`` and ``..`` segments resolved, ``/`` if empty."""
+    parts = F.split(path, "/")  # the first is empty, as a path begins with a slash
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+        lambda done, part: F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(part == ".", done).otherwise(F.concat(done, F.array(part))),
+    )
+    ends_in_folder = path.rlike(r"/\.\.?$") & (F.size(kept) > 0)
+    whole = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends_in_folder, "/").otherwise(""))
+    return F.when(path == "", "/").when(path.rlike(DOTS), whole).otherwise(path)
+
+
 def address(url: Column) -> Column:
     """Host, path and query: what makes two urls the same page; null without a host."""
     host = host_of(url)
-    return F.when(host != "", F.concat(host, F.regexp_extract(_rest(url), r"^[^/?#]*([^#]*)", 1)))
+    return F.when(host != "", F.concat(host, without_dots(path_of(url)), F.regexp_extract(_rest(url), r"^[^?#]*([^#]*)", 1)))
 
 
 def resolved(target: Column, host: Column, path: Column) -> Column:
-    """The address of a link target found on the page at ``host`` and ``path``."""
+    """The address of a link target found on the page at ``host`` and ``path``; null for one that is no page."""
     folder = F.regexp_replace(path, r"[^/]*$", "")
+    site = F.concat(F.lit("http://"), host)
     whole = (
-        F.when(target.contains("://"), target)
+        F.when(target.rlike(SCHEME + "//"), target)
+        .when(target.rlike(SCHEME) | target.startswith("#"), F.lit(None))
         .when(target.startswith("//"), F.concat(F.lit("http:"), target))
-        .when(target.startswith("/"), F.concat(F.lit("http://"), host, target))
-        .otherwise(F.concat(F.lit("http://"), host, F.when(folder == "", "/").otherwise(folder), target))
+        .when(target.startswith("/"), F.concat(site, target))
+        .when(target.startswith("?"), F.concat(site, path, target))
+        .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), target))
     )
     return address(whole)
 
@@ -84,7 +102,7 @@ def link_targets(html: Column) -> Column:
         F.transform(F.filter(F.regexp_extract_all(html, F.lit(LINK_TAG), 0), lambda t: t.rlike(IS_CANONICAL)), lambda t: F.regexp_extract(t, HREF, 1)),
         F.transform(F.filter(F.regexp_extract_all(html, F.lit(META_TAG), 0), lambda t: t.rlike(IS_REFRESH)), lambda t: F.regexp_extract(t, REFRESH_URL, 1)),
     )
-    return F.filter(found, lambda t: t != "")
+    return F.transform(F.filter(found, lambda t: t != ""), lambda t: F.regexp_replace(t, AMPERSAND, "&"))
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:

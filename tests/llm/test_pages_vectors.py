@@ -134,6 +134,37 @@ def test_relative_targets(spark):
     assert got == {"a.org/r", "a.org/x/s", "b.net/es/", "c.org/d"}
 
 
+def test_spellings_of_links(spark):
+    page = "http://a.org/x/y/z?k=1"
+    want = {
+        '<link rel="canonical" href="/r?a=1&amp;b=2&#38;c=3">': "a.org/r?a=1&b=2&c=3",
+        '<link rel="canonical" href="../s">': "a.org/x/s",
+        '<link rel="canonical" href="../../../../s/./t/..">': "a.org/s/",
+        '<link rel="canonical" href="./s">': "a.org/x/y/s",
+        '<link rel="canonical" href="?q=/../1">': "a.org/x/y/z?q=/../1",
+        '<link rel="canonical" href="t?u=http://b.org/c">': "a.org/x/y/t?u=http://b.org/c",
+        '<link rel="canonical" href="http://B.org">': "b.org/",
+        '<link rel="canonical" href="http://b.org?q">': "b.org/?q",
+        '<link rel="canonical" href="http://b.org/a...b/..c">': "b.org/a...b/..c",
+        "<link rel='shortlink  canonical' href=http://b.org/1>": "b.org/1",
+        '<link rel="canonical nofollow" data-href="n" href="http://b.org/2">': "b.org/2",
+        "<link href=http://b.org/3 rel=canonical>": "b.org/3",
+        '<link rel="non-canonical" href="http://b.org/4">': None,
+        '<link data-rel="canonical" rel="icon" href="http://b.org/5">': None,
+        '<link rel="canonical" href="#top">': None,
+        '<link rel="canonical" href="mailto:x@y.z">': None,
+    }
+    for html, target in want.items():
+        rows = url_filter.alias_edges(spark.createDataFrame([(page, html)], "url string, html string")).collect()
+        assert [tuple(r) for r in rows] == ([("a.org/x/y/z?k=1", target)] if target else []), html
+
+
+def test_blocks_reach_other_spellings(spark):
+    rows = [(1, "http://h.org", None), (2, "http://q.org/a/b", '<link rel="canonical" href="../es/..//x&amp;y">'), (3, "http://q.org//x&y", None), (4, "http://net/es/1", "<link rel=canonical href=http://h.org/>")]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow", 4: "block"}
+
+
 def test_tree_search_reaches_recall(spark):
     rng = np.random.default_rng(2)
     points = (rng.standard_normal((40, 16))[rng.integers(0, 40, 6000)] + 0.3 * rng.standard_normal((6000, 16))).astype(np.float32)
