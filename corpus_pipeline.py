@@ -33,7 +33,7 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     kept = docs.join(materialise(first, "first"), "doc_id", "left_semi")
     # rows that repeat an id are one document: the smallest text stands for it, as in the join
     by_text = Window.partitionBy("doc_id").orderBy(F.coalesce("text", F.lit("")))
-    return kept.withColumn("_row", F.row_number().over(by_text)).where("_row = 1").select(*docs.columns)
+    return kept.select(F.struct("*").alias("doc"), F.row_number().over(by_text).alias("nth")).where("nth = 1").select("doc.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
