@@ -98,8 +98,10 @@ def user_tags(
     rows = rows.withColumn("usertag", F.explode(F.array_distinct("keyword_list"))).drop("keyword_list")
     rows = rows.where(F.col("usertag") != "")
     if tokens is not None:
-        rows = salted_join(rows, tokens, ["uuid"], spread=spread).dropna("any")
-        # one user may own several registrations; one of them represents the tag row
+        # one user may own several registrations; one of them represents every tag row of theirs, so it is chosen
+        # before any registration travels in slices
+        one = keep_first(tokens.dropna("any"), ["uuid"], [F.asc("token")])
+        rows = salted_join(rows, one, ["uuid"], spread=spread).dropna("any")
         rows = keep_first(rows, list(TAG_KEYS), [F.asc("token")])
     return rows.withColumn("expired_date", when)
 

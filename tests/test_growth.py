@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickloom.operators import joins
+from clickloom.operators import joins, usertags
 
 
 def test_salted_copies_count_against_the_broadcast_threshold(spark, tmp_path):
@@ -22,3 +22,15 @@ def test_salted_copies_count_against_the_broadcast_threshold(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastHashJoin" not in plan
     assert rows == 6000
+
+
+def test_registrations_are_chosen_before_they_travel_in_slices(spark):
+    views = spark.createDataFrame([("w", "u", "a"), ("w", "v", "a")], "web_id string, uuid string, article_id string")
+    articles = spark.createDataFrame([("w", "a", ["x", "y"], 1)], "web_id string, article_id string, keyword_list array<string>, is_cut int")
+    owned = [("u", "2", "c2"), ("u", "1", None), ("u", "3", "c3"), ("v", "9", "c9")]
+    tokens = spark.createDataFrame(owned, "uuid string, token string, code string")
+    tagged = usertags.user_tags(views, articles, tokens, F.lit("2024-01-01"))
+    assert {(r["uuid"], r["usertag"], r["token"], r["code"]) for r in tagged.collect()} == {
+        ("u", "x", "2", "c2"), ("u", "y", "2", "c2"), ("v", "x", "9", "c9"), ("v", "y", "9", "c9")
+    }
+    assert tagged._jdf.queryExecution().optimizedPlan().toString().count("Window [row_number()") == 2
