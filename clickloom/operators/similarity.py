@@ -31,6 +31,8 @@ RELATED_SCORE = 0.09
 RELATED_K = 10
 TREND_SCORE = 0.1
 TREND_COSINE = 0.66
+AD_BLOCK = 1 << 14  # words; with 64 numbers a word, 8 MB
+SLICE = 128  # words of articles that a task scores at once against a block of ads
 ROUNDING = 1e-8  # cosines are compared after rounding to nine places
 
 
@@ -79,12 +81,18 @@ def block_pairs(
 
 def _cosines(left: pa.ListScalar, n_left: int, right: pa.ListScalar, n_right: int) -> np.ndarray:
     """Cosine of every left with every right row; -1 where a vector has no length."""
-    sides = []
-    for cell, rows in ((left, n_left), (right, n_right)):
-        matrix = np.asarray(cell.values, dtype="float64").reshape(rows, -1)
-        length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-        sides.append((np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0), length[:, 0] == 0))
-    (a, a_empty), (b, b_empty) = sides
+    return _products(_units(left, n_left), _units(right, n_right))
+
+
+def _units(cell: pa.ListScalar, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of length one, and which rows have no length."""
+    matrix = np.asarray(cell.values, dtype="float64").reshape(rows, -1)
+    length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+    return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0), length[:, 0] == 0
+
+
+def _products(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    (a, a_empty), (b, b_empty) = left, right
     product = a @ b.T
     product[a_empty, :] = -1.0
     product[:, b_empty] = -1.0
@@ -257,12 +265,27 @@ def _group_upper(matrix: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return mean + np.sqrt(spread)
 
 
-def match_ads(articles: DataFrame, ads: DataFrame, block: int = BLOCK) -> DataFrame:
+def _alike(articles: DataFrame) -> DataFrame:
+    """(article_id, like): the smallest article with the same words; unknown words are all one.
+
+    A word that comes with several vectors is told apart by their hashes.
+    """
+    word = F.struct(F.when(F.col("vector").isNotNull(), F.col("word")).alias("word"), F.xxhash64("vector").alias("print"))
+    sets = articles.groupBy("article_id").agg(F.sha2(F.to_json(F.sort_array(F.collect_list(word))), 256).alias("_set"))
+    sets = materialise(sets, "word-sets")
+    first = sets.groupBy("_set").agg(F.min("article_id").alias("like"))
+    return salted_join(sets, first, ["_set"]).select("article_id", "like")
+
+
+def match_ads(articles: DataFrame, ads: DataFrame, block: int = AD_BLOCK) -> DataFrame:
     """Best ad, and best keyword inside it, for every article.
 
     ``articles`` is (article_id, word, vector), ``ads`` (ad_id, word, vector); unknown words have a
     null vector and similarity -1. An ad keyword scores mean + one standard deviation over the
     article's words, an ad the same over its keywords; ties go to the smaller id and word.
+
+    Articles with the same words are scored once. A block of words travels to every block of the other side, so blocks
+    are large, and a task walks a pair of them a few articles at a time.
     """
 
     def ready_rows(rows: DataFrame, key: str) -> DataFrame:
@@ -271,35 +294,44 @@ def match_ads(articles: DataFrame, ads: DataFrame, block: int = BLOCK) -> DataFr
         # an unknown word travels as a vector without length, which scores -1
         return ready.withColumn("vector", F.coalesce("vector", F.array_repeat(F.lit(0.0), width)))
 
-    pairs = block_pairs(ready_rows(articles, "article_id"), ready_rows(ads, "ad_id"), (), block, group="owner")
+    alike = materialise(_alike(articles), "alike")
+    scored = articles.join(alike.where(F.col("article_id") == F.col("like")).select("article_id"), "article_id", "left_semi")
+    pairs = block_pairs(ready_rows(scored, "article_id"), ready_rows(ads, "ad_id"), (), block, group="owner")
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("l_owner", "l_vector", "r_owner", "r_word", "r_vector")
         for lo, lv, ro, rw, rv in _block_rows(batches, names):
             owners, ad_ids, words = np.array(lo.as_py()), np.array(ro.as_py()), np.array(rw.as_py())
-            sims = _cosines(rv, len(ad_ids), lv, len(owners))
             rows, cols = np.lexsort((words, ad_ids)), np.argsort(owners, kind="stable")
-            sims, ad_ids, words, owners = sims[rows][:, cols], ad_ids[rows], words[rows], owners[cols]
-            upper = _group_upper(sims.T, owners).T
-            scores = _group_upper(upper, ad_ids)
+            ad_ids, words, owners = ad_ids[rows], words[rows], owners[cols]
+            ad_units, units = (tuple(x[order] for x in _units(v, len(order))) for v, order in ((rv, rows), (lv, cols)))
             ad_names, starts = np.unique(ad_ids, return_index=True)
             ends = np.append(starts[1:], len(ad_ids))
-            names = np.unique(owners)
-            picks = np.argmax(np.round(scores, 9), axis=0)
-            near = np.round(upper, 9)
-            best_words = [words[starts[a] + np.argmax(near[starts[a] : ends[a], o])] for o, a in enumerate(picks)]
-            out = {
-                "article_id": names.tolist(),
-                "ad_id": ad_names[picks].tolist(),
-                "keyword": [str(w) for w in best_words],
-                "score": scores[picks, np.arange(len(names))],
-            }
-            yield pa.RecordBatch.from_pydict(out)
+            firsts = np.unique(owners, return_index=True)[1]
+            # whole articles, cut where one begins in a new stretch of SLICE words
+            cuts = firsts[np.unique(firsts // SLICE, return_index=True)[1]]
+            for low, high in zip(cuts, np.append(cuts[1:], len(owners))):
+                sims = _products(ad_units, tuple(x[low:high] for x in units))
+                upper = _group_upper(sims.T, owners[low:high]).T
+                scores = _group_upper(upper, ad_ids)
+                names = np.unique(owners[low:high])
+                picks = np.argmax(np.round(scores, 9), axis=0)
+                best_words = [
+                    words[starts[a] + np.argmax(np.round(upper[starts[a] : ends[a], o], 9))] for o, a in enumerate(picks)
+                ]
+                out = {
+                    "article_id": names.tolist(),
+                    "ad_id": ad_names[picks].tolist(),
+                    "keyword": [str(w) for w in best_words],
+                    "score": scores[picks, np.arange(len(names))],
+                }
+                yield pa.RecordBatch.from_pydict(out)
 
     schema = "article_id string, ad_id string, keyword string, score double"
     local = pairs.drop("l_word").mapInArrow(best, schema)
     winner = keep_first(local, ["article_id"], [F.desc(F.round("score", 9)), F.asc("ad_id")])
-    return winner.withColumn("keyword_ad", F.concat_ws("_", "ad_id", "keyword"))
+    every = salted_join(alike, winner.withColumnRenamed("article_id", "like"), ["like"]).drop("like")
+    return every.select("article_id", "ad_id", "keyword", "score", F.concat_ws("_", "ad_id", "keyword").alias("keyword_ad"))
 
 
 def nearest(queries: DataFrame, words: DataFrame, k: int = 10, block: int = BLOCK) -> DataFrame:

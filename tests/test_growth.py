@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from clickloom.operators import joins, usertags
+from clickloom.operators import joins, similarity, usertags
 
 
 def test_salted_copies_count_against_the_broadcast_threshold(spark, tmp_path):
@@ -34,3 +35,27 @@ def test_registrations_are_chosen_before_they_travel_in_slices(spark):
         ("u", "x", "2", "c2"), ("u", "y", "2", "c2"), ("v", "x", "9", "c9"), ("v", "y", "9", "c9")
     }
     assert tagged._jdf.queryExecution().optimizedPlan().toString().count("Window [row_number()") == 2
+
+
+def test_articles_with_the_same_words_are_scored_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    vectors = {f"w{i}": [float(x) for x in rng.standard_normal(4)] for i in range(12)} | {"new": None, "other": None}
+    lists = [["w0", "w1", "new"], ["w2", "w3"], ["w1", "w0", "other"], ["w2", "w3", "w3"]]
+    rows = [(f"a{i}", w, vectors[w]) for i in range(400) for w in lists[i % 4]]
+    ads = [(f"ad{i}", w, vectors[w]) for i in range(6) for w in (f"w{2 * i}", f"w{2 * i + 1}")]
+    articles = spark.createDataFrame(rows, "article_id string, word string, vector array<double>")
+    offers = spark.createDataFrame(ads, "ad_id string, word string, vector array<double>")
+    seen = []
+    real = similarity.block_pairs
+    monkeypatch.setattr(similarity, "block_pairs", lambda left, *rest, **more: seen.append(left.count()) or real(left, *rest, **more))
+    got = {r["article_id"]: (r["ad_id"], r["keyword"], round(r["score"], 6)) for r in similarity.match_ads(articles, offers).collect()}
+    assert len(got) == 400 and seen == [8]
+    unit = {w: np.array(v) / np.linalg.norm(v) for w, v in vectors.items() if v}
+    for i, words in enumerate(lists):
+        best = {}
+        for ad in range(6):
+            sims = {k: [unit[w] @ unit[k] if w in unit else -1.0 for w in words] for k in (f"w{2 * ad}", f"w{2 * ad + 1}")}
+            upper = {k: np.mean(s) + np.std(s) for k, s in sims.items()}
+            best[f"ad{ad}"] = (np.mean(list(upper.values())) + np.std(list(upper.values())), max(upper, key=upper.get))
+        ad = max(best, key=lambda a: best[a][0])
+        assert all(got[f"a{j}"] == (ad, best[ad][1], round(best[ad][0], 6)) for j in range(i, 400, 4))
