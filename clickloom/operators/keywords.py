@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -239,6 +240,7 @@ def flexible_keywords(df: DataFrame, key: str, text: Column, extracted: DataFram
 
 
 TRIE_WORDS = 1 << 19  # a dictionary of so many words (about 100 MB in a worker) is walked as a trie
+TRIE_TEXTS = 64  # texts whose words are Python strings at the same time
 
 
 def _best_split(run: str, options: list[list[tuple[int, float]]]) -> list[str]:
@@ -289,13 +291,18 @@ class DictionaryTrie:
 
 
 def _by_trie(df: DataFrame, key: str, runs: Column, trie: DictionaryTrie) -> DataFrame:
-    """Every text's runs are split where they are: nothing is shuffled."""
-
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-    def split(cells: pd.Series) -> pd.Series:
-        return pd.Series([[trie.split(run) for run in found] for found in cells], dtype=object)
-
-    split_runs = df.select(key, F.posexplode(split(F.coalesce(runs, F.array().cast("array<string>")))).alias("run_no", "_words"))
+    """Every text's runs are split where they are: nothing is shuffled. A worker holds the words of a few texts at a time."""
+    kind = T.StructType([df.schema[key], T.StructField("_words", T.ArrayType(T.ArrayType(T.StringType())))])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TRIE_TEXTS):
+                some = batch.slice(at, TRIE_TEXTS)
+                words = [[trie.split(run) for run in found] for found in some.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(words, pa.list_(pa.list_(pa.string())))], names=[key, "_words"])
+
+    found = df.select(key, F.coalesce(runs, F.array().cast("array<string>")).alias("_runs"))
+    split_runs = found.mapInArrow(split, kind).select(key, F.posexplode("_words").alias("run_no", "_words"))
     return split_runs.select(key, "run_no", F.posexplode("_words").alias("word_no", "word"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from clickloom.operators import joins, similarity, usertags
+from clickloom.operators import joins, keywords, similarity, usertags
 
 
 def test_salted_copies_count_against_the_broadcast_threshold(spark, tmp_path):
@@ -59,3 +59,21 @@ def test_articles_with_the_same_words_are_scored_once(spark, monkeypatch):
             best[f"ad{ad}"] = (np.mean(list(upper.values())) + np.std(list(upper.values())), max(upper, key=upper.get))
         ad = max(best, key=lambda a: best[a][0])
         assert all(got[f"a{j}"] == (ad, best[ad][1], round(best[ad][0], 6)) for j in range(i, 400, 4))
+
+
+def test_a_worker_holds_the_words_of_a_few_texts(spark, monkeypatch):
+    monkeypatch.setattr(keywords, "TRIE_TEXTS", 2)
+    texts = [(i, t) for i, t in enumerate(["abcd efg", None, "", "gab", "abab x", "efgabcd"])]
+    rows = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+    known = spark.createDataFrame([("ab", 5), ("cd", 4), ("efg", 3)], "word string, freq long")
+    cut = keywords.segment(rows, "id", "text", known, run="[a-z]+")
+    plan = cut._jdf.queryExecution().sparkPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    got = {}
+    for r in sorted(cut.collect()):
+        got.setdefault((r["id"], r["run_no"]), []).append(r["word"])
+    assert got == {
+        (0, 0): ["ab", "cd"], (0, 1): ["efg"], (3, 0): ["g", "ab"], (4, 0): ["ab", "ab"], (4, 1): ["x"], (5, 0): ["efg", "ab", "cd"]
+    }
+    joined = keywords.segment(rows, "id", "text", known, run="[a-z]+", trie_words=0)
+    assert sorted(joined.collect()) == sorted(cut.collect())
