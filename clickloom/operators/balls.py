@@ -9,16 +9,20 @@ like: a poor tree only leaves more pairs of blocks to compare.
 
 Pairs of cells come first (at most ``LEAVES`` cells a side and key), then pairs of their blocks. Where vectors have no
 groups, as random ones in many dimensions, hardly any pair is ruled out and the work is that of all pairs of blocks.
+
+Blocks travel in groups of neighbouring cells: a task gets two groups and multiplies those of their blocks that can
+pass, so a block is moved once for every group of the other side and not for every block of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.joins import salted_join
@@ -28,7 +32,9 @@ BLOCK = 256
 LEAVES = 1 << 10
 SAMPLE_ROWS, SAMPLE_VALUES = 20_000, 1 << 23
 MARGIN = 1e-6  # radians; covers the rounding of cosines and angles
-META = ("cell", "part", "parts", "low", "high")
+GROUP, LEAST_GROUP = 1 << 14, 1 << 10  # rows of a group
+GROUPS = 8  # of a key whose rows would fill fewer
+META = ("cell", "part", "parts", "low", "high", "group")
 NOWHERE = -1  # cell of vectors without length: never ruled out
 
 
@@ -120,10 +126,15 @@ def _blocks(words: DataFrame, keys: Sequence[str], tree: CellTree, sizes: DataFr
     fields = [c for c in words.columns if c not in keys]
     rows = salted_join(words, sizes, keys, spread=32)
     rows = materialise(rows.withColumn("_at", _cell(tree, F.col("vector"), F.col("_depth"))).select(*keys, *fields, "_at.*"), "placed")
-    share = rows.groupBy(*keys, "cell").agg(F.ceil(F.count("*") / block).alias("parts"))
+    share = rows.groupBy(*keys, "cell").agg(F.count("*").alias("_n"), F.ceil(F.count("*") / block).alias("parts"))
+    key = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("_n").over(key.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fill = F.greatest(F.lit(LEAST_GROUP), F.least(F.lit(GROUP), F.ceil(F.sum("_n").over(key) / GROUPS)))
+    share = share.select(*keys, "cell", "_n", "parts", before.alias("_before"), fill.alias("_fill"))
     rows = salted_join(rows, share, [*keys, "cell"], spread=32).withColumn("part", F.pmod(F.xxhash64("word"), "parts"))
+    rows = rows.withColumn("group", F.floor((F.col("_before") + F.col("part") * F.col("_n") / F.col("parts")) / F.col("_fill")))
     known = F.col("cell") != NOWHERE
-    packed = rows.groupBy(*keys, "cell", "part", "parts").agg(
+    packed = rows.groupBy(*keys, "cell", "part", "parts", "group").agg(
         F.when(known, F.min("angle")).otherwise(0.0).alias("low"),
         F.when(known, F.max("angle")).otherwise(np.pi).alias("high"),
         F.collect_list(F.struct(*fields)).alias("_rows"),
@@ -180,7 +191,7 @@ class BallIndex:
         return F.cos(F.greatest(gap - MARGIN, F.lit(0.0)))
 
     def near_pairs(self, least: DataFrame | float) -> DataFrame:
-        """(keys .., l_cell, l_part, r_cell, r_part) of blocks that can hold a cosine of ``least`` or more.
+        """(keys .., l_cell, l_part, r_cell, r_part, l_group, r_group) of blocks that can hold a cosine of ``least`` or more.
 
         ``least`` is one number, or a number ``least`` per left block (owner .., l_cell, l_part).
         """
@@ -197,17 +208,119 @@ class BallIndex:
         both = cells[0].join(cells[1], keys)
         near = both.where(self._closest() >= F.col("least")).select(*keys, "l_cell", "r_cell")
         blocks = left.join(near, [*keys, "l_cell"]).join(right, [*keys, "r_cell"])
-        return blocks.where(self._closest() >= F.col("least")).select(*keys, "l_cell", "l_part", "r_cell", "r_part")
+        passing = blocks.where(self._closest() >= F.col("least"))
+        return passing.select(*keys, "l_cell", "l_part", "r_cell", "r_part", "l_group", "r_group")
 
-    def home_pairs(self) -> DataFrame:
-        """Every left block with one right block of its own cell, if there is any."""
-        left = self.left.select(*self.keys, "l_cell", "l_part")
-        right = self.right.select(*self.keys, F.col("r_cell").alias("l_cell"), "r_cell", "r_part", "r_parts")
-        same = left.join(right, [*self.keys, "l_cell"]).where(F.pmod("l_part", "r_parts") == F.col("r_part"))
-        return same.select(*self.keys, "l_cell", "l_part", "r_cell", "r_part")
+    def home_groups(self) -> DataFrame:
+        """(keys .., l_group, r_group): for every left group the right one that shares most cells with it, if there is any."""
+        cells = [
+            side.select(*self.keys, F.col(f"{s}_cell").alias("_cell"), f"{s}_group").distinct() for s, side in (("l", self.left), ("r", self.right))
+        ]
+        shared = cells[0].join(cells[1], [*self.keys, "_cell"]).groupBy(*self.keys, "l_group", "r_group").agg(F.count("*").alias("_n"))
+        near = F.struct("_n", -F.abs(F.col("l_group") - F.col("r_group")), "r_group")
+        return shared.groupBy(*self.keys, "l_group").agg(F.max_by("r_group", near).alias("r_group"))
 
     def meet(self, pairs: DataFrame) -> DataFrame:
         """The arrays of both blocks of every pair."""
-        left = self.left.drop("l_parts", "l_low", "l_high")
-        right = self.right.drop("r_parts", "r_low", "r_high")
+        left = self.left.drop("l_parts", "l_low", "l_high", "l_group")
+        right = self.right.drop("r_parts", "r_low", "r_high", "r_group")
         return pairs.join(left, [*self.keys, "l_cell", "l_part"]).join(right, [*self.keys, "r_cell", "r_part"])
+
+    def meet_groups(self, pairs: DataFrame, compare: Compare, schema: str, floors: DataFrame | None = None) -> DataFrame:
+        """What ``compare`` returns for every pair (keys .., l_group, r_group); ``floors`` is (owner .., cell, part, floors).
+
+        ``compare`` takes the values of the owner and both groups and yields record batches.
+        """
+        owner, at = self.owner, [*self.keys, "l_group", "r_group"]
+        sides = []
+        for s, blocks in (("l", self.left), ("r", self.right)):
+            rest = [c for c in blocks.columns if c.startswith(f"{s}_") and c not in (f"{s}_group", f"{s}_parts")]
+            named = blocks.select(*self.keys, f"{s}_group", *[F.col(c).alias(c[2:]) for c in rest], F.lit(s).alias("side"))
+            if s == "l" and floors is not None:
+                named = named.join(floors, [*owner, "cell", "part"], "left")
+            else:
+                named = named.withColumn("floors", F.lit(None).cast("array<double>"))
+            named = named.withColumn("vector", F.col("vector").cast(self._vectors()))
+            sides.append(named.join(pairs, [*self.keys, f"{s}_group"]))
+        both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+        tree = self.tree
+
+        def walk(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(batches).combine_chunks()
+            of_left = np.array(rows["side"].to_pylist()) == "l"
+            if of_left.any() and not of_left.all():
+                left, right = (Group.of(rows.filter(pa.array(x)), tree) for x in (of_left, ~of_left))
+                yield from compare([k.as_py() for k in key[: len(owner)]], left, right)
+
+        return both.groupBy(*at).applyInArrow(walk, schema)
+
+    def _vectors(self) -> str:
+        """Vectors travel as they came, if both sides have the same kind."""
+        kinds = {dict(side.dtypes)[f"{s}_vector"] for s, side in (("l", self.left), ("r", self.right))}
+        return kinds.pop() if len(kinds) == 1 else "array<double>"
+
+
+@dataclass
+class Group:
+    """Blocks of a group in a task: their words, unit vectors (also in single precision) and balls."""
+
+    words: list[str]
+    floors: np.ndarray  # NaN where none is given
+    units: np.ndarray
+    single: np.ndarray
+    empty: np.ndarray
+    edges: np.ndarray  # where blocks begin, and the end
+    cell: np.ndarray
+    part: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    tree: CellTree
+    rows: pa.Table
+
+    @classmethod
+    def of(cls, rows: pa.Table, tree: CellTree) -> Group:
+        lists, vectors = rows["word"].combine_chunks(), rows["vector"].combine_chunks()
+        words = lists.flatten().to_pylist()
+        sizes = lists.value_lengths().to_numpy()
+        matrix = np.asarray(vectors.flatten(), dtype="float64").reshape(len(words), -1)
+        units = unit_rows(matrix)
+        floors = [np.full(n, np.nan) if f is None else np.array(f, float) for n, f in zip(sizes, rows["floors"].to_pylist())]
+        cell, part, low, high = (rows[c].to_numpy() for c in ("cell", "part", "low", "high"))
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        return cls(words, np.concatenate(floors), units, units.astype(np.float32), ~matrix.any(1), edges, cell, part, low, high, tree, rows)
+
+    @property
+    def margin(self) -> float:
+        """How far a product in single precision may be from the cosine."""
+        return (self.single.shape[1] + 8) * 2.0**-22
+
+    def blocks(self) -> Iterable[tuple[int, int, int]]:
+        return zip(range(len(self.cell)), self.edges[:-1].tolist(), self.edges[1:].tolist())
+
+    def near(self, block: int, other: Group, least: float) -> np.ndarray:
+        """Rows of the other group's blocks that can hold a cosine of ``least`` with one of this block."""
+        between = self.tree.angle(np.full(len(other.cell), self.cell[block]), other.cell)
+        low, high = self.low[block], self.high[block]
+        gap = np.maximum.reduce([between - high - other.high, low - between - other.high, other.low - between - high])
+        keep = np.cos(np.maximum(gap - MARGIN, 0.0)) >= least
+        return np.flatnonzero(np.repeat(keep, np.diff(other.edges)))
+
+    def products(self, low: int, high: int, other: Group, rows: np.ndarray) -> np.ndarray:
+        """Cosines in single precision; -1 where a vector has no length, less than all where one has no number."""
+        every = len(rows) == len(other.words)
+        product = self.single[low:high] @ (other.single if every else other.single[rows]).T
+        product[self.empty[low:high], :] = -1.0
+        product[:, other.empty[rows]] = -1.0
+        return np.nan_to_num(product, copy=False, nan=-np.inf)
+
+    def cosines(self, i: np.ndarray, other: Group, j: np.ndarray) -> np.ndarray:
+        """Cosines of the rows ``i`` and ``j``, pair by pair, in double precision."""
+        out = np.empty(len(i))
+        for at in range(0, len(i), 1 << 14):
+            x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+            out[at : at + (1 << 14)] = np.einsum("ij,ij->i", self.units[x], other.units[y])
+        out[self.empty[i] | other.empty[j]] = -1.0
+        return out
+
+
+Compare = Callable[[list, Group, Group], Iterator[pa.RecordBatch]]

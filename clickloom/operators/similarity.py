@@ -1,8 +1,9 @@
 """Keyword, catalogue and ad similarity.
 
 Pairs are never rows. Each side is packed into blocks of a bounded number of words, and one [arrow] step multiplies
-two blocks as matrices and returns only results that pass. Blocks are balls of near vectors (``balls``): with a
-threshold, or a floor from the block's own cell for the best k, pairs of blocks that can't pass never meet. Ads are
+blocks as matrices and returns only results that pass. Blocks are balls of near vectors (``balls``): with a
+threshold, or a floor from the block's own group for the best k, pairs of blocks that can't pass never meet. Products
+in single precision only rule pairs out; what is left is worked out in double precision. Ads are
 scored over all words of an article, so there every block meets every other one. Thresholds and bounds are exact:
 nothing is sampled or capped.
 """
@@ -18,9 +19,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.edits import edit_distance
+from clickloom.functions.edits import Letters, edit_distances
 from clickloom.functions.text import strip_symbols, without_term
-from clickloom.operators.balls import BLOCK, BallIndex
+from clickloom.operators.balls import BLOCK, BallIndex, Group
 from clickloom.operators.joins import salted_join
 from clickloom.operators.ranking import keep_first, top_k
 from clickloom.session import materialise
@@ -79,11 +80,6 @@ def block_pairs(
     )
 
 
-def _cosines(left: pa.ListScalar, n_left: int, right: pa.ListScalar, n_right: int) -> np.ndarray:
-    """Cosine of every left with every right row; -1 where a vector has no length."""
-    return _products(_units(left, n_left), _units(right, n_right))
-
-
 def _units(cell: pa.ListScalar, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of length one, and which rows have no length."""
     matrix = np.asarray(cell.values, dtype="float64").reshape(rows, -1)
@@ -121,81 +117,107 @@ def keyword_similarity(
     """The ``k`` best related keywords per tenant keyword, itself included.
 
     score = weight * cosine - edits / length of the keyword, above ``min_score``. ``words`` is
-    (web_id, word, vector). Inside a block pair words are tried by their upper bound (at least the
-    length difference must be edited); the search stops once no better one can follow.
+    (web_id, word, vector). At least the length difference must be edited, so only pairs whose cosine can still
+    reach the keyword's floor have their edits counted.
     """
     usable = _known(words.select("web_id", "word", "vector"))
     index = BallIndex.of(usable, usable, ["web_id"], block)
     if index is None:
         return words.sparkSession.createDataFrame([], "web_id string, keyword string, keyword_related string, score double")
 
-    def compare(left: list[str], right: list[str], cosines: np.ndarray, floors: np.ndarray) -> list[tuple[int, int, float]]:
-        sizes = np.array([len(w) for w in right])
-        out: list[tuple[int, int, float]] = []
-        for i, (word, row) in enumerate(zip(left, cosines)):
-            bound = weight * row - np.abs(sizes - len(word)) / len(word)
-            found: list[float] = []
-            for j in np.argsort(-bound, kind="stable").tolist():
-                floor = max(floors[i], sorted(found, reverse=True)[k - 1]) if len(found) >= k else floors[i]
-                if bound[j] < floor or bound[j] <= min_score:
-                    break
-                score = float(weight * row[j] - edit_distance(word, right[j]) / len(word))
-                if score > min_score:
-                    found.append(score)
-                    out.append((i, j, score))
-        return out
+    def score(left: Letters, right: Letters, i: np.ndarray, j: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+        return weight * cosines - edit_distances(left, i, right, j) / left.size[i]
+
+    def least(left: Letters, right: Letters, i: np.ndarray, j: np.ndarray, floors: np.ndarray) -> np.ndarray:
+        return (floors + np.abs(right.size[j] - left.size[i]) / left.size[i]) / weight
 
     # no edit makes a score better than its cosine
-    passed = _best(index, compare, k, min_score, weight)
+    passed = _best(index, score, least, k, min_score, weight, above=True)
     renamed = passed.select("web_id", F.col("word").alias("keyword"), F.col("other").alias("keyword_related"), "score")
     return top_k(renamed, ["web_id", "keyword"], [F.desc(F.round("score", 9)), F.asc("keyword_related")], k)
 
 
-Compare = Callable[[list[str], list[str], np.ndarray, np.ndarray], list[tuple[int, int, float]]]
+Score = Callable[[Letters, Letters, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
 
+def _kth(i: np.ndarray, scores: np.ndarray, rows: int, k: int, lowest: float) -> np.ndarray:
+    """The ``k``-th best score of every row, ``lowest`` if it has fewer."""
+    order = np.lexsort((-scores, i))
+    starts = np.searchsorted(i[order], np.arange(rows + 1))
+    full = np.flatnonzero(np.diff(starts) >= k)
+    out = np.full(rows, lowest)
+    out[full] = scores[order][starts[full] + k - 1]
+    return out
 
-def _best(index: BallIndex, compare: Compare, k: int, lowest: float, scale: float = 1.0) -> DataFrame:
-    """(owner.., word, other, score) with at least the ``k`` best of every left word.
 
-    ``compare`` takes two blocks' words, their cosines and a floor per left word, and returns (left, right, score)
-    over the floors; no score is over ``scale`` times its cosine. Each block meets one of its own cell first. Its
-    words' k-th best scores are the floors that then decide which other blocks it meets and what these return.
+def _best(index: BallIndex, score: Score, least: Score, k: int, lowest: float, scale: float = 1.0, above: bool = False) -> DataFrame:
+    """(owner.., word, other, score) with at least the ``k`` best of every left word over ``lowest`` (``above``) or from it on.
+
+    ``score`` gives pairs' scores from their words and cosines, NaN for none; ``least`` the least cosine that can reach
+    a given score; no score is over ``scale`` times its cosine. Each group meets the one that shares its cells first.
+    Its words' k-th best scores are the floors that then decide which other groups it meets and what these return.
     """
     owner, at = index.owner, ["l_cell", "l_part"]
-    names = [*owner, *at, "l_word", "l_vector", "r_word", "r_vector"]
     keys = "".join(f"{c} string, " for c in owner)
-    hits = "word string, other string, score double"
-
-    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for *own, cell, part, lw, lv, rw, rv in _block_rows(batches, names):
-            left, right = lw.as_py(), rw.as_py()
-            found = compare(left, right, _cosines(lv, len(left), rv, len(right)), np.full(len(left), lowest))
-            scores: list[list[float]] = [[] for _ in left]
-            for i, _, score in found:
-                scores[i].append(score)
-            floors = [sorted(s, reverse=True)[k - 1] if len(s) >= k else lowest for s in scores]
-            rows = [{"word": left[i], "other": right[j], "score": score} for i, j, score in found]
-            row = {c: v.as_py() for c, v in zip([*owner, *at], [*own, cell, part])} | {"floors": floors, "rows": rows}
-            yield pa.RecordBatch.from_pylist([row], _home_schema(owner))
-
-    def away(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for *own, _, _, lw, lv, rw, rv, floors in _block_rows(batches, [*names, "floors"]):
-            left, right = lw.as_py(), rw.as_py()
-            least = np.array(floors.as_py() or [lowest] * len(left), float)
-            found = compare(left, right, _cosines(lv, len(left), rv, len(right)), least)
-            if found:
-                i, j, score = zip(*found)
-                columns = {c: [v.as_py()] * len(found) for c, v in zip(owner, own)}
-                yield pa.RecordBatch.from_pydict(columns | {"word": [left[x] for x in i], "other": [right[x] for x in j], "score": list(score)})
-
-    pairs = index.home_pairs()
-    first = index.meet(pairs).mapInArrow(home, f"{keys}l_cell long, l_part long, floors array<double>, rows array<struct<word: string, other: string, score: double>>")
+
+    def found(left: Group, right: Group) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per left block: its number, its rows' floors, and row, other row, score of the best pairs."""
+        words, others, margin = Letters.of(left.words), Letters.of(right.words), left.margin
+        names = np.argsort(np.argsort(np.array(right.words, dtype=object), kind="stable"))
+        for block, low, high in left.blocks():
+            floors = np.where(np.isnan(left.floors[low:high]), lowest, left.floors[low:high])
+            columns = left.near(block, right, floors.min() / scale - ROUNDING)
+            if not len(columns):
+                yield block, floors, *np.zeros((3, 0), np.int64)
+                continue
+            product = left.products(low, high, right, columns)
+            rows, cols = np.arange(low, high)[:, None], columns[None, :]
+            open_rows = np.flatnonzero(floors <= lowest)
+            if len(open_rows) and len(columns) > 8 * k:
+                # the likeliest pairs give these rows a first floor
+                bound = -least(words, others, rows[open_rows], cols, np.zeros((len(open_rows), 1))) + product[open_rows]
+                likely = np.argpartition(-bound, 4 * k, axis=1)[:, : 4 * k]
+                i, j = np.repeat(open_rows, 4 * k), columns[likely.ravel()]
+                scores = score(words, others, i + low, j, left.cosines(i + low, right, j))
+                keep = ~np.isnan(scores)
+                first = _kth(i[keep], scores[keep], high - low, k, lowest)
+                floors = np.maximum(floors, first)
+            passing = product >= least(words, others, rows, cols, floors[:, None] - 2 * ROUNDING * scale) - margin
+            i, j = np.nonzero(passing)
+            j = columns[j]
+            scores = score(words, others, i + low, j, left.cosines(i + low, right, j))
+            keep = (scores > lowest if above else scores >= lowest) & (scores >= floors[i] - 2 * ROUNDING * scale)
+            i, j, scores = i[keep], j[keep], scores[keep]
+            order = np.lexsort((names[j], -np.round(scores, 9), i))
+            i, j, scores = i[order], j[order], scores[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            i, j, scores = i[place < k], j[place < k], scores[place < k]
+            yield block, np.maximum(floors, _kth(i, scores, high - low, k, lowest)), i + low, j, scores
+
+    def home(own: list, left: Group, right: Group) -> Iterator[pa.RecordBatch]:
+        for block, floors, i, j, scores in found(left, right):
+            rows = [{"word": left.words[x], "other": right.words[y], "score": s} for x, y, s in zip(i, j, scores.tolist())]
+            place = {"l_cell": int(left.cell[block]), "l_part": int(left.part[block])}
+            yield pa.RecordBatch.from_pylist([dict(zip(owner, own)) | place | {"floors": floors.tolist(), "rows": rows}], _home_schema(owner))
+
+    def away(own: list, left: Group, right: Group) -> Iterator[pa.RecordBatch]:
+        for _, _, i, j, scores in found(left, right):
+            if len(i):
+                columns = {c: [v] * len(i) for c, v in zip(owner, own)}
+                yield pa.RecordBatch.from_pydict(
+                    columns | {"word": [left.words[x] for x in i], "other": [right.words[y] for y in j], "score": scores}
+                )
+
+    pairs = materialise(index.home_groups(), "home-groups")
+    first = index.meet_groups(pairs, home, f"{keys}l_cell long, l_part long, floors array<double>, rows array<struct<word: string, other: string, score: double>>")
     first = materialise(first, "home")
     blocks = index.left.select(*owner, *at).join(first.select(*owner, *at, "floors"), [*owner, *at], "left")
-    least = blocks.select(*owner, *at, (F.coalesce(F.array_min("floors"), F.lit(float(lowest))) / scale - ROUNDING).alias("least"))
-    others = index.near_pairs(least).join(pairs, [*index.keys, *at, "r_cell", "r_part"], "left_anti")
-    met = index.meet(others).join(blocks, [*owner, *at])
-    return first.select(*owner, F.inline("rows")).unionByName(met.mapInArrow(away, keys + hits))
+    least_block = blocks.select(*owner, *at, (F.coalesce(F.array_min("floors"), F.lit(float(lowest))) / scale - ROUNDING).alias("least"))
+    groups = [*index.keys, "l_group", "r_group"]
+    others = materialise(index.near_pairs(least_block).select(*groups).distinct().join(pairs, groups, "left_anti"), "away-groups")
+    floors = first.select(*owner, F.col("l_cell").alias("cell"), F.col("l_part").alias("part"), "floors")
+    met = index.meet_groups(others, away, f"{keys}word string, other string, score double", floors)
+    return first.select(*owner, F.inline("rows")).unionByName(met)
 
 
 def _home_schema(owner: Sequence[str]) -> pa.Schema:
@@ -225,30 +247,49 @@ def trend_catalogue_match(
     def once(words: DataFrame) -> DataFrame:
         return keep_first(_known(words.select(*keys, "word", "vector")), [*keys, "word"], [F.asc("vector")])
 
-    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for *owner, lw, lv, rw, rv in _block_rows(batches, (*keys, "l_word", "l_vector", "r_word", "r_vector")):
-            left, right = lw.as_py(), rw.as_py()
-            cosines = _cosines(lv, len(left), rv, len(right))
-            out = []
-            for i, j in zip(*np.nonzero(cosines > min_cosine)):
-                if left[i] == right[j]:
-                    continue
-                far = edit_distance(right[j], left[i]) / max(len(right[j]), len(left[i]))
-                near = float(cosines[i, j])
-                score = (w_sim * near - w_dis * far + w_dis / 2) / (w_sim + w_dis / 2)
-                if score > min_score:
-                    out.append((right[j], left[i], score, near, far))
-            if out:
-                columns = {k: [v.as_py()] * len(out) for k, v in zip(keys, owner)}
-                columns |= dict(zip(("keyword_trend", "keyword_item", "score", "score_cosine", "score_edit"), map(list, zip(*out))))
-                yield pa.RecordBatch.from_pydict(columns)
+    def passing(own: list, left: Group, right: Group) -> Iterator[pa.RecordBatch]:
+        words, others = Letters.of(left.words), Letters.of(right.words)
+        names = [pa.array(side.words, pa.string()) for side in (right, left)]
+        for i, j, near in _over(left, right, min_cosine):
+            longer = np.maximum(words.size[i], others.size[j])
+            apart = np.abs(words.size[i] - others.size[j])
+            keep = _trend_score(near, apart / longer, w_sim, w_dis) > min_score - ROUNDING  # at least these are edits
+            i, j, near, longer = i[keep], j[keep], near[keep], longer[keep]
+            far = edit_distances(words, i, others, j)
+            score = _trend_score(near, far / longer, w_sim, w_dis)
+            keep = (score > min_score) & (far > 0)
+            if keep.any():
+                columns = [pa.array([v] * int(keep.sum()), pa.string()) for v in own]
+                columns += [name.take(pa.array(x[keep])) for name, x in zip(names, (j, i))]
+                columns += [pa.array(x[keep]) for x in (score, near, far / longer)]
+                yield pa.RecordBatch.from_arrays(columns, [*keys, "keyword_trend", "keyword_item", "score", "score_cosine", "score_edit"])
 
     schema = "".join(f"{k} string, " for k in keys)
     schema += "keyword_trend string, keyword_item string, score double, score_cosine double, score_edit double"
     index = BallIndex.of(once(catalogue), once(trends), keys, block)
     if index is None:
         return catalogue.sparkSession.createDataFrame([], schema)
-    return index.meet(index.near_pairs(min_cosine)).mapInArrow(passing, schema)
+    return index.meet_groups(_near_groups(index, min_cosine), passing, schema)
+
+
+def _near_groups(index: BallIndex, least: float) -> DataFrame:
+    return materialise(index.near_pairs(least).select(*index.keys, "l_group", "r_group").distinct(), "near-groups")
+
+
+def _over(left: Group, right: Group, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of both groups, and their cosines, of pairs over ``least``; a left block at a time."""
+    for block, low, high in left.blocks():
+        columns = left.near(block, right, least)
+        i, j = np.nonzero(left.products(low, high, right, columns) > least - left.margin)
+        i, j = i + low, columns[j]
+        cosines = left.cosines(i, right, j)
+        keep = cosines > least
+        if keep.any():
+            yield i[keep], j[keep], cosines[keep]
+
+
+def _trend_score(near: np.ndarray, far: np.ndarray, w_sim: float, w_dis: float) -> np.ndarray:
+    return (w_sim * near - w_dis * far + w_dis / 2) / (w_sim + w_dis / 2)
 
 
 def attach_first_product(matches: DataFrame, item_keywords: DataFrame) -> DataFrame:
@@ -341,15 +382,15 @@ def nearest(queries: DataFrame, words: DataFrame, k: int = 10, block: int = BLOC
     if index is None:
         return queries.sparkSession.createDataFrame([], "word string, other string, similarity double")
 
-    def compare(left: list[str], right: list[str], cosines: np.ndarray, floors: np.ndarray) -> list[tuple[int, int, float]]:
-        rows = np.round(cosines, 9)
-        rows[np.array(left)[:, None] == np.array(right)[None, :]] = -np.inf
-        if len(right) > k:
-            floors = np.maximum(floors, np.partition(rows, -k, axis=1)[:, -k])
-        i, j = np.nonzero(rows >= np.maximum(floors, -1.0)[:, None])
-        return list(zip(i.tolist(), j.tolist(), rows[i, j].tolist()))
+    def score(left: Letters, right: Letters, i: np.ndarray, j: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+        same = left.size[i] == right.size[j]
+        same[same] = [left.words[x] == right.words[y] for x, y in zip(i[same], j[same])]
+        return np.where(same, np.nan, np.round(cosines, 9))
+
+    def least(left: Letters, right: Letters, i: np.ndarray, j: np.ndarray, floors: np.ndarray) -> np.ndarray:
+        return floors
 
-    passed = _best(index, compare, k, -1.0).withColumnRenamed("score", "similarity")
+    passed = _best(index, score, least, k, -1.0).withColumnRenamed("score", "similarity")
     return top_k(passed, ["word"], [F.desc("similarity"), F.asc("other")], k)
 
 
@@ -376,25 +417,17 @@ def close_pairs(words: DataFrame, min_cosine: float, block: int = BLOCK) -> Data
     """(web_id, word, other, similarity) for all pairs of a tenant at or above ``min_cosine``."""
     usable = _known(words.select("web_id", "word", "vector"))
 
-    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("web_id", "l_word", "l_vector", "r_word", "r_vector")
-        for tenant, lw, lv, rw, rv in _block_rows(batches, names):
-            left, right = np.array(lw.as_py()), np.array(rw.as_py())
-            cosines = np.round(_cosines(lv, len(left), rv, len(right)), 9)
-            i, j = np.nonzero(cosines >= min_cosine)
-            apart = left[i] != right[j]
-            i, j = i[apart], j[apart]
-            if not len(i):
-                continue
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "web_id": [tenant.as_py()] * len(i), "word": left[i].tolist(), "other": right[j].tolist(),
-                    "similarity": cosines[i, j],
-                }
-            )
+    def passing(own: list, left: Group, right: Group) -> Iterator[pa.RecordBatch]:
+        words, others = (np.array(side.words, dtype=object) for side in (left, right))
+        for i, j, cosines in _over(left, right, min_cosine - ROUNDING):
+            cosines = np.round(cosines, 9)
+            keep = (cosines >= min_cosine) & (words[i] != others[j])
+            if keep.any():
+                columns = [own * int(keep.sum()), words[i[keep]], others[j[keep]], cosines[keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["web_id", "word", "other", "similarity"])
 
     schema = "web_id string, word string, other string, similarity double"
     index = BallIndex.of(usable, usable, ["web_id"], block)
     if index is None:
         return words.sparkSession.createDataFrame([], schema)
-    return index.meet(index.near_pairs(min_cosine - ROUNDING)).mapInArrow(passing, schema)
+    return index.meet_groups(_near_groups(index, min_cosine - ROUNDING), passing, schema)

@@ -9,8 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.functions import edits
 from clickloom.functions.edits import edit_distance
-from clickloom.operators import forecast, joins, ml, reports, rollups, similarity, stats, trends
+from clickloom.operators import balls, forecast, joins, ml, reports, rollups, similarity, stats, trends
 from clickloom.sinks import merge
 from clickloom.streaming.sinks import upsert_sink
 
@@ -253,3 +254,36 @@ def test_registered_clusters_try_every_count(spark, monkeypatch):
     monkeypatch.setattr(queries, "table", lambda *_: df)
     monkeypatch.setattr(ml, "cluster_items", record)
     assert queries.cluster_items(spark, "").count() == 1 and seen == list(range(10, 30))
+
+
+def test_edits_of_many_pairs_at_once():
+    rng = np.random.default_rng(7)
+    words = ["", "a", "ca", "abc", "word12", "word120", "wrod12", *("".join(rng.choice(list("abé𝄞"), n)) for n in rng.integers(0, 14, 60)), "x" * 90 + "yz"]
+    i, j = (x.ravel() for x in np.meshgrid(range(len(words)), range(len(words))))
+    side = edits.Letters.of(words)
+    assert edits.edit_distances(side, i, side, j).tolist() == [edit_distance(words[x], words[y]) for x, y in zip(i, j)]
+    assert edits.edit_distances(side, i[:0], side, j[:0]).tolist() == []
+
+
+def test_a_block_travels_once_per_group(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [("t", f"word{n}", [float(x) for x in rng.standard_normal(8)]) for n in range(3000)]
+    words = spark.createDataFrame(rows, "web_id string, word string, vector array<double>")
+    seen = []
+    real = balls.BallIndex.meet_groups
+
+    def counted(self, pairs, *rest):
+        seen.append((self.left.count(), pairs.count()))
+        return real(self, pairs, *rest)
+
+    monkeypatch.setattr(balls.BallIndex, "meet_groups", counted)
+    got = {}
+    for r in similarity.keyword_similarity(words, block=64).collect():
+        got.setdefault(r["keyword"], []).append((r["score"], r["keyword_related"]))
+    assert sum(pairs for _, pairs in seen) <= 9 < seen[0][0]  # not the square of the blocks
+    units = balls.unit_rows(np.array([v for _, _, v in rows]))
+    for n in range(0, 3000, 500):
+        edited = np.array([edit_distance(f"word{n}", w) for _, w, _ in rows]) / len(f"word{n}")
+        scores = 2 * units @ units[n] - edited
+        best = sorted((-round(float(s), 9), w) for s, (_, w, _) in zip(scores, rows) if s > 0.09)[:10]
+        assert sorted((-round(s, 9), w) for s, w in got[f"word{n}"]) == best
