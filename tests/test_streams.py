@@ -146,3 +146,25 @@ def test_late_rows_of_many_batches_count(spark, tmp_path, few_partitions):
             assert reports.total(query) == 9 and len(query.recentProgress) <= 4
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
+def test_visitors_share_a_slot(spark, tmp_path, few_partitions):
+    """One call and one list for all visitors of a slot, and the same result as for each alone."""
+    rows = sorted(make_views(6, 20, 4), key=lambda r: (r[1], r[0]))
+    views = Views(spark, tmp_path, slots=1)
+    views.arrive(rows[: len(rows) // 2])
+    full = max(stateful(views.arrive(rows[len(rows) // 2 :])))
+    assert full <= 8, full  # lists and timers, not visitors
+    views.arrive([ending(rows)])
+    assert collected(views.found().where("event_id >= 0")) == expected(rows)
+
+    schema = "web_id string, uuid string, keyword string, date int, hour int"
+    source, spot, seen = f"{tmp_path}/tags", f"{tmp_path}/spot", {}
+    for day in (1, 2):
+        given = [("w", f"u{i}", f"k{k % 3}", 20240100 + day, 3) for i in range(20) for k in range(5)]
+        spark.createDataFrame(given, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        counts = state.merge_state(stream, state.at_hour(F.col("date"), F.col("hour")), slots=1)
+        query = sinks.run_available(counts, lambda b, _: seen.update({(r.uuid, r.keyword): r.freq for r in b.collect()}), spot)
+    assert max(stateful(query)) <= 4
+    assert seen == {(f"u{i}", f"k{k}"): 2 * (2 if k < 2 else 1) for i in range(20) for k in range(3)}
