@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clickloom.catalog.registry import query, with_
 from clickloom.catalog.tables import (
     AD_DAYS, DOCS, FACTS_BASE, KEY_SQL, ROWS_BASE, TAGS, ad_days, article_rows, docs, event_key, facts,
-    keyword_rows, table, tags, texts,
+    keyword_rows, table, tags, texts, texts_by_id,
 )
 from clickloom.functions import text as tx
 from clickloom.functions.dates import parse_date
@@ -373,8 +373,9 @@ TOKENS = r"""terms AS (SELECT doc_id AS id, term, count(*) AS freq FROM (
   WHERE length(term) >= 2 GROUP BY ALL)"""
 
 
-def doc_terms(spark, sf):
-    rows = texts(spark, sf).select(F.col("doc_id").alias("id"), "text")
+def doc_terms(spark, sf, totals=False):
+    rows = texts_by_id(spark, sf).select("id", "text")
+    count = keywords.count_with_totals if totals else keywords.explode_tokens
     # counted once: document frequencies, totals and ranks all start from the stored counts
     return materialise(keywords.explode_tokens(rows, "id", tx.latin_tokens(F.col("text"))), "doc-terms")
 

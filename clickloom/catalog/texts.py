@@ -106,14 +106,14 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9)
     with_(TOKENS, IDF, SCORED, select="SELECT id, term, CAST(rk AS INTEGER) AS rank FROM ranked WHERE rk <= 10"),
 )
 def tfidf_keywords(spark, sf):
-    terms = doc_terms(spark, sf)
-    return keywords.tfidf_keywords(terms, keywords.train_idf(terms), 10).select("id", "term", "rank")
+    terms = doc_terms(spark, sf, totals=True)
+    return keywords.tfidf_keywords(terms, keywords.train_idf(terms, rows=True), 10).select("id", "term", "rank")
 
 
 def extracted_lists(spark, sf, keep=5):
     """Terms are cleaned first and ranked then; inverse frequencies and totals are those of all terms."""
-    terms = doc_terms(spark, sf)
-    ranked = keywords.tfidf_keywords(terms, keywords.train_idf(terms), keep, keep_term=~tx.is_noise(F.col("term")))
+    terms = doc_terms(spark, sf, totals=True)
+    ranked = keywords.tfidf_keywords(terms, keywords.train_idf(terms, rows=True), keep, keep_term=~tx.is_noise(F.col("term")))
     return keywords.keyword_lists(ranked, "id", keep)
 
 
@@ -249,8 +249,8 @@ def flexible_keywords(spark, sf):
     rows = table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
     body = F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.concat(F.lit(","), F.col("text")))
     text = F.concat(F.col("lang"), F.lit(","), F.col("source"), body)
-    terms = doc_terms(spark, sf)
-    six = keywords.keyword_lists(keywords.tfidf_keywords(terms, keywords.train_idf(terms), 6), "id", 6)
+    terms = doc_terms(spark, sf, totals=True)
+    six = keywords.keyword_lists(keywords.tfidf_keywords(terms, keywords.train_idf(terms, rows=True), 6), "id", 6)
     found = keywords.flexible_keywords(rows, "id", text, six)
     return found.select("id", F.md5(F.array_join("keyword_list", ",")).alias("digest"))
 

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -41,22 +42,57 @@ def explode_tokens(df: DataFrame, key: str, tokens: Tokens, stopwords: DataFrame
     return salted_join(counts, stopwords.select(F.lower("word").alias("term")).distinct(), ["term"], "left_anti")
 
 
-def train_idf(terms: DataFrame, key: str = "id", denominator: str = "docs") -> DataFrame:
+def count_with_totals(df: DataFrame, key: str, tokens: Column, min_chars: int = 2) -> DataFrame:
+    """(key, term, freq, total): :func:`explode_tokens` and the sum of ``freq`` of the whole document.
+
+    Totals are summed over the documents' rows, before these are taken apart.
+    """
+    words = df.select(key, F.filter(tokens, lambda w: F.char_length(w) >= min_chars).alias("_words"))
+    sized = words.withColumn("total", F.sum(F.size("_words").cast("long")).over(Window.partitionBy(key)))
+    return sized.select(key, "total", F.explode("_words").alias("term")).groupBy(key, "total", "term").agg(F.count("*").alias("freq"))
+
+
+def train_idf(terms: DataFrame, key: str = "id", denominator: str = "docs", rows: bool = False) -> DataFrame:
     """Inverse document frequency from (key, term, freq) rows.
 
     ``docs``: log10(documents / documents with the term). ``vocab``: log10(vocabulary size / term
-    frequency). Terms with a blank are counted but not returned.
+    frequency). Terms with a blank are counted but not returned. With ``rows`` the count that IDF comes from stays.
     """
     if denominator == "docs":
         counts = terms.groupBy("term").agg(F.count("*").alias("_n"))
         top = terms.agg(F.countDistinct(key)).scalar()
     elif denominator == "vocab":
         counts = terms.groupBy("term").agg(F.sum("freq").alias("_n"))
-        top = terms.agg(F.countDistinct("term")).scalar()
+        top = counts.agg(F.count("term")).scalar()  # the same shuffle serves both
     else:
         raise ValueError("denominator is 'docs' or 'vocab'")
     weighted = counts.withColumn("idf", F.log10(top / F.col("_n")))
-    return weighted.where(~F.col("term").contains(" ")).select("term", "idf")
+    return weighted.where(~F.col("term").contains(" ")).select("term", "idf", *([F.col("_n").alias("rows")] if rows else []))
+
+
+FREQUENT_TERMS = 1 << 17  # at most so many terms travel to the tasks (about 10 MB)
+
+
+def _promising(scored: DataFrame, key: str, k: int) -> DataFrame:
+    """Rows (key, term, score) without those that ``k`` better ones of the same document and batch rule out, unsorted.
+
+    A row stays if its score is not clearly below the batch's k-th of the document, so ties are left to the ranking.
+    """
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = batch.column(0).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            score = batch.column(2).to_numpy(zero_copy_only=False)
+            order = np.lexsort((-score, groups))
+            groups, score = groups[order], score[order]
+            starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]]) if len(order) else np.zeros(0, int)
+            sizes = np.diff(np.r_[starts, len(order)])
+            floor = np.repeat(np.where(sizes >= k, score[np.minimum(starts + k, starts + sizes) - 1], -np.inf), sizes)
+            keep = np.zeros(len(order), bool)
+            keep[order] = ~(score < floor - 2e-9)
+            yield batch.filter(pa.array(keep))
+
+    return scored.mapInArrow(prune, scored.schema)
 
 
 def tfidf_keywords(
@@ -64,20 +100,34 @@ def tfidf_keywords(
 ) -> DataFrame:
     """Top ``k`` terms of each document by share of the document times IDF, with their rank.
 
-    Only terms for which ``keep_term`` holds are ranked; the document's total counts all.
+    Only terms for which ``keep_term`` (over ``term``) holds are ranked; the document's total counts all. ``terms`` is
+    read several times: best is a stored table with totals (:func:`count_with_totals`), and an ``idf`` with ``rows``.
 
-    Terms without an IDF get the upper median. A term of very many documents meets one IDF row, so
-    the join on terms is salted.
+    Terms without an IDF get the upper median. Terms in at least rows / ``FREQUENT_TERMS`` rows, of which there are at
+    most that many, travel to the tasks: their rows are scored in place and only a document's best go on. All others
+    have few rows each and meet their IDF in a plain join.
     """
-    median = idf.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY idf DESC)")).scalar()
-    # the document total and the ranking share one shuffle by document
-    share = F.col("freq") / F.sum("freq").over(Window.partitionBy(key))
-    joined = salted_join(terms, idf, ["term"], "left")
-    scored = joined.select(key, "term", (share * F.coalesce("idf", median)).alias("score"))
-    if keep_term is not None:
-        scored = scored.where(keep_term)
+    if "total" not in terms.columns:
+        terms = materialise(terms.withColumn("total", F.sum("freq").over(Window.partitionBy(key))), "terms")
+    kept = F.lit(True) if keep_term is None else keep_term
+    known = idf if "rows" in idf.columns else terms.groupBy("term").agg(F.count("*").alias("rows")).join(idf, "term")
+    known = materialise(known.select("term", "idf", "rows", kept.alias("_kept")), "idf")  # terms are judged once
+    median = known.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY idf DESC)")).scalar()
+    if "rows" not in idf.columns:
+        median = idf.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY idf DESC)")).scalar()
+    often = F.col("rows") * FREQUENT_TERMS >= terms.agg(F.count("*")).scalar()
+    frequent, rest = known.where(often).drop("rows"), known.where(~often).drop("rows")
+
+    def scored(rows: DataFrame, weight: Column) -> DataFrame:
+        return rows.select(key, "term", (F.col("freq") / F.col("total") * weight).alias("score"))
+
+    in_place = scored(terms.join(F.broadcast(frequent), "term").where("_kept"), F.col("idf"))
+    others = terms.join(F.broadcast(frequent.select("term")), "term", "left_anti").join(rest, "term", "left")
+    others = scored(others.where(F.coalesce("_kept", kept)), F.coalesce("idf", median))
+    # dealt before they are sorted: a sort ahead of the shuffle would prune next to nothing more
+    dealt = _promising(in_place, key, k).unionByName(others).repartition(key)
     # scores are compared at nine digits so that equal terms tie and the term itself decides
-    return top_k(scored, [key], [F.desc(F.round("score", 9)), F.asc("term")], k, rank="rank")
+    return top_k(dealt, [key], [F.desc(F.round("score", 9)), F.asc("term")], k, rank="rank")
 
 
 def clean_tokens(

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from clickloom.operators import joins, keywords, similarity, usertags
+import __spark_entry__ as entry
+from clickloom.functions import text as tx
+from clickloom.operators import joins, keywords, ml, reports, similarity, usertags
 
 
 def test_salted_copies_count_against_the_broadcast_threshold(spark, tmp_path):
@@ -77,3 +82,44 @@ def test_a_worker_holds_the_words_of_a_few_texts(spark, monkeypatch):
     }
     joined = keywords.segment(rows, "id", "text", known, run="[a-z]+", trie_words=0)
     assert sorted(joined.collect()) == sorted(cut.collect())
+
+
+def exchanges(df, key):
+    return df._jdf.queryExecution().executedPlan().toString().count(f"Exchange hashpartitioning({key}#")
+
+
+TEXTS = {1: "aa bb bb cc dd", 2: "aa cc ee ff ff", 3: "aa bb gg 12", 4: "", 5: None, 6: "aa aa hh"}
+
+
+def test_rows_of_frequent_terms_are_scored_in_place(spark, monkeypatch):
+    monkeypatch.setattr(keywords, "FREQUENT_TERMS", 4)  # terms in four rows and more travel
+    rows = spark.createDataFrame(list(TEXTS.items()) + [(1, "bb ii")], "id long, text string").repartition(3, "id")
+    counted = keywords.count_with_totals(rows, "id", tx.latin_tokens(F.col("text")))
+    assert exchanges(counted, "id") == 1  # the one that shares texts out
+    words = {i: Counter((t or "").split()) for i, t in TEXTS.items()}
+    words[1].update(["bb", "ii"])
+    assert {(r.id, r.term): (r.freq, r.total) for r in counted.collect()} == {
+        (i, t): (n, sum(c.values())) for i, c in words.items() for t, n in c.items()
+    }
+    docs = sum(map(bool, words.values()))
+    found = Counter(t for c in words.values() for t in c)
+    want = set()
+    for i, c in words.items():
+        scores = sorted((-round(n / sum(c.values()) * math.log10(docs / found[t]), 9), t) for t, n in c.items() if t != "12")
+        want |= {(i, t, place) for place, (_, t) in enumerate(scores[:2], 1)}
+    for idf in (keywords.train_idf(counted, rows=True), keywords.train_idf(counted)):
+        best = keywords.tfidf_keywords(counted, idf, 2, keep_term=~tx.is_noise(F.col("term")) | (F.col("term") != "12"))
+        assert "_salt" not in best._jdf.queryExecution().optimizedPlan().toString()
+        assert {(r.id, r.term, r["rank"]) for r in best.collect()} == want
+    # all of another corpus: terms without an IDF have the upper median
+    other = spark.createDataFrame([("aa", 3.0), ("bb", 1.0), ("cc", 2.0)], "term string, idf double")
+    best = keywords.tfidf_keywords(counted, other, 1)
+    assert {r.id: (r.term, round(r.score, 6)) for r in best.collect()} == {1: ("aa", 0.428571), 2: ("ff", 0.8), 3: ("aa", 0.75), 6: ("aa", 2.0)}
+
+
+def small_tables(spark, folder):
+    docs = [(i, t, "en", "s1" if i % 2 else None, 1) for i, t in TEXTS.items()]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(0, "cc")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
