@@ -648,8 +648,8 @@ run AS (SELECT *, sum(n) OVER (PARTITION BY web_id ORDER BY id) - n AS before FR
     ),
 )
 def label_set(spark, sf):
-    terms = doc_terms(spark, sf)
-    ranked = keywords.tfidf_keywords(terms, keywords.train_idf(terms), 10)
+    terms = doc_terms(spark, sf, totals=True)
+    ranked = keywords.tfidf_keywords(terms, keywords.train_idf(terms, rows=True), 10)
     return reporting.label_set(docs(spark, sf), ranked, n=200)
 
 

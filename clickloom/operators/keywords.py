@@ -48,7 +48,7 @@ def count_with_totals(df: DataFrame, key: str, tokens: Column, min_chars: int =
     Totals are summed over the documents' rows, before these are taken apart.
     """
     words = df.select(key, F.filter(tokens, lambda w: F.char_length(w) >= min_chars).alias("_words"))
-    sized = words.withColumn("total", F.sum(F.size("_words").cast("long")).over(Window.partitionBy(key)))
+    sized = words.withColumn("total", F.sum(F.greatest(F.size("_words"), F.lit(0)).cast("long")).over(Window.partitionBy(key)))
     return sized.select(key, "total", F.explode("_words").alias("term")).groupBy(key, "total", "term").agg(F.count("*").alias("freq"))
 
 

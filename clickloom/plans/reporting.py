@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.urls import url_key, url_signature
 from clickloom.operators import forecast, joins, keywords, reports, sets
 from clickloom.operators.ranking import keep_first
+from clickloom.session import materialise
 from clickloom.sinks.merge import upsert
 from clickloom.sources.landed import flatten_console, flatten_ideas, flatten_trends
 
@@ -95,8 +96,9 @@ def corpus_idf(editorial: DataFrame, texts: DataFrame, tokens: keywords.Tokens)
 
 def label_set(texts: DataFrame, ranked: DataFrame, n: int = 1000, per_article: int = 10) -> DataFrame:
     """Keywords to label: from the articles, in id order, that together bring over ``n`` keywords."""
-    top = ranked.where(F.col("rank") <= per_article).join(texts.select("id", "web_id"), "id")
-    batch = reports.label_batch(top.select("web_id", "id", "term"), "web_id", "id", "term", n)
+    best = ranked.where(F.col("rank") <= per_article).join(texts.select("id", "web_id"), "id")
+    top = materialise(best.select("web_id", "id", "term"), "label-set")  # read for the batch and for its keywords
+    batch = reports.label_batch(top, "web_id", "id", "term", n)
     return top.join(batch.select("web_id", "id"), ["web_id", "id"], "left_semi").select("web_id", "term").distinct()
 
 

@@ -123,3 +123,15 @@ def small_tables(spark, folder):
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(0, "cc")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return str(folder)
+
+
+def test_a_label_set_ranks_once(spark, monkeypatch):
+    from clickloom.plans import reporting
+
+    runs = []
+    real = reporting.materialise
+    monkeypatch.setattr(reporting, "materialise", lambda df, label: runs.append(label) or real(df, label))
+    texts = spark.createDataFrame([(1, "w"), (2, "w"), (3, "w")], "id long, web_id string")
+    ranked = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "x", 1), (3, "z", 1)], "id long, term string, rank int")
+    assert {(r.web_id, r.term) for r in reporting.label_set(texts, ranked, n=1).collect()} == {("w", "x"), ("w", "y")}
+    assert runs == ["label-set"]
