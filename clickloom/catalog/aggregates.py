@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickloom.catalog.registry import query, with_
@@ -480,9 +481,13 @@ run AS (SELECT *, CAST(sum(n) OVER (PARTITION BY web_id ORDER BY id) AS BIGINT)
     ),
 )
 def label_batch(spark, sf):
-    source = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("web_id"))
-    words = doc_terms(spark, sf).join(source, "id")
-    return reports.label_batch(words, "web_id", "id", "term", 1000, slice_size=100)
+    # rows of one id share their words and sources; both are at hand where the document is
+    words = F.array_distinct(F.filter(tx.latin_tokens(F.col("text")), lambda w: F.char_length(w) >= 2))
+    sources = F.collect_set(F.struct("web_id")).over(Window.partitionBy("id"))
+    rows = texts_by_id(spark, sf).select("id", words.alias("words"), sources.alias("_sources")).where(F.size("words") > 0)
+    rows = rows.select("id", "words", F.explode("_sources").alias("_s")).select("_s.web_id", "id", "words")
+    terms = rows.select("web_id", "id", F.explode("words").alias("term"))
+    return reports.label_batch(terms, "web_id", "id", "term", 1000, slice_size=100, articles=rows.select("web_id", "id"))
 
 
 CONSOLE_SETS = (("l_returnflag", "l_linestatus"), ("l_returnflag", "month"), ("month",), ("l_linestatus", "month"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.dates import months_before
 from clickloom.operators.joins import keep_not_in, lookup_default
 from clickloom.operators.ranking import keep_first, rank_rows, running_total, top_n
+from clickloom.session import materialise
 
 REPORT_WINDOWS = {"yesterday": 1, "week": 7, "month": 30}
 REPORT_DOMAINS = ("google", "facebook", "xuite", "yahoo", "line", "youtube")
@@ -161,18 +162,20 @@ def refresh_due(history: DataFrame, today: dt.date, n: int = 50) -> DataFrame:
 
 
 def label_batch(
-    keywords: DataFrame, tenant: str, article: str, keyword: str, n_keywords: int = 1000, slice_size: int = 10_000
+    keywords: DataFrame, tenant: str, article: str, keyword: str, n_keywords: int = 1000, slice_size: int = 10_000,
+    articles: DataFrame | None = None,
 ) -> DataFrame:
     """Articles in id order up to the one that takes the distinct keyword count past ``n_keywords``.
 
     A keyword counts at its first article; the running count is summed in id ranges, so a tenant
-    with very many articles is many tasks.
+    with very many articles is many tasks. ``articles`` (tenant, article) are those with a keyword, if they are at hand.
     """
     firsts = keywords.groupBy(tenant, keyword).agg(F.min(article).alias(article))
     fresh = firsts.groupBy(tenant, article).agg(F.count("*").alias("_new"))
-    every = keywords.select(tenant, article).distinct().join(fresh, [tenant, article], "left")
+    every = (keywords if articles is None else articles).select(tenant, article).distinct()
+    placed = materialise(every.join(fresh, [tenant, article], "left").fillna(0, ["_new"]), "label-batch")  # read twice
     counted = running_total(
-        every.fillna(0, ["_new"]), [tenant], [F.col(article)], F.col("_new"),
+        placed, [tenant], [F.col(article)], F.col("_new"),
         F.floor(F.col(article) / slice_size), out="distinct_keywords",
     )
     before = F.col("distinct_keywords") - F.col("_new")

@@ -125,6 +125,17 @@ def small_tables(spark, folder):
     return str(folder)
 
 
+def test_label_batches_start_from_documents(spark, tmp_path, monkeypatch):
+    from clickloom.catalog import aggregates
+
+    monkeypatch.setattr(aggregates, "doc_terms", None)
+    got = {(r.web_id, r.id): r.distinct_keywords for r in entry.queries()["A30_label_batch"](spark, small_tables(spark, tmp_path)).collect()}
+    assert {k: n for k, n in got.items() if k[0]} == {("s1", 1): 4, ("s1", 3): 6}
+    rows = spark.createDataFrame([("w", 1, "x"), ("w", 1, "y"), ("w", 2, "x"), ("w", 3, "z")], "web_id string, id long, term string")
+    batch = reports.label_batch(rows, "web_id", "id", "term", 1)
+    assert sorted((r.id, r.distinct_keywords) for r in batch.collect()) == [(1, 2)]
+
+
 def test_a_label_set_ranks_once(spark, monkeypatch):
     from clickloom.plans import reporting
 
