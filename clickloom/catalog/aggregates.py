@@ -402,7 +402,10 @@ def idf(spark, sf):
     ),
 )
 def idf_vocab(spark, sf):
-    return keywords.train_idf(doc_terms(spark, sf), denominator="vocab").withColumn("idf", F.round("idf", 6) + 0.0)
+    # a vocabulary's frequencies need no counts per document
+    words = texts(spark, sf).select(F.explode(tx.latin_tokens(F.col("text"))).alias("term")).where(F.char_length("term") >= 2)
+    counts = materialise(words.groupBy("term").agg(F.count("*").alias("freq")), "word-counts")
+    return keywords.train_idf(counts, denominator="vocab").withColumn("idf", F.round("idf", 6) + 0.0)
 
 
 @query(

@@ -125,6 +125,14 @@ def small_tables(spark, folder):
     return str(folder)
 
 
+def test_a_vocabulary_is_counted_without_documents(spark, tmp_path, monkeypatch):
+    from clickloom.catalog import aggregates
+
+    monkeypatch.setattr(aggregates, "doc_terms", None)
+    got = {r.term: r.idf for r in entry.queries()["A22_idf_vocab"](spark, small_tables(spark, tmp_path)).collect()}
+    assert len(got) == 9 and got["aa"] == round(math.log10(9 / 5), 6)
+
+
 def test_label_batches_start_from_documents(spark, tmp_path, monkeypatch):
     from clickloom.catalog import aggregates
 
