@@ -15,6 +15,7 @@ from clickloom.functions import text as tx
 from clickloom.functions import urls
 from clickloom.operators import joins, keywords, reports
 from clickloom.operators.similarity import catalogue_text
+from clickloom.sources.logs import spread_by
 
 TODAY = dt.date(2024, 1, 31)
 
@@ -159,8 +160,8 @@ def article_keywords_v1(spark, sf):
 
 
 def by_language(spark, sf, *langs):
-    rows = texts(spark, sf).where(F.col("lang").isin(*langs))
-    return rows.select(F.col("doc_id").alias("id"), "text")
+    rows = table(spark, sf, "documents").where(F.col("lang").isin(*langs))
+    return spread_by(rows.select(F.col("doc_id").alias("id"), "text"), "id")
 
 
 STOP = r"stop AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) AS word FROM benchmark)"
@@ -352,7 +353,7 @@ def language_extractors(spark, sf):
         "en": keywords.frequent_phrases, "de": keywords.frequent_words, "es": keywords.frequent_words,
         "fr": keywords.distinct_terms,
     }
-    rows = texts(spark, sf).select(F.col("doc_id").alias("id"), "text", "lang")
+    rows = spread_by(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", "lang"), "id")
     return keywords.keywords_by_language(
         rows, "id", tx.latin_tokens(F.col("text")), stop_rows(spark, sf), extractors=table_of
     )

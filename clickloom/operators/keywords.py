@@ -204,18 +204,18 @@ def article_keywords(
 def ngram_terms(df: DataFrame, key: str, tokens: Column, stopwords: DataFrame | None = None, n: int = 2) -> DataFrame:
     """Counted candidate phrases of 1..n words without stopwords inside."""
     words = df.select(key, tokens.alias("_w"))
-    terms = words.select(key, F.posexplode("_w").alias("_pos", "_word"))
+    # a word travels with the one behind it: pairs need no join of positions
+    placed = F.transform("_w", lambda w, i: F.struct(w.alias("_word"), F.get("_w", i + 1).alias("_next")))
+    terms = words.select(key, F.explode(placed).alias("_p")).select(key, "_p.*").withColumn("_stop", F.lit(None).cast("boolean"))
     if stopwords is not None:
         listed = stopwords.select(F.lower("word").alias("_word")).distinct()
-        terms = salted_join(terms, listed, ["_word"], "left_anti")
-    singles = terms.select(key, F.col("_word").alias("term"), F.lit(1).alias("words"))
-    if n < 2:
-        phrases = singles
-    else:
-        following = terms.select(key, (F.col("_pos") - 1).alias("_pos"), F.col("_word").alias("_next"))
-        pairs = terms.join(following, [key, "_pos"])
-        pairs = pairs.select(key, F.concat_ws(" ", "_word", "_next").alias("term"), F.lit(2).alias("words"))
-        phrases = singles.unionByName(pairs)
+        terms = salted_join(terms.drop("_stop"), listed, ["_word"], "left_anti")
+        terms = salted_join(terms, listed.select(F.col("_word").alias("_next"), F.lit(True).alias("_stop")), ["_next"], "left")
+    single = F.struct(F.col("_word").alias("term"), F.lit(1).alias("words"))
+    pair = F.struct(F.concat_ws(" ", "_word", "_next").alias("term"), F.lit(2).alias("words"))
+    paired = F.col("_next").isNotNull() & F.col("_stop").isNull() & F.lit(n > 1)
+    found = F.when(paired, F.array(single, pair)).otherwise(F.array(single))
+    phrases = terms.select(key, F.explode(found).alias("_f")).select(key, "_f.*")
     return phrases.groupBy(key, "term", "words").agg(F.count("*").alias("freq"))
 
 

@@ -144,6 +144,17 @@ def test_label_batches_start_from_documents(spark, tmp_path, monkeypatch):
     assert sorted((r.id, r.distinct_keywords) for r in batch.collect()) == [(1, 2)]
 
 
+def test_word_pairs_need_no_join_of_positions(spark):
+    rows = spark.createDataFrame([(1, "a b a b the c"), (2, "the"), (3, None)], "id long, text string")
+    stop = spark.createDataFrame([("The",)], "word string")
+    counted = keywords.ngram_terms(rows, "id", tx.latin_tokens(F.col("text")), stop)
+    assert "_pos" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.id, r.term, r.words): r.freq for r in counted.collect()} == {
+        (1, "a", 1): 2, (1, "b", 1): 2, (1, "c", 1): 1, (1, "a b", 2): 2, (1, "b a", 2): 1
+    }
+    assert {r.term for r in keywords.ngram_terms(rows, "id", tx.latin_tokens(F.col("text")), None, n=1).collect()} == {"a", "b", "the", "c"}
+
+
 def test_a_label_set_ranks_once(spark, monkeypatch):
     from clickloom.plans import reporting
 
