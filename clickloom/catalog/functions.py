@@ -11,6 +11,7 @@ from clickloom.catalog.registry import query, with_
 from clickloom.catalog.tables import KEY_SQL, TAGS, event_key, table, tags, texts
 from clickloom.functions import arrays, dates, maths, text as tx, urls
 from clickloom.operators import keywords, stats
+from clickloom.sources.logs import spread_by
 
 
 def documents(spark, sf):
@@ -64,7 +65,9 @@ SPLIT = r"string_split_regex(text, '[\s,.]+')"
 
 
 def words(spark, sf):
-    return documents(spark, sf).select("doc_id", F.explode(F.split("text", r"[\s,.]+")).alias("word"))
+    # shared out by id: words are counted per document where the text is
+    rows = spread_by(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return rows.select("doc_id", F.explode(F.split("text", r"[\s,.]+")).alias("word"))
 
 
 STOP_SQL = r"SELECT DISTINCT lower(w) FROM (SELECT unnest(string_split_regex(text, '[\s,.]+')) AS w FROM benchmark)"

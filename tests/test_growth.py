@@ -125,6 +125,14 @@ def small_tables(spark, folder):
     return str(folder)
 
 
+def test_words_are_counted_where_the_text_is(spark, tmp_path):
+    sf, queries = small_tables(spark, tmp_path), entry.queries()
+    counted = queries["F6_stopwords"](spark, sf)
+    assert exchanges(counted, "doc_id") == 1  # the one that shares texts out
+    assert ("aa", 2) in {(r.word, r.n) for r in counted.where("doc_id = 6").collect()}
+    assert {r.word for r in counted.where("doc_id = 2").collect()} == {"aa", "ee", "ff"}
+
+
 def test_a_vocabulary_is_counted_without_documents(spark, tmp_path, monkeypatch):
     from clickloom.catalog import aggregates
 
