@@ -378,7 +378,7 @@ def doc_terms(spark, sf, totals=False):
     rows = texts_by_id(spark, sf).select("id", "text")
     count = keywords.count_with_totals if totals else keywords.explode_tokens
     # counted once: document frequencies, totals and ranks all start from the stored counts
-    return materialise(keywords.explode_tokens(rows, "id", tx.latin_tokens(F.col("text"))), "doc-terms")
+    return materialise(count(rows, "id", tx.latin_tokens(F.col("text"))), "doc-terms")
 
 
 @query(
