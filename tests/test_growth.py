@@ -163,6 +163,14 @@ def test_word_pairs_need_no_join_of_positions(spark):
     assert {r.term for r in keywords.ngram_terms(rows, "id", tx.latin_tokens(F.col("text")), None, n=1).collect()} == {"a", "b", "the", "c"}
 
 
+def test_embedding_tasks_have_a_bounded_share(spark, monkeypatch):
+    monkeypatch.setattr(ml, "PART_WORDS", 40)
+    docs = spark.createDataFrame([(["x", "y", "z"],)] * 30 + [(None,), ([],)], "tokens array<string>").coalesce(2)
+    assert ml.training_partitions(docs) == 3 and ml.training_partitions(docs.limit(0)) == 1
+    model = ml.train_embedding(docs.where("tokens is not null"), size=4, min_count=2, epochs=1, partitions=3)
+    assert {r.word for r in model.getVectors().collect()} == {"x", "y", "z"}
+
+
 def test_a_label_set_ranks_once(spark, monkeypatch):
     from clickloom.plans import reporting
 
