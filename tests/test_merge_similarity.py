@@ -287,3 +287,19 @@ def test_a_block_travels_once_per_group(spark, monkeypatch):
         scores = 2 * units @ units[n] - edited
         best = sorted((-round(float(s), 9), w) for s, (_, w, _) in zip(scores, rows) if s > 0.09)[:10]
         assert sorted((-round(s, 9), w) for s, w in got[f"word{n}"]) == best
+
+
+def test_one_pass_serves_the_mixtures_of_all_counts(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    points = rng.standard_normal((4, 6))[rng.integers(0, 4, 300)] * 3 + rng.standard_normal((300, 6))
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id long, vector array<double>").coalesce(1)
+    passes, once = [], ml._expectation
+    monkeypatch.setattr(ml, "_expectation", lambda vectors, mixtures, dims: passes.append(set(mixtures)) or once(vectors, mixtures, dims))
+    out, bics = ml.cluster_items(df, dims=3, k_range=range(2, 5))
+    assert passes[0] == {2, 3, 4} and len(passes) <= 50
+    reduced, labels = ml.reduce_dim(df, dims=3).persist(), {}
+    for k in range(2, 5):  # Spark's own
+        model = ml.GaussianMixture(k=k, featuresCol="reduced", predictionCol="cluster", seed=42, maxIter=50).fit(reduced)
+        assert bics[k] == pytest.approx(ml._free_parameters(k, 3) * np.log(300) - 2 * model.summary.logLikelihood, abs=1e-5)
+        labels[k] = rows_of(model.transform(reduced).select("id", "cluster"))
+    assert rows_of(out.select("id", "cluster")) == labels[min(bics, key=bics.get)]
