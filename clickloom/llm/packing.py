@@ -26,6 +26,7 @@ from clickloom.llm.common import shares
 from clickloom.session import materialise
 
 ID_BYTES = 4
+NONE_OPEN = 1 << 30  # beyond any change of the sum
 
 
 def cut(docs: DataFrame, ids: Column, capacity: int, *keep: str) -> DataFrame:
@@ -44,29 +45,34 @@ class SumOfSquares:
 
     def __init__(self, capacity: int) -> None:
         self.capacity = capacity
-        self.open = np.zeros(capacity + 1, np.int64)
+        # by gap, what the sum of squares gains by one sequence fewer and by one more; a full sequence counts nowhere
+        self.fewer = np.full(capacity + 1, NONE_OPEN, np.int32)
+        self.more = np.ones(capacity + 1, np.int32)
+        self.more[0] = 0
+        self.change = np.empty(capacity + 1, np.int32)
         self.by_gap: list[list[int]] = [[] for _ in range(capacity + 1)]
         self.made = 0
 
+    def _count(self, gap: int) -> None:
+        n = len(self.by_gap[gap])
+        self.fewer[gap] = 1 - 2 * n if n else NONE_OPEN
+        self.more[gap] = 2 * n + 1
+
     def place(self, size: int) -> tuple[int, int]:
         left = self.capacity - size
-        gaps = np.flatnonzero(self.open[size:]) + size  # that have room
-        # one sequence fewer of its gap, one more of the gap that stays; a full sequence counts nowhere
-        after = np.where(gaps == size, 0, 2 * self.open[gaps - size] + 1)
-        change = after - 2 * self.open[gaps] + 1
-        fresh = 2 * self.open[left] + 1 if left else 0
-        best = int(change.argmin()) if len(gaps) else -1
-        if best >= 0 and change[best] <= fresh:
-            gap = int(gaps[best])
+        change = np.add(self.fewer[size:], self.more[: left + 1], out=self.change[: left + 1])
+        best = int(change.argmin())
+        if self.by_gap[best + size] and change[best] <= self.more[left]:
+            gap = best + size
             bin_ = self.by_gap[gap].pop()
-            self.open[gap] -= 1
+            self._count(gap)
         else:
             gap, bin_ = self.capacity, self.made
             self.made += 1
         rest = gap - size
         if rest:
             self.by_gap[rest].append(bin_)
-            self.open[rest] += 1
+            self._count(rest)
         return bin_, self.capacity - gap
 
 

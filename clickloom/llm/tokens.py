@@ -70,11 +70,12 @@ class WordTokenizer:
         return {p: data[a:b] for p, a, b in zip(pieces, bounds, bounds[1:], strict=False)}
 
     def __call__(self, text: str | None) -> bytes:
-        out, at = [], 0
-        for found in self.mark.finditer(text or ""):
+        out, at, text = [], 0, text or ""
+        for found in self.mark.finditer(text):
             out += [self.between(text[at : found.start()]), self.added[found[0]]]
             at = found.end()
-        return b"".join([*out, self.between((text or "")[at:])])
+        rest = self.between(text[at:])
+        return b"".join([*out, rest]) if out else rest
 
     def between(self, text: str) -> bytes:
         """Ids of a text without added tokens."""
@@ -86,9 +87,11 @@ class WordTokenizer:
                 self.old, self.pieces = self.pieces, {}
                 missing = set(some)
             long = self._learn(missing) if missing else {}
-            known = self.pieces | long if long else self.pieces
+            known = self.pieces
+            if long:  # what this text needs of the table, not a copy of all of it
+                known = {p: long[p] if p in long else known[p] for p in set(some)}
             out.append(b"".join(map(known.__getitem__, some)))
-        return b"".join(out)
+        return out[0] if len(out) == 1 else b"".join(out)
 
 
 @lru_cache(maxsize=2)

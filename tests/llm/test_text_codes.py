@@ -170,3 +170,16 @@ def test_packed_rows_round_trip(spark):
             got.update({(doc, int(p)): int(v) for p, v in zip(places[a:b], line[a:b], strict=True)})
     assert got == {(i, p): int(v) for i, ids in whole.items() for p, v in enumerate(ids)}
     assert token_output.pack_rows(docs.limit(0), 32).count() == 0
+
+
+def test_long_pieces_do_not_copy_the_table_of_pieces():
+    class Table(dict):
+        def __or__(self, other):
+            raise AssertionError("the whole table was copied")
+
+    made = tokens.WordTokenizer(WORDS)
+    text = "two words " + "abcdefgh" * 9 + " two " + "q" * 40
+    want = made.library.encode(text, add_special_tokens=False).ids
+    made.pieces = Table()
+    assert list(np.frombuffer(made(text), "<u4")) == want and not any(len(p) > 32 for p in made.pieces)
+    assert list(np.frombuffer(made(text), "<u4")) == want
