@@ -22,7 +22,7 @@ _NUMBER[ord("A") : ord("Z") + 1] = _NUMBER[ord("a") : ord("z") + 1]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _BASE = (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickloom.llm import ngram_join, quality, secrets, winnow
+from clickloom.llm import ngram_join, quality, secrets, shingles, winnow
 from clickloom.llm.catalog import QUERIES
 from clickloom.llm.components import connected_components
 from clickloom.llm.shingles import shingle_set
@@ -321,3 +322,15 @@ def test_long_texts_are_hashed_in_blocks(monkeypatch):
     monkeypatch.setattr(shingles, "BLOCK", 5000)
     assert shingle_set(text).tolist() == whole.tolist()
     assert [s.tolist() for s in shingles.shingle_sets(texts)] == [shingle_set(t).tolist() for t in texts]
+
+
+def test_hashing_texts_holds_little_memory():
+    shingles._powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    texts = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(1500)]
+    tracemalloc.start()
+    try:
+        found = sum(len(s) for s in shingles.shingle_sets(texts))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 1500 * 296 and most < 30 << 20
