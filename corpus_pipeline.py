@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import ngram_join, quality, secrets
 from clickloom.llm.catalog import packed_documents
-from clickloom.llm.common import read
+from clickloom.llm.common import keyed, read
 from clickloom.session import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,11 +29,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies; documents without an id go."""
     groups = ngram_join.similar_documents(docs.select("doc_id", "text"))
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"))
-    kept = docs.join(materialise(first, "first"), "doc_id", "left_semi")
+    key = F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")
+    # fewer documents go than stay, so this is the list that travels to the texts
+    kept = keyed(docs, "doc_id").join(materialise(groups.where("doc_id <> component_id").select(key), "others"), "doc_id", "left_anti")
+    again = materialise(kept.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        return kept
     # rows that repeat an id are one document: the smallest text stands for it, as in the join
     by_text = Window.partitionBy("doc_id").orderBy(F.coalesce("text", F.lit("")))
-    return kept.select(F.struct("*").alias("doc"), F.row_number().over(by_text).alias("nth")).where("nth = 1").select("doc.*")
+    several = kept.join(again, "doc_id", "left_semi")
+    one = several.select(F.struct("*").alias("doc"), F.row_number().over(by_text).alias("nth")).where("nth = 1").select("doc.*")
+    return kept.join(again, "doc_id", "left_anti").unionByName(one)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Secrets, fingerprints, near copies and quality against brute force."""
 
+import os
 import random
 import re
 import tracemalloc
@@ -10,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from clickloom import session
 from clickloom.llm import ngram_join, quality, secrets, shingles, winnow
 from clickloom.llm.catalog import QUERIES
 from clickloom.llm.components import connected_components
@@ -256,6 +258,79 @@ def test_repeated_ids_and_no_rows(spark):
     assert ngram_join.similar_documents(docs.limit(0)).count() == 0
 
 
+def variants(families, size, words=60, changed=5):
+    """Families of texts whose similarity lies around the threshold, and few texts of two families."""
+    rng, rows = random.Random(3), []
+    for f in range(families):
+        base = [f"f{f}w{i}" for i in range(words)]
+        for m in range(size):
+            copy = list(base)
+            for at in rng.sample(range(words), changed if m % 7 else 1):
+                copy[at] = f"f{f}m{m}x{at}"
+            rows.append(" ".join(copy if m % 11 else copy + [f"f{(f + 1) % families}w{i}" for i in range(20)]))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_pairs_of_a_family_are_never_rows(spark, monkeypatch):
+    rows, counts = variants(2, 150), []
+    def counted(df, label):  # noqa: E306
+        copy = session.materialise(df, label)
+        counts.append((copy.count(), label))
+        return copy
+    monkeypatch.setattr(ngram_join, "materialise", counted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute_components(rows)
+    assert got == want and len({c for _, c in want.values()}) > 100
+    assert max(n for n, label in counts if label not in ("shared-keys", "placed", "mixed", "full", "in-blocks")) < 4 * len(rows)
+
+
+def test_blocks_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_TOKENS", 300)
+    monkeypatch.setattr(ngram_join, "CELLS_AT_ONCE", 50)
+    for level, docs in ((0, variants(5, 40)), (1, planted_documents(4))):
+        monkeypatch.setattr(ngram_join, "levels", lambda counts, tokens: np.full(ngram_join.CELLS, level, np.uint8))  # noqa: B023
+        found = ngram_join.similar_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(docs)
+
+
+def test_common_tokens_by_brute_force(monkeypatch):
+    rng = np.random.default_rng(8)
+    for rarely, cells in ((128, 1 << 21), (1, 7), (10**9, 40), (6, 200)):
+        monkeypatch.setattr(ngram_join, "RARELY", rarely)
+        monkeypatch.setattr(ngram_join, "CELLS_AT_ONCE", cells)
+        left, right = ([np.unique(rng.integers(0, top, n, dtype=np.uint64)) for n in rng.integers(1, 60, many)] for top, many in ((80, 9), (120, 14)))
+        want = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+        assert ngram_join.common_tokens(left, right).tolist() == want
+    assert ngram_join.common_tokens([np.array([1], np.uint64)], [np.array([2], np.uint64)]).tolist() == [[0]]
+
+
+def test_links_join_what_similar_pairs_join():
+    similar = np.array([[0, 1, 1, 0], [0, 0, 1, 0], [1, 0, 0, 0]], bool)
+    found = ngram_join.joining(similar, np.array([1, 2, 3]), np.array([4, 5, 6, 7]))
+    assert found == [(0, 1), (0, 2), (1, 2), (2, 0)]
+    assert ngram_join.joining(similar, np.array([1, 2, 3]), np.array([3, 1, 1, 7])) == [(1, 2)]
+
+
+def test_no_copies_of_sets_and_keys_stay(spark):
+    before = set(os.listdir(session.run_dir(spark)))
+    ngram_join.similar_documents(spark.createDataFrame(planted_documents(2), "doc_id long, text string")).collect()
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(session.run_dir(spark))) - before}
+    assert not left & {"profile", "sizes", "shared-keys", "placed", "pairs", "sets", "mixed", "full", "homes", "in-blocks", "meetings"}
+    assert spark.conf.get(session.SHUFFLES_GO) == "false"
+
+
+def test_one_of_copies_moves_no_text(spark, tmp_path):
+    rows = [(i, f"text {i} " * 30 if i % 3 else "a common text of more than five words") for i in range(60)]
+    docs = spark.createDataFrame([*rows, (None, "left out")], "doc_id int, text string")
+    kept = corpus_pipeline.keep_one_of_copies(spark, docs, str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == {0, *(i for i in range(60) if i % 3)} and kept.count() == 41
+    assert "Window" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    twice = corpus_pipeline.keep_one_of_copies(spark, docs.unionByName(spark.createDataFrame([(1, "a first"), (1, None), (2, "text 2 " * 30)], docs.schema)), str(tmp_path))
+    found = {r["doc_id"]: r["text"] for r in twice.collect()}
+    assert twice.count() == len(found) == 41 and found[1] is None and found[2] == "text 2 " * 30
+
+
 def test_shingles_ignore_spacing_and_case():
     assert shingle_set("A  b\tC d\ne f").tolist() == shingle_set("a b c d e F").tolist()
     assert len(shingle_set("a b")) == 1 and len(shingle_set("")) == 0 and shingle_set("É").tolist() != shingle_set("é").tolist()
