@@ -7,9 +7,10 @@ many leaves it visits is calibrated: for at most ``PROBES`` vectors the exact ne
 them with every vector, and visits are widened until these leaves hold ``recall`` of them.
 
 The first ``FIRST`` leaves of a query give a distance that its k-th neighbour does not exceed; the others report only
-what is no farther. Leaves are dealt out in parts of at most about ``PART`` rows and ``PART`` queries, so a leaf with a large share of all
-vectors is split. Of equal vectors only the smallest ids can be among the k nearest, so only k + 1 are indexed; that
-loses nothing, as ties go to the smaller id.
+what is no farther. A visit is a row of numbers. Neighbouring leaves share a block of about ``PART`` numbers, a larger
+leaf is split, and a query's vector travels once to a block, with the leaves it visits there. Matrix products rule
+rows out; the distances of what is left are worked out one by one. Of equal vectors only the smallest ids can be among
+the k nearest, so only k + 1 are indexed; that loses nothing, as ties go to the smaller id.
 
 Edge cases: vectors that are null, zero, of another length than most or hold null or non-finite components take no
 part, nor do rows without an id; rows that repeat count once; of several vectors with one query id the smallest is
@@ -34,9 +35,13 @@ SAMPLE = 20_000
 PROBES = 200
 BRANCH = 8
 LEAF_ROWS = 200
-PART = 4096
+PART = 1 << 18  # numbers of the vectors of a block, and of the queries that meet it at once
+VISIT_ROWS = 1 << 16  # visits that a worker hands on at once
+CELLS = 1 << 20  # of a matrix of distances
+ROUNDING = 1e-9  # of a squared length; what the products leave open is far less
 RECALL = 0.96
 FIRST = 4
+QUERIES = 128  # whose visits a task plans
 FOUND = "query_id bigint, vec_id bigint, score double"
 
 
@@ -141,8 +146,14 @@ class Index:
     tree: Tree
     rows: DataFrame  # vec_id, vector, leaf
     sizes: dict[int, int]  # rows by leaf
+    width: int = 1  # numbers of a vector
     visits: int = 1
 
+    @property
+    def part(self) -> int:
+        """Vectors of a block."""
+        return max(1, PART // self.width)
+
 
 def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     rows = keyed(vectors, id_col).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
@@ -168,7 +179,7 @@ def build_index(rows: DataFrame, k: int, recall: float = RECALL) -> Index:
 
     placed = materialise(rows.mapInPandas(put, "vec_id bigint, vector array<double>, leaf bigint"), "leaves")
     sizes = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}  # at most one a sampled row
-    index = Index(tree, placed, sizes)
+    index = Index(tree, placed, sizes, points.shape[1])
     index.visits = calibrated_visits(index, sample.head(PROBES), k, recall)
     return index
 
@@ -197,7 +208,7 @@ def calibrated_visits(index: Index, probes: pd.DataFrame, k: int, recall: float)
     return int(np.quantile(places, recall, method="higher")) if places else 1
 
 
-VISITS = "query_id bigint, vector array<double>, leaf bigint, visit int"
+VISITS = "query_id bigint, leaf bigint, visit int"
 
 
 def planned_visits(index: Index, queries: DataFrame, k: int) -> DataFrame:
@@ -206,47 +217,102 @@ def planned_visits(index: Index, queries: DataFrame, k: int) -> DataFrame:
 
     def plan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            ids, leaves, numbers, held = [], [], [], 0
             for i, vector in zip(batch["query_id"], batch["vector"], strict=True):
-                seen = 0
+                seen, mine, at = 0, [], []
                 for n, leaf in enumerate(tree.visits(np.asarray(vector, np.float64)), 1):
                     if n > wanted and seen > k:  # all promising leaves, and enough rows besides itself
                         break
                     if sizes.get(leaf):
                         seen += sizes[leaf]
-                        rows.append((i, vector, leaf, n))
-            yield pd.DataFrame(rows, columns=["query_id", "vector", "leaf", "visit"])
+                        mine.append(leaf)
+                        at.append(n)
+                ids.append(np.full(len(mine), i, np.int64))
+                leaves.append(np.array(mine, np.int64))
+                numbers.append(np.array(at, np.int32))
+                held += len(mine)
+                if held > VISIT_ROWS:
+                    yield pd.DataFrame({"query_id": np.concatenate(ids), "leaf": np.concatenate(leaves), "visit": np.concatenate(numbers)})
+                    ids, leaves, numbers, held = [], [], [], 0
+            if held:
+                yield pd.DataFrame({"query_id": np.concatenate(ids), "leaf": np.concatenate(leaves), "visit": np.concatenate(numbers)})
 
     return queries.mapInPandas(plan, VISITS)
 
 
-def compared(index: Index, visits: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score): up to k rows of each visited leaf that are within the query's ``within``."""
-    asked = {r["leaf"]: r["count"] for r in visits.groupBy("leaf").count().collect()}  # at most one a sampled row
-    counts = index.rows.sparkSession.createDataFrame(
-        [(leaf, shares(n, PART), shares(asked[leaf], PART)) for leaf, n in index.sizes.items() if leaf in asked] or [(-1, 1, 1)],
-        "leaf bigint, row_parts int, query_parts int",
-    )
-
-    def parts(df: DataFrame, own: str, other: str, key: str) -> DataFrame:
-        """Rows dealt over the parts of their own side, once for every part of the other side."""
-        mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int").alias(own)
-        return df.join(F.broadcast(counts), "leaf").select(*df.columns, mine, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other))
+def leaf_blocks(sizes: dict[int, int], part: int) -> list[tuple[int, int, int]]:
+    """(leaf, first block, blocks): neighbouring leaves share a block of about ``part`` rows, a larger leaf has several."""
+    out, block, held = [], 0, 0
+    for leaf, n in sorted(sizes.items()):
+        if held and held + n > part:
+            block, held = block + 1, 0
+        parts = shares(n, part)
+        out.append((leaf, block, parts))
+        block, held = (block + parts, 0) if parts > 1 else (block, held + n)
+    return out
+
+
+def nearest_of_leaves(points: np.ndarray, visits: Iterable[np.ndarray], within: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, leaf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, id, distance): per query ``points`` the k nearest ``rows`` of the leaves it ``visits`` that are ``within`` and not its ``own``."""
+    order = np.argsort(leaf, kind="stable")
+    rows, ids, leaf = rows[order], ids[order], leaf[order]
+    visits = list(visits)
+    asked = np.concatenate([np.asarray(v, np.int64) for v in visits])
+    asking = np.repeat(np.arange(len(visits)), [len(v) for v in visits])
+    order = np.argsort(asked, kind="stable")
+    asked, asking = asked[order], asking[order]
+    sizes, lengths = (points**2).sum(1), (rows**2).sum(1)
+    out = []
+    for name in np.unique(asked):
+        low, high = np.searchsorted(leaf, name), np.searchsorted(leaf, name, "right")
+        who = asking[np.searchsorted(asked, name) : np.searchsorted(asked, name, "right")]
+        step = max(1, CELLS // max(1, high - low))
+        for some in (who[x : x + step] for x in range(0, len(who) if high > low else 0, step)):
+            far = sizes[some][:, None] + lengths[low:high] - 2 * points[some] @ rows[low:high].T
+            margin = ROUNDING * (sizes[some] + lengths[low:high].max())
+            far[own[some][:, None] == ids[low:high]] = np.inf
+            limit = within[some] ** 2 * (1 + ROUNDING) + margin
+            if high - low > k:
+                limit = np.minimum(limit, np.partition(far, k - 1, axis=1)[:, k - 1] + 2 * margin)
+            i, j = np.nonzero(~(far > limit[:, None]) & (own[some][:, None] != ids[low:high]))  # what is no number stays
+            i, j = some[i], j + low
+            exact = np.sqrt(((rows[j] - points[i]) ** 2).sum(1))
+            near = exact <= within[i]
+            out.append((i[near], ids[j[near]], exact[near]))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    i, found, far = (np.concatenate(part) for part in zip(*out, strict=True))
+    order = np.lexsort((found, far, i))
+    i, found, far = i[order], found[order], far[order]
+    best = np.arange(len(i)) - np.searchsorted(i, i) < k
+    return i[best], found[best], far[best]
+
+
+def compared(index: Index, visits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): up to k rows per query (query_id, vector, within) and block of visited leaves that are ``within``."""
+    spark = index.rows.sparkSession
+    asked = {r["leaf"] for r in visits.select("leaf").distinct().collect()}  # at most one a sampled row
+    places = leaf_blocks({leaf: n for leaf, n in index.sizes.items() if leaf in asked}, index.part)
+    places = F.broadcast(spark.createDataFrame(places or [(-1, 0, 1)], "leaf bigint, first bigint, parts int"))
+    query_parts = shares(queries.count(), index.part)
+    part = F.pmod(F.xxhash64("query_id"), F.lit(query_parts)).alias("query_part")
+    blocks = F.explode(F.sequence("first", F.col("first") + F.col("parts") - 1)).alias("block")
+    met = visits.join(places, "leaf").select("query_id", "leaf", blocks).groupBy("query_id", "block").agg(F.collect_list("leaf").alias("leaves"))
+    asking = met.join(queries, "query_id").select("query_id", "vector", "within", "leaves", "block", part)
+    block = (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).alias("block")
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_parts - 1).cast("long"))).alias("query_part")
+    rows = index.rows.join(places, "leaf").select("vec_id", "vector", "leaf", block, parts)
 
     def compare(key: tuple, asking: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if asking.empty or rows.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        points, ids, out = matrix(rows["vector"]), rows["vec_id"].to_numpy(), []
-        for i, vector, within in zip(asking["query_id"], asking["vector"], asking["within"], strict=True):
-            others = ids != i
-            found, far = nearest(np.asarray(vector, np.float64), points[others], ids[others], k)
-            near = far <= within
-            out.append((i, found[near], far[near]))
-        return found_rows(out)
+        own, within = asking["query_id"].to_numpy(), asking["within"].to_numpy()
+        there = matrix(rows["vector"]), rows["vec_id"].to_numpy(), rows["leaf"].to_numpy()
+        i, found, far = nearest_of_leaves(matrix(asking["vector"]), asking["leaves"], within, own, *there, k)
+        return pd.DataFrame({"query_id": own[i], "vec_id": found, "score": far})
 
-    keys = ["leaf", "row_parts", "query_parts"]
-    met = parts(visits, "query_parts", "row_parts", "query_id").groupBy(*keys).cogroup(parts(index.rows, "row_parts", "query_parts", "vec_id").groupBy(*keys))
-    return met.applyInPandas(compare, FOUND)
+    keys = ["block", "query_part"]
+    return asking.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(compare, FOUND)
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
@@ -256,12 +322,14 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
 
 def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found for ``queries`` (query_id, vector)."""
-    visits = materialise(planned_visits(index, queries, k), "visits")
+    queries = materialise(queries, "queries")
+    dealt = queries.repartition(shares(queries.count(), QUERIES), "query_id")
+    visits = materialise(planned_visits(index, dealt, k), "visits")
     anything = F.lit(float("inf"))
-    early = materialise(ranked(compared(index, visits.where(F.col("visit") <= FIRST).withColumn("within", anything), k), k), "early")
+    early = materialise(ranked(compared(index, visits.where(F.col("visit") <= FIRST), queries.withColumn("within", anything), k), k), "early")
     limits = early.where(F.col("rank") == k).select("query_id", F.col("score").alias("within"))
-    later = visits.where(F.col("visit") > FIRST).join(limits, "query_id", "left").withColumn("within", F.coalesce("within", anything))
-    return ranked(early.drop("rank").unionByName(compared(index, materialise(later, "later"), k)), k)
+    limited = materialise(queries.join(limits, "query_id", "left").withColumn("within", F.coalesce("within", anything)), "limited")
+    return ranked(early.drop("rank").unionByName(compared(index, visits.where(F.col("visit") > FIRST), limited, k)), k)
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", recall: float = RECALL) -> DataFrame:

@@ -194,6 +194,52 @@ def test_few_vectors(spark):
     assert ann.nearest_neighbours(table.limit(0), F.col("vec_id") == 0, 10).count() == 0
 
 
+def test_visits_are_numbers_in_bounded_blocks(spark, monkeypatch):
+    for name, value in {"PART": 16 * 40, "CELLS": 200, "VISIT_ROWS": 50, "QUERIES": 7, "LEAF_ROWS": 30}.items():
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(3)
+    points = rng.standard_normal((900, 16)).round(1)
+    points[300:420] = points[300] + 0.01 * rng.standard_normal((120, 16))  # a leaf that is split
+    points[500:520] = points[500]
+    table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, vector array<double>")
+    index = ann.build_index(table, 10)
+    visits = ann.planned_visits(index, table.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 10)
+    assert visits.columns == ["query_id", "leaf", "visit"] and visits.count() > 4 * 45
+    got = {}
+    for r in ann.nearest_neighbours(table, F.col("vec_id") % 20 == 0, 10, vector_col="vector", recall=1.0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    hits = 0
+    for i, found in got.items():
+        found.sort()
+        assert [n for n, _, _ in found] == list(range(1, 11))
+        far = np.sqrt(((points - points[i]) ** 2).sum(1))
+        order = [j for j in np.lexsort((np.arange(900), far)) if j != i][:10]
+        assert all(far[v] == s for _, v, s in found) and [(s, v) for _, v, s in found] == sorted((s, v) for _, v, s in found)
+        hits += len({v for _, v, _ in found} & set(order))
+    assert len(got) == 45 and hits >= 0.98 * 450
+
+
+def test_leaves_share_and_fill_blocks():
+    assert ann.leaf_blocks({0: 30, 1: 50, 2: 30, 3: 250, 4: 1, 5: 99}, 100) == [(0, 0, 1), (1, 0, 1), (2, 1, 1), (3, 2, 3), (4, 5, 1), (5, 5, 1)]
+    assert ann.leaf_blocks({}, 100) == []
+
+
+def test_nearest_of_leaves_by_brute_force(monkeypatch):
+    monkeypatch.setattr(ann, "CELLS", 300)
+    rng = np.random.default_rng(5)
+    for scale in (1.0, 1e160):  # squares of the latter are no numbers
+        rows = rng.integers(0, 3, (300, 4)).astype(float) * scale
+        ids, leaf = rng.permutation(300) + 7, rng.integers(0, 6, 300)
+        visits = [rng.permutation(8)[: rng.integers(0, 8)] for _ in range(40)]
+        within = rng.choice([np.inf, 1.0, 2**0.5, 0.0], 40) * scale
+        with np.errstate(all="ignore"):
+            i, found, far = ann.nearest_of_leaves(rows[:40], visits, within, ids[:40], rows, ids, leaf, 5)
+            for q in range(40):
+                there = np.isin(leaf, visits[q]) & (ids != ids[q])
+                want, dist = ann.nearest(rows[q], rows[there], ids[there], 5)
+                assert found[i == q].tolist() == want[dist <= within[q]].tolist() and far[i == q].tolist() == dist[dist <= within[q]].tolist()
+
+
 SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long, offset long, score string, ids string, start int",
     "labels": "doc_id long, quality int, toxic int",
