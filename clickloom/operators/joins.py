@@ -15,19 +15,23 @@ def salted_join(
 ) -> DataFrame:
     """Equi join that cuts every left key into ``spread`` slices and repeats the right side per slice.
 
-    For a large skewed left and a smaller right. Left-driven join types only. The slices are joined to the right side,
-    as Spark takes an exploded row for one row and would broadcast all copies of a side that fits the threshold only
-    once. The product's estimate is at least its size, so a right side that is not small is shuffled and measured.
+    For a large skewed left and a smaller right. Left-driven join types only. Spark takes an exploded row for one row and
+    would broadcast all copies of a side that fits the threshold only once, so such a side is merged.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("salting keeps only left-driven joins exact")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(spread)).cast("int")
-    slices = right.sparkSession.range(0, spread, 1, 1).select(F.col("id").cast("int").alias("_salt"))
-    return (
-        left.withColumn("_salt", salt)
-        .join(right.crossJoin(slices), [*on, "_salt"], how)
-        .drop("_salt")
-    )
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    if _fits_once_only(right, spread):
+        copies = copies.hint("merge")
+    return left.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def _fits_once_only(df: DataFrame, copies: int) -> bool:
+    """Whether Spark would broadcast ``df`` by its estimate, but not ``copies`` of it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= most < size * copies
 
 
 def natural_join(left: DataFrame, right: DataFrame, spread: int | None = None) -> DataFrame:

@@ -18,9 +18,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from clickloom.functions.edits import Letters, edit_distances
 from clickloom.functions.text import strip_symbols, without_term
+from clickloom.operators.ad_scores import Words, best_ads
 from clickloom.operators.balls import BLOCK, BallIndex, Group
 from clickloom.operators.joins import salted_join
 from clickloom.operators.ranking import keep_first, top_k
@@ -33,7 +35,7 @@ RELATED_K = 10
 TREND_SCORE = 0.1
 TREND_COSINE = 0.66
 AD_BLOCK = 1 << 14  # words; with 64 numbers a word, 8 MB
-SLICE = 128  # words of articles that a task scores at once against a block of ads
+AD_COPIES = 16
 ROUNDING = 1e-8  # cosines are compared after rounding to nine places
 
 
@@ -56,16 +58,18 @@ def _pack(words: DataFrame, side: str, keys: Sequence[str], group: str | None) -
 
 
 def block_pairs(
-    left: DataFrame, right: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, group: str | None = None
+    left: DataFrame, right: DataFrame, keys: Sequence[str] = (), block: int = BLOCK, group: str | None = None, copies: int | None = None
 ) -> DataFrame:
     """Every pair of (left block, right block) inside a key, as array columns ``l_*`` and ``r_*``.
 
-    A block holds about ``block`` rows; how many blocks a key has follows from its own row count.
+    A block holds about ``block`` rows; how many blocks a key has follows from its own row count. With ``copies``
+    blocks grow, up to four times, where a side would have more of them, as every block travels to all of the other side.
     The join key is (key, left block, right block), so one tenant's pairs are spread over the whole
     cluster. Rows that share ``group`` stay in one block.
     """
     keys = list(keys)
-    number = F.ceil(F.count("*") / block)
+    rows = F.count("*")
+    number = F.ceil(rows / (F.least(F.greatest(F.lit(block), F.ceil(rows / copies)), F.lit(4 * block)) if copies else block))
     if keys:
         plan = left.groupBy(*keys).agg(number.alias("_l_blocks")).join(
             right.groupBy(*keys).agg(number.alias("_r_blocks")), keys
@@ -87,14 +91,6 @@ def _units(cell: pa.ListScalar, rows: int) -> tuple[np.ndarray, np.ndarray]:
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0), length[:, 0] == 0
 
 
-def _products(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    (a, a_empty), (b, b_empty) = left, right
-    product = a @ b.T
-    product[a_empty, :] = -1.0
-    product[:, b_empty] = -1.0
-    return product
-
-
 def _block_rows(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iterator[list]:
     for batch in batches:
         columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
@@ -298,14 +294,6 @@ def attach_first_product(matches: DataFrame, item_keywords: DataFrame) -> DataFr
     return matches.join(first.withColumnRenamed("keyword", "keyword_item"), ["web_id", "keyword_item"])
 
 
-def _group_upper(matrix: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Mean + population deviation of rows with equal (sorted) labels."""
-    _, starts, member, sizes = np.unique(labels, return_index=True, return_inverse=True, return_counts=True)
-    mean = np.add.reduceat(matrix, starts, axis=0) / sizes[:, None]
-    spread = np.add.reduceat((matrix - mean[member]) ** 2, starts, axis=0) / sizes[:, None]
-    return mean + np.sqrt(spread)
-
-
 def _alike(articles: DataFrame) -> DataFrame:
     """(article_id, like): the smallest article with the same words; unknown words are all one.
 
@@ -326,47 +314,40 @@ def match_ads(articles: DataFrame, ads: DataFrame, block: int = AD_BLOCK) -> Dat
     article's words, an ad the same over its keywords; ties go to the smaller id and word.
 
     Articles with the same words are scored once. A block of words travels to every block of the other side, so blocks
-    are large, and a task walks a pair of them a few articles at a time.
+    are large, and a task walks a pair of them a few articles at a time (``ad_scores``).
     """
 
     def ready_rows(rows: DataFrame, key: str) -> DataFrame:
-        ready = rows.select(F.col(key).alias("owner"), "word", F.col("vector").cast("array<double>").alias("vector"))
+        single = rows.schema["vector"].dataType.elementType == FloatType()  # travels as such, counts as double
+        kind = "float" if single else "double"
+        ready = rows.select(F.col(key).alias("owner"), "word", F.col("vector").cast(f"array<{kind}>").alias("vector"))
         width = ready.agg(F.max(F.size("vector"))).scalar()
         # an unknown word travels as a vector without length, which scores -1
-        return ready.withColumn("vector", F.coalesce("vector", F.array_repeat(F.lit(0.0), width)))
+        return ready.withColumn("vector", F.coalesce("vector", F.array_repeat(F.lit(0.0).cast(kind), width)))
 
     alike = materialise(_alike(articles), "alike")
     scored = articles.join(alike.where(F.col("article_id") == F.col("like")).select("article_id"), "article_id", "left_semi")
-    pairs = block_pairs(ready_rows(scored, "article_id"), ready_rows(ads, "ad_id"), (), block, group="owner")
+    pairs = block_pairs(ready_rows(scored, "article_id"), ready_rows(ads, "ad_id"), (), block, group="owner", copies=AD_COPIES)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("l_owner", "l_vector", "r_owner", "r_word", "r_vector")
         for lo, lv, ro, rw, rv in _block_rows(batches, names):
             owners, ad_ids, words = np.array(lo.as_py()), np.array(ro.as_py()), np.array(rw.as_py())
             rows, cols = np.lexsort((words, ad_ids)), np.argsort(owners, kind="stable")
-            ad_ids, words, owners = ad_ids[rows], words[rows], owners[cols]
-            ad_units, units = (tuple(x[order] for x in _units(v, len(order))) for v, order in ((rv, rows), (lv, cols)))
-            ad_names, starts = np.unique(ad_ids, return_index=True)
-            ends = np.append(starts[1:], len(ad_ids))
-            firsts = np.unique(owners, return_index=True)[1]
-            # whole articles, cut where one begins in a new stretch of SLICE words
-            cuts = firsts[np.unique(firsts // SLICE, return_index=True)[1]]
-            for low, high in zip(cuts, np.append(cuts[1:], len(owners))):
-                sims = _products(ad_units, tuple(x[low:high] for x in units))
-                upper = _group_upper(sims.T, owners[low:high]).T
-                scores = _group_upper(upper, ad_ids)
-                names = np.unique(owners[low:high])
-                picks = np.argmax(np.round(scores, 9), axis=0)
-                best_words = [
-                    words[starts[a] + np.argmax(np.round(upper[starts[a] : ends[a], o], 9))] for o, a in enumerate(picks)
-                ]
-                out = {
-                    "article_id": names.tolist(),
-                    "ad_id": ad_names[picks].tolist(),
-                    "keyword": [str(w) for w in best_words],
-                    "score": scores[picks, np.arange(len(names))],
-                }
-                yield pa.RecordBatch.from_pydict(out)
+            sides = []
+            for vectors, order, owned in ((lv, cols, owners), (rv, rows, ad_ids)):
+                units, empty = _units(vectors, len(order))
+                named, number = np.unique(owned[order], return_inverse=True)
+                sides.append((named, Words.of(units[order], empty[order], number)))
+            (article_names, articles), (ad_names, offers) = sides
+            picks, places, scores = best_ads(articles, offers)
+            out = {
+                "article_id": article_names.tolist(),
+                "ad_id": ad_names[picks].tolist(),
+                "keyword": [str(w) for w in words[rows][offers.starts[picks] + places]],
+                "score": scores,
+            }
+            yield pa.RecordBatch.from_pydict(out)
 
     schema = "article_id string, ad_id string, keyword string, score double"
     local = pairs.drop("l_word").mapInArrow(best, schema)

@@ -30,6 +30,15 @@ def test_salted_copies_count_against_the_broadcast_threshold(spark, tmp_path):
     assert rows == 6000
 
 
+def test_slices_of_a_salted_join_need_no_cross_product(spark):
+    left = spark.range(100).select((F.col("id") % 7).alias("id"), F.col("id").alias("event"))
+    right = spark.createDataFrame([(i, f"t{i}") for i in range(5)] + [(None, "x")], "id long, title string")
+    for how, rows in (("inner", 72), ("left", 100), ("left_semi", 72), ("left_anti", 28)):
+        joined = joins.salted_join(left, right, ["id"], how)
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        assert joined.count() == rows and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_registrations_are_chosen_before_they_travel_in_slices(spark):
     views = spark.createDataFrame([("w", "u", "a"), ("w", "v", "a")], "web_id string, uuid string, article_id string")
     articles = spark.createDataFrame([("w", "a", ["x", "y"], 1)], "web_id string, article_id string, keyword_list array<string>, is_cut int")

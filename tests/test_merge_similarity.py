@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import edits
 from clickloom.functions.edits import edit_distance
-from clickloom.operators import balls, forecast, joins, ml, reports, rollups, similarity, stats, trends
+from clickloom.operators import ad_scores, balls, forecast, joins, ml, reports, rollups, similarity, stats, trends
 from clickloom.sinks import merge
 from clickloom.streaming.sinks import upsert_sink
 
@@ -130,6 +130,60 @@ def test_match_ads_is_exact(spark):
         assert got[article] == best[1:]
 
 
+def brute_ads(articles, ads):
+    """By article the ad, the word inside it and the score, all pairs in double precision."""
+    out = []
+    for n, low in zip(articles.counts, articles.starts):
+        best = None
+        for ad, (m, start) in enumerate(zip(ads.counts, ads.starts)):
+            sims = articles.units[low : low + n] @ ads.units[start : start + m].T
+            sims[articles.empty[low : low + n]] = -1
+            sims[:, ads.empty[start : start + m]] = -1
+            upper = sims.mean(0) + sims.std(0)
+            score = upper.mean() + upper.std()
+            if best is None or round(score, 9) > round(best[2], 9):
+                best = (ad, int(np.argmax(np.round(upper, 9))), score)
+        out.append(best)
+    return out
+
+
+@pytest.mark.parametrize("width", [2, 16])
+def test_best_ads_by_brute_force(monkeypatch, width):
+    monkeypatch.setattr(ad_scores, "ARTICLES", 5)
+    monkeypatch.setattr(ad_scores, "WORDS", 11)
+    monkeypatch.setattr(ad_scores, "NUMBERS", 40)
+    rng = np.random.default_rng(width)
+
+    def side(counts, near):
+        rows = rng.standard_normal((sum(counts), width))
+        rows[::3] = near + rng.choice([0, 1e-7, 1e-9], (len(rows[::3]), 1)) * rng.standard_normal((len(rows[::3]), width))
+        units, empty = rows / np.linalg.norm(rows, axis=1, keepdims=True), rng.random(len(rows)) < 0.15
+        units[empty] = 0
+        return ad_scores.Words.of(units, empty, np.repeat(np.arange(len(counts)), counts))
+
+    near = rng.standard_normal(width)
+    for _ in range(4):
+        articles = side([*rng.integers(1, 7, 12), 40], near)
+        ads = side([*rng.integers(1, 5, 30), 25], near)
+        got = list(zip(*ad_scores.best_ads(articles, ads)))
+        for (ad, word, score), want in zip(got, brute_ads(articles, ads), strict=True):
+            assert (ad, word) == want[:2] and abs(score - want[2]) < 1e-12
+    twice = ad_scores.Words.of(np.tile(ads.units, (2, 1)), np.tile(ads.empty, 2), np.repeat(np.arange(62), np.tile(ads.counts, 2)))
+    assert [a.tolist() for a in ad_scores.best_ads(articles, twice)] == [list(x) for x in zip(*got)] and len(twice.once()) <= 31
+    odd = ads.units.copy()
+    odd[ads.starts[3]] = odd[ads.starts[7]] = np.nan
+    found = ad_scores.best_ads(articles, ad_scores.Words.of(odd, np.zeros(len(odd), bool), np.repeat(np.arange(31), ads.counts)))
+    unknown = np.bitwise_and.reduceat(articles.empty, articles.starts)
+    assert (found[0] == np.where(unknown, 0, 3)).all() and (np.isnan(found[2]) == ~unknown).all() and (found[2][unknown] == -1).all()
+
+
+def test_blocks_grow_where_there_are_many(spark):
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("word"), F.array(F.lit(1.0)).alias("vector"))
+    few = rows.where("word < '2'").where("length(word) < 3")  # 0, 1 and 10 to 19
+    for copies, blocks in ((None, 400), (100, 100), (4, 100), (1000, 400)):
+        assert similarity.block_pairs(rows, few, (), 10, copies=copies).count() == blocks * 2
+
+
 def plain_forecast(signal, ahead, harmonics=None):
     n = len(signal)
     t = np.arange(1, n + 1)
